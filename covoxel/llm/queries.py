@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .lines import line_dedup
 from .mixing import mix_sizes
 from .packing import pack
 
@@ -15,6 +16,11 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup(docs)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix_sizes(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
@@ -24,6 +30,30 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
+OP1_SQL = """
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i,
+         len(string_split(text, chr(10))) AS n
+  FROM documents WHERE text IS NOT NULL),
+h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l),
+r AS (SELECT *, h + 31 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) AS roll FROM h),
+e AS (SELECT *, CASE WHEN roll % 3 = 0 OR i = n THEN 1 ELSE 0 END AS cut FROM r),
+c AS (
+  SELECT *, 1 + coalesce(sum(cut) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS idx FROM e),
+k AS (SELECT doc_id, idx, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY i) AS body FROM c GROUP BY doc_id, idx),
+f AS (
+  SELECT *, CASE WHEN n_lines >= 2 AND trim(translate(body, chr(10) || chr(9) || chr(13), '')) <> ''
+                 THEN row_number() OVER (PARTITION BY body ORDER BY doc_id, idx) > 1 ELSE false END AS gone FROM k),
+g AS (
+  SELECT doc_id, CAST(sum(n_lines) AS BIGINT) AS n_lines, count(*) AS n_chunks,
+         CAST(coalesce(sum(n_lines) FILTER (WHERE gone), 0) AS BIGINT) AS n_lines_removed, count(*) FILTER (WHERE gone) AS n_chunks_removed,
+         coalesce(string_agg(body, chr(10) ORDER BY idx) FILTER (WHERE NOT gone), '') AS text
+  FROM f GROUP BY doc_id)
+SELECT d.doc_id, g.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_chunks, 0) AS n_chunks,
+       coalesce(n_lines_removed, 0) AS n_lines_removed, coalesce(n_chunks_removed, 0) AS n_chunks_removed
+FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id
+"""
+
 OP2_SQL = """
 WITH d AS (
   SELECT doc_id, source, substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS h,
@@ -55,5 +85,5 @@ SELECT d.doc_id, d.size, m.source_size, m.target, CAST(d.size * (m.passes + m.mo
 FROM d JOIN m ON d.source IS NOT DISTINCT FROM m.source AND d.h = m.h
 """
 
-QUERIES = {"op2_mixing": op2_mixing, "op10_packing": op10_packing}
-ORACLES = {"op2_mixing": OP2_SQL}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op10_packing": op10_packing}
+ORACLES = {"op1_line_dedup": OP1_SQL, "op2_mixing": OP2_SQL}

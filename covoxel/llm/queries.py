@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import crc_of_id, table
+from .langid import identify, learn
 from .lines import line_dedup
+from .media import media_columns
 from .mixing import mix_sizes
 from .packing import pack
 
@@ -26,6 +28,17 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_of_id() % 5 == 0
+    profiles = learn(docs.where(~held_out))
+    return identify(docs.select("doc_id", held_out.alias("held_out"), "text"), profiles).drop("text")
+
+
+def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_columns(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -85,5 +98,5 @@ SELECT d.doc_id, d.size, m.source_size, m.target, CAST(d.size * (m.passes + m.mo
 FROM d JOIN m ON d.source IS NOT DISTINCT FROM m.source AND d.h = m.h
 """
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op10_packing": op10_packing}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op3_language_id": op3_language_id, "op4_media_columns": op4_media_columns, "op10_packing": op10_packing}
 ORACLES = {"op1_line_dedup": OP1_SQL, "op2_mixing": OP2_SQL}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import crc_of_id, table
+from .jaccard import jaccard_classes
 from .langid import identify, learn
 from .lines import line_dedup
 from .media import media_columns
@@ -39,6 +40,10 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_columns(table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(table(spark, sf_dir, "documents"), words=4, percent=85).drop("class_id")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -98,5 +103,5 @@ SELECT d.doc_id, d.size, m.source_size, m.target, CAST(d.size * (m.passes + m.mo
 FROM d JOIN m ON d.source IS NOT DISTINCT FROM m.source AND d.h = m.h
 """
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op3_language_id": op3_language_id, "op4_media_columns": op4_media_columns, "op10_packing": op10_packing}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op3_language_id": op3_language_id, "op4_media_columns": op4_media_columns, "op5_jaccard_join": op5_jaccard_join, "op10_packing": op10_packing}
 ORACLES = {"op1_line_dedup": OP1_SQL, "op2_mixing": OP2_SQL}

@@ -10,6 +10,7 @@ from .langid import identify, learn
 from .lines import line_dedup
 from .media import media_columns
 from .mixing import mix_sizes
+from .neardup import near_duplicates
 from .packing import pack
 
 
@@ -44,6 +45,10 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), words=4, percent=85).drop("class_id")
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -103,5 +108,5 @@ SELECT d.doc_id, d.size, m.source_size, m.target, CAST(d.size * (m.passes + m.mo
 FROM d JOIN m ON d.source IS NOT DISTINCT FROM m.source AND d.h = m.h
 """
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op3_language_id": op3_language_id, "op4_media_columns": op4_media_columns, "op5_jaccard_join": op5_jaccard_join, "op10_packing": op10_packing}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op3_language_id": op3_language_id, "op4_media_columns": op4_media_columns, "op5_jaccard_join": op5_jaccard_join, "op8_embedding_near_dedup": op8_embedding_near_dedup, "op10_packing": op10_packing}
 ORACLES = {"op1_line_dedup": OP1_SQL, "op2_mixing": OP2_SQL}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import crc_of_id, table
 from .jaccard import jaccard_classes
@@ -12,6 +13,7 @@ from .media import media_columns
 from .mixing import mix_sizes
 from .neardup import near_duplicates
 from .packing import pack
+from .suffix_tree import score
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -49,6 +51,11 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = score(table(spark, sf_dir, "documents"), crc_of_id() % 7 != 2)
+    return out.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -108,5 +115,5 @@ SELECT d.doc_id, d.size, m.source_size, m.target, CAST(d.size * (m.passes + m.mo
 FROM d JOIN m ON d.source IS NOT DISTINCT FROM m.source AND d.h = m.h
 """
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op3_language_id": op3_language_id, "op4_media_columns": op4_media_columns, "op5_jaccard_join": op5_jaccard_join, "op8_embedding_near_dedup": op8_embedding_near_dedup, "op10_packing": op10_packing}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op3_language_id": op3_language_id, "op4_media_columns": op4_media_columns, "op5_jaccard_join": op5_jaccard_join, "op8_embedding_near_dedup": op8_embedding_near_dedup, "op9_lm_scoring": op9_lm_scoring, "op10_packing": op10_packing}
 ORACLES = {"op1_line_dedup": OP1_SQL, "op2_mixing": OP2_SQL}

@@ -13,6 +13,8 @@ from .media import media_columns
 from .mixing import mix_sizes
 from .neardup import near_duplicates
 from .packing import pack
+from .quality import grade, ratings
+from .quality import learn as learn_grades
 from .suffix_tree import score
 from .wrappers import extract_main
 
@@ -57,6 +59,12 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = learn_grades(docs, ratings(table(spark, sf_dir, "labels")), 3)
+    return grade(docs, model).drop("text")
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main(table(spark, sf_dir, "pages"))
 
@@ -120,5 +128,5 @@ SELECT d.doc_id, d.size, m.source_size, m.target, CAST(d.size * (m.passes + m.mo
 FROM d JOIN m ON d.source IS NOT DISTINCT FROM m.source AND d.h = m.h
 """
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op3_language_id": op3_language_id, "op4_media_columns": op4_media_columns, "op5_jaccard_join": op5_jaccard_join, "op7_html_extraction": op7_html_extraction, "op8_embedding_near_dedup": op8_embedding_near_dedup, "op9_lm_scoring": op9_lm_scoring, "op10_packing": op10_packing}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op3_language_id": op3_language_id, "op4_media_columns": op4_media_columns, "op5_jaccard_join": op5_jaccard_join, "op6_quality": op6_quality, "op7_html_extraction": op7_html_extraction, "op8_embedding_near_dedup": op8_embedding_near_dedup, "op9_lm_scoring": op9_lm_scoring, "op10_packing": op10_packing}
 ORACLES = {"op1_line_dedup": OP1_SQL, "op2_mixing": OP2_SQL}

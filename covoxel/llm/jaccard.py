@@ -7,10 +7,11 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, stored
+from .common import components, forget, stored
 
 #: Groups of a count vector, points in a leaf, members of a block that one task holds of either side,
 #: documents from which a shingle is put last in the global order, and bits of the table of such shingles.
@@ -81,8 +82,16 @@ def _sets(texts: list[bytes], k: int) -> list[np.ndarray]:
 
 
 def count_vector(s: np.ndarray) -> np.ndarray:
-    """How many of a set's hashes fall into each group."""
-    return np.bincount((s % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.uint32)
+    """How many of a set's hashes fall into each group: one byte each if all fit, else four."""
+    n = np.bincount((s % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
+    return n.astype(np.uint8 if n.max() < 256 else np.uint32)
+
+
+def read_vectors(raw: Sequence[bytes]) -> np.ndarray:
+    wide = [np.frombuffer(v, np.uint8 if len(v) == GROUPS else np.uint32) for v in raw]
+    if all(v.dtype == np.uint8 for v in wide):
+        return np.frombuffer(b"".join(raw), np.uint8).reshape(-1, GROUPS).astype(np.int64)
+    return np.array([v.astype(np.int64) for v in wide]).reshape(-1, GROUPS)
 
 
 def least_overlap(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
@@ -142,8 +151,7 @@ def _search_blocks(percent: int, window: tuple[int, int | None]):
         held: list[dict[str, np.ndarray]] = []
 
         def take(rows: dict[str, np.ndarray]) -> None:
-            v = np.frombuffer(b"".join(rows["vec"]), dtype=np.uint32).reshape(-1, GROUPS)
-            seen.update(block_pairs(rows["doc"], rows["comp"], rows["n"], v, rows["left"], rows["right"], percent, window))
+            seen.update(block_pairs(rows["doc"], rows["comp"], rows["n"], read_vectors(rows["vec"]), rows["left"], rows["right"], percent, window))
 
         for b in batches:
             cols = {c: b.column(c).to_numpy(zero_copy_only=False) for c in b.schema.names}
@@ -205,14 +213,26 @@ def _frequent_bits(docs: DataFrame, k: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(tokens[keep].view(np.int64)), pa.array(counts[keep])], names=["token", "n"])
 
     seen = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
-    bit = F.shiftrightunsigned("token", 64 - BITS)
-    words = seen.select((bit.bitwiseAND(F.lit(63))).alias("b"), F.shiftright(bit, 6).alias("w")).groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, cast(b as int))")).alias("x")).collect()
+    return bit_table(seen.select("token"))
+
+
+def bit_table(hashes: DataFrame) -> np.ndarray:
+    """2 ** BITS bits, set for the first BITS bits of each hash in a column of longs. Bits are joined to words
+    before they come to the driver: at most 2 MB, whatever the number of hashes."""
+    bit = F.shiftrightunsigned(hashes.columns[0], 64 - BITS)
+    at = hashes.select(bit.bitwiseAND(F.lit(63)).alias("b"), F.shiftright(bit, 6).alias("w"))
+    words = at.groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, cast(b as int))")).alias("x"))
     table = np.zeros(1 << (BITS - 6), dtype=np.int64)
-    for w, x in words:
+    for w, x in words.collect():
         table[w] = x
     return table.view(np.uint64)
 
 
+def in_table(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    bit = hashes.view(np.uint64) >> np.uint64(64 - BITS)
+    return (table[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) != 0
+
+
 def jaccard_classes(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of docs (doc_id integer, text): doc_id, n_shingles, class_id, component_id.
 
@@ -222,7 +242,7 @@ def jaccard_classes(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
 
     1. Each set is ordered by (frequent or not, hash); two sets that link share a shingle of their first
        n - ceil(percent * n / 100) + 1. Classes that share one form a block: nothing else need be compared.
-    2. Every member is compared with its block's least member: as many pairs as members. A block whose
+    2. Every member is compared with its block's least member, by the bound of 3 first: as many pairs as members. A block whose
        members are in one component by then, or that has two members, is done.
     3. In the others, hashed counts by group are points of an R-tree. Summed coordinate minima bound the
        intersection; leaves and then points that can't reach the threshold, or whose component is the same,
@@ -231,7 +251,9 @@ def jaccard_classes(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
 
     All that is verified is verified exactly, on the sets. Blocks of more than SHARE members are dealt
     over tasks by pairs of shares, so none holds an unbounded block. Pairs of a group of near copies aren't
-    emitted once they are known to be connected. Texts are shuffled once, for classes in a block only sets.
+    emitted once they are known to be connected. Texts are never shuffled, and sets only of documents in
+    a pair that passed the bound. What is broadcast are tables of 2 ** BITS bits: of frequent shingles, of repeated
+    ones, of documents in pairs. They save shuffles; a full one, as at a great scale, changes no result.
 
     Null and empty texts: no shingles, linked with nothing, component_id = doc_id. A null doc_id takes its
     class's ids, null if the class has none. Rows with the same doc_id are one document. Other columns are
@@ -249,57 +271,89 @@ def jaccard_classes(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
                     d1.append(int(np.bitwise_xor.reduce(_mix(s + _P)).view(np.int64)) if len(s) else 0)
                     d2.append(int(np.add.reduce(_mix(s ^ _P)).view(np.int64)) if len(s) else 0)
                 vec.append(count_vector(s).tobytes())
-                bit = s >> np.uint64(64 - BITS)
-                often = (bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)
-                first = np.concatenate([s[often == 0], s[often == 1]])  # both parts stay in order of hash
+                often = in_table(s, bits)
+                first = np.concatenate([s[~often], s[often]])  # both parts stay in order of hash
                 prefix.append(first[: len(s) + (-percent * len(s) // 100) + 1].view(np.int64) if len(s) else first.view(np.int64))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(vec, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))], names=["doc_id", "n", "d1", "d2", "vec", "prefix"])
 
     signed = stored(docs.mapInArrow(sign, "doc_id long, n long, d1 long, d2 long, vec binary, prefix array<long>"), "jaccard")
-    classes = stored(signed.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "jaccard")
+    ids = stored(signed.select("doc_id", "n", "d1", "d2"), "jaccard")
+    classes = stored(ids.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "jaccard")
     reps = signed.join(classes, ["d1", "d2"]).where("doc_id = rep").dropDuplicates(["doc_id", "d1", "d2"]).select(F.col("doc_id").alias("doc"), "n", "vec", "prefix")
     reps = stored(reps, "jaccard")
+    forget(signed)
+    points = reps.select("doc", "n", "vec")
 
-    tokens = reps.select("doc", "n", F.explode("prefix").alias("token"))
-    blocks = tokens.groupBy("token").agg(F.count("*").alias("members"), F.min(F.struct("doc", "n")).alias("least")).where("members > 1")
-    members = stored(tokens.join(blocks, "token").select("token", "doc", "n", "members", "least"), "jaccard")
-    sized = f"100 * least(n, least.n) >= {percent} * greatest(n, least.n)"
-    star = members.where("doc > least.doc").where(sized).select(F.col("least.doc").alias("a"), F.col("doc").alias("b")).distinct()
+    # Most shingles of the prefixes occur once: their count alone is shuffled, and a table of bits keeps most of
+    # them from being shuffled again with their documents.
+    repeated = bit_table(reps.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token"))
 
-    involved = members.select(F.col("doc").alias("doc_id")).distinct()
-
-    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column("prefix")
+            token, of = lists.flatten().to_numpy(zero_copy_only=False), pa.compute.list_parent_indices(lists)
+            keep = in_table(token, repeated)
+            yield pa.RecordBatch.from_arrays([pa.array(token[keep]), b.column("doc").take(of.filter(pa.array(keep)))], names=["token", "doc"])
+
+    tokens = stored(reps.select("doc", "prefix").mapInArrow(spread, "token long, doc long"), "jaccard")
+    blocks = tokens.groupBy("token").agg(F.count("*").alias("members"), F.min("doc").alias("least"), F.bit_xor(F.xxhash64("doc")).alias("s1"), F.bit_xor(F.xxhash64(F.lit(1), "doc")).alias("s2")).where("members > 1")
+    # Blocks with the same members are one.
+    blocks = stored(blocks.groupBy("members", "least", "s1", "s2").agg(F.min("token").alias("token")).drop("s1", "s2"), "jaccard")
+    members = stored(tokens.join(blocks, "token"), "jaccard")
+    star = members.where("doc > least").select(F.col("least").alias("a"), F.col("doc").alias("b")).distinct()
+
+    def within_bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [s.view(np.int64) for s in shingle_sets(b.column("text").to_pylist(), words)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["doc", "s"])
+            n, m = (b.column(c).to_numpy() for c in ("n", "m"))
+            if not len(n):
+                continue
+            bound = np.minimum(read_vectors(b.column("v").to_pylist()), read_vectors(b.column("w").to_pylist())).sum(axis=1)
+            keep = pa.array(bound >= least_overlap(n, m, percent))
+            yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
 
-    sets = stored(docs.join(involved, "doc_id", "left_semi").mapInArrow(expand, "doc long, s array<long>"), "jaccard")
+    with_points = star.join(points.toDF("a", "n", "v"), "a").join(points.toDF("b", "m", "w"), "b")
+    star = with_points.where(f"100 * least(n, m) >= {percent} * greatest(n, m)").mapInArrow(within_bound, "a long, b long")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        with_a = pairs.join(sets.select(F.col("doc").alias("a"), F.col("s").alias("sa")), "a")
-        both = with_a.join(sets.select(F.col("doc").alias("b"), F.col("s").alias("sb")), "b")
+        """Those of the pairs that link, compared on the sets. Only the sets of documents in a pair (and the few
+        that share a bit with one) leave the scan of the texts."""
+        pairs = stored(pairs, "jaccard")
+        involved = bit_table(pairs.select(F.explode(F.array("a", "b")).alias("doc")).select(F.xxhash64("doc").alias("h")))
+
+        def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                keep = np.flatnonzero(in_table(b.column("h").to_numpy(), involved))
+                texts = b.column("text").take(pa.array(keep)).to_pylist()
+                sets = [s.view(np.int64) for s in shingle_sets(texts, words)]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(keep)), pa.array(sets, pa.list_(pa.int64()))], names=["doc", "s"])
+
+        texts = docs.where("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id").alias("h"))
+        sets = stored(texts.mapInArrow(expand, "doc long, s array<long>"), "jaccard")
+        with_a = pairs.join(sets.toDF("a", "sa"), "a")
+        both = with_a.join(sets.toDF("b", "sb"), "b")
         shared = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("i"), (F.size("sa") + F.size("sb")).cast("long").alias("t"))
-        return shared.where(f"100 * i >= {percent} * (t - i)").select("a", "b")
+        out = stored(shared.where(f"100 * i >= {percent} * (t - i)").select("a", "b"), "jaccard")
+        forget(sets, pairs)
+        return out
 
-    links = stored(verified(star), "jaccard")
+    links = verified(star)
     comps = stored(components(links), "jaccard")
-    many = members.where("members > 2").select("token", "doc", "n", "members")
+    many = members.where("members > 2").select("token", "doc", "members")
     for window in ((0, 4), (4, None)):
         known = many.join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("component", "doc"))
-        known = stored(known.select("token", "doc", "n", "members", "comp"), "jaccard")
+        known = stored(known.select("token", "doc", "members", "comp"), "jaccard")
         mixed = known.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-        open_ = known.join(mixed, "token").join(reps.select("doc", "vec"), "doc")
+        open_ = known.join(mixed, "token").join(points, "doc")
         parts = F.ceil(F.col("members") / SHARE).cast("long")
         mine = F.pmod(F.xxhash64("doc"), parts)
         dealt = open_.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
         dealt = dealt.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")}).withColumns({"left": F.col("mine") == F.col("i"), "right": F.col("mine") == F.col("j")})
         dealt = dealt.select("token", "i", "j", "doc", "comp", "n", "vec", "left", "right").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-        found = stored(dealt.mapInArrow(_search_blocks(percent, window), "a long, b long").distinct(), "jaccard")
-        fresh = stored(verified(found), "jaccard")
-        links = links.union(fresh)
+        links = links.union(verified(dealt.mapInArrow(_search_blocks(percent, window), "a long, b long").distinct()))
         comps = stored(components(links), "jaccard")
+        forget(known)
 
-    out = signed.select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left")
+    out = ids.join(classes, ["d1", "d2"], "left")
     out = out.withColumn("class_id", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc_id")))
     out = out.join(comps.withColumnRenamed("node", "class_id"), "class_id", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), "class_id", F.coalesce("component", "class_id").alias("component_id"))

@@ -30,7 +30,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     at = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(at)
-    return spark.read.schema(df.schema).parquet(at)
+    out = spark.read.schema(df.schema).parquet(at)
+    out._stored_at = at
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that stored() has written and that nothing will read again."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,19 +66,22 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     links = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null")
     now = stored(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
-    nodes = now.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    nodes = stored(now.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "cc")
     while True:
         both = now.union(now.select("v", "u")).toDF("u", "v")
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        # Minima are written before they are joined: AQE splits the join of a hub only if no aggregate feeds it.
+        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "cc")
         # Large star: every larger neighbour of u hangs on u's smallest neighbour.
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        down = large.where("u > v").distinct()
+        down = stored(large.where("u > v").distinct(), "cc")
         # Small star: u and its smaller neighbours hang on the smallest of them.
-        floor = down.groupBy("u").agg(F.min("v").alias("m"))
+        floor = stored(down.groupBy("u").agg(F.min("v").alias("m")), "cc")
         small = down.join(floor, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").union(floor.select("u", F.col("m").alias("v"))).distinct()
         new = stored(small, "cc")
+        forget(low, down, floor)
         sign = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if sign(new) == sign(now):
             break
+        forget(now)
         now = new
     return nodes.join(now.toDF("node", "root"), "node", "left").select("node", F.coalesce("root", "node").alias("component"))

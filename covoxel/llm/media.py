@@ -113,7 +113,8 @@ def interleave(pages: DataFrame, media: DataFrame, html: str = "html") -> DataFr
     refs = sequences(pages, html)
     keep = [c for c in refs.columns if c != "items"]
     one = refs.select(*keep, F.explode("items").alias("item"))
-    known = media.where("digest is not null").dropDuplicates(["digest"]).select(F.col("digest").alias("found"), F.struct(*[c for c in media.columns if c != "digest"]).alias("media"))
+    # Written first: AQE splits the join of a hot digest only if no aggregate feeds it.
+    known = stored(media.where("digest is not null").dropDuplicates(["digest"]), "media").select(F.col("digest").alias("found"), F.struct(*[c for c in media.columns if c != "digest"]).alias("media"))
     out = one.join(known, F.col("item.digest") == F.col("found"), "left")
     clash = {"position", "kind", "text", "caption", "digest", "media"}
     return out.select(*[c for c in keep if c not in clash], "item.position", "item.kind", "item.text", "item.caption", "item.digest", "media")

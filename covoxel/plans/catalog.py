@@ -1,6 +1,484 @@
-"""The registered queries over the driver's tables and their SQL twins."""
+"""The registered queries over the driver's tables and their SQL twins.
+
+The main volume is made from lineitem: six channels on a grid of 7 x 40 x 56, absent voxels 0. It is dense and noisy, so
+every stage has work to do, and integer voxel sizes make distances exact.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from covoxel.config import EngineConfig, FilterConfig, VoxelSize
+from covoxel.functions import names as fn
+from covoxel.operators import components, filtering, mining, rollup, thresholds, tiling
+from covoxel.operators.tiling import Shape
+from covoxel.plans import sql, tables
+from covoxel.plans.engine import Engine
+
+SHAPE = Shape(7, 40, 56)
+CFG = EngineConfig(tile_xy=(16, 16), voxel_size=VoxelSize(1, 1, 2), min_obj_vol_um3=8, dilate_um=(0, 1, 2), min_marker_vox=20, min_support_pair=20, min_support_set=10)
+#: Thresholds by radius, with a radius missing (0) and one that no marker reaches.
+STOP = EngineConfig(tile_xy=(16, 16), voxel_size=VoxelSize(1, 1, 2), min_obj_vol_um3=8, dilate_um=(0, 1, 2), min_marker_vox={1: 100_000, 2: 20}, min_support_pair={0: 2, 1: 10, 2: 20}, min_support_set={2: 10})
+FILTER = FilterConfig(min_overlap_coeff=0.2, min_inter_vox=25, min_tiles_present=3, top_k_percent=0.5)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    place = [(F.col("l_suppkey") % 6).cast("int").alias("channel"), (F.col("l_linenumber") - 1).cast("int").alias("z"), (F.col("l_partkey") % 40).cast("int").alias("y"), (F.col("l_orderkey") % 56).cast("int").alias("x")]
+    return li.groupBy(*place).agg(F.sum(F.col("l_quantity").cast("long")).alias("value"))
+
+
+def engine(spark: SparkSession, sf_dir: str, cfg: EngineConfig = CFG) -> Engine:
+    e = Engine(volume(spark, sf_dir), SHAPE, cfg)
+    e.voxels = e.hold(e.voxels)
+    return e
+
+
+def r9(*cols: str) -> dict:
+    return {c: F.round(c, 9) for c in cols}
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__] = f
+        if oracle is not None:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+# The stages in SQL; each query's twin is this prefix and its own last step.
+Z = CFG.z_alpha * thresholds.MAD_TO_SIGMA
+
+
+def chain(cfg: EngineConfig = CFG) -> str:
+    def by_r(spec) -> str:
+        return "CASE r_um " + " ".join(f"WHEN {r} THEN {cfg.at(spec, r)}" for r in cfg.dilate_um) + " END"
+
+    stop = f"""
+alive_pairs AS (SELECT tile_x, tile_y, r_idx FROM (
+  SELECT s.tile_x, s.tile_y, s.r_idx, min(CASE WHEN e.r_idx IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY s.tile_x, s.tile_y ORDER BY s.r_idx DESC) AS ok
+  FROM (SELECT * FROM tiles0, radii) s LEFT JOIN (SELECT DISTINCT tile_x, tile_y, r_idx FROM eligible_pairs) e USING (tile_x, tile_y, r_idx)) WHERE ok = 1),
+""" if cfg.aggressive_stop_on_fail else "alive_pairs AS (SELECT DISTINCT tile_x, tile_y, r_idx FROM eligible_pairs),"
+    return f"""
+WITH RECURSIVE vox AS (
+  SELECT CAST(l_suppkey % 6 AS INTEGER) AS channel, l_linenumber - 1 AS z, CAST(l_partkey % 40 AS INTEGER) AS y, CAST(l_orderkey % 56 AS INTEGER) AS x,
+         CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS value, CAST(l_orderkey % 56 // 16 AS INTEGER) AS tile_x, CAST(l_partkey % 40 // 16 AS INTEGER) AS tile_y
+  FROM lineitem GROUP BY ALL),
+radii AS (SELECT *, {by_r(cfg.min_marker_vox)} AS min_marker, {by_r(cfg.min_support_pair)} AS min_pair, {by_r(cfg.min_support_set)} AS min_set
+  FROM (VALUES {", ".join(f"({i}, CAST({r} AS DOUBLE))" for i, r in enumerate(cfg.dilate_um))}) t(r_idx, r_um)),
+chans AS (SELECT DISTINCT channel FROM vox),
+tiles0 AS (SELECT CAST(a.range AS INTEGER) AS tile_x, CAST(b.range AS INTEGER) AS tile_y FROM range(4) a, range(3) b),
+mip AS (
+  SELECT channel, CAST(yy.range AS INTEGER) AS y, CAST(xx.range AS INTEGER) AS x, CAST(yy.range // 16 AS INTEGER) AS tile_y, CAST(xx.range // 16 AS INTEGER) AS tile_x, CAST(coalesce(m, 0) AS DOUBLE) AS m
+  FROM chans, range(40) yy, range(56) xx LEFT JOIN (SELECT channel AS c, y, x, max(value) AS m FROM vox GROUP BY ALL) v ON c = channel AND v.y = yy.range AND v.x = xx.range),
+gcut AS (SELECT channel, quantile_cont(m, {cfg.trim_q}) AS cut FROM mip GROUP BY ALL),
+gbg AS (SELECT channel, m FROM mip JOIN gcut USING (channel) WHERE m <= cut),
+gmu AS (SELECT channel, quantile_cont(m, 0.5) AS mu FROM gbg GROUP BY ALL),
+tglobal AS (SELECT channel, mu, mad, mu + {Z!r} * mad AS t_global FROM (SELECT channel, mu, quantile_cont(abs(m - mu), 0.5) + 1e-6 AS mad FROM gbg JOIN gmu USING (channel) GROUP BY ALL)),
+tcut AS (SELECT channel, tile_x, tile_y, quantile_cont(m, {cfg.trim_q}) AS cut FROM mip GROUP BY ALL),
+tq AS (SELECT channel, tile_x, tile_y, quantile_cont(m, {1 - cfg.alpha!r}) AS q_tile, CAST({cfg.alpha} AS DOUBLE) AS alpha_eff FROM mip JOIN tcut USING (channel, tile_x, tile_y) WHERE m <= cut GROUP BY ALL),
+thr AS (SELECT channel, tile_x, tile_y, t_global, q_tile, greatest(t_global, q_tile) AS t_final, alpha_eff FROM tq JOIN tglobal USING (channel)),
+fg AS (SELECT v.* FROM vox v JOIN thr USING (channel, tile_x, tile_y) WHERE value > t_final),
+edge AS (
+  SELECT a.channel, a.z AS az, a.y AS ay, a.x AS ax, b.z AS bz, b.y AS bY, b.x AS bx FROM fg a JOIN fg b
+  ON a.channel = b.channel AND a.tile_x = b.tile_x AND a.tile_y = b.tile_y AND abs(a.z - b.z) <= 1 AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 AND (a.z, a.y, a.x) <> (b.z, b.y, b.x)),
+reach AS (
+  SELECT channel, tile_x, tile_y, z, y, x, (z * 40 + y) * 56 + x AS root FROM fg
+  UNION SELECT f.channel, f.tile_x, f.tile_y, e.bz, e.bY, e.bx, f.root FROM reach f JOIN edge e ON f.channel = e.channel AND f.z = e.az AND f.y = e.ay AND f.x = e.ax),
+lab AS (SELECT channel, tile_x, tile_y, z, y, x, min(root) AS label FROM reach GROUP BY ALL),
+sized AS (SELECT *, count(*) OVER (PARTITION BY channel, tile_x, tile_y, label) AS size FROM lab),
+obj AS (SELECT * FROM sized WHERE size >= {cfg.min_voxels}),
+grid AS (SELECT CAST(a.range AS INTEGER) AS z, CAST(b.range AS INTEGER) AS y, CAST(c.range AS INTEGER) AS x, CAST(c.range // 16 AS INTEGER) AS tile_x, CAST(b.range // 16 AS INTEGER) AS tile_y FROM range(7) a, range(40) b, range(56) c),
+prox AS (
+  SELECT o.channel, g.tile_x, g.tile_y, g.z, g.y, g.x, CAST(min((g.x - o.x) ** 2 + (g.y - o.y) ** 2 + 4 * (g.z - o.z) ** 2) AS DOUBLE) AS min_d2
+  FROM obj o JOIN grid g ON o.tile_x = g.tile_x AND o.tile_y = g.tile_y AND abs(g.x - o.x) <= 2 AND abs(g.y - o.y) <= 2 AND abs(g.z - o.z) <= 1
+  GROUP BY ALL HAVING min((g.x - o.x) ** 2 + (g.y - o.y) ** 2 + 4 * (g.z - o.z) ** 2) <= 4),
+masked AS (SELECT p.*, r_idx, r_um FROM prox p JOIN radii ON min_d2 <= r_um * r_um),
+stats AS (
+  SELECT t.tile_x, t.tile_y, c.channel, r.r_idx, r.r_um, coalesce(n, 0) AS voxel_count, coalesce(s, 0.0) AS sum_intensity
+  FROM tiles0 t, chans c, radii r
+  LEFT JOIN (SELECT tile_x, tile_y, channel, r_idx, count(*) AS n FROM masked GROUP BY ALL) m ON m.tile_x = t.tile_x AND m.tile_y = t.tile_y AND m.channel = c.channel AND m.r_idx = r.r_idx
+  LEFT JOIN (SELECT m.tile_x, m.tile_y, m.channel, CAST(sum(value) AS DOUBLE) AS s FROM masked m JOIN vox v USING (channel, z, y, x) WHERE r_idx = 0 GROUP BY ALL) i ON i.tile_x = t.tile_x AND i.tile_y = t.tile_y AND i.channel = c.channel),
+active AS (SELECT s.* FROM stats s JOIN radii r USING (r_idx) WHERE voxel_count >= min_marker),
+apairs AS (SELECT a.tile_x, a.tile_y, a.r_idx, a.r_um, a.channel AS a, b.channel AS b, a.voxel_count AS a_vox, b.voxel_count AS b_vox FROM active a JOIN active b ON a.tile_x = b.tile_x AND a.tile_y = b.tile_y AND a.r_idx = b.r_idx AND a.channel < b.channel),
+met AS (SELECT p.tile_x, p.tile_y, p.r_idx, p.channel AS a, q.channel AS b, count(*) AS inter FROM masked p JOIN masked q ON p.tile_x = q.tile_x AND p.tile_y = q.tile_y AND p.r_idx = q.r_idx AND p.z = q.z AND p.y = q.y AND p.x = q.x AND p.channel < q.channel GROUP BY ALL),
+pairs_at AS (SELECT p.*, coalesce(inter, 0) AS inter_vox, a_vox + b_vox - coalesce(inter, 0) AS union_vox FROM apairs p LEFT JOIN met USING (tile_x, tile_y, r_idx, a, b)),
+frequent AS (SELECT tile_x, tile_y, a, b FROM pairs_at JOIN radii USING (r_idx) WHERE r_idx = {len(cfg.dilate_um) - 1} AND inter_vox >= min_pair),
+eligible_pairs AS (SELECT p.* FROM pairs_at p SEMI JOIN frequent USING (tile_x, tile_y, a, b)),
+{stop}
+pairs AS (
+  SELECT e.tile_x, e.tile_y, e.r_idx, e.r_um, a, b, a_vox, b_vox, inter_vox, union_vox,
+         CASE WHEN union_vox > 0 THEN inter_vox / union_vox ELSE 0.0 END AS iou, CASE WHEN least(a_vox, b_vox) > 0 THEN inter_vox / least(a_vox, b_vox) ELSE 0.0 END AS overlap_coeff
+  FROM eligible_pairs e SEMI JOIN alive_pairs USING (tile_x, tile_y, r_idx) JOIN radii r USING (r_idx) WHERE inter_vox >= min_pair),
+cand3 AS (SELECT p.tile_x, p.tile_y, [p.a, p.b, q.b] AS members FROM frequent p JOIN frequent q ON p.tile_x = q.tile_x AND p.tile_y = q.tile_y AND p.b = q.a SEMI JOIN frequent r ON r.tile_x = p.tile_x AND r.tile_y = p.tile_y AND r.a = p.a AND r.b = q.b),
+cand4 AS (
+  SELECT c.tile_x, c.tile_y, list_append(c.members, q.b) AS members FROM cand3 c JOIN frequent q ON c.tile_x = q.tile_x AND c.tile_y = q.tile_y AND c.members[3] = q.a
+  SEMI JOIN frequent r ON r.tile_x = c.tile_x AND r.tile_y = c.tile_y AND r.a = c.members[1] AND r.b = q.b SEMI JOIN frequent u ON u.tile_x = c.tile_x AND u.tile_y = c.tile_y AND u.a = c.members[2] AND u.b = q.b),
+cands AS (SELECT tile_x, tile_y, 3 AS k, members FROM cand3 UNION ALL SELECT tile_x, tile_y, 4, members FROM cand4),
+eligible_sets AS (
+  SELECT c.tile_x, c.tile_y, c.k, c.members, r_idx, r_um, list(voxel_count ORDER BY channel) AS member_vox
+  FROM cands c JOIN active a ON a.tile_x = c.tile_x AND a.tile_y = c.tile_y AND list_contains(c.members, a.channel) GROUP BY ALL HAVING count(*) = c.k),
+{stop.replace("alive_pairs", "alive_sets").replace("eligible_pairs", "eligible_sets")}
+voxel_sets AS (SELECT tile_x, tile_y, r_idx, z, y, x, list(channel) AS present FROM masked GROUP BY ALL),
+set_counts AS (
+  SELECT e.tile_x, e.tile_y, e.r_idx, e.members, count(*) FILTER (WHERE list_has_all(present, members)) AS inter_vox, count(*) AS union_vox
+  FROM eligible_sets e JOIN voxel_sets v ON v.tile_x = e.tile_x AND v.tile_y = e.tile_y AND v.r_idx = e.r_idx AND list_has_any(present, members) GROUP BY ALL),
+sets AS (
+  SELECT e.tile_x, e.tile_y, e.r_idx, e.r_um, e.k, e.members, e.member_vox, coalesce(inter_vox, 0) AS inter_vox, coalesce(union_vox, 0) AS union_vox,
+         CASE WHEN coalesce(union_vox, 0) > 0 THEN inter_vox / union_vox ELSE 0.0 END AS iou, CASE WHEN list_min(member_vox) > 0 THEN coalesce(inter_vox, 0) / list_min(member_vox) ELSE 0.0 END AS overlap_coeff
+  FROM eligible_sets e SEMI JOIN alive_sets s ON s.tile_x = e.tile_x AND s.tile_y = e.tile_y AND s.r_idx = e.r_idx LEFT JOIN set_counts c ON c.tile_x = e.tile_x AND c.tile_y = e.tile_y AND c.r_idx = e.r_idx AND c.members = e.members
+  JOIN radii r ON r.r_idx = e.r_idx WHERE coalesce(inter_vox, 0) >= min_set),
+summary AS (
+  SELECT tile_x, tile_y, coalesce(n_active, 0) AS n_active_channels, coalesce(n_freq, 0) AS n_frequent_pairs FROM tiles0
+  LEFT JOIN (SELECT tile_x, tile_y, count(*) AS n_active FROM active WHERE r_idx = {len(cfg.dilate_um) - 1} GROUP BY ALL) USING (tile_x, tile_y) LEFT JOIN (SELECT tile_x, tile_y, count(*) AS n_freq FROM frequent GROUP BY ALL) USING (tile_x, tile_y)),
+levels AS (SELECT CAST(range AS INTEGER) AS lv FROM range({cfg.hierarchy_levels})),
+up_channels AS (
+  SELECT *, CASE WHEN voxel_count > 0 THEN sum_intensity / voxel_count ELSE 0.0 END AS mean_intensity FROM (
+  SELECT lv AS hierarchy_level, tile_x >> lv AS region_x, tile_y >> lv AS region_y, channel, r_um, CAST(sum(voxel_count) AS BIGINT) AS voxel_count, sum(sum_intensity) AS sum_intensity FROM stats, levels GROUP BY ALL)),
+up_pairs AS (
+  SELECT *, CASE WHEN union_vox > 0 THEN inter_vox / union_vox ELSE 0.0 END AS iou, CASE WHEN least(a_vox, b_vox) > 0 THEN inter_vox / least(a_vox, b_vox) ELSE 0.0 END AS overlap_coeff FROM (
+  SELECT lv AS hierarchy_level, tile_x >> lv AS region_x, tile_y >> lv AS region_y, a, b, r_um, CAST(sum(a_vox) AS BIGINT) AS a_vox, CAST(sum(b_vox) AS BIGINT) AS b_vox, CAST(sum(inter_vox) AS BIGINT) AS inter_vox, CAST(sum(union_vox) AS BIGINT) AS union_vox FROM pairs, levels GROUP BY ALL)),
+up_sets AS (
+  SELECT *, CASE WHEN union_vox > 0 THEN inter_vox / union_vox ELSE 0.0 END AS iou, CASE WHEN least_vox > 0 THEN inter_vox / least_vox ELSE 0.0 END AS overlap_coeff FROM (
+  SELECT *, list_min(list_filter([v1, v2, v3, v4], lambda v: v IS NOT NULL)) AS least_vox FROM (
+  SELECT lv AS hierarchy_level, tile_x >> lv AS region_x, tile_y >> lv AS region_y, members, k, r_um, CAST(sum(inter_vox) AS BIGINT) AS inter_vox, CAST(sum(union_vox) AS BIGINT) AS union_vox,
+         CAST(sum(member_vox[1]) AS BIGINT) AS v1, CAST(sum(member_vox[2]) AS BIGINT) AS v2, CAST(sum(member_vox[3]) AS BIGINT) AS v3, CAST(sum(member_vox[4]) AS BIGINT) AS v4 FROM sets, levels GROUP BY ALL))),
+combos AS (
+  SELECT 'ch' || a || '|ch' || b AS channels, 2 AS channel_count, r_um AS dilation, hierarchy_level, region_x, region_y, inter_vox AS total_count, union_vox AS total_union, iou, overlap_coeff FROM up_pairs
+  UNION ALL SELECT array_to_string(list_transform(members, lambda m: 'ch' || m), '|'), k, r_um, hierarchy_level, region_x, region_y, inter_vox, union_vox, iou, overlap_coeff FROM up_sets)
+"""
+
+
+CHAIN = chain()
+
+
+def last(step: str, cfg_chain: str | None = None) -> str:
+    return (cfg_chain or CHAIN) + step
+
+
+@query(last("SELECT channel, z, y, x, value, tile_x, tile_y FROM vox"))
+def voxel_volume(spark, sf_dir):
+    return tiling.with_tiles(volume(spark, sf_dir), CFG)
+
+
+@query("SELECT CAST(a.range AS INTEGER) AS tile_x, CAST(b.range AS INTEGER) AS tile_y, CAST(a.range * 16 AS INTEGER) AS x0, CAST(a.range * 16 + 16 AS INTEGER) AS x1, CAST(b.range * 16 AS INTEGER) AS y0, CAST(b.range * 16 + 16 AS INTEGER) AS y1, CAST(1792 AS BIGINT) AS total_voxels FROM range(4) a, range(3) b")
+def tile_grid(spark, sf_dir):
+    return tiling.tile_grid(spark, SHAPE, CFG)
+
+
+@query(last("SELECT channel, y, x, tile_x, tile_y, m FROM mip"))
+def mip(spark, sf_dir):
+    return thresholds.mip(volume(spark, sf_dir), SHAPE, CFG)
+
+
+@query(last("SELECT channel, round(mu, 9) AS mu, round(mad, 9) AS mad, round(t_global, 9) AS t_global FROM tglobal"))
+def global_threshold(spark, sf_dir):
+    return engine(spark, sf_dir).global_thresholds().withColumns(r9("mu", "mad", "t_global"))
+
+
+@query(last("SELECT channel, tile_x, tile_y, round(t_global, 9) AS t_global, round(q_tile, 9) AS q_tile, round(t_final, 9) AS t_final, alpha_eff FROM thr"))
+def tile_threshold(spark, sf_dir):
+    return engine(spark, sf_dir).tile_thresholds().withColumns(r9("t_global", "q_tile", "t_final"))
+
+
+@query(last("SELECT channel, tile_x, tile_y, count(*) AS n FROM fg GROUP BY ALL"))
+def mask_counts(spark, sf_dir):
+    return engine(spark, sf_dir).foreground().groupBy("channel", "tile_x", "tile_y").agg(F.count("*").alias("n"))
+
+
+@query(last("SELECT channel, tile_x, tile_y, size, count(DISTINCT label) AS n FROM sized GROUP BY ALL"))
+def component_sizes(spark, sf_dir):
+    return engine(spark, sf_dir).labelled().groupBy("channel", "tile_x", "tile_y", "size").agg(F.countDistinct("label").alias("n"))
+
+
+@query(last("SELECT channel, tile_x, tile_y, z, y, x FROM obj"))
+def component_filtered_mask(spark, sf_dir):
+    return engine(spark, sf_dir).objects().select("channel", "tile_x", "tile_y", "z", "y", "x")
+
+
+@query(last("SELECT channel, tile_x, tile_y, round(t_final, 9) AS t_final, coalesce(n, 0) AS n_components, 4 AS min_voxels FROM thr LEFT JOIN (SELECT channel, tile_x, tile_y, count(DISTINCT label) AS n FROM lab GROUP BY ALL) USING (channel, tile_x, tile_y)"))
+def tile_outputs(spark, sf_dir):
+    return engine(spark, sf_dir).tile_outputs().select("channel", "tile_x", "tile_y", F.round("t_final", 9).alias("t_final"), "n_components", "min_voxels")
+
+
+@query(last("SELECT channel, tile_x, tile_y, z, y, x, min_d2 FROM prox"))
+def proximity_distances(spark, sf_dir):
+    return engine(spark, sf_dir).proximity()
+
+
+@query(last("SELECT channel, tile_x, tile_y, r_um, count(*) AS n FROM masked GROUP BY ALL"))
+def proximity_counts(spark, sf_dir):
+    return engine(spark, sf_dir).masks().groupBy("channel", "tile_x", "tile_y", "r_um").agg(F.count("*").alias("n"))
+
+
+@query(last("SELECT tile_x, tile_y, channel, r_idx, r_um, voxel_count, sum_intensity FROM stats"))
+def channel_tile_stats(spark, sf_dir):
+    return engine(spark, sf_dir).mine().channel_stats
+
+
+@query(last("SELECT tile_x, tile_y, channel, r_um, voxel_count FROM active"))
+def active_markers(spark, sf_dir):
+    e = engine(spark, sf_dir)
+    return mining.active_markers(e.mine().channel_stats, e.radii()).select("tile_x", "tile_y", "channel", "r_um", "voxel_count")
+
+
+PAIRS = "tile_x, tile_y, r_um, a, b, a_vox, b_vox, inter_vox, union_vox, round(iou, 9) AS iou, round(overlap_coeff, 9) AS overlap_coeff"
+SETS = "tile_x, tile_y, r_um, k, array_to_string(members, ',') AS members, inter_vox, union_vox, round(iou, 9) AS iou, round(overlap_coeff, 9) AS overlap_coeff"
+
+
+def pairs_out(df: DataFrame) -> DataFrame:
+    return df.select("tile_x", "tile_y", "r_um", "a", "b", "a_vox", "b_vox", "inter_vox", "union_vox", F.round("iou", 9).alias("iou"), F.round("overlap_coeff", 9).alias("overlap_coeff"))
+
+
+def sets_out(df: DataFrame) -> DataFrame:
+    return df.select("tile_x", "tile_y", "r_um", "k", F.array_join("members", ",").alias("members"), "inter_vox", "union_vox", F.round("iou", 9).alias("iou"), F.round("overlap_coeff", 9).alias("overlap_coeff"))
+
+
+@query(last("SELECT tile_x, tile_y, a, b FROM frequent"))
+def frequent_pairs(spark, sf_dir):
+    e = engine(spark, sf_dir)
+    masked = e.masks().join(F.broadcast(e.channels()), "channel")
+    active = mining.active_markers(e.mine().channel_stats, e.radii()).join(F.broadcast(e.channels()), "channel")
+    return mining.frequent_pairs(active, mining.signatures(masked, 6), e.radii(), 2).select("tile_x", "tile_y", "a", "b")
+
+
+@query(last(f"SELECT {PAIRS} FROM pairs"))
+def pair_overlaps(spark, sf_dir):
+    return pairs_out(engine(spark, sf_dir).mine().pairs)
+
+
+@query(last("SELECT tile_x, tile_y, k, array_to_string(members, ',') AS members FROM cands"))
+def set_candidates(spark, sf_dir):
+    e = engine(spark, sf_dir)
+    top = frequent_pairs(spark, sf_dir).withColumn("members", F.array("a", "b"))
+    return mining.set_candidates(top, e.cfg.max_set_size).select("tile_x", "tile_y", "k", F.array_join("members", ",").alias("members"))
+
+
+@query(last(f"SELECT {SETS} FROM sets"))
+def set_overlaps(spark, sf_dir):
+    return sets_out(engine(spark, sf_dir).mine().sets)
+
+
+@query(last("SELECT tile_x, tile_y, n_active_channels, n_frequent_pairs FROM summary"))
+def tile_summary(spark, sf_dir):
+    return engine(spark, sf_dir).mine().summary
+
+
+@query(last(f"SELECT {PAIRS} FROM pairs", chain(STOP)))
+def aggressive_stop_pairs(spark, sf_dir):
+    return pairs_out(engine(spark, sf_dir, STOP).mine().pairs)
+
+
+@query(last(f"SELECT {SETS} FROM sets", chain(STOP)))
+def aggressive_stop_sets(spark, sf_dir):
+    return sets_out(engine(spark, sf_dir, STOP).mine().sets)
+
+
+REGION = "hierarchy_level, region_x * (1 << hierarchy_level) AS tile_x0, (region_x + 1) * (1 << hierarchy_level) AS tile_x1, region_y * (1 << hierarchy_level) AS tile_y0, (region_y + 1) * (1 << hierarchy_level) AS tile_y1"
+
+
+@query(last(f"SELECT {REGION}, channel, r_um, voxel_count, sum_intensity, round(mean_intensity, 9) AS mean_intensity FROM up_channels"))
+def rollup_channels(spark, sf_dir):
+    e = engine(spark, sf_dir)
+    return e.rollup()[0].drop("region_x", "region_y").withColumns(r9("mean_intensity"))
+
+
+@query(last(f"SELECT {REGION}, a, b, r_um, a_vox, b_vox, inter_vox, union_vox, round(iou, 9) AS iou, round(overlap_coeff, 9) AS overlap_coeff FROM up_pairs"))
+def rollup_pairs(spark, sf_dir):
+    return engine(spark, sf_dir).rollup()[1].drop("region_x", "region_y").withColumns(r9("iou", "overlap_coeff"))
+
+
+@query(last(f"SELECT {REGION}, array_to_string(members, ',') AS members, k, r_um, inter_vox, union_vox, least_vox, round(iou, 9) AS iou, round(overlap_coeff, 9) AS overlap_coeff FROM up_sets"))
+def rollup_sets(spark, sf_dir):
+    out = engine(spark, sf_dir).rollup()[2].drop("region_x", "region_y").withColumns(r9("iou", "overlap_coeff"))
+    return out.withColumns({"members": F.array_join("members", ","), "least_vox": F.array_min("member_vox")}).drop("member_vox")
+
+
+@query(last("SELECT lv AS level, 16 << lv AS tile_size_x, 16 << lv AS tile_size_y, (SELECT count(*) FROM up_channels WHERE hierarchy_level = lv) AS n_channels, (SELECT count(*) FROM up_pairs WHERE hierarchy_level = lv) AS n_pairs, (SELECT count(*) FROM up_sets WHERE hierarchy_level = lv) AS n_sets FROM levels"))
+def hierarchy_meta(spark, sf_dir):
+    e = engine(spark, sf_dir)
+    return rollup.hierarchy(*e.rollup(), CFG)
+
+
+@query(last("""SELECT 'channels' AS key, to_json(list('ch' || channel ORDER BY channel)) AS value FROM chans UNION ALL SELECT 'dilation_amounts', '[0.0,1.0,2.0]' UNION ALL SELECT 'volume_bounds', '{"z":[0,7],"y":[0,40],"x":[0,56]}'"""))
+def metadata_json(spark, sf_dir):
+    """Without the levels, which hierarchy_meta compares as columns."""
+    e = engine(spark, sf_dir)
+    levels = spark.createDataFrame([(0, 16, 16, 0, 0, 0)], "level int, tile_size_x int, tile_size_y int, n_channels long, n_pairs long, n_sets long")
+    return tables.metadata_table(spark, e.channel_names(), levels, [0.0, 1.0, 2.0], SHAPE).where("key <> 'hierarchy_levels'")
+
+
+@query(last("SELECT channels, channel_count, dilation, hierarchy_level, total_count, total_union, round(iou, 9) AS iou, round(overlap_coeff, 9) AS overlap_coeff FROM combos"))
+def combinations_table(spark, sf_dir):
+    return engine(spark, sf_dir).result_tables()["combinations"].drop("id").withColumns(r9("iou", "overlap_coeff"))
+
+
+@query(last(f"SELECT channels, dilation, {REGION}, total_count AS inter_count, total_union AS union_count FROM combos"))
+def tiles_table(spark, sf_dir):
+    made = engine(spark, sf_dir).result_tables()
+    both = made["combinations"].join(made["tiles"], F.col("id") == F.col("combination_id"))
+    return both.select("channels", "dilation", "hierarchy_level", "tile_x0", "tile_x1", "tile_y0", "tile_y1", "inter_count", "union_count")
+
+
+@query(last(f"SELECT 'ch' || channel AS channel, channel AS channel_idx, r_um AS dilation, {REGION}, voxel_count, sum_intensity, round(mean_intensity, 9) AS mean_intensity FROM up_channels"))
+def channel_stats_table(spark, sf_dir):
+    return engine(spark, sf_dir).result_tables()["channel_stats"].withColumns(r9("mean_intensity"))
+
+
+def over_tables(spark: SparkSession, sf_dir: str, text: str, **values) -> DataFrame:
+    tables.register_views(engine(spark, sf_dir).result_tables())
+    return spark.sql(text.format(**values))
+
+
+COMBO0 = CHAIN + ", combinations AS (SELECT * FROM combos), channel_stats AS (SELECT 'ch' || channel AS channel, r_um AS dilation, hierarchy_level, region_x * (1 << hierarchy_level) AS tile_x0, region_y * (1 << hierarchy_level) AS tile_y0, voxel_count, sum_intensity, mean_intensity FROM up_channels)\n"
+
+
+@query(COMBO0 + f"SELECT * REPLACE (round(global_iou, 9) AS global_iou) FROM ({sql.TOP_IOU.format(dilation=2.0, limit=20)})")
+def top_iou(spark, sf_dir):
+    return over_tables(spark, sf_dir, sql.TOP_IOU, dilation="2.0D", limit=20).withColumns(r9("global_iou"))
+
+
+@query(COMBO0 + sql.CHANNEL_TOTALS.format(dilation=0.0))
+def channel_totals(spark, sf_dir):
+    return over_tables(spark, sf_dir, sql.CHANNEL_TOTALS, dilation="0.0D")
+
+
+@query(COMBO0 + f"SELECT * REPLACE (round(mean_intensity, 9) AS mean_intensity) FROM ({sql.HEATMAP_CHANNEL.format(channel='ch3', level=0, dilation=1.0)})")
+def heatmap_channel(spark, sf_dir):
+    return over_tables(spark, sf_dir, sql.HEATMAP_CHANNEL, channel="ch3", level=0, dilation="1.0D").withColumns(r9("mean_intensity"))
+
+
+@query(COMBO0 + "SELECT region_x AS tile_x0, region_y AS tile_y0, total_count AS inter_count, total_union AS union_count, round(iou, 9) AS iou FROM combos WHERE channels = 'ch0|ch1' AND hierarchy_level = 0 AND dilation = 2.0")
+def heatmap_pair(spark, sf_dir):
+    return over_tables(spark, sf_dir, sql.HEATMAP_PAIR, channels="ch0|ch1", level=0, dilation="2.0D").withColumns(r9("iou"))
+
+
+@query(COMBO0 + f"SELECT * REPLACE (round(global_iou, 9) AS global_iou) FROM ({sql.DILATION_CURVE.format(channels='ch0|ch1')})")
+def dilation_curve(spark, sf_dir):
+    return over_tables(spark, sf_dir, sql.DILATION_CURVE, channels="ch0|ch1").withColumns(r9("global_iou"))
+
+
+@query(last("SELECT DISTINCT hierarchy_level, tile_x0, tile_y0, tile_x0 * 16 AS x0, tile_x1 * 16 AS x1, tile_y0 * 16 AS y0, tile_y1 * 16 AS y1 FROM (SELECT *, " + REGION.replace("hierarchy_level, ", "", 1) + " FROM up_channels)"))
+def tile_to_voxel(spark, sf_dir):
+    rows = engine(spark, sf_dir).rollup()[0].select("hierarchy_level", "tile_x0", "tile_x1", "tile_y0", "tile_y1").distinct()
+    return fn.tile_to_voxel(rows, 16, 16).drop("tile_x1", "tile_y1")
+
+
+# Brands of parts as channels, orders as voxels, years as tiles: no image stages.
+BASKET = """
+WITH b AS (SELECT DISTINCT CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INTEGER) AS channel, l_orderkey AS voxel, CAST(year(o_orderdate) AS INTEGER) AS tile
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey),
+n AS (SELECT tile, channel, count(*) AS vox FROM b GROUP BY ALL),
+i AS (SELECT p.tile, p.channel AS a, q.channel AS b, count(*) AS inter_vox FROM b p JOIN b q ON p.tile = q.tile AND p.voxel = q.voxel AND p.channel < q.channel GROUP BY ALL)
+SELECT i.tile, a, b, x.vox AS a_vox, y.vox AS b_vox, inter_vox, x.vox + y.vox - inter_vox AS union_vox, round(inter_vox / (x.vox + y.vox - inter_vox), 9) AS iou
+FROM i JOIN n x ON x.tile = i.tile AND x.channel = a JOIN n y ON y.tile = i.tile AND y.channel = b
+"""
+
+
+def basket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    parts = table(spark, sf_dir, "part").select("p_partkey", F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int").alias("channel"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").alias("tile_x"))
+    both = li.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return both.select("tile_x", F.lit(0).alias("tile_y"), F.lit(0).alias("r_idx"), "channel", F.lit(0).alias("z"), F.lit(0).alias("y"), F.col("l_orderkey").alias("x")).distinct()
+
+
+@query(BASKET)
+def basket_pairs(spark, sf_dir):
+    """Co-occurring brands from the histogram of brand combinations per year, instead of a self-join of lines."""
+    rows = Engine.hold(Engine(spark.createDataFrame([], "channel int, z int, y int, x int, value double"), SHAPE, CFG), basket(spark, sf_dir))
+    found = sorted(r[0] for r in rows.select("channel").distinct().collect())
+    pos = F.broadcast(spark.createDataFrame([(c, i) for i, c in enumerate(found)], "channel int, pos int"))
+    histogram = mining.signatures(rows.join(pos, "channel"), len(found))
+    counts = rows.groupBy("tile_x", "tile_y", "r_idx", "channel").agg(F.count("*").alias("voxel_count")).join(pos, "channel")
+    out = mining.count_overlaps(mining.active_pairs(counts), histogram).where("inter_vox > 0")
+    return out.select(F.col("tile_x").alias("tile"), "a", "b", "a_vox", "b_vox", "inter_vox", "union_vox", F.round(F.col("inter_vox") / F.col("union_vox"), 9).alias("iou"))
+
+
+NAMES = "SELECT p_partkey AS channel, CASE WHEN p_partkey % 7 = 0 THEN p_brand || ' Do Not Use' ELSE p_brand END AS name FROM part"
+
+
+@query(f"SELECT min(channel) AS channel, name FROM ({NAMES}) WHERE NOT contains(lower(name), 'do not use') GROUP BY name")
+def channel_dim(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    names = part.select(F.col("p_partkey").alias("channel"), F.when(F.col("p_partkey") % 7 == 0, F.concat("p_brand", F.lit(" Do Not Use"))).otherwise(F.col("p_brand")).alias("name"))
+    return fn.channel_dimension(names).select("channel", "name")
+
+
+@query(COMBO0.replace("'ch' || a || '|ch' || b AS channels", "'ch' || a % 3 || '|ch' || b % 3 AS channels") + "SELECT channels, dilation, count(*) AS n FROM combos WHERE channel_count = 2 AND hierarchy_level = 0 AND split_part(channels, '|', 1) <> split_part(channels, '|', 2) GROUP BY ALL")
+def no_self_pairs(spark, sf_dir):
+    """Names are given twice, so some combinations hold a name twice."""
+    e = engine(spark, sf_dir)
+    e.names = e.channels().select("channel", F.concat(F.lit("ch"), F.col("channel") % 3).alias("name"))
+    rows = e.result_tables()["combinations"].where("channel_count = 2 AND hierarchy_level = 0")
+    return fn.without_self_pairs(rows).groupBy("channels", "dilation").agg(F.count("*").alias("n"))
+
+
+VALID_P = f"""
+, pass_p AS (SELECT * FROM pairs WHERE r_um = 2.0 AND overlap_coeff >= {FILTER.min_overlap_coeff} AND inter_vox >= {FILTER.min_inter_vox}),
+valid_p AS (SELECT a, b, count(*) AS n_tiles FROM pass_p GROUP BY ALL HAVING count(*) >= {FILTER.min_tiles_present}),
+pass_s AS (SELECT * FROM sets WHERE r_um = 2.0 AND overlap_coeff >= {FILTER.min_overlap_coeff} AND inter_vox >= {FILTER.min_inter_vox} AND k BETWEEN 2 AND 10),
+valid_s AS (SELECT members, count(*) AS n_tiles FROM pass_s GROUP BY ALL HAVING count(*) >= {FILTER.min_tiles_present}),
+rank_p AS (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY overlap_coeff DESC, tile_x, tile_y) AS rn, count(*) OVER (PARTITION BY a, b) AS n FROM pass_p SEMI JOIN valid_p USING (a, b) WHERE overlap_coeff > 0),
+top_p AS (SELECT a, b, tile_x, tile_y FROM rank_p WHERE rn <= greatest(1, floor(n * {FILTER.top_k_percent}))),
+rank_s AS (SELECT *, row_number() OVER (PARTITION BY members ORDER BY overlap_coeff DESC, tile_x, tile_y) AS rn, count(*) OVER (PARTITION BY members) AS n FROM pass_s SEMI JOIN valid_s USING (members) WHERE overlap_coeff > 0),
+top_s AS (SELECT members, tile_x, tile_y FROM rank_s WHERE rn <= greatest(1, floor(n * {FILTER.top_k_percent}))),
+kept_p AS (SELECT p.* FROM pairs p SEMI JOIN valid_p USING (a, b) LEFT JOIN (SELECT *, 1 AS t FROM top_p) USING (a, b, tile_x, tile_y)
+  WHERE r_um <> 2.0 OR (overlap_coeff >= {FILTER.min_overlap_coeff} AND inter_vox >= {FILTER.min_inter_vox} AND (t = 1 OR (a, b) NOT IN (SELECT (a, b) FROM top_p)))),
+kept_s AS (SELECT s.* FROM sets s SEMI JOIN valid_s USING (members) LEFT JOIN (SELECT *, 1 AS t FROM top_s) USING (members, tile_x, tile_y)
+  WHERE k BETWEEN 2 AND 10 AND (r_um <> 2.0 OR (overlap_coeff >= {FILTER.min_overlap_coeff} AND inter_vox >= {FILTER.min_inter_vox} AND (t = 1 OR members NOT IN (SELECT members FROM top_s)))))
+"""
+
+
+@query(CHAIN + VALID_P + "SELECT a || ',' || b AS members, n_tiles FROM valid_p UNION ALL SELECT array_to_string(members, ','), n_tiles FROM valid_s")
+def filter_valid(spark, sf_dir):
+    m = engine(spark, sf_dir).mine()
+    p = filtering.valid_keys(m.pairs, ["a", "b"], 2.0, FILTER).select(F.concat_ws(",", "a", "b").alias("members"), "n_tiles")
+    return p.unionByName(filtering.valid_keys(m.sets, ["members"], 2.0, FILTER).select(F.array_join("members", ",").alias("members"), "n_tiles"))
+
+
+@query(CHAIN + VALID_P + "SELECT a || ',' || b AS members, tile_x, tile_y FROM top_p UNION ALL SELECT array_to_string(members, ','), tile_x, tile_y FROM top_s")
+def filter_topk(spark, sf_dir):
+    m = engine(spark, sf_dir).mine()
+    p = filtering.top_tiles(m.pairs, ["a", "b"], 2.0, FILTER).select(F.concat_ws(",", "a", "b").alias("members"), "tile_x", "tile_y")
+    return p.unionByName(filtering.top_tiles(m.sets, ["members"], 2.0, FILTER).select(F.array_join("members", ",").alias("members"), "tile_x", "tile_y"))
+
+
+@query(CHAIN + VALID_P + f"SELECT {PAIRS} FROM kept_p")
+def filter_apply_pairs(spark, sf_dir):
+    return pairs_out(filtering.apply(engine(spark, sf_dir).mine().pairs, ["a", "b"], 2.0, FILTER))
+
+
+@query(CHAIN + VALID_P + f"SELECT {SETS} FROM kept_s")
+def filter_apply_sets(spark, sf_dir):
+    return sets_out(filtering.apply(engine(spark, sf_dir).mine().sets, ["members"], 2.0, FILTER))
+
+
+@query(CHAIN + VALID_P + "SELECT CAST(12 AS BIGINT) AS tiles_processed, (SELECT count(*) FROM pairs) AS pairs_before, (SELECT count(*) FROM kept_p) AS pairs_after, (SELECT count(*) FROM sets) AS sets_before, (SELECT count(*) FROM kept_s) AS sets_after, round(100.0 * (pairs_before + sets_before - pairs_after - sets_after) / (pairs_before + sets_before), 9) AS removed_percent")
+def filter_stats(spark, sf_dir):
+    e = engine(spark, sf_dir)
+    m = e.mine()
+    after = filtering.apply(m.pairs, ["a", "b"], 2.0, FILTER), filtering.apply(m.sets, ["members"], 2.0, FILTER)
+    return filtering.stats(e.tiles(), (m.pairs, m.sets), after).withColumns(r9("removed_percent"))
+
+
+@query(last("SELECT tile_x, tile_y FROM tiles0 ANTI JOIN (SELECT tile_x, tile_y FROM summary WHERE n_frequent_pairs > 14) USING (tile_x, tile_y)"))
+def resume_remaining_tiles(spark, sf_dir):
+    """Tiles without a result, if those with more than 14 frequent pairs had been done."""
+    from covoxel.sources.checkpoints import remaining
+
+    e = engine(spark, sf_dir)
+    return remaining(e.tiles(), e.mine().summary.where("n_frequent_pairs > 14")).select("tile_x", "tile_y")

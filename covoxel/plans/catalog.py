@@ -467,7 +467,7 @@ def filter_apply_sets(spark, sf_dir):
     return sets_out(filtering.apply(engine(spark, sf_dir).mine().sets, ["members"], 2.0, FILTER))
 
 
-@query(CHAIN + VALID_P + "SELECT CAST(12 AS BIGINT) AS tiles_processed, (SELECT count(*) FROM pairs) AS pairs_before, (SELECT count(*) FROM kept_p) AS pairs_after, (SELECT count(*) FROM sets) AS sets_before, (SELECT count(*) FROM kept_s) AS sets_after, round(100.0 * (pairs_before + sets_before - pairs_after - sets_after) / (pairs_before + sets_before), 9) AS removed_percent")
+@query(CHAIN + VALID_P + "SELECT *, round(CAST(100 AS DOUBLE) * (pairs_before + sets_before - pairs_after - sets_after) / (pairs_before + sets_before), 9) AS removed_percent FROM (SELECT CAST(12 AS BIGINT) AS tiles_processed, (SELECT count(*) FROM pairs) AS pairs_before, (SELECT count(*) FROM kept_p) AS pairs_after, (SELECT count(*) FROM sets) AS sets_before, (SELECT count(*) FROM kept_s) AS sets_after)")
 def filter_stats(spark, sf_dir):
     e = engine(spark, sf_dir)
     m = e.mine()

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from covoxel.config import MAX_ITEMS_FOR_K4, MAX_PAIRS_FOR_SETS, MAX_SETS, WORD_BITS, EngineConfig
+from covoxel.operators.proximity import within
 
 TILE = ["tile_x", "tile_y"]
 
@@ -27,17 +28,19 @@ def ratio(n: Column, d: Column) -> Column:
     return F.when(d > 0, n / d).otherwise(F.lit(0.0))
 
 
-def channel_stats(masked: DataFrame, voxels: DataFrame, tiles: DataFrame, channels: DataFrame, radii: DataFrame) -> DataFrame:
+def channel_stats(prox: DataFrame, inside: DataFrame, tiles: DataFrame, channels: DataFrame, radii: DataFrame, cfg: EngineConfig) -> DataFrame:
     """tile_x, tile_y, channel, r_idx, r_um, voxel_count, sum_intensity for every tile, channel and radius.
 
-    The sum of intensities is that inside the smallest radius's mask, at every radius.
+    prox: distances; inside: the voxels, with value, of the smallest radius's mask, whose sum of intensities stands at every
+    radius. Counts for all radii come from one aggregation.
     """
-    counts = masked.groupBy(*TILE, "channel", "r_idx").agg(F.count("*").alias("voxel_count"))
-    inside = masked.where("r_idx = 0").select("channel", "z", "y", "x", *TILE)
-    sums = inside.join(voxels.select("channel", "z", "y", "x", *TILE, "value"), ["channel", "z", "y", "x", *TILE]).groupBy(*TILE, "channel").agg(F.sum(F.col("value").cast("double")).alias("sum_intensity"))
-    spine = tiles.select(*TILE).crossJoin(F.broadcast(channels.select("channel"))).crossJoin(F.broadcast(radii.select("r_idx", "r_um")))  # channels and radii: one row each
-    out = spine.join(counts, [*TILE, "channel", "r_idx"], "left").join(sums, [*TILE, "channel"], "left")
-    return out.select(*TILE, "channel", "r_idx", "r_um", F.coalesce("voxel_count", F.lit(0)).alias("voxel_count"), F.coalesce("sum_intensity", F.lit(0.0)).alias("sum_intensity"))
+    counts = prox.groupBy(*TILE, "channel").agg(*[F.count(F.when(within(r), 1)).alias(f"n{i}") for i, r in enumerate(cfg.dilate_um)])
+    by_r = F.array(*[F.col(f"n{i}") for i in range(len(cfg.dilate_um))])
+    counts = counts.select(*TILE, "channel", by_r.alias("counts"))
+    sums = inside.groupBy(*TILE, "channel").agg(F.sum(F.col("value").cast("double")).alias("sum_intensity"))
+    spine = tiles.select(*TILE).crossJoin(F.broadcast(channels.select("channel")))  # one row per channel
+    out = spine.join(counts, [*TILE, "channel"], "left").join(sums, [*TILE, "channel"], "left").crossJoin(F.broadcast(radii.select("r_idx", "r_um")))  # one row per radius
+    return out.select(*TILE, "channel", "r_idx", "r_um", F.coalesce(F.get("counts", F.col("r_idx")), F.lit(0).cast("long")).alias("voxel_count"), F.coalesce("sum_intensity", F.lit(0.0)).alias("sum_intensity"))
 
 
 def active_markers(stats: DataFrame, radii: DataFrame) -> DataFrame:
@@ -62,6 +65,24 @@ def signatures(masked: DataFrame, n_channels: int) -> DataFrame:
     return voxel.groupBy(*TILE, "r_idx", *words).agg(F.count("*").alias("n"))
 
 
+def signatures_by_distance(prox: DataFrame, n_channels: int, cfg: EngineConfig) -> DataFrame:
+    """The histogram of signatures() for every radius, from distances that carry `pos`.
+
+    A voxel is shuffled once per channel, not once per channel and radius: all radii's words are aggregated side by
+    side, and only then, when a voxel is one row, dealt out by radius.
+    """
+    n_words = -(-n_channels // WORD_BITS) or 1
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("pos") % WORD_BITS).cast("int"))
+    mine = lambda i, r: (F.floor(F.col("pos") / WORD_BITS) == i) & within(r)
+    parts = [F.bit_or(F.when(mine(i, r), bit).otherwise(F.lit(0).cast("long"))).alias(f"w{i}_{j}") for i in range(n_words) for j, r in enumerate(cfg.dilate_um)]
+    voxel = prox.groupBy(*TILE, "z", "y", "x").agg(*parts)
+    per_r = [F.struct(F.lit(j).alias("r_idx"), *[F.col(f"w{i}_{j}").alias(f"w{i}") for i in range(n_words)]) for j in range(len(cfg.dilate_um))]
+    words = [f"w{i}" for i in range(n_words)]
+    dealt = voxel.select(*TILE, F.explode(F.array(*per_r)).alias("s")).select(*TILE, "s.*")
+    some = reduce(lambda a, b: a | b, [F.col(w) != 0 for w in words])
+    return dealt.where(some).groupBy(*TILE, "r_idx", *words).agg(F.count("*").alias("n"))
+
+
 def count_overlaps(candidates: DataFrame, histogram: DataFrame) -> DataFrame:
     """candidates (tile_x, tile_y, r_idx, members, positions) with inter_vox and union_vox, from the histogram."""
     words = [c for c in histogram.columns if c.startswith("w")]
@@ -154,14 +175,15 @@ def summary(tiles: DataFrame, active: DataFrame, frequent: DataFrame, last: int)
     return out.fillna(0, ["n_active_channels", "n_frequent_pairs"])
 
 
-def mine(masked: DataFrame, voxels: DataFrame, tiles: DataFrame, channels: DataFrame, radii: DataFrame, cfg: EngineConfig, hold=lambda df: df) -> Mined:
-    """masked: channel, tile_x, tile_y, z, y, x, r_idx; channels: channel, pos. hold() may write and reread what is
-    used more than once: the statistics, the histogram and the frequent pairs."""
+def mine(prox: DataFrame, inside: DataFrame, tiles: DataFrame, channels: DataFrame, radii: DataFrame, cfg: EngineConfig, hold=lambda df: df) -> Mined:
+    """prox: channel, tile_x, tile_y, z, y, x, min_d2; inside: voxels with value in the smallest mask; channels: channel,
+    pos. hold() may write and reread what is used more than once: the statistics, the histogram and the frequent pairs."""
     last = len(cfg.dilate_um) - 1
     n_channels = channels.count()
-    stats = hold(channel_stats(masked, voxels, tiles, channels, radii))
-    histogram = hold(signatures(masked.join(F.broadcast(channels.select("channel", "pos")), "channel"), n_channels))
-    active = active_markers(stats, radii).join(F.broadcast(channels.select("channel", "pos")), "channel")
+    positions = F.broadcast(channels.select("channel", "pos"))  # one row per channel
+    stats = hold(channel_stats(prox, inside, tiles, channels, radii, cfg))
+    histogram = hold(signatures_by_distance(prox.join(positions, "channel"), n_channels, cfg))
+    active = active_markers(stats, radii).join(positions, "channel")
     frequent = hold(frequent_pairs(active, histogram, radii, last))
     spine = tiles.select(*TILE).crossJoin(F.broadcast(radii.select("r_idx")))
     pairs = pair_rows(frequent, active, histogram, radii, spine, cfg)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covoxel.config import EngineConfig
@@ -38,6 +38,13 @@ def proximity(fg: DataFrame, depth: int, height: int, width: int, cfg: EngineCon
     return now.select(*KEYS, "z", "y", "x", "min_d2")
 
 
-def masks(prox: DataFrame, radii: DataFrame) -> DataFrame:
-    """One row per voxel and radius within reach: masks are nested in r."""
-    return prox.join(F.broadcast(radii.select("r_idx", "r_um")), F.col("min_d2") <= F.col("r_um") * F.col("r_um") * (1 + SLACK)).drop("min_d2")
+def within(r: float, d2: str = "min_d2") -> Column:
+    return F.col(d2) <= r * r * (1 + SLACK)
+
+
+def masks(prox: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """One row per voxel and radius within reach: masks are nested in r. For export and inspection; statistics and
+    signatures are taken from the distances without this blow-up."""
+    reached = F.array(*[F.when(within(r), F.struct(F.lit(i).alias("r_idx"), F.lit(r).alias("r_um"))) for i, r in enumerate(cfg.dilate_um)])
+    out = prox.withColumn("r", F.explode(F.filter(reached, lambda x: x.isNotNull())))
+    return out.select(*[c for c in prox.columns if c != "min_d2"], "r.r_idx", "r.r_um")

@@ -95,7 +95,14 @@ class Engine:
         return self._once("prox", lambda: self.hold(proximity.proximity(self.objects(), self.shape.z, self.shape.y, self.shape.x, self.cfg)))
 
     def masks(self) -> DataFrame:
-        return proximity.masks(self.proximity(), self.radii())
+        return proximity.masks(self.proximity(), self.cfg)
+
+    def innermost(self) -> DataFrame:
+        """The voxels, with value, of the smallest radius's mask: the objects' own if that radius is 0."""
+        if self.cfg.dilate_um[0] == 0 and self.segment is None:
+            return self.objects()
+        near = self.proximity().where(proximity.within(self.cfg.dilate_um[0]))
+        return near.join(self.voxels.select("channel", "z", "y", "x", "value"), ["channel", "z", "y", "x"])
 
     def tile_outputs(self) -> DataFrame:
         """Per channel and tile: thresholds and component statistics."""
@@ -108,8 +115,9 @@ class Engine:
         return self._mine(tiles)
 
     def _mine(self, tiles: DataFrame) -> mining.Mined:
-        masked = self.masks().join(tiles.select("tile_x", "tile_y"), ["tile_x", "tile_y"], "left_semi")
-        return mining.mine(masked, self.voxels, tiles, self.channels(), self.radii(), self.cfg, self.hold)
+        here = tiles.select("tile_x", "tile_y")
+        prox, inside = (df.join(here, ["tile_x", "tile_y"], "left_semi") for df in (self.proximity(), self.innermost()))
+        return mining.mine(prox, inside, tiles, self.channels(), self.radii(), self.cfg, self.hold)
 
     def rollup(self, mined: mining.Mined | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
         m = mined or self.mine()

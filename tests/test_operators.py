@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from covoxel import cli
 from covoxel.config import EngineConfig, FilterConfig, VoxelSize
@@ -140,7 +141,7 @@ def test_proximity_matches_brute_force(spark):
         if d and min(d) <= 4:
             want[c, z, y, x] = min(d)
     assert got == want
-    counts = {r.r_idx: r["count"] for r in proximity.masks(proximity.proximity(fg, 3, 6, 7, CFG), tiling.radii(spark, CFG)).groupBy("r_idx").count().collect()}
+    counts = {r.r_idx: r["count"] for r in proximity.masks(proximity.proximity(fg, 3, 6, 7, CFG), CFG).groupBy("r_idx").count().collect()}
     assert counts[0] == len(on) and counts[0] <= counts[1] <= counts[2]
     plan = proximity.proximity(fg, 3, 6, 7, CFG)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
@@ -202,6 +203,16 @@ def test_mining_invariants(spark):
         assert len(set(sums)) == 1
 
 
+def test_intensity_in_a_dilated_smallest_mask(spark):
+    cfg = EngineConfig(**{**CFG.__dict__, "dilate_um": (1, 2)})
+    _, v = random_volume(spark, seed=4)
+    e = Engine(v, Shape(3, 6, 7), cfg)
+    near = {(r.channel, r.z, r.y, r.x) for r in e.proximity().where("min_d2 <= 1").collect()}
+    want = sum(r.value for r in v.collect() if (r.channel, r.z, r.y, r.x) in near)
+    stats = e.mine().channel_stats
+    assert {r.s for r in stats.groupBy("r_idx").agg(F.sum("sum_intensity").alias("s")).collect()} == {want}
+
+
 def test_empty_volume(spark):
     e = Engine(vox(spark, []), Shape(2, 4, 4), EngineConfig(**{**CFG.__dict__, "channels": (0, 1)}))
     m = e.mine()

@@ -482,3 +482,38 @@ def resume_remaining_tiles(spark, sf_dir):
 
     e = engine(spark, sf_dir)
     return remaining(e.tiles(), e.mine().summary.where("n_frequent_pairs > 14")).select("tile_x", "tile_y")
+
+
+@query(last("SELECT count(*) AS n_tiles, min(tile_x) AS min_tile_x, max(tile_x) AS max_tile_x, min(tile_y) AS min_tile_y, max(tile_y) AS max_tile_y FROM summary WHERE n_frequent_pairs > 14"))
+def checkpoint_stats(spark, sf_dir):
+    """Count and ranges of done tiles, if those with more than 14 frequent pairs had been done."""
+    from covoxel.sources.checkpoints import stats
+
+    return stats(engine(spark, sf_dir).mine().summary.where("n_frequent_pairs > 14"))
+
+
+@query(last("SELECT s.tile_x, s.tile_y, s.r_um, array_to_string(s.members, ',') AS members, array_to_string(s.member_vox, ',') AS member_vox, inter_vox FROM sets s"))
+def checkpoint_documents(spark, sf_dir):
+    """Sets read back from nested tile documents, members' voxels looked up among the documents' string keys."""
+    from covoxel.sources.checkpoints import documents, flat
+
+    e = engine(spark, sf_dir)
+    rows = flat(documents(e.mine(), e.tiles(), CFG, SHAPE.z)).sets
+    return rows.select("tile_x", "tile_y", "r_um", F.array_join("members", ",").alias("members"), F.array_join(F.transform("member_vox", lambda v: v.cast("string")), ",").alias("member_vox"), "inter_vox")
+
+
+@query(COMBO0 + "SELECT hierarchy_level, 16 << hierarchy_level AS tile_size_x, count(*) AS n_channels FROM up_channels GROUP BY ALL")
+def metadata_read(spark, sf_dir):
+    """The JSON metadata parsed back into rows."""
+    levels = engine(spark, sf_dir).result_tables()["metadata"].where("key = 'hierarchy_levels'")
+    rows = levels.select(F.explode(F.from_json("value", "array<struct<level: int, tile_size_x: int, n_channels: long>>")).alias("v"))
+    return rows.select(F.col("v.level").alias("hierarchy_level"), "v.tile_size_x", "v.n_channels")
+
+
+@query("SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL")
+def event_activity(spark, sf_dir):
+    """The windows of streaming.tiles.event_activity over the whole table as a batch."""
+    from covoxel.streaming.tiles import event_activity as windows
+
+    out = windows(table(spark, sf_dir, "events"))
+    return out.select("event_type", F.to_date("window.start").alias("day"), "n", F.round("total", 6).alias("total"))

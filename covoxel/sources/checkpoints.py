@@ -121,6 +121,10 @@ class ResultStore:
         self.check()
         return Mined(*[self.spark.read.parquet(f"{self.path}/{part}") for part in self.PARTS])
 
+    def progress(self, tiles: DataFrame) -> tuple[int, int]:
+        """Tiles done, and tiles in all."""
+        return self.done().count(), tiles.count()
+
     def done(self) -> DataFrame:
         self.check()
         if not self._exists("summary"):

@@ -30,8 +30,8 @@ def remove_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Repeated chunks of lines go from the texts. A document of which nothing is left goes, too: all it held
     stands elsewhere. n_chars follows the text."""
     out = line_dedup(docs.withColumn("__columns", F.struct(*[c for c in docs.columns if c != "text"])))
-    out = out.where(~((F.col("text") == "") & (F.col("n_lines_removed") > 0)))
-    chars = F.when(F.col("n_lines_removed") > 0, F.length("text").cast("long")).otherwise(F.col("__columns.n_chars")) if "n_chars" in docs.columns else None
+    out = out.where(~F.col("all_removed"))
+    chars = F.length("text").cast("long")
     return out.select(*[F.col("text") if c == "text" else chars.alias(c) if c == "n_chars" else F.col(f"__columns.`{c}`").alias(c) for c in docs.columns])
 
 

@@ -11,7 +11,7 @@ from .common import row_key, stored
 _OWN = "__line_dedup"
 
 
-def _chunked(docs: DataFrame, window: int, divisor: int) -> DataFrame:
+def _chunked(docs: DataFrame, window: int) -> DataFrame:
     """docs with one more column, _OWN.chunks: array<struct<idx, n_lines, body>>, null for a null text."""
     lines = docs.withColumn(f"{_OWN}_lines", F.split("text", "\n"))
     number = lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long")
@@ -23,8 +23,12 @@ def _chunked(docs: DataFrame, window: int, divisor: int) -> DataFrame:
         earlier = F.slice(F.concat(*[zero] * back, h), F.lit(1), n)
         weight = F.lit(31**back)
         roll = F.zip_with(roll, earlier, lambda a, b: a + b * weight)  # noqa: B023
-    cut = F.transform(roll, lambda r, i: F.when((r % divisor == 0) | (i == n - 1), i + 1))
-    ended = hashed.withColumn(f"{_OWN}_ends", F.filter(cut, lambda e: e.isNotNull()))
+    rolled = hashed.withColumn(f"{_OWN}_h", roll)
+    r = F.col(f"{_OWN}_h")
+    below = F.zip_with(r, F.slice(F.concat(F.array(F.lit(None).cast("long")), r), F.lit(1), n), lambda a, b: a < b)
+    least = F.zip_with(below, F.zip_with(r, F.slice(r, F.lit(2), n), lambda a, b: a <= b), lambda a, b: a & b)
+    cut = F.transform(least, lambda x, i: F.when(x | (i == n - 1), i + 1))
+    ended = rolled.withColumn(f"{_OWN}_ends", F.filter(cut, lambda e: e.isNotNull()))
     ends, body = F.col(f"{_OWN}_ends"), F.col(f"{_OWN}_lines")
 
     def chunk(k: Column) -> Column:
@@ -37,12 +41,14 @@ def _chunked(docs: DataFrame, window: int, divisor: int) -> DataFrame:
     return ended.withColumn(f"{_OWN}_chunks", chunks).drop(f"{_OWN}_h")
 
 
-def line_dedup(docs: DataFrame, *, window: int = 2, divisor: int = 3, min_lines: int = 2) -> DataFrame:
+def line_dedup(docs: DataFrame, *, window: int = 2, min_lines: int = 2) -> DataFrame:
     """docs (doc_id, text, any others) with repeated chunks of lines removed from text, and with the columns
-    n_lines, n_chunks, n_lines_removed and n_chunks_removed added.
+    n_lines, n_chunks, n_lines_removed, n_chunks_removed and all_removed (nothing is left of it) added. To drop
+    documents, filter on all_removed: Spark pushes a filter on the others below the chunking, which is then done twice.
 
-    A chunk ends behind a line where a rolling hash over the hashes of `window` lines is divisible by
-    `divisor`, so the same passage is cut alike wherever it stands. Of the chunks of min_lines lines or
+    A chunk ends behind a line where a rolling hash over the hashes of `window` lines is less than at the line
+    before and no more than at the line behind, so the same passage is cut alike wherever it stands, and only a
+    document's last chunk can be a single line. Of the chunks of min_lines lines or
     more that aren't blank, those whose 64-bit hash occurs again anywhere are compared byte by byte with
     the first occurrence (least doc_id, nulls last, then row, then place); the equal ones are removed.
     What remains is joined by line ends, unchanged.
@@ -55,29 +61,31 @@ def line_dedup(docs: DataFrame, *, window: int = 2, divisor: int = 3, min_lines:
     doc_id and text are one document and fare alike. No rows give no rows. Columns of docs that have
     the name of an added one are replaced.
     """
-    made = ["n_lines", "n_chunks", "n_lines_removed", "n_chunks_removed"]
+    made = ["n_lines", "n_chunks", "n_lines_removed", "n_chunks_removed", "all_removed"]
     base = docs.drop(*[c for c in docs.columns if c in made or c.startswith(_OWN)])
     keyed = base.withColumn(f"{_OWN}_key", row_key("doc_id", "text"))
     k1, k2 = F.col(f"{_OWN}_key.k1"), F.col(f"{_OWN}_key.k2")
 
     worth = lambda c: (c["n_lines"] >= min_lines) & (F.trim(F.translate(c["body"], "\n\t\r", "")) != "")
     small = keyed.select("doc_id", "text", f"{_OWN}_key")
-    each = _chunked(small, window, divisor).select(k1.alias("k1"), k2.alias("k2"), F.explode(F.filter(f"{_OWN}_chunks", worth)).alias("c"))
+    each = _chunked(small, window).select(k1.alias("k1"), k2.alias("k2"), F.explode(F.filter(f"{_OWN}_chunks", worth)).alias("c"))
     meta = stored(each.select("k1", "k2", F.col("c.idx").alias("idx"), F.xxhash64("c.body").alias("hash")), "lines")
     # A repeated row isn't a repeat of its chunks: the place (row, idx) must differ.
     again = meta.groupBy("hash").agg(F.min(F.struct("k1", "k2", "idx")).alias("x"), F.max(F.struct("k1", "k2", "idx")).alias("y")).where("x <> y").select("hash")
     touched = meta.join(again, "hash").groupBy("k1", "k2").agg(F.collect_set("idx").alias("touched"))
 
     suspects = small.join(touched, (k1 == F.col("k1")) & (k2 == F.col("k2")))
-    bodies = _chunked(suspects.select("doc_id", "text", "k1", "k2", "touched"), window, divisor)
-    bodies = bodies.select("doc_id", "k1", "k2", F.explode(F.filter(f"{_OWN}_chunks", lambda c: F.array_contains("touched", c["idx"]))).alias("c"))
-    bodies = stored(bodies.select(F.xxhash64("c.body").alias("hash"), F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), "k1", "k2", F.col("c.idx").alias("idx")).alias("at"), F.col("c.n_lines").alias("n"), F.col("c.body").alias("body")), "lines")
+    bodies = _chunked(suspects.select("doc_id", "text", "k1", "k2", "touched"), window)
+    bodies = bodies.select("doc_id", "k1", "k2", F.size(f"{_OWN}_ends").alias("of"), F.explode(F.filter(f"{_OWN}_chunks", lambda c: F.array_contains("touched", c["idx"]))).alias("c"))
+    bodies = stored(bodies.select(F.xxhash64("c.body").alias("hash"), F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), "k1", "k2", F.col("c.idx").alias("idx")).alias("at"), "of", F.col("c.body").alias("body")), "lines")
     first = bodies.groupBy("hash").agg(F.min(F.struct("at", "body")).alias("first"))
     gone = bodies.join(first, "hash").where((F.col("body") == F.col("first.body")) & (F.col("at") != F.col("first.at")))
-    gone = gone.groupBy(F.col("at.k1").alias("g1"), F.col("at.k2").alias("g2")).agg(F.collect_set("at.idx").alias(f"{_OWN}_gone"))
+    gone = gone.groupBy(F.col("at.k1").alias("g1"), F.col("at.k2").alias("g2")).agg(F.collect_set("at.idx").alias(f"{_OWN}_gone"), F.max("of").alias(f"{_OWN}_of"))
 
+    # Whether all of a document is gone follows from this table alone, so a filter on it is as cheap as the join.
+    gone = gone.withColumn("all_removed", F.size(f"{_OWN}_gone") == F.col(f"{_OWN}_of"))
     out = keyed.join(gone, (k1 == F.col("g1")) & (k2 == F.col("g2")), "left").drop("g1", "g2")
-    out = _chunked(out, window, divisor)
+    out = _chunked(out, window)
     drop = F.coalesce(f"{_OWN}_gone", F.array().cast("array<int>"))
     kept = F.filter(f"{_OWN}_chunks", lambda c: ~F.array_contains(f"{_OWN}_gone", c["idx"]))
     text = F.when(F.col(f"{_OWN}_gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda c: c["body"]), "\n"))
@@ -85,4 +93,5 @@ def line_dedup(docs: DataFrame, *, window: int = 2, divisor: int = 3, min_lines:
     count = lambda x: F.coalesce(x, F.lit(0)).cast("long")
     size = lambda x: F.when(x.isNotNull(), F.size(x))
     added = {"n_lines": count(size(F.col(f"{_OWN}_lines"))), "n_chunks": count(size(F.col(f"{_OWN}_ends"))), "n_lines_removed": count(F.when(F.col(f"{_OWN}_gone").isNotNull(), lost)), "n_chunks_removed": count(size(F.col(f"{_OWN}_gone")))}
+    added["all_removed"] = F.coalesce("all_removed", F.lit(False))
     return out.select(*[text.alias(c) if c == "text" else F.col(c) for c in base.columns], *[v.alias(k) for k, v in added.items()])

@@ -47,7 +47,7 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_classes(table(spark, sf_dir, "documents"), words=4, percent=85).drop("class_id")
+    return jaccard_classes(table(spark, sf_dir, "documents"), words=4, percent=85).select("doc_id", "n_shingles", "component_id", "class_id")
 
 
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +80,9 @@ WITH l AS (
   FROM documents WHERE text IS NOT NULL),
 h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l),
 r AS (SELECT *, h + 31 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) AS roll FROM h),
-e AS (SELECT *, CASE WHEN roll % 3 = 0 OR i = n THEN 1 ELSE 0 END AS cut FROM r),
+e AS (
+  SELECT *, CASE WHEN i = n OR roll < lag(roll) OVER (PARTITION BY doc_id ORDER BY i) AND roll <= lead(roll) OVER (PARTITION BY doc_id ORDER BY i)
+                 THEN 1 ELSE 0 END AS cut FROM r),
 c AS (
   SELECT *, 1 + coalesce(sum(cut) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS idx FROM e),
 k AS (SELECT doc_id, idx, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY i) AS body FROM c GROUP BY doc_id, idx),
@@ -93,7 +95,8 @@ g AS (
          coalesce(string_agg(body, chr(10) ORDER BY idx) FILTER (WHERE NOT gone), '') AS text
   FROM f GROUP BY doc_id)
 SELECT d.doc_id, g.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_chunks, 0) AS n_chunks,
-       coalesce(n_lines_removed, 0) AS n_lines_removed, coalesce(n_chunks_removed, 0) AS n_chunks_removed
+       coalesce(n_lines_removed, 0) AS n_lines_removed, coalesce(n_chunks_removed, 0) AS n_chunks_removed,
+       coalesce(n_chunks_removed = n_chunks, false) AS all_removed
 FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id
 """
 

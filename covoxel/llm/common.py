@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,10 +47,33 @@ def forget(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def reclaim(spark: SparkSession) -> None:
+    """Have shuffle files that no frame refers to any more removed now: Spark finds them when the driver collects its
+    garbage, which a driver with little to do seldom does."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches in runs of a few rows, so that a task's Python objects stay small; then what they held goes back to
+    the system, since a worker outlives its task."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+    trim()
+
+
+def trim() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # not every system library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def row_key(*cols: str) -> Column:
     """128 bits (two longs) that tell rows apart by the given columns; nulls count as values."""
     parts = [x for c in cols for x in (F.col(c).isNull(), F.col(c))]

@@ -11,7 +11,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, forget, stored
+from .common import components, forget, reclaim, slices, stored
 
 #: Groups of a count vector, points in a leaf, members of a block that one task holds of either side,
 #: documents from which a shingle is put last in the global order, and bits of the table of such shingles.
@@ -187,30 +187,22 @@ def _frequent_bits(docs: DataFrame, k: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        tokens, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        size = 0
 
-        def fold() -> None:
-            nonlocal tokens, counts, held
-            fresh, c = np.unique(np.concatenate(held), return_counts=True)
-            both, back = np.unique(np.concatenate([tokens, fresh]), return_inverse=True)
-            sums = np.bincount(back, weights=np.concatenate([counts, c]), minlength=len(both)).astype(np.int64)
-            tokens, counts, held = both, sums, []
+        def met_twice() -> pa.RecordBatch:
+            s = np.sort(np.concatenate(held)) if held else np.zeros(0, np.uint64)
+            at = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
+            n = np.diff(at, append=len(s))
+            return pa.RecordBatch.from_arrays([pa.array(s[at][n > 1].view(np.int64)), pa.array(n[n > 1])], names=["token", "n"])
 
-        size = 0
-        for b in batches:
+        for b in slices(batches):
             for s in shingle_sets(b.column(0).to_pylist(), k):
                 held.append(s)
                 size += len(s)
-                if size > 4_000_000:
-                    fold()
-                    size = 0
-            if len(tokens) > 8_000_000:
-                keep = counts >= 2
-                tokens, counts = tokens[keep], counts[keep]
-        if held:
-            fold()
-        keep = counts >= 2
-        yield pa.RecordBatch.from_arrays([pa.array(tokens[keep].view(np.int64)), pa.array(counts[keep])], names=["token", "n"])
+                if size > 8_000_000:
+                    yield met_twice()
+                    held, size = [], 0
+        yield met_twice()
 
     seen = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
     return bit_table(seen.select("token"))
@@ -263,7 +255,7 @@ def jaccard_classes(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
     bits = _frequent_bits(docs, words)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             n, d1, d2, vec, prefix = [], [], [], [], []
             for s in shingle_sets(b.column("text").to_pylist(), words):
                 n.append(len(s))
@@ -282,6 +274,7 @@ def jaccard_classes(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
     reps = signed.join(classes, ["d1", "d2"]).where("doc_id = rep").dropDuplicates(["doc_id", "d1", "d2"]).select(F.col("doc_id").alias("doc"), "n", "vec", "prefix")
     reps = stored(reps, "jaccard")
     forget(signed)
+    reclaim(docs.sparkSession)
     points = reps.select("doc", "n", "vec")
 
     # Most shingles of the prefixes occur once: their count alone is shuffled, and a table of bits keeps most of
@@ -321,7 +314,7 @@ def jaccard_classes(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
         involved = bit_table(pairs.select(F.explode(F.array("a", "b")).alias("doc")).select(F.xxhash64("doc").alias("h")))
 
         def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in slices(batches):
                 keep = np.flatnonzero(in_table(b.column("h").to_numpy(), involved))
                 texts = b.column("text").take(pa.array(keep)).to_pylist()
                 sets = [s.view(np.int64) for s in shingle_sets(texts, words)]
@@ -334,6 +327,7 @@ def jaccard_classes(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
         shared = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("i"), (F.size("sa") + F.size("sb")).cast("long").alias("t"))
         out = stored(shared.where(f"100 * i >= {percent} * (t - i)").select("a", "b"), "jaccard")
         forget(sets, pairs)
+        reclaim(docs.sparkSession)
         return out
 
     links = verified(star)

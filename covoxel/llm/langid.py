@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import slices
+
 #: Dimensions of the vectors, letters in an n-gram, and about how many characters are counted at a time.
-DIMENSIONS, GRAM, CHUNK = 512, 3, 1_000_000
+DIMENSIONS, GRAM, CHUNK = 512, 3, 500_000
 UNDETERMINED = "und"
 
 
@@ -94,7 +96,7 @@ def _bundle(texts: list[str], out: np.ndarray, some: np.ndarray, dims: int) -> N
     else:
         grams, key = np.unique(key, return_inverse=True)
     vectors = letter_vectors(symbols, dims)
-    step = max(1, (1 << 24) // max(1, len(texts)))  # bounds the matrix of counts
+    step = max(1, (1 << 22) // max(1, len(texts)))  # bounds the matrix of counts
     order = None if len(grams) <= step else np.argsort(key, kind="stable")
     for a in range(0, len(grams), step):
         g = grams[a : a + step]
@@ -136,7 +138,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in slices(batches):
             v, some = document_vectors(b.column(0).to_pylist())
             norm = np.sqrt((v.astype(np.float64) ** 2).sum(axis=1))
             rounded = np.rint(v / np.maximum(norm, 1e-12)[:, None] * 1000).astype(np.int64)
@@ -165,7 +167,7 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFra
     schema = T.StructType([*base.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             lang, score = profiles.predict(b.column(text).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score)], names=[*b.schema.names, "lang_pred", "score"])
 

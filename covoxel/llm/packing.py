@@ -12,10 +12,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import slices, stored
 
 #: Words whose ids a worker remembers; at this number it starts anew. It changes no result.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -37,11 +37,9 @@ class _Words(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         if word[-1:] in (b".", b",") and word[:-1].isalpha():
-            ids = self[word[:-1]] + self[word[-1:]]
-        else:
-            by = self.letters if word.isalpha() else self.any
-            ids = array("I", by.encode(word.decode(), add_special_tokens=False).ids).tobytes()
-        self[word] = ids
+            return self[word[:-1]] + self[word[-1:]]
+        by = self.letters if word.isalpha() else self.any
+        ids = self[word] = array("I", by.encode(word.decode(), add_special_tokens=False).ids).tobytes()
         return ids
 
 
@@ -66,8 +64,9 @@ def fill_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, list[tup
     that fills its window closest to capacity: bit s of a big integer says that the sum s can be
     reached, lengths are added from the longest down (a length that occurs c times as parts of 1, 2,
     4, ... pieces), and the steps are traced back to counts. The filling is then used for as many
-    windows as its lengths last, so a round uses up at least one length: there are at most `capacity`
-    rounds, whatever the number of documents. Deterministic; an empty histogram has an empty plan.
+    windows as its lengths last: each round leaves one length with fewer pieces than a window took of it, at
+    most half of what it had, so a length n ends a round at most log2(capacity / n) + 2 times and there are at most
+    4 * capacity rounds, whatever the number of documents. Deterministic; an empty histogram has an empty plan.
     """
     left = {n: c for n, c in counts.items() if c > 0}
     order = sorted(left, reverse=True)
@@ -134,7 +133,7 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_id: int =
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 2000):
             rows: list[list] = [[] for _ in range(5 + with_ids)]
             for i, text in enumerate(b.column("text")):
                 ids = token_bytes(text.as_py(), tokenizer) + end

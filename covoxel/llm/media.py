@@ -169,6 +169,8 @@ def media_facts(media: DataFrame) -> DataFrame:
         for b in batches:
             rows = []
             for digest, png in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if hashlib.sha256(png).hexdigest() != digest:
+                    raise ValueError(f"stored bytes differ from their digest {digest}")
                 x = from_png(png)
                 payload = x.tobytes()
                 rows.append((digest, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(png), image_feature(x)))

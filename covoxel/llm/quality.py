@@ -63,7 +63,7 @@ class Grader:
         return 1 / (1 + np.exp(np.clip(self.thresholds - score, -60, 60)))
 
 
-def fit(sets: Sequence[np.ndarray], grades: np.ndarray, levels: int, *, passes: int = 6, rate: float = 0.15, l1: float = 2.0, l2: float = 1.0) -> Grader:
+def fit(sets: Sequence[np.ndarray], grades: np.ndarray, levels: int, *, passes: int = 6, rate: float = 0.15, l1: float = 4.0, l2: float = 1.0) -> Grader:
     """Maximum likelihood of the cumulative-link model by follow-the-regularized-leader steps.
 
     The likelihood of grade g is F(t[g] - s) - F(t[g-1] - s), F logistic, s the shared score. l1 sets the weights

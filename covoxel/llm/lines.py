@@ -71,14 +71,16 @@ def line_dedup(docs: DataFrame, *, window: int = 2, min_lines: int = 2) -> DataF
     each = _chunked(small, window).select(k1.alias("k1"), k2.alias("k2"), F.explode(F.filter(f"{_OWN}_chunks", worth)).alias("c"))
     meta = stored(each.select("k1", "k2", F.col("c.idx").alias("idx"), F.xxhash64("c.body").alias("hash")), "lines")
     # A repeated row isn't a repeat of its chunks: the place (row, idx) must differ.
+    # Aggregates are written before they are joined: AQE splits the join of a hot chunk only if none feeds it.
     again = meta.groupBy("hash").agg(F.min(F.struct("k1", "k2", "idx")).alias("x"), F.max(F.struct("k1", "k2", "idx")).alias("y")).where("x <> y").select("hash")
+    again = stored(again, "lines")
     touched = meta.join(again, "hash").groupBy("k1", "k2").agg(F.collect_set("idx").alias("touched"))
 
     suspects = small.join(touched, (k1 == F.col("k1")) & (k2 == F.col("k2")))
     bodies = _chunked(suspects.select("doc_id", "text", "k1", "k2", "touched"), window)
     bodies = bodies.select("doc_id", "k1", "k2", F.size(f"{_OWN}_ends").alias("of"), F.explode(F.filter(f"{_OWN}_chunks", lambda c: F.array_contains("touched", c["idx"]))).alias("c"))
     bodies = stored(bodies.select(F.xxhash64("c.body").alias("hash"), F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), "k1", "k2", F.col("c.idx").alias("idx")).alias("at"), "of", F.col("c.body").alias("body")), "lines")
-    first = bodies.groupBy("hash").agg(F.min(F.struct("at", "body")).alias("first"))
+    first = stored(bodies.groupBy("hash").agg(F.min(F.struct("at", "body")).alias("first")), "lines")
     gone = bodies.join(first, "hash").where((F.col("body") == F.col("first.body")) & (F.col("at") != F.col("first.at")))
     gone = gone.groupBy(F.col("at.k1").alias("g1"), F.col("at.k2").alias("g2")).agg(F.collect_set("at.idx").alias(f"{_OWN}_gone"), F.max("of").alias(f"{_OWN}_of"))
 

@@ -15,7 +15,7 @@ from .common import components, forget, reclaim, slices, stored
 
 #: Groups of a count vector, points in a leaf, members of a block that one task holds of either side,
 #: documents from which a shingle is put last in the global order, and bits of the table of such shingles.
-GROUPS, LEAF, SHARE, FREQUENT, BITS = 128, 32, 512, 16, 24
+GROUPS, LEAF, SHARE, FREQUENT, BITS = 512, 32, 512, 16, 24
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -275,7 +275,7 @@ def jaccard_classes(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
     reps = stored(reps, "jaccard")
     forget(signed)
     reclaim(docs.sparkSession)
-    points = reps.select("doc", "n", "vec")
+    points = stored(reps.select("doc", "n", "vec"), "jaccard")
 
     # Most shingles of the prefixes occur once: their count alone is shuffled, and a table of bits keeps most of
     # them from being shuffled again with their documents.
@@ -289,10 +289,13 @@ def jaccard_classes(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
             yield pa.RecordBatch.from_arrays([pa.array(token[keep]), b.column("doc").take(of.filter(pa.array(keep)))], names=["token", "doc"])
 
     tokens = stored(reps.select("doc", "prefix").mapInArrow(spread, "token long, doc long"), "jaccard")
+    forget(reps)
     blocks = tokens.groupBy("token").agg(F.count("*").alias("members"), F.min("doc").alias("least"), F.bit_xor(F.xxhash64("doc")).alias("s1"), F.bit_xor(F.xxhash64(F.lit(1), "doc")).alias("s2")).where("members > 1")
     # Blocks with the same members are one.
     blocks = stored(blocks.groupBy("members", "least", "s1", "s2").agg(F.min("token").alias("token")).drop("s1", "s2"), "jaccard")
     members = stored(tokens.join(blocks, "token"), "jaccard")
+    forget(tokens)
+    reclaim(docs.sparkSession)
     star = members.where("doc > least").select(F.col("least").alias("a"), F.col("doc").alias("b")).distinct()
 
     def within_bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,6 +314,7 @@ def jaccard_classes(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
         """Those of the pairs that link, compared on the sets. Only the sets of documents in a pair (and the few
         that share a bit with one) leave the scan of the texts."""
         pairs = stored(pairs, "jaccard")
+        reclaim(docs.sparkSession)
         involved = bit_table(pairs.select(F.explode(F.array("a", "b")).alias("doc")).select(F.xxhash64("doc").alias("h")))
 
         def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -362,6 +362,14 @@ def test_tree_probabilities_sum_to_one(spark):
         assert p == pytest.approx(1, abs=1e-6)
 
 
+def test_contexts_of_three_words_count(spark):
+    rng = random.Random(3)
+    runs = [" ".join([a, "m", "n", {"p": "x", "q": "y"}[a]]) for a in (rng.choice("pq") for _ in range(2000))]
+    docs = frame(spark, [(i, " ".join(runs[i : i + 100]), None, None) for i in range(0, 2000, 100)] + [(-1, "p m n x", None, None), (-2, "p m n y", None, None)])
+    got = {r.doc_id: r.score for r in suffix_tree.score(docs, F.col("doc_id") >= 0).collect()}
+    assert got[-1] > got[-2] + 1  # only the word three places before tells x from y
+
+
 def test_grades(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rated = quality.ratings(spark.read.parquet(f"{sf}/labels.parquet"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from array import array
+import functools
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import forget, reclaim, stored
 
 #: The end of a document as a word; no word holds a line end.
 END = b"\n"
@@ -30,31 +30,18 @@ def ending(word: bytes) -> bytes:
     return b"\0" + word.rstrip(b".,;:!?|)\"'")[-2:]
 
 
-class Symbols(dict):
-    """The symbol of every word: its own, or that of its ending, or 0. Remembers the words it has met."""
-
-    def __init__(self, known: dict[bytes, int]):
-        super().__init__(known)
-        self.known = known
-
-    def reset(self) -> None:
-        self.clear()
-        self.update(self.known)
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = found = self.known.get(ending(word), 0)
-        return found
+#: The base of context codes where symbols are 64-bit hashes; codes wrap around.
+WRAP = 0x1E3779B97F4A7C15
 
 
 @dataclass
 class Tree:
     """The contexts that passed and what may follow them.
 
-    Symbols are the words that make up `symbol_share` of the training tokens or more and the endings of the
-    other words that do, numbered from 1, and 0 for the rest: at most 1 / symbol_share of them, and at most
-    1 / context_share contexts of a length, whatever the corpus. mass: each symbol's root probability. contexts[d - 1] are the counted contexts of d symbols, as sorted numbers in base
-    `base`, the latest symbol last; totals their counts, kept whether they were retained; follow and counts the sorted
-    numbers (place of the context, next symbol) with their counts, of which a context has `types`, `explicit` in sum.
+    Symbols are the words that occur often enough and the endings of the other words that do, and 0 for the rest.
+    mass: each symbol's root probability. contexts[d - 1] are contexts of d symbols, as sorted numbers in base `base`,
+    the latest symbol last; totals their counts; follow and counts the sorted numbers (place of the context, next symbol)
+    with their counts, of which a context has `types`, `explicit` in sum. A block's tree holds what occurs in the block.
     """
 
     symbols: dict[bytes, int]
@@ -91,31 +78,6 @@ def context_codes(ids: np.ndarray, first: np.ndarray, end: int, depth: int, base
     return code
 
 
-def encode(texts: list[str | None], symbols: Symbols) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols of all tokens of the texts in a row; for each the place of its document's first token."""
-    if len(symbols) > 1_000_000:
-        symbols.reset()
-    n, row = [], array("q")
-    for t in texts:
-        row.extend(map(symbols.__getitem__, tokens(t)))
-        n.append(len(row))
-    n = np.diff(np.array(n, dtype=np.int64), prepend=0)
-    return np.frombuffer(row, dtype=np.int64), np.repeat(np.cumsum(n) - n, n)
-
-
-def portions(texts: list[str | None], size: int = 1 << 21) -> Iterator[list[str | None]]:
-    """Runs of texts of about `size` characters: what is held as tokens at a time."""
-    part, held = [], 0
-    for t in texts:
-        part.append(t)
-        held += len(t or "")
-        if held > size:
-            yield part
-            part, held = [], 0
-    if part:
-        yield part
-
-
 def _count_words(train: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks: dict[int, tuple[Counter, Counter]] = {}
@@ -130,101 +92,165 @@ def _count_words(train: str):
     return run
 
 
-def _count_strings(tree: Tree, depth: int, candidates: np.ndarray):
-    end = tree.symbols.get(END, 0)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        held: list[np.ndarray] = []
-        known = Symbols(tree.symbols)
-
-        def fold() -> None:
-            nonlocal codes, counts, held
-            fresh, c = np.unique(np.concatenate(held), return_counts=True)
-            both, back = np.unique(np.concatenate([codes, fresh]), return_inverse=True)
-            codes, counts, held = both, np.bincount(back, weights=np.concatenate([counts, c]), minlength=len(both)).astype(np.int64), []
+ENCODED = "learned boolean, n_tokens long, n_known long, base_score double, words binary, sym binary, seen binary, mass binary, often binary"
+STRINGS = "block long, ctx long, nxt long, n long, suf long"
+MODEL = "block long, level int, ctx long, nxt long, n long, types long, explicit long"
+
+
+def _unpack(rows: pa.Table) -> tuple[pa.Table, dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """A block's documents, its word table, its tokens as places in that, each token's first of its document, and lengths."""
+    holds = rows.column("sym").is_valid()
+    table, docs = rows.filter(holds), rows.filter(rows.column("sym").is_null())
+    words = {c: np.frombuffer(table.column(c)[0].as_py(), dtype=t) for c, t in (("sym", np.int64), ("seen", np.int64), ("mass", np.float64), ("often", np.int64))}
+    at = np.frombuffer(b"".join(docs.column("words").to_pylist()), dtype=np.int32)
+    n = docs.column("n_tokens").to_numpy()
+    return docs, words, at, np.repeat(np.cumsum(n) - n, n), n
+
+
+def _word_row(block: int, fields: pa.Schema, sym: np.ndarray, seen: np.ndarray, mass: np.ndarray, often: np.ndarray) -> pa.Table:
+    held = {"block": block, "sym": sym.astype(np.int64).tobytes(), "seen": seen.astype(np.int64).tobytes(), "mass": mass.astype(np.float64).tobytes(), "often": often.astype(np.int64).tobytes()}
+    return pa.table([pa.array([held.get(f.name)], f.type) for f in fields], schema=fields)
+
+
+def _count_strings(depth: int, base: int, end: int, enough: float):
+    """Counts of a block's strings (context of `depth` symbols, next symbol) and contexts (nxt is null)."""
+
+    def count(rows: pa.Table, candidates: np.ndarray | None) -> pa.Table:
+        docs, words, at, first, n = _unpack(rows)
+        block = rows.column("block")[0].as_py()
+        if candidates is None:
+            candidates = words["sym"][words["often"] >= enough]
+        names, dense = np.unique(words["sym"], return_inverse=True)
+        ids = words["sym"][at]
+        code = context_codes(ids, first, end, depth, base)
+        candidates = np.unique(candidates)
+        which = find(code, candidates)
+        ok = np.flatnonzero(which >= 0)
+        which = which[ok]
+        suf = np.zeros(len(candidates), dtype=np.int64)
+        suf[which] = context_codes(ids, first, end, depth - 1, base)[ok]
+        learned = np.repeat(docs.column("learned").to_numpy(zero_copy_only=False).astype(bool), n)[ok]
+        pairs, back = np.unique(which * len(names) + dense[at[ok]], return_inverse=True)
+        counts = np.bincount(back, weights=learned, minlength=len(pairs)).astype(np.int64)
+        met = np.unique(which)
+        totals = np.bincount(which, weights=learned, minlength=len(candidates)).astype(np.int64)[met]
+        void = lambda k: pa.nulls(k, pa.int64())
+        cols = [
+            pa.array(np.full(len(pairs) + len(met), block)),
+            pa.array(np.concatenate([candidates[pairs // len(names)], candidates[met]])),
+            pa.concat_arrays([pa.array(names[pairs % len(names)]), void(len(met))]),
+            pa.array(np.concatenate([counts, totals])),
+            pa.concat_arrays([void(len(pairs)), pa.array(suf[met])]),
+        ]
+        return pa.table(cols, names=["block", "ctx", "nxt", "n", "suf"])
+
+    def first_level(rows: pa.Table) -> pa.Table:
+        return count(rows, None)
+
+    def next_level(rows: pa.Table, codes: pa.Table) -> pa.Table:
+        return count(rows, codes.column("code").to_numpy())
+
+    return first_level if depth == 1 else next_level
+
+
+def grow(encoded: DataFrame, roots: DataFrame, *, base: int, end: int, depth: int, enough: float, divergence: float, least: int) -> DataFrame:
+    """The tree as a table of MODEL: for each block the counts of its own strings and contexts (nxt is null).
+
+    encoded: documents by block as ENCODED; roots: (nxt, p), each symbol's share of the training tokens. A context
+    of d symbols is counted if it was seen `enough` times (known from the strings of length d - 1). It is retained if
+    the next symbol's distribution diverges from that after its suffix: if Kullback-Leibler divergence, in nats, is
+    `divergence` or more, or if a longer retained context ends in it. Strings seen fewer than `least` times count as
+    not seen. All counts are tables, joined by block; nothing comes to the driver.
+    """
+    spark = encoded.sparkSession
+    levels: list[tuple[DataFrame, DataFrame, DataFrame]] = []
+    before = roots.select(F.lit(0).cast("long").alias("suf"), "nxt", F.col("p").alias("pp"))
+    candidates = None
 
+    def successors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for part in portions(b.column(0).to_pylist()):
-                ids, first = encode(part, known)
-                which = find(context_codes(ids, first, end, depth, tree.base), candidates)
-                ok = which >= 0
-                held.append(which[ok] * tree.base + ids[ok])
-                if sum(map(len, held)) > 4_000_000:
-                    fold()
-        if held:
-            fold()
-        yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], names=["code", "n"])
+            yield pa.RecordBatch.from_arrays([b.column("block"), pa.array(b.column("ctx").to_numpy() * base + b.column("nxt").to_numpy())], names=["block", "code"])
 
-    return run
+    for d in range(1, depth + 1):
+        count = _count_strings(d, base, end, enough)
+        if candidates is None:
+            found = encoded.groupBy("block").applyInArrow(count, STRINGS)
+        else:
+            found = encoded.groupBy("block").cogroup(candidates.groupBy("block")).applyInArrow(count, STRINGS)
+        local = stored(found, "lm")
+        strings = stored(local.where("nxt is not null").groupBy("ctx", "nxt").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "lm")
+        totals = local.where("nxt is null").groupBy("ctx").agg(F.sum("n").alias("total"), F.first("suf").alias("suf"))
+        known = strings.groupBy("ctx").agg(F.count("*").alias("types"), F.sum("n").alias("explicit"))
+        zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+        contexts = stored(totals.join(known, "ctx", "left").select("ctx", "suf", "total", zero("types"), zero("explicit")).where("total > 0"), "lm")
+        rest = (F.col("total") + F.col("types") - F.col("explicit")) / (F.col("total") + F.col("types"))
+        p = F.col("n") / (F.col("total") + F.col("types")) + rest * F.col("pp")
+        after = stored(strings.join(contexts, "ctx").join(before, ["suf", "nxt"]).select("ctx", "nxt", "pp", p.alias("p")), "lm")
+        far = after.groupBy("ctx").agg(F.sum(F.expr("p * ln(p / pp)")).alias("kl"), F.sum("p").alias("held"))
+        kl = F.col("kl") + F.greatest(1 - F.col("held"), F.lit(0.0)) * F.ln(rest)
+        contexts = stored(contexts.join(far, "ctx", "left").withColumn("kept", F.coalesce(kl, F.lit(0.0)) >= divergence).drop("kl", "held"), "lm")
+        levels.append((local, strings, contexts))
+        if d < depth:
+            again = stored(strings.where(F.col("n") >= enough).select("ctx", "nxt"), "lm")
+            candidates = stored(local.where("nxt is not null").join(again, ["ctx", "nxt"]).select("block", "ctx", "nxt").mapInArrow(successors, "block long, code long"), "lm")
+            before = after.select(F.col("ctx").alias("suf"), "nxt", F.col("p").alias("pp"))
+        reclaim(spark)
+    parts, ends = [], None
+    for d in range(depth, 0, -1):  # suffixes of retained contexts are states, too
+        local, strings, contexts = levels[d - 1]
+        kept = contexts.where("kept")
+        if ends is not None:
+            kept = kept.unionByName(contexts.where("not kept").join(ends, "ctx", "left_semi"))
+        kept = stored(kept, "lm")
+        ends = stored(kept.select(F.col("suf").alias("ctx")).distinct(), "lm")
+        level, void = F.lit(d).alias("level"), F.lit(None).cast("long")
+        held = stored(strings.join(kept, "ctx", "left_semi"), "lm")
+        parts.append(local.where("nxt is not null").select("block", "ctx", "nxt").join(held, ["ctx", "nxt"]).select("block", level, "ctx", "nxt", "n", void.alias("types"), void.alias("explicit")))
+        parts.append(local.where("nxt is null").select("block", "ctx").join(kept, "ctx").select("block", level, "ctx", void.alias("nxt"), F.col("total").alias("n"), "types", "explicit"))
+        parts[-2:] = [stored(x, "lm") for x in parts[-2:]]
+        forget(local, strings)
+        reclaim(spark)
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def assemble(model: pa.Table, symbols: dict[bytes, int], base: int, depth: int) -> Tree:
+    """The tree of the rows of grow() for one block, every string and context once."""
+    tree = Tree(symbols, base)
+    level, ctx, n = (model.column(c).to_numpy() for c in ("level", "ctx", "n"))
+    top = model.column("nxt").is_null().to_numpy()
+    nxt, types, explicit = (model.column(c).fill_null(0).to_numpy() for c in ("nxt", "types", "explicit"))
+    for d in range(1, depth + 1):
+        c, f = np.flatnonzero((level == d) & top), np.flatnonzero((level == d) & ~top)
+        c = c[np.argsort(ctx[c])]
+        follow = find(ctx[f], ctx[c]) * base + nxt[f]
+        order = np.argsort(follow)
+        for col, x in ((tree.contexts, ctx[c]), (tree.totals, n[c].astype(np.float64)), (tree.types, types[c]), (tree.explicit, explicit[c]), (tree.kept, np.ones(len(c), dtype=bool)), (tree.follow, follow[order]), (tree.counts, n[f][order])):
+            col.append(x)
+    return tree
 
 
 def learn(train: DataFrame, symbol_counts: dict[bytes, int], total: int, *, depth: int, context_share: float, divergence: float, least: int) -> Tree:
-    """Grow the tree from all training texts, one length of context after the other.
-
-    A context of d symbols is counted if it makes up context_share of all tokens or more (known from the counts of
-    length d - 1). It is retained if the next symbol's distribution diverges from that after its suffix: if
-    Kullback-Leibler divergence, in nats, is `divergence` or more, or if a longer retained context ends in it.
-    Counts are summed by task, then by code; those below `least` count as not seen. What comes to the
-    driver is bounded by the shares, not by the corpus.
-    """
+    """The tree of a corpus with few symbols as one object, numbered from 1 by count: grow() with a single block."""
     order = sorted(symbol_counts, key=lambda w: (-symbol_counts[w], w))
     tree = Tree({w: i + 1 for i, w in enumerate(order)}, len(order) + 1)
     if not total:
         return tree
-    root = np.zeros(tree.base)
-    root[1:] = [symbol_counts[w] for w in order]
-    root[0] = max(total - root.sum(), 0)
-    candidates = np.flatnonzero(root >= context_share * total)
-    before = root / total  # distribution of the next symbol without context
-    shorter: dict[int, np.ndarray] = {}
-    for d in range(1, depth + 1):
-        if not len(candidates) or tree.base ** (d + 1) >= 1 << 62:
-            break
-        rows = stored(train.select("text").mapInArrow(_count_strings(tree, d, candidates), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")), "lm")
-        floor = max(least, int(context_share * total * 1e-3))
-        got = np.array(sorted(tuple(r) for r in rows.where(F.col("n") >= floor).collect()), dtype=np.int64).reshape(-1, 2)
-        sums = np.zeros(len(candidates))
-        all_rows = rows.groupBy((F.col("code") / tree.base).cast("long").alias("c")).agg(F.sum("n")).collect()  # one row per candidate
-        for c, n in all_rows:
-            sums[c] = n
-        context, nxt = got[:, 0] // tree.base, got[:, 0] % tree.base
-        dense: dict[int, np.ndarray] = {}
-        keep = np.zeros(len(candidates), dtype=bool)
-        types = np.bincount(context, minlength=len(candidates))
-        explicit = np.bincount(context, weights=got[:, 1], minlength=len(candidates))
-        cut = np.searchsorted(context, np.arange(len(candidates) + 1))
-        for i, code in enumerate(candidates):
-            if not sums[i]:
-                continue
-            parent = before if d == 1 else shorter.get(int(code) % tree.base ** (d - 1), before)
-            rest = sums[i] + types[i] - explicit[i]
-            p = parent * rest
-            p[nxt[cut[i] : cut[i + 1]]] += got[cut[i] : cut[i + 1], 1]
-            p /= sums[i] + types[i]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                kl = np.where(p > 0, p * np.log(p / parent), 0.0)
-            keep[i] = np.nansum(kl[np.isfinite(kl)]) >= divergence
-            dense[int(code)] = p
-        tree.contexts.append(candidates.astype(np.int64))
-        tree.totals.append(sums)
-        tree.types.append(types)
-        tree.follow.append(got[:, 0])
-        tree.counts.append(got[:, 1])
-        tree.kept.append(keep)
-        # Strings of d + 1 symbols that are frequent enough are the next candidates.
-        often = got[:, 1] >= context_share * total
-        candidates = np.unique(candidates[context[often]] * tree.base + nxt[often])
-        shorter = dense
-    for d in range(len(tree.contexts) - 1, 0, -1):  # suffixes of retained contexts are states, too
-        ends = np.unique(tree.contexts[d][tree.kept[d]] % tree.base**d)
-        at = find(ends, tree.contexts[d - 1])
-        tree.kept[d - 1][at[at >= 0]] = True
-    return tree
+    counts = np.array([max(total - sum(symbol_counts.values()), 0), *(symbol_counts[w] for w in order)])
+    fields = pa.schema([("block", pa.int64()), *((n, {"boolean": pa.bool_(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}[t]) for n, t in (c.split() for c in ENCODED.split(", ")))])
+
+    def run(rows: pa.Table) -> pa.Table:
+        held = [{"block": 0, "learned": True, "n_tokens": len(t), "words": np.array([tree.symbols.get(w, tree.symbols.get(ending(w), 0)) for w in t], dtype=np.int32).tobytes()} for t in map(tokens, rows.column("text").to_pylist())]
+        return pa.concat_tables([pa.Table.from_pylist(held, fields), _word_row(0, fields, np.arange(len(counts)), counts, counts / total, counts)])
 
+    encoded = stored(train.select(F.lit(0).cast("long").alias("block"), "text").groupBy("block").applyInArrow(run, f"block long, {ENCODED}"), "lm")
+    roots = train.sparkSession.createDataFrame([(i, float(c) / total) for i, c in enumerate(counts)], "nxt long, p double")
+    model = grow(encoded, roots, base=tree.base, end=tree.symbols.get(END, 0), depth=depth, enough=max(1, context_share * total), divergence=divergence, least=least)
+    return assemble(model.toArrow(), tree.symbols, tree.base, depth)
 
-def log_probabilities(tree: Tree, ids: np.ndarray, first: np.ndarray, base: np.ndarray) -> np.ndarray:
-    """Natural log of each token's probability after its longest retained suffix. base: its probability at the root.
+
+def log_probabilities(tree: Tree, ids: np.ndarray, first: np.ndarray, base: np.ndarray, mass: np.ndarray | None = None) -> np.ndarray:
+    """Natural log of each token's probability after its longest retained suffix. base: its probability at the root;
+    mass: that of its symbol, from the tree if not given.
 
     After a context with total C and T explicit symbols, P(w) = (c(w) + (C + T - sum of explicit counts) *
     P(w after the suffix)) / (C + T), which sums to 1. A symbol of many words divides
@@ -234,9 +260,11 @@ def log_probabilities(tree: Tree, ids: np.ndarray, first: np.ndarray, base: np.n
     p = base.copy()
     if not tree.contexts:
         return np.log(p)
-    share = np.minimum(base / np.maximum(tree.mass[ids], 1e-300), 1.0)  # of its symbol, at the root
+    share = np.minimum(base / np.maximum(tree.mass[ids] if mass is None else mass, 1e-300), 1.0)  # of its symbol, at the root
     alive = np.ones(len(ids), dtype=bool)
     for d, codes in enumerate(tree.contexts, 1):
+        if not len(codes):
+            break
         which = find(context_codes(ids, first, end, d, tree.base), codes)
         alive &= (which >= 0) & tree.kept[d - 1][which]
         at = np.flatnonzero(alive)
@@ -252,7 +280,7 @@ def log_probabilities(tree: Tree, ids: np.ndarray, first: np.ndarray, base: np.n
     return np.log(p)
 
 
-def score(docs: DataFrame, train: Column, *, depth: int = 3, symbol_share: float = 1e-4, context_share: float = 5e-4, divergence: float = 0.02, least: int = 5, block_bytes: int = 32 << 20) -> DataFrame:
+def score(docs: DataFrame, train: Column, *, depth: int = 3, symbol_share: float = 1e-4, context_share: float = 5e-4, symbol_count: int = 100, context_count: int = 1000, divergence: float = 0.02, least: int = 5, block_bytes: int = 32 << 20) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, learned, n_tokens, n_known, train_tokens, base_score, score.
 
     The model learns from the rows for which `train` is true. The root is the add-one distribution of the
@@ -260,7 +288,11 @@ def score(docs: DataFrame, train: Column, *, depth: int = 3, symbol_share: float
     under the tree. Every word's exact count is used, so counts can be anywhere: documents are dealt over blocks of
     about block_bytes by hash, a block's distinct words are summed with those of all blocks, and each
     block gets back the counts of its own words. A block holds a bounded share of the words, a word at most one row a
-    block. Texts are shuffled once.
+    block. The tree's strings are counted and handed back in the same way.
+
+    A word or ending is a symbol if it was seen symbol_count times, a context is counted if it was seen context_count
+    times, a follower if it was seen `least` times, so the tree grows with the corpus. On a corpus so small that
+    symbol_share or context_share of its tokens is less than the count, the share holds.
 
     Null texts are empty: the end alone. No training rows: N and V are 0, every probability is 1. Rows are
     scored one by one, repeated or not. Other columns are ignored. No rows give no rows.
@@ -275,49 +307,65 @@ def score(docs: DataFrame, train: Column, *, depth: int = 3, symbol_share: float
     local = stored(dealt.mapInArrow(_count_words("learned"), "block long, word binary, n long"), "lm")
     counted = stored(local.groupBy("word").agg(F.sum("n").alias("c")), "lm")
     total, distinct = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
-    enough = max(1, total * symbol_share)
-    often = {bytes(r[0]): r[1] for r in counted.where(F.col("c") >= enough).collect()}  # at most 1 / symbol_share
+    enough = max(1, min(symbol_count, total * symbol_share))
 
-    def endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: Counter = Counter()
-        kinds: Counter = Counter()
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for word, c in zip(b.column("word").to_pylist(), b.column("c").to_pylist(), strict=True):
-                sums[ending(word)] += c
-                kinds[ending(word)] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.binary()), pa.array(list(sums.values()), pa.int64()), pa.array([kinds[w] for w in sums], pa.int64())], names=["word", "c", "kinds"])
+            names = [w if c >= enough else ending(w) for w, c in zip(b.column("word").to_pylist(), b.column("c").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("word"), b.column("c"), pa.array(names, pa.binary())], names=["word", "c", "name"])
 
-    rare = counted.where((F.col("c") > 0) & (F.col("c") < enough)).mapInArrow(endings, "word binary, c long, kinds long").groupBy("word").agg(F.sum("c").alias("c"), F.sum("kinds").alias("kinds"))
-    many = {bytes(w): (c, k) for w, c, k in rare.where(F.col("c") >= enough).collect()}  # likewise
+    words = stored(counted.mapInArrow(named, "word binary, c long, name binary"), "lm")
+    own, room = F.max(F.col("word") == F.col("name")), F.count(F.when(F.col("c") > 0, 1))
     # What a symbol has at the root; an ending also has room for one word that was never seen.
-    mass = {w: (c + 1) / (total + distinct + 1) for w, c in often.items()} | {w: (c + k + 1) / (total + distinct + 1) for w, (c, k) in many.items()}
-    often |= {w: c for w, (c, _) in many.items()}
-    tree = learn(rows.where("learned"), often, total, depth=depth, context_share=context_share, divergence=divergence, least=least)
-    tree.mass = np.array([max(1 - sum(mass.values()), 1 / (total + distinct + 1)), *(mass[w] for w in tree.symbols)])
-    for f, c, t in zip(tree.follow, tree.counts, tree.contexts, strict=True):
-        tree.explicit.append(np.bincount(f // tree.base, weights=c, minlength=len(t)))
-    here = local.select("block", "word").join(counted, "word")
+    symbols = words.groupBy("name").agg(F.sum("c").alias("often"), F.when(own, F.lit(0)).otherwise(room).alias("room")).where(F.col("often") >= enough)
+    symbols = stored(symbols.select("name", F.xxhash64("name").alias("sym"), "often", ((F.col("often") + F.col("room") + 1) / F.lit(total + distinct + 1)).alias("mass")), "lm")
+    named_mass, named_tokens = symbols.agg(F.coalesce(F.sum("mass"), F.lit(0.0)), F.coalesce(F.sum("often"), F.lit(0))).first()
+    left_mass, left = max(1 - named_mass, 1 / (total + distinct + 1)), total - named_tokens
+    words = words.join(symbols, "name", "left").select("word", "c", F.coalesce("sym", F.lit(0)).alias("sym"), F.coalesce("often", F.lit(left)).alias("often"), F.coalesce("mass", F.lit(left_mass)).alias("mass"))
+    words = stored(words, "lm")
+    last = words.where(F.col("word") == F.lit(END)).select("sym").first()
+    end = last[0] if last else 0
+    here = local.select("block", "word").join(words, "word")
+
+    def encode(left: pa.Table, right: pa.Table) -> pa.Table:
+        place = {w: i for i, w in enumerate(right.column("word").to_pylist())}
+        seen = right.column("c").to_numpy()
+        root = np.log10((seen + 1) / (total + distinct + 1))
+        n, known, base, held = [], [], [], []
+        for t in left.column("text").to_pylist():
+            at = np.fromiter(map(place.__getitem__, tokens(t)), dtype=np.int32)
+            n.append(len(at))
+            known.append(int((seen[at] > 0).sum()))
+            base.append(float(root[at].sum()))
+            held.append(at.tobytes())
+        void = pa.nulls(len(n), pa.binary())
+        block = left.column("block")
+        docs = pa.table([left.column("doc_id"), block, left.column("learned"), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(held, pa.binary()), void, void, void, void], names=["doc_id", "block", *(c.split()[0] for c in ENCODED.split(", "))])
+        table = _word_row(block[0].as_py(), docs.schema, right.column("sym").to_numpy(), seen, right.column("mass").to_numpy(), right.column("often").to_numpy())
+        return pa.concat_tables([docs, table])
+
+    encoded = stored(dealt.groupBy("block").cogroup(here.groupBy("block")).applyInArrow(encode, f"doc_id {kind}, block long, {ENCODED}"), "lm")
+    forget(local, counted)
+    reclaim(docs.sparkSession)
+    roots = symbols.select(F.col("sym").alias("nxt"), (F.col("often") / F.lit(max(total, 1))).alias("p")).unionByName(docs.sparkSession.createDataFrame([(0, left / max(total, 1))], "nxt long, p double").where("p > 0"))
+    if total:
+        model = grow(encoded, roots, base=WRAP, end=end, depth=depth, enough=max(1, min(context_count, context_share * total)), divergence=divergence, least=least)
+    else:
+        model = docs.sparkSession.createDataFrame([], MODEL)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        word_list = right.column("word").to_pylist()
-        place = {w: i for i, w in enumerate(word_list)}
-        known = Symbols(tree.symbols)
-        symbol = np.fromiter((known[w] for w in word_list), dtype=np.int64, count=len(word_list))
-        count = right.column("c").to_numpy()
-        out: list[list[np.ndarray]] = [[], [], [], []]
-        for part in portions(left.column("text").to_pylist()):
-            row, n = array("q"), []
-            for t in part:
-                row.extend(map(place.__getitem__, tokens(t)))
-                n.append(len(row))
-            at = np.frombuffer(row, dtype=np.int64)
-            n = np.diff(np.array(n, dtype=np.int64), prepend=0)
-            ids, c, first = symbol[at], count[at], np.repeat(np.cumsum(n) - n, n)
-            base = (c + 1) / (total + distinct + 1)
-            starts = np.cumsum(n) - n
-            for col, x in zip(out, (n, np.add.reduceat((c > 0).astype(np.int64), starts), np.add.reduceat(np.log10(base), starts), np.add.reduceat(log_probabilities(tree, ids, first, base), starts) / np.log(10)), strict=True):
-                col.append(x)
-        n, known, base, model = (np.concatenate(x) if x else np.zeros(0) for x in out)
-        return pa.table([left.column("doc_id"), left.column("learned"), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(np.full(len(n), total), pa.int64()), pa.array(base, pa.float64()), pa.array(model, pa.float64())], names=["doc_id", "learned", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    return dealt.groupBy("block").cogroup(here.groupBy("block")).applyInArrow(run, f"doc_id {kind}, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        rows, words, at, first, n = _unpack(left)
+        tree = assemble(right, {END: end}, WRAP, depth)
+        out = np.zeros(len(at))
+        cut = np.cumsum(n)
+        start, a = 0, 0
+        while a < len(n):  # a run of documents of about a million tokens at a time
+            b = max(a + 1, int(np.searchsorted(cut, start + (1 << 20), side="right")))
+            part = slice(start, int(cut[b - 1]))
+            w = at[part]
+            out[part] = log_probabilities(tree, words["sym"][w], first[part] - start, (words["seen"][w] + 1) / (total + distinct + 1), words["mass"][w])
+            start, a = part.stop, b
+        model = np.add.reduceat(out, cut - n) / np.log(10)
+        return pa.table([*(rows.column(c) for c in ("doc_id", "learned", "n_tokens", "n_known")), pa.array(np.full(len(n), total), pa.int64()), rows.column("base_score"), pa.array(model, pa.float64())], names=["doc_id", "learned", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return encoded.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(run, f"doc_id {kind}, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -370,6 +370,18 @@ def test_contexts_of_three_words_count(spark):
     assert got[-1] > got[-2] + 1  # only the word three places before tells x from y
 
 
+def test_tree_grows_with_the_corpus(spark):
+    """A context of 1200 occurrences counts however much other text there is."""
+    rng = random.Random(4)
+    runs = [f"{a} {dict(p='x', q='y')[a]}" for a in (rng.choice("pq") for _ in range(2400))]
+    other = " ".join(f"z{i % 200}" for i in range(30_000))
+    rows = [(i, " ".join(runs[i : i + 100]), None, None) for i in range(0, 2400, 100)] + [(10_000 + i, other, None, None) for i in range(100)]
+    docs = frame(spark, rows + [(-1, "p x", None, None), (-2, "p y", None, None)])
+    got = {r.doc_id: r for r in suffix_tree.score(docs, F.col("doc_id") >= 0).where("doc_id < 0").collect()}
+    assert got[-1].train_tokens * 5e-4 > 1500  # less than a share that was asked for once
+    assert got[-1].score > got[-2].score + 1
+
+
 def test_grades(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rated = quality.ratings(spark.read.parquet(f"{sf}/labels.parquet"))

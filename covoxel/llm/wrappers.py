@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import unescape
 
 import numpy as np
@@ -58,6 +58,7 @@ class Page:
 
     def __init__(self, html: str | None):
         self.blocks: list[tuple[str, str, int]] = []  # path, text, characters inside links
+        self.owners: list[list] = []  # the skeleton's node of each block
         self.skeleton = ["html", []]
         stack, nodes = ["html"], [self.skeleton]
         text: list[str] = []
@@ -71,6 +72,7 @@ class Page:
             said = " ".join("".join(text).split())
             if said:
                 self.blocks.append((path, said, min(linked, len(said))))
+                self.owners.append(nodes[-1])
             text, linked, link = [], 0, False
             mute.clear()
 
@@ -214,9 +216,89 @@ def expression(items: list) -> str:
     return "".join(out)
 
 
+class Automaton:
+    """The elements of one list of items in order, and which may follow which: what reads a row of elements."""
+
+    def __init__(self, items: list):
+        self.places: list[tuple[str, Automaton]] = []
+        self.after: list[dict[str, list[int]]] = []
+        first, last, _ = self._build(items)
+        self.first: dict[str, list[int]] = {}
+        for q in first:
+            self.first.setdefault(self.places[q][0], []).append(q)
+        self.last = set(last)
+
+    def _build(self, items: list) -> tuple[list[int], list[int], bool]:
+        first, last, empty = [], [], True
+        for label, kids, optional, repeated in items:
+            if label == "()":
+                f, l, e = self._build(kids)
+            else:
+                f, l, e = [len(self.places)], [len(self.places)], False
+                self.places.append((label, Automaton(kids)))
+                self.after.append({})
+            for x in [*last, *(l if repeated else [])]:
+                for q in f:
+                    known = self.after[x].setdefault(self.places[q][0], [])
+                    if q not in known:
+                        known.append(q)
+            e = e or optional
+            first = first + f if empty else first
+            last = l + last if e else l
+            empty = empty and e
+        return first, last, empty
+
+    def read(self, labels: list[str]) -> list[int]:
+        """The item that each element is an instance of. Where the expression has no such element next, reading
+        goes on from the first item of that name, -1 if there is none."""
+        out = [-1] * len(labels)
+        steps: list[tuple[int, dict[int, int]]] = []
+
+        def settle() -> None:
+            if steps:
+                q = next((q for q in steps[-1][1] if q in self.last), next(iter(steps[-1][1])))
+                for i, back in reversed(steps):
+                    out[i] = q
+                    q = back[q]
+                steps.clear()
+
+        front: dict[int, int] | None = None
+        for i, label in enumerate(labels):
+            fresh: dict[int, int] = {}
+            if front is None:
+                fresh = {q: -1 for q in self.first.get(label, ())}
+            else:
+                for x in front:
+                    for q in self.after[x].get(label, ()):
+                        fresh.setdefault(q, x)
+            if not fresh:
+                q = next((k for k, place in enumerate(self.places) if place[0] == label), -1)
+                if q < 0:
+                    continue
+                settle()
+                fresh = {q: -1}
+            front = fresh
+            steps.append((i, fresh))
+        settle()
+        return out
+
+    def slots(self, page: Page) -> list[str]:
+        """The text slot of each block: its path, and the items on the way to it."""
+        where: dict[int, str] = {}
+
+        def walk(node: list, items: Automaton | None, at: str) -> None:
+            where[id(node)] = at
+            places = items.read([k[0] for k in node[1]]) if items else [-1] * len(node[1])
+            for kid, q in zip(node[1], places, strict=True):
+                walk(kid, items.places[q][1] if q >= 0 else None, f"{at}.{q}")
+
+        walk(page.skeleton, self, "")
+        return [f"{path}\n{where[id(node)]}" for (path, _, _), node in zip(page.blocks, page.owners, strict=True)]
+
+
 class Wrapper:
-    """What the pages of a host have in common: the grammar of their elements, and for each text slot (path)
-    its pages, characters, characters in links, and least and greatest hash of a page's text there."""
+    """What the pages of a host have in common: the grammar of their elements, and for each text slot (an element
+    of the grammar) its pages, characters, characters in links, and least and greatest hash of a page's text there."""
 
     def __init__(self, pages: int = 0, grammar: list | None = None, slots: dict | None = None):
         self.pages, self.grammar, self.slots = pages, grammar, slots or {}
@@ -228,14 +310,17 @@ class Wrapper:
             self.grammar = items if self.grammar is None else merge(self.grammar, items)
             if len(self.seen) < 10_000:  # a memory of what needs no second alignment
                 self.seen.add(sign)
+        self.pages += 1
+
+    def fill(self, page: Page, items: Automaton) -> None:
+        """Add what a page holds in the slots of the finished grammar."""
         here: dict[str, list] = {}
-        for path, said, linked in page.blocks:
-            s = here.setdefault(path, [1, 0, 0, 0, 0])
+        for slot, (_, said, linked) in zip(items.slots(page), page.blocks, strict=True):
+            s = here.setdefault(slot, [1, 0, 0, 0, 0])
             s[1] += len(said)
             s[2] += linked
             s[3] = s[4] = zlib.crc32(said.encode("utf-8", "replace"), s[3])
         self.merge_slots(here)
-        self.pages += 1
 
     def merge_slots(self, other: dict[str, list]) -> None:
         for path, s in other.items():
@@ -258,19 +343,23 @@ class Wrapper:
     def main_slots(self) -> set[str]:
         """The slots that hold the article.
 
-        Slots inside elements that by name, role or class aren't article are out. Of the others, those in
+        Slots are told apart by the alignment. Those with the same text on all pages that have them are the template,
+        not data, and out, if these are five pages and half of the host's or more, and other slots vary.
+        Slots inside elements that by name, role or class aren't article are out, too. Of the others, those in
         article elements count; failing these, in main elements; failing these, in the element by class or id
-        word with most text; failing all, the body's without lists of links and, where other slots vary, without
-        those whose text is the same on all of five pages or more.
+        word with most text; failing all, the body's without lists of links.
         """
-        fair = {p: s for p, s in self.slots.items() if not any(_not_main(x, p) for x in p.split("/"))}
+        path = lambda slot: slot.partition("\n")[0]
+        varied = any(s[3] != s[4] for s in self.slots.values())
+        data = {p: s for p, s in self.slots.items() if not (varied and s[0] >= 5 and 2 * s[0] >= self.pages and s[3] == s[4])}
+        fair = {p: s for p, s in data.items() if not any(_not_main(x, path(p)) for x in path(p).split("/"))}
         for wanted in (lambda x: x.partition(".")[0] == "article" or ".i:articlebody" in x.lower() or ".r:article" in x, lambda x: x.partition(".")[0] == "main" or ".r:main" in x):
-            inside = {p for p in fair if any(wanted(x) for x in p.split("/"))}
+            inside = {p for p in fair if any(wanted(x) for x in path(p).split("/"))}
             if inside:
                 return inside
         tops: dict[str, int] = {}
         for p, s in fair.items():
-            parts = p.split("/")
+            parts = path(p).split("/")
             for k, x in enumerate(parts):
                 if x.partition(".")[0] in ("div", "section", "td") and _words(x) & MAIN_WORDS:
                     top = "/".join(parts[: k + 1])
@@ -278,9 +367,8 @@ class Wrapper:
         whole = sum(s[1] - s[2] for s in fair.values())
         good = sorted((t for t, n in tops.items() if 2 * n >= whole > 0), key=lambda t: (-t.count("/"), t))
         if good:
-            return {p for p in fair if p == good[0] or p.startswith(good[0] + "/")}
-        varied = any(s[3] != s[4] for s in fair.values())
-        return {p for p, s in fair.items() if p.startswith(("html/body", "html")) and 2 * s[2] <= s[1] and not (varied and s[0] >= 5 and s[0] == self.pages and s[3] == s[4])}
+            return {p for p in fair if path(p) == good[0] or path(p).startswith(good[0] + "/")}
+        return {p for p, s in fair.items() if 2 * s[2] <= s[1]}
 
 
 def _words(label: str) -> set[str]:
@@ -306,14 +394,16 @@ def _not_main(label: str, path: str) -> bool:
     return bool(words & NOT_MAIN_WORDS) or bool(words & HEADER_WORDS) and not in_article or any(p[2:] in NOT_MAIN_ROLES for p in label.split(".") if p[:2] == "r:")
 
 
-def extract(page: Page, slots: set[str]) -> str:
-    """The blocks in the slots, in page order. A page without any is taken as the only one of its host."""
-    said = [text for path, text, _ in page.blocks if path in slots]
+def extract(page: Page, slots: set[str], items: Automaton | None = None) -> str:
+    """The blocks in the slots of the grammar, in page order. A page without any is taken as the only one of its host."""
+    said = [text for slot, (_, text, _) in zip(items.slots(page), page.blocks, strict=True) if slot in slots] if items and slots else []
     if not said and page.blocks:
         own = Wrapper()
         own.add(page)
+        items = Automaton(own.grammar or [])
+        own.fill(page, items)
         slots = own.main_slots()
-        said = [text for path, text, _ in page.blocks if path in slots]
+        said = [text for slot, (_, text, _) in zip(items.slots(page), page.blocks, strict=True) if slot in slots]
     return "\n".join(said)
 
 
@@ -322,7 +412,8 @@ def _host() -> F.Column:
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper) for every host of pages (url, html), from all its pages.
+    """(host, wrapper) for every host of pages (url, html), from all its pages: the grammar first, then, by
+    reading every page with it, what stands in its text slots.
 
     Each task folds the pages it reads into one wrapper per host; these are joined FAN_IN at a time, level by
     level, so a hot host's pages never meet in one task, only wrappers do, whose size follows the host's
@@ -335,15 +426,35 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
         for b in batches:
             for host, html, part in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):  # noqa: B007
                 hosts.setdefault(host, Wrapper()).add(Page(html))
-        yield pa.RecordBatch.from_arrays([pa.array(list(hosts), pa.string()), pa.array([part] * len(hosts), pa.int64()), pa.array([w.dump() for w in hosts.values()], pa.string())], names=["host", "part", "wrapper"])
+        yield _rows(hosts, part)
+
+    rows = pages.select(_host().alias("host"), "html", F.spark_partition_id().cast("long").alias("part"))
+    grammars = _join(stored(rows.mapInArrow(fold, "host string, part long, wrapper string"), "wrappers"))
+    rows, held = _with_wrappers(rows, grammars)
 
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hosts: dict[str, Wrapper] = {}
+        part = 0
+        for b in batches:
+            for (_, items), host, html, part in zip(held(b), *(b.column(c).to_pylist() for c in ("host", "html", "part")), strict=True):  # noqa: B007
+                hosts.setdefault(host, Wrapper()).fill(Page(html), items)
+        yield _rows(hosts, part)
+
+    filled = _join(stored(rows.mapInArrow(fill, "host string, part long, wrapper string"), "wrappers"))
+    return grammars.join(filled.withColumnRenamed("wrapper", "filled"), "host").mapInArrow(_both, "host string, wrapper string")
+
+
+def _rows(hosts: dict[str, Wrapper], part: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(hosts), pa.string()), pa.array([part] * len(hosts), pa.int64()), pa.array([w.dump() for w in hosts.values()], pa.string())], names=["host", "part", "wrapper"])
+
+
+def _join(now: DataFrame) -> DataFrame:
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         out = Wrapper()
         for text in rows.sort_values("part")["wrapper"]:
             out.join(Wrapper.load(text))
         return pd.DataFrame({"host": rows["host"][:1], "part": rows["part"][:1] // FAN_IN, "wrapper": [out.dump()]})
 
-    now = stored(pages.select(_host().alias("host"), "html", F.spark_partition_id().cast("long").alias("part")).mapInArrow(fold, "host string, part long, wrapper string"), "wrappers")
     top = now.agg(F.max("part")).first()[0] or 0
     while True:
         now = stored(now.groupBy("host", F.floor(F.col("part") / FAN_IN).alias("g")).applyInPandas(join, "host string, part long, wrapper string"), "wrappers")
@@ -352,46 +463,70 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
         top //= FAN_IN
 
 
+def _both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        out = []
+        for one, two in zip(b.column("wrapper").to_pylist(), b.column("filled").to_pylist(), strict=True):
+            w = Wrapper.load(one)
+            w.merge_slots(Wrapper.load(two).slots)
+            out.append(w.dump())
+        yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(out, pa.string())], names=["host", "wrapper"])
+
+
+def _with_wrappers(rows: DataFrame, wrappers: DataFrame) -> tuple[DataFrame, Callable[[pa.RecordBatch], Iterator[tuple[set[str], Automaton]]]]:
+    """rows (host, html, any others) and what gives for a batch of them each row's slots and grammar.
+    wrappers: (host, wrapper as dumped)."""
+    size = wrappers.agg(F.sum(F.length("wrapper") + F.length("host"))).first()[0] or 0
+    table = dict(map(tuple, wrappers.collect())) if size <= SENT_BYTES else None
+    memo: dict[str, tuple[set[str], Automaton]] = {}
+
+    def load(text: str | None) -> tuple[set[str], Automaton]:
+        if text not in memo:
+            if len(memo) >= 1000:
+                memo.clear()
+            w = Wrapper.load(text) if text else Wrapper()
+            memo[text] = set(w.slots), Automaton(w.grammar or [])
+        return memo[text]
+
+    def held(b: pa.RecordBatch) -> Iterator[tuple[set[str], Automaton]]:
+        return map(load, (table.get(h) for h in b.column("host").to_pylist()) if table is not None else b.column("wrapper").to_pylist())
+
+    if table is None:
+        salted = wrappers.select(F.col("host").alias("__of"), "wrapper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__s"))
+        rows = rows.withColumn("__salt", F.pmod(F.xxhash64("html", "host"), F.lit(SALTS)).cast("int"))
+        rows = rows.join(salted, (F.col("host") == F.col("__of")) & (F.col("__salt") == F.col("__s"))).drop("__of", "__s", "__salt")
+    return rows, held
+
+
 def extract_main(pages: DataFrame) -> DataFrame:
     """pages (page_id, url, html, any others) without html, with text and n_chars.
 
-    Two passes over whole pages: wrappers of all hosts are inferred, then every page's blocks are kept or
-    dropped by its host's wrapper. Wrappers go to the tasks as a table if all of them together are small
-    (SENT_BYTES), else the pages are joined with them by host and salt, which splits hot hosts.
+    Three passes over whole pages: the grammars of all hosts are inferred, every page is read with its host's to
+    tell data from template, then every page's blocks are kept or dropped by slot. Wrappers go to the tasks as a table
+    if all of them together are small (SENT_BYTES), else the pages are joined with them by host and salt, which
+    splits hot hosts.
 
     Null or empty html: empty text, 0. Null urls are one host. Repeated rows are repeated. Columns named text
     or n_chars are replaced. No rows give no rows. Malformed pages are read as far as browsers do: unclosed
     elements end with their parents.
     """
-    found = infer_wrappers(pages)
-    chosen = found.mapInArrow(_choose, "host string, slots string")
-    chosen = stored(chosen, "wrappers")
+    chosen = stored(infer_wrappers(pages).mapInArrow(_choose, "host string, wrapper string"), "wrappers")
     keep = [c for c in pages.columns if c not in ("html", "text", "n_chars")]
     kinds = dict(pages.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", text string, n_chars long"
-    size = chosen.agg(F.sum(F.length("slots") + F.length("host"))).first()[0] or 0
-    table = {h: set(json.loads(s)) for h, s in chosen.collect()} if size <= SENT_BYTES else None
+    rows, held = _with_wrappers(pages.select(F.struct(*keep).alias("row"), "html", _host().alias("host")), chosen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[str, set[str]] = {}
         for b in batches:
-            last = b.column(b.num_columns - 1).to_pylist()
-            if table is None:
-                slots = [memo.setdefault(s, set(json.loads(s))) if s in memo or len(memo) < 1000 else set(json.loads(s)) for s in last]
-            else:
-                slots = [table.get(h, set()) for h in last]
-            said = [extract(Page(html), s) for html, s in zip(b.column("html").to_pylist(), slots, strict=True)]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(said, pa.string()), pa.array([len(t) for t in said], pa.int64())], names=[*keep, "text", "n_chars"])
+            said = [extract(Page(html), slots, items) for (slots, items), html in zip(held(b), b.column("html").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.column("row").flatten(), pa.array(said, pa.string()), pa.array([len(t) for t in said], pa.int64())], names=[*keep, "text", "n_chars"])
 
-    rows = pages.select(*keep, "html", _host().alias("__host"))
-    if table is None:
-        salted = chosen.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed("host", "__of").withColumnRenamed("__salt", "__s")
-        rows = rows.withColumn("__salt", F.pmod(F.xxhash64("html", "url"), F.lit(SALTS)).cast("int"))
-        rows = rows.join(salted, (F.col("__host") == F.col("__of")) & (F.col("__salt") == F.col("__s"))).select(*keep, "html", "slots")
     return rows.mapInArrow(run, schema)
 
 
 def _choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Wrappers with the chosen slots alone."""
     for b in batches:
-        slots = [json.dumps(sorted(Wrapper.load(w).main_slots())) for w in b.column("wrapper").to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(slots, pa.string())], names=["host", "slots"])
+        loaded = [Wrapper.load(w) for w in b.column("wrapper").to_pylist()]
+        out = [Wrapper(w.pages, w.grammar, {p: w.slots[p] for p in sorted(w.main_slots())}).dump() for w in loaded]
+        yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(out, pa.string())], names=["host", "wrapper"])

@@ -438,6 +438,14 @@ def test_extraction_without_article_elements():
     assert wrappers.extract(wrappers.Page(html), set()) == "Head\nText one, long enough.\nText two"
 
 
+def test_the_alignment_tells_template_from_data(spark):
+    """Notice and text have the same path on unmarked pages; only their places in the grammar differ."""
+    page = "<body><p>Our usual notice.<h2>Head {i}</h2>{paras}<table><tr><td>Imprint</table></body>"
+    rows = [(i, f"http://plain.org/{i}", page.format(i=i, paras="".join(f"<p>Text {i} {j}." for j in range(1 + i % 3)))) for i in range(12)]
+    out = wrappers.extract_main(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    assert {r.page_id: r.text for r in out} == {i: "\n".join([f"Head {i}", *(f"Text {i} {j}." for j in range(1 + i % 3))]) for i in range(12)}
+
+
 def test_alignment_makes_optional_and_repeated_items():
     def grammar(h):
         return wrappers.items_of(wrappers.Page(h).skeleton)

@@ -37,16 +37,20 @@ def remove_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: that with the least doc_id, and of rows that repeat
-    it the one with the least text. Documents without an id stay."""
-    groups = stored(jaccard_classes(docs, words=5, percent=80).where("doc_id is not null and component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct(), "pipeline")
-    left = docs.join(groups, F.col("doc_id") == F.col("__gone"), "left_anti")
+    it the one with the least text. Rows that repeat an id with unlike texts are documents of their own. Documents
+    without an id stay."""
     twice = stored(docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("__twice")).count().where("count > 1").select("__twice"), "pipeline")
     if twice.isEmpty():
-        return left
+        groups = stored(jaccard_classes(docs, words=5, percent=80).where("doc_id is not null and component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct(), "pipeline")
+        return docs.join(groups, F.col("doc_id") == F.col("__gone"), "left_anti")
+    keyed = docs.withColumn("__key", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
+    groups = stored(jaccard_classes(keyed.select(F.col("__key").alias("doc_id"), "text"), words=5, percent=80).where("doc_id is not null").select(F.col("doc_id").alias("__key"), F.col("component_id").alias("__group")).distinct(), "pipeline")
+    first = keyed.select("__key", "doc_id", "text").join(groups, "__key").groupBy("__group").agg(F.min(F.struct("doc_id", "text", "__key")).alias("x"))
+    first = stored(first.select("x.__key"), "pipeline")
+    left = keyed.where("doc_id is null").unionByName(keyed.join(first, "__key", "left_semi"))
     again = left.join(twice, F.col("doc_id") == F.col("__twice"), "left_semi")
-    first = again.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("x"))
-    once = first.select(*[F.col(c) if c == "doc_id" else F.col(f"x.`{c}`").alias(c) for c in docs.columns])
-    return left.join(twice, F.col("doc_id") == F.col("__twice"), "left_anti").unionByName(once)
+    once = again.groupBy("__key").agg(F.min(F.struct(*docs.columns)).alias("x")).select("x.*")
+    return left.join(twice, F.col("doc_id") == F.col("__twice"), "left_anti").drop("__key").unionByName(once)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

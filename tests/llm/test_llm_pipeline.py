@@ -48,6 +48,13 @@ def test_stages_keep_columns_and_take_effect(spark, sf, docs):
     assert max(r["count"] for r in mixed.where("doc_id < 1000000").groupBy("doc_id").count().collect()) <= 3
 
 
+def test_unlike_texts_with_one_id_stay(spark, sf):
+    other = LONG.replace("line", "verse").replace("alpha", "delta").replace("beta", "zeta").replace("gamma", "eta")
+    rows = [(1, LONG, "en", "x", 1), (1, other, "en", "x", 1), (1, LONG + " end", "en", "x", 1), (1, other, "en", "x", 1), (2, other, "en", "x", 1), (3, "short", "en", "x", 1), (None, LONG, "en", "x", 1)]
+    once = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, DOCS), sf)
+    assert sorted((r.doc_id or 0, r.text) for r in once.collect()) == sorted([(0, LONG), (1, LONG), (1, other), (3, "short")])
+
+
 def test_run(spark, sf, tmp_path, docs):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "jaccard_join", "mixing", "packing"]

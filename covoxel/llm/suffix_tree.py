@@ -2,370 +2,375 @@
 
 from __future__ import annotations
 
-import functools
-from collections import Counter
+import hashlib
+import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, reclaim, stored
+from .common import forget, reclaim, slices, stored, trim
 
 #: The end of a document as a word; no word holds a line end.
 END = b"\n"
+#: Bytes of a text that are words at a time, and words whose numbers a worker remembers. They change no result.
+PIECE, REMEMBERED = 1 << 20, 1_000_000
+#: Divergences are summed as whole numbers of this part of a nat, so that no order of rows changes them.
+UNIT = float(1 << 32)
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+#: Odd multipliers: a string's number is that of its last word and multiples of those before it.
+_TIMES = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
 
 def tokens(text: str | None) -> list[bytes]:
     """A-Z lowered, words between ASCII white space, then the end."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    words.append(END)
-    return words
+    return [w for part in _words(text) for w in part]
 
 
-def ending(word: bytes) -> bytes:
-    """The class of a word that is too rare to be a symbol: the last two bytes before closing punctuation."""
-    return b"\0" + word.rstrip(b".,;:!?|)\"'")[-2:]
+def _words(text: str | None) -> Iterator[list[bytes]]:
+    raw = (text or "").encode("utf-8", "replace")
+    at = 0
+    while at < len(raw):
+        gap = _SPACE.search(raw, at + PIECE) if at + PIECE < len(raw) else None
+        end = gap.start() if gap else len(raw)
+        yield raw[at:end].lower().split()
+        at = end
+    yield [END]
 
 
-#: The base of context codes where symbols are 64-bit hashes; codes wrap around.
-WRAP = 0x1E3779B97F4A7C15
+class _Numbers(dict):
+    """word -> 64-bit hash."""
 
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > REMEMBERED:
+            self.clear()
+        self[word] = n = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return n
 
-@dataclass
-class Tree:
-    """The contexts that passed and what may follow them.
 
-    Symbols are the words that occur often enough and the endings of the other words that do, and 0 for the rest.
-    mass: each symbol's root probability. contexts[d - 1] are contexts of d symbols, as sorted numbers in base `base`,
-    the latest symbol last; totals their counts; follow and counts the sorted numbers (place of the context, next symbol)
-    with their counts, of which a context has `types`, `explicit` in sum. A block's tree holds what occurs in the block.
-    """
+_numbers = _Numbers()
+
 
-    symbols: dict[bytes, int]
-    base: int
-    contexts: list[np.ndarray] = field(default_factory=list)
-    totals: list[np.ndarray] = field(default_factory=list)
-    follow: list[np.ndarray] = field(default_factory=list)
-    counts: list[np.ndarray] = field(default_factory=list)
-    types: list[np.ndarray] = field(default_factory=list)
-    kept: list[np.ndarray] = field(default_factory=list)
-    explicit: list[np.ndarray] = field(default_factory=list)
-    mass: np.ndarray = field(default_factory=lambda: np.ones(1))
+def packed(a: np.ndarray) -> bytes:
+    """64-bit numbers as bytes: their count, then all lowest bytes, all second ones, and so on, compressed. Small numbers take
+    a byte or so, sorted ones lose their common leading bits."""
+    planes = np.ascontiguousarray(a).view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(a).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
 
 
-def find(codes: np.ndarray, among: np.ndarray) -> np.ndarray:
-    """The place of each code in a sorted array, -1 where it is missing."""
-    if not len(among):
-        return np.full(len(codes), -1, dtype=np.int64)
-    at = np.minimum(np.searchsorted(among, codes), len(among) - 1)
-    return np.where(among[at] == codes, at, -1)
+def unpacked(b: bytes, kind: type = np.int64) -> np.ndarray:
+    n = int.from_bytes(b[:8], "little")
+    planes = pa.decompress(b[8:], decompressed_size=8 * n, codec="zstd", asbytes=True)
+    return np.frombuffer(planes, dtype=np.uint8).reshape(8, n).T.copy().view(kind).ravel()
 
 
-def histories(ids: np.ndarray, first: np.ndarray, end: int, depth: int) -> np.ndarray:
-    """For each token the symbol `depth` places before it; the end's symbol before a document's start.
-    first: for each token the place of its document's first token."""
-    at = np.arange(len(ids)) - depth
-    return np.where(at >= first, ids[np.maximum(at, 0)], end)
+# What blocks and parts exchange. A block's own row (part is null) holds its documents' ids and packed arrays by name; its
+# other rows are sorted keys with a value each, for one part of the key space. kind: 0 strings, 1 contexts.
+STATE = "block long, part long, kind long, keys binary, sums binary, ids array<{}>, held map<string, binary>"
+REPLY = "block long, part long, kind long, sums binary, total long, distinct long"
 
 
-def context_codes(ids: np.ndarray, first: np.ndarray, end: int, depth: int, base: int) -> np.ndarray:
-    code = np.zeros(len(ids), dtype=np.int64)
-    for d in range(depth, 0, -1):
-        code = code * base + histories(ids, first, end, d)
-    return code
+class Block:
+    """The tokens of some documents, and what is known of the strings that end at each.
 
+    Arrays by token: n[d] is the training count of the string of the d words before the token and the token itself;
+    total(d) that of the d words alone, which is n[d - 1] one token earlier. Before a document's start stand ends.
+    """
+
+    def __init__(self, held: dict[str, bytes], parameters: Parameters):
+        self.held, self.by = held, parameters
+        self.length = unpacked(held["length"])
+        self.start = np.cumsum(self.length) - self.length
+        place = unpacked(held["place"])
+        self.words = unpacked(held["table"], np.uint64)[place]
+        self.learned = np.repeat(unpacked(held["learned"]).astype(bool), self.length)
+        self.n: list[np.ndarray] = []
+        while f"n{len(self.n)}" in held:
+            known = unpacked(held[f"n{len(self.n)}"])
+            self.n.append(known if self.n else known[place])
+        self.best = unpacked(held["best"]) if "best" in held else np.zeros(len(place), dtype=np.int64)
+
+    def before(self, a: np.ndarray, fill) -> np.ndarray:
+        """The value one token earlier, `fill` at a document's first token."""
+        out = np.empty_like(a)
+        out[1:] = a[:-1]
+        out[self.start] = fill
+        return out
+
+    @property
+    def documents(self) -> int:
+        """Documents learned from: the count of ends, and of any context of ends alone."""
+        return int(self.n[0][self.length[0] - 1]) if len(self.length) else 0
+
+    def strings(self, d: int) -> np.ndarray:
+        """The number of the string of the d words before each token and the token."""
+        end = np.uint64(_numbers[END])
+        key, history = self.words * _TIMES[0], self.words
+        for k in range(1, d + 1):
+            history = self.before(history, end)
+            key = key + history * _TIMES[k]
+        return key
+
+    def contexts(self, d: int) -> np.ndarray:
+        return self.before(self.strings(d - 1), np.uint64(d))
+
+    def total(self, d: int) -> np.ndarray:
+        return self.before(self.n[d - 1], self.documents)
+
+    def counted(self, d: int) -> np.ndarray:
+        """Tokens whose context of d words has been seen often enough."""
+        return np.flatnonzero(self.total(d) >= self.by.least)
+
+    def probabilities(self, depth: int) -> Iterator[np.ndarray]:
+        """After contexts of 0, 1, ... depth words, where counted; elsewhere as after the longest that is."""
+        p = (self.n[0] + 1) / (self.by.total + self.by.distinct + 1)
+        yield p
+        for d in range(1, depth + 1):
+            at = self.counted(d)
+            p = p.copy()
+            p[at] = (self.n[d][at] + self.by.weight * p[at]) / (self.total(d)[at] + self.by.weight)
+            yield p
+
+    def ask_strings(self, d: int) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct strings behind counted contexts of d words, sorted, with their training counts here."""
+        at = self.counted(d)
+        keys, back = np.unique(self.strings(d)[at], return_inverse=True)
+        return keys, np.bincount(back, weights=self.learned[at], minlength=len(keys)).astype(np.int64)
+
+    def hear_strings(self, d: int, sums: np.ndarray) -> np.ndarray:
+        """Takes the counts over all blocks; returns for each of ask_strings() whether this block answers for it."""
+        at = self.counted(d)
+        back = np.unique(self.strings(d)[at], return_inverse=True)[1]
+        n = np.zeros(len(self.words), dtype=np.int64)
+        n[at] = (sums >> 1)[back]
+        self.n.append(n)
+        self.held[f"n{d}"] = packed(n)
+        return (sums & 1).astype(bool)
+
+    def ask_contexts(self, d: int, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The counted contexts of d words, sorted, each with what the strings that this block answers for add to its
+        divergence: p ln(p / q) less the share of an unseen word's part, q r ln r."""
+        at = self.counted(d)
+        _, first = np.unique(self.strings(d)[at], return_index=True)
+        keys, back = np.unique(self.contexts(d)[at], return_inverse=True)
+        *_, q, p = self.probabilities(d)
+        one = first[mine & (self.n[d][at[first]] > 0)]
+        x = at[one]
+        r = self.by.weight / (self.total(d)[x] + self.by.weight)
+        adds = p[x] * np.log(p[x] / q[x]) - q[x] * r * np.log(r)
+        sums = np.zeros(len(keys), dtype=np.int64)
+        np.add.at(sums, back[one], np.rint(adds * UNIT).astype(np.int64))
+        return keys, sums
+
+    def hear_contexts(self, d: int, sums: np.ndarray) -> None:
+        """Takes the sums over all blocks: a context is retained if its divergence reaches the limit."""
+        at = self.counted(d)
+        back = np.unique(self.contexts(d)[at], return_inverse=True)[1]
+        r = self.by.weight / (self.total(d)[at] + self.by.weight)
+        kept = (sums >> 1)[back] / UNIT + r * np.log(r) >= self.by.divergence
+        self.best[at[kept]] = d
+        self.held["best"] = packed(self.best)
+
+    def scores(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By document: words known, log10 probability at the root, and after the longest retained contexts."""
+        p = np.empty(len(self.words))
+        for d, of_d in enumerate(self.probabilities(self.by.depth)):
+            at = self.best == d
+            p[at] = of_d[at]
+            if d == 0:
+                root = np.add.reduceat(np.log10(of_d), self.start)
+        return np.add.reduceat((self.n[0] > 0).astype(np.int64), self.start), root, np.add.reduceat(np.log10(p), self.start)
+
+
+class Parameters:
+    def __init__(self, depth: int, weight: float, divergence: float, least: int, parts: int):
+        if not 0 <= depth < len(_TIMES):
+            raise ValueError(f"depth lies between 0 and {len(_TIMES) - 1}")
+        self.depth, self.weight, self.divergence, self.least, self.parts = depth, float(weight), divergence, least, parts
+        self.total = self.distinct = 0
+
+
+def _rows(block: int, ids: pa.Array, held: dict[str, bytes], asked: list[tuple[int, np.ndarray, np.ndarray]], parts: int, schema: pa.Schema) -> pa.Table:
+    """A block's own row and its questions, cut by ranges of keys."""
+    kind, part, keys, values = [None], [None], [None], [None]
+    for k, key, value in asked:
+        of = (key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+        cuts = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1), len(key)]
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            if e > s:
+                kind.append(k)
+                part.append(int(of[s]))
+                keys.append(packed(key[s:e]))
+                values.append(packed(value[s:e]))
+    n = len(kind)
+    none = [None] * (n - 1)
+    cols = [[block] * n, part, kind, keys, values]
+    arrays = [pa.array(c, schema.field(i).type) for i, c in enumerate(cols)]
+    lists = pa.concat_arrays([pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.nulls(n - 1, pa.list_(ids.type))]).cast(schema.field(5).type)
+    return pa.table([*arrays, lists, pa.array([list(held.items()), *none], schema.field(6).type)], schema=schema)
+
+
+def _schema(ids: pa.DataType) -> pa.Schema:
+    long, raw = pa.int64(), pa.binary()
+    return pa.schema([("block", long), ("part", long), ("kind", long), ("keys", raw), ("sums", raw), ("ids", pa.list_(ids)), ("held", pa.map_(pa.string(), raw))])
+
+
+def _make_blocks(by: Parameters, block_bytes: int):
+    """Documents as they come, block_bytes of text or one text to a block, with the counts of their words."""
 
-def _count_words(train: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks: dict[int, tuple[Counter, Counter]] = {}
-        for b in batches:
-            for block, text, learn in zip(b.column("block").to_pylist(), b.column("text").to_pylist(), b.column(train).to_pylist(), strict=True):
-                blocks.setdefault(block, (Counter(), Counter()))[0 if learn else 1].update(tokens(text))
-        for block, (yes, no) in blocks.items():
-            words = [*yes, *(w for w in no if w not in yes)]
-            n = list(yes.values())
-            yield pa.RecordBatch.from_arrays([pa.array([block] * len(words), pa.int64()), pa.array(words, pa.binary()), pa.array(n + [0] * (len(words) - len(n)), pa.int64())], names=["block", "word", "n"])
+        at, made = TaskContext.get().partitionId(), 0
+        ids: list[pa.Array] = []
+        words: list[np.ndarray] = []
+        length: list[int] = []
+        learned: list[bool] = []
+        size = 0
+
+        def flush() -> pa.Table:
+            keys, place = np.unique(np.concatenate(words), return_inverse=True)
+            n, learn = np.array(length, dtype=np.int64), np.array(learned, dtype=np.int64)
+            here = np.bincount(place, weights=np.repeat(learn, n), minlength=len(keys)).astype(np.int64)
+            held = {"length": packed(n), "learned": packed(learn), "place": packed(place.astype(np.int64)), "table": packed(keys)}
+            every = pa.concat_arrays(ids)
+            # A key of level 0 is the word's number times _TIMES[0], as in Block.strings(); so the table is asked in that order.
+            asked = keys * _TIMES[0]
+            order = np.argsort(asked)
+            held["order"] = packed(order.astype(np.int64))
+            return _rows((at << 32) + made, every, held, [(0, asked[order], here[order])], by.parts, _schema(every.type))
+
+        for b in slices(batches):
+            for i, (text, learn) in enumerate(zip(b.column("text").to_pylist(), b.column("learned").to_pylist(), strict=True)):
+                n = 0
+                for part in _words(text):
+                    words.append(np.fromiter(map(_numbers.__getitem__, part), dtype=np.uint64, count=len(part)))
+                    n += len(part)
+                length.append(n)
+                learned.append(learn)
+                ids.append(b.column("doc_id").slice(i, 1))
+                size += len(text or "")
+                if size >= block_bytes:
+                    yield from flush().to_batches()
+                    made, size, ids, words, length, learned = made + 1, 0, [], [], [], []
+        if length:
+            yield from flush().to_batches()
+        trim()
 
     return run
 
 
-ENCODED = "learned boolean, n_tokens long, n_known long, base_score double, words binary, sym binary, seen binary, mass binary, often binary"
-STRINGS = "block long, ctx long, nxt long, n long, suf long"
-MODEL = "block long, level int, ctx long, nxt long, n long, types long, explicit long"
-
-
-def _unpack(rows: pa.Table) -> tuple[pa.Table, dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """A block's documents, its word table, its tokens as places in that, each token's first of its document, and lengths."""
-    holds = rows.column("sym").is_valid()
-    table, docs = rows.filter(holds), rows.filter(rows.column("sym").is_null())
-    words = {c: np.frombuffer(table.column(c)[0].as_py(), dtype=t) for c, t in (("sym", np.int64), ("seen", np.int64), ("mass", np.float64), ("often", np.int64))}
-    at = np.frombuffer(b"".join(docs.column("words").to_pylist()), dtype=np.int32)
-    n = docs.column("n_tokens").to_numpy()
-    return docs, words, at, np.repeat(np.cumsum(n) - n, n), n
-
-
-def _word_row(block: int, fields: pa.Schema, sym: np.ndarray, seen: np.ndarray, mass: np.ndarray, often: np.ndarray) -> pa.Table:
-    held = {"block": block, "sym": sym.astype(np.int64).tobytes(), "seen": seen.astype(np.int64).tobytes(), "mass": mass.astype(np.float64).tobytes(), "often": often.astype(np.int64).tobytes()}
-    return pa.table([pa.array([held.get(f.name)], f.type) for f in fields], schema=fields)
-
-
-def _count_strings(depth: int, base: int, end: int, enough: float):
-    """Counts of a block's strings (context of `depth` symbols, next symbol) and contexts (nxt is null)."""
-
-    def count(rows: pa.Table, candidates: np.ndarray | None) -> pa.Table:
-        docs, words, at, first, n = _unpack(rows)
-        block = rows.column("block")[0].as_py()
-        if candidates is None:
-            candidates = words["sym"][words["often"] >= enough]
-        names, dense = np.unique(words["sym"], return_inverse=True)
-        ids = words["sym"][at]
-        code = context_codes(ids, first, end, depth, base)
-        candidates = np.unique(candidates)
-        which = find(code, candidates)
-        ok = np.flatnonzero(which >= 0)
-        which = which[ok]
-        suf = np.zeros(len(candidates), dtype=np.int64)
-        suf[which] = context_codes(ids, first, end, depth - 1, base)[ok]
-        learned = np.repeat(docs.column("learned").to_numpy(zero_copy_only=False).astype(bool), n)[ok]
-        pairs, back = np.unique(which * len(names) + dense[at[ok]], return_inverse=True)
-        counts = np.bincount(back, weights=learned, minlength=len(pairs)).astype(np.int64)
-        met = np.unique(which)
-        totals = np.bincount(which, weights=learned, minlength=len(candidates)).astype(np.int64)[met]
-        void = lambda k: pa.nulls(k, pa.int64())
-        cols = [
-            pa.array(np.full(len(pairs) + len(met), block)),
-            pa.array(np.concatenate([candidates[pairs // len(names)], candidates[met]])),
-            pa.concat_arrays([pa.array(names[pairs % len(names)]), void(len(met))]),
-            pa.array(np.concatenate([counts, totals])),
-            pa.concat_arrays([void(len(pairs)), pa.array(suf[met])]),
-        ]
-        return pa.table(cols, names=["block", "ctx", "nxt", "n", "suf"])
-
-    def first_level(rows: pa.Table) -> pa.Table:
-        return count(rows, None)
-
-    def next_level(rows: pa.Table, codes: pa.Table) -> pa.Table:
-        return count(rows, codes.column("code").to_numpy())
-
-    return first_level if depth == 1 else next_level
-
-
-def grow(encoded: DataFrame, roots: DataFrame, *, base: int, end: int, depth: int, enough: float, divergence: float, least: int) -> DataFrame:
-    """The tree as a table of MODEL: for each block the counts of its own strings and contexts (nxt is null).
-
-    encoded: documents by block as ENCODED; roots: (nxt, p), each symbol's share of the training tokens. A context
-    of d symbols is counted if it was seen `enough` times (known from the strings of length d - 1). It is retained if
-    the next symbol's distribution diverges from that after its suffix: if Kullback-Leibler divergence, in nats, is
-    `divergence` or more, or if a longer retained context ends in it. Strings seen fewer than `least` times count as
-    not seen. All counts are tables, joined by block; nothing comes to the driver.
-    """
-    spark = encoded.sparkSession
-    levels: list[tuple[DataFrame, DataFrame, DataFrame]] = []
-    before = roots.select(F.lit(0).cast("long").alias("suf"), "nxt", F.col("p").alias("pp"))
-    candidates = None
-
-    def successors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("block"), pa.array(b.column("ctx").to_numpy() * base + b.column("nxt").to_numpy())], names=["block", "code"])
-
-    for d in range(1, depth + 1):
-        count = _count_strings(d, base, end, enough)
-        if candidates is None:
-            found = encoded.groupBy("block").applyInArrow(count, STRINGS)
-        else:
-            found = encoded.groupBy("block").cogroup(candidates.groupBy("block")).applyInArrow(count, STRINGS)
-        local = stored(found, "lm")
-        strings = stored(local.where("nxt is not null").groupBy("ctx", "nxt").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "lm")
-        totals = local.where("nxt is null").groupBy("ctx").agg(F.sum("n").alias("total"), F.first("suf").alias("suf"))
-        known = strings.groupBy("ctx").agg(F.count("*").alias("types"), F.sum("n").alias("explicit"))
-        zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-        contexts = stored(totals.join(known, "ctx", "left").select("ctx", "suf", "total", zero("types"), zero("explicit")).where("total > 0"), "lm")
-        rest = (F.col("total") + F.col("types") - F.col("explicit")) / (F.col("total") + F.col("types"))
-        p = F.col("n") / (F.col("total") + F.col("types")) + rest * F.col("pp")
-        after = stored(strings.join(contexts, "ctx").join(before, ["suf", "nxt"]).select("ctx", "nxt", "pp", p.alias("p")), "lm")
-        far = after.groupBy("ctx").agg(F.sum(F.expr("p * ln(p / pp)")).alias("kl"), F.sum("p").alias("held"))
-        kl = F.col("kl") + F.greatest(1 - F.col("held"), F.lit(0.0)) * F.ln(rest)
-        contexts = stored(contexts.join(far, "ctx", "left").withColumn("kept", F.coalesce(kl, F.lit(0.0)) >= divergence).drop("kl", "held"), "lm")
-        levels.append((local, strings, contexts))
-        if d < depth:
-            again = stored(strings.where(F.col("n") >= enough).select("ctx", "nxt"), "lm")
-            candidates = stored(local.where("nxt is not null").join(again, ["ctx", "nxt"]).select("block", "ctx", "nxt").mapInArrow(successors, "block long, code long"), "lm")
-            before = after.select(F.col("ctx").alias("suf"), "nxt", F.col("p").alias("pp"))
-        reclaim(spark)
-    parts, ends = [], None
-    for d in range(depth, 0, -1):  # suffixes of retained contexts are states, too
-        local, strings, contexts = levels[d - 1]
-        kept = contexts.where("kept")
-        if ends is not None:
-            kept = kept.unionByName(contexts.where("not kept").join(ends, "ctx", "left_semi"))
-        kept = stored(kept, "lm")
-        ends = stored(kept.select(F.col("suf").alias("ctx")).distinct(), "lm")
-        level, void = F.lit(d).alias("level"), F.lit(None).cast("long")
-        held = stored(strings.join(kept, "ctx", "left_semi"), "lm")
-        parts.append(local.where("nxt is not null").select("block", "ctx", "nxt").join(held, ["ctx", "nxt"]).select("block", level, "ctx", "nxt", "n", void.alias("types"), void.alias("explicit")))
-        parts.append(local.where("nxt is null").select("block", "ctx").join(kept, "ctx").select("block", level, "ctx", void.alias("nxt"), F.col("total").alias("n"), "types", "explicit"))
-        parts[-2:] = [stored(x, "lm") for x in parts[-2:]]
-        forget(local, strings)
-        reclaim(spark)
-    return functools.reduce(DataFrame.unionByName, parts)
-
-
-def assemble(model: pa.Table, symbols: dict[bytes, int], base: int, depth: int) -> Tree:
-    """The tree of the rows of grow() for one block, every string and context once."""
-    tree = Tree(symbols, base)
-    level, ctx, n = (model.column(c).to_numpy() for c in ("level", "ctx", "n"))
-    top = model.column("nxt").is_null().to_numpy()
-    nxt, types, explicit = (model.column(c).fill_null(0).to_numpy() for c in ("nxt", "types", "explicit"))
-    for d in range(1, depth + 1):
-        c, f = np.flatnonzero((level == d) & top), np.flatnonzero((level == d) & ~top)
-        c = c[np.argsort(ctx[c])]
-        follow = find(ctx[f], ctx[c]) * base + nxt[f]
-        order = np.argsort(follow)
-        for col, x in ((tree.contexts, ctx[c]), (tree.totals, n[c].astype(np.float64)), (tree.types, types[c]), (tree.explicit, explicit[c]), (tree.kept, np.ones(len(c), dtype=bool)), (tree.follow, follow[order]), (tree.counts, n[f][order])):
-            col.append(x)
-    return tree
-
-
-def learn(train: DataFrame, symbol_counts: dict[bytes, int], total: int, *, depth: int, context_share: float, divergence: float, least: int) -> Tree:
-    """The tree of a corpus with few symbols as one object, numbered from 1 by count: grow() with a single block."""
-    order = sorted(symbol_counts, key=lambda w: (-symbol_counts[w], w))
-    tree = Tree({w: i + 1 for i, w in enumerate(order)}, len(order) + 1)
-    if not total:
-        return tree
-    counts = np.array([max(total - sum(symbol_counts.values()), 0), *(symbol_counts[w] for w in order)])
-    fields = pa.schema([("block", pa.int64()), *((n, {"boolean": pa.bool_(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}[t]) for n, t in (c.split() for c in ENCODED.split(", ")))])
-
-    def run(rows: pa.Table) -> pa.Table:
-        held = [{"block": 0, "learned": True, "n_tokens": len(t), "words": np.array([tree.symbols.get(w, tree.symbols.get(ending(w), 0)) for w in t], dtype=np.int32).tobytes()} for t in map(tokens, rows.column("text").to_pylist())]
-        return pa.concat_tables([pa.Table.from_pylist(held, fields), _word_row(0, fields, np.arange(len(counts)), counts, counts / total, counts)])
-
-    encoded = stored(train.select(F.lit(0).cast("long").alias("block"), "text").groupBy("block").applyInArrow(run, f"block long, {ENCODED}"), "lm")
-    roots = train.sparkSession.createDataFrame([(i, float(c) / total) for i, c in enumerate(counts)], "nxt long, p double")
-    model = grow(encoded, roots, base=tree.base, end=tree.symbols.get(END, 0), depth=depth, enough=max(1, context_share * total), divergence=divergence, least=least)
-    return assemble(model.toArrow(), tree.symbols, tree.base, depth)
-
-
-def log_probabilities(tree: Tree, ids: np.ndarray, first: np.ndarray, base: np.ndarray, mass: np.ndarray | None = None) -> np.ndarray:
-    """Natural log of each token's probability after its longest retained suffix. base: its probability at the root;
-    mass: that of its symbol, from the tree if not given.
-
-    After a context with total C and T explicit symbols, P(w) = (c(w) + (C + T - sum of explicit counts) *
-    P(w after the suffix)) / (C + T), which sums to 1. A symbol of many words divides
-    what it gets by their root probabilities.
-    """
-    end = tree.symbols.get(END, 0)
-    p = base.copy()
-    if not tree.contexts:
-        return np.log(p)
-    share = np.minimum(base / np.maximum(tree.mass[ids] if mass is None else mass, 1e-300), 1.0)  # of its symbol, at the root
-    alive = np.ones(len(ids), dtype=bool)
-    for d, codes in enumerate(tree.contexts, 1):
-        if not len(codes):
-            break
-        which = find(context_codes(ids, first, end, d, tree.base), codes)
-        alive &= (which >= 0) & tree.kept[d - 1][which]
-        at = np.flatnonzero(alive)
-        if not len(at):
-            break
-        w = which[at]
-        k = find(w * tree.base + ids[at], tree.follow[d - 1])
-        c = np.where(k >= 0, tree.counts[d - 1][k] if len(tree.counts[d - 1]) else 0, 0).astype(np.float64)
-        c *= share[at]
-        total, types = tree.totals[d - 1][w], tree.types[d - 1][w]
-        explicit = tree.explicit[d - 1][w]
-        p[at] = (c + (total + types - explicit) * p[at]) / (total + types)
-    return np.log(p)
-
-
-def score(docs: DataFrame, train: Column, *, depth: int = 3, symbol_share: float = 1e-4, context_share: float = 5e-4, symbol_count: int = 100, context_count: int = 1000, divergence: float = 0.02, least: int = 5, block_bytes: int = 32 << 20) -> DataFrame:
-    """One row per row of docs (doc_id, text): doc_id, learned, n_tokens, n_known, train_tokens, base_score, score.
+def _sum_keys(rows: pa.Table) -> pa.Table:
+    """For one part of the key space: each key's sum over all blocks, sent back to every block that asked, doubled, plus
+    1 for the first of them."""
+    rows = rows.sort_by("block")
+    keys = [unpacked(k, np.uint64) for k in rows.column("keys").to_pylist()]
+    every, values = np.concatenate(keys), np.concatenate([unpacked(v) for v in rows.column("sums").to_pylist()])
+    order = np.argsort(every, kind="stable")
+    new = np.concatenate([[True], every[order][1:] != every[order][:-1]])
+    sums = np.add.reduceat(values[order], np.flatnonzero(new))
+    back = np.empty(len(every), dtype=np.int64)
+    back[order] = 2 * sums[np.cumsum(new) - 1] + new
+    cuts = np.cumsum([0, *map(len, keys)])
+    none = [None] * (len(keys) - 1)
+    answers = pa.array([packed(back[s:e]) for s, e in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
+    return pa.table([rows.column("block"), rows.column("part"), rows.column("kind"), answers, pa.array([int(sums.sum()), *none], pa.int64()), pa.array([int((sums > 0).sum()), *none], pa.int64())], names=["block", "part", "kind", "sums", "total", "distinct"])
+
+
+def _answers(replies: pa.Table, kind: int) -> np.ndarray:
+    mine = replies.filter(pa.compute.equal(replies.column("kind"), kind)).sort_by("part")
+    parts = [unpacked(x) for x in mine.column("sums").to_pylist()]
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
+
+
+def _hear(level: int, by: Parameters, row: pa.Table, replies: pa.Table) -> tuple[Block, list[tuple[int, np.ndarray, np.ndarray]]]:
+    """A block after a round of answers, and what it asks next."""
+    held = dict(row.column("held")[0].as_py())
+    asked = []
+    if level == 0:
+        n = np.empty(len(unpacked(held["table"])), dtype=np.int64)
+        n[unpacked(held.pop("order"))] = _answers(replies, 0) >> 1
+        held["n0"] = packed(n)
+    block = Block(held, by)
+    mine = block.hear_strings(level, _answers(replies, 0)) if 1 <= level <= by.depth else None
+    if level >= 2:
+        block.hear_contexts(level - 1, _answers(replies, 1))
+    if level < by.depth:
+        asked.append((0, *block.ask_strings(level + 1)))
+    if mine is not None:
+        asked.append((1, *block.ask_contexts(level, mine)))
+    return block, asked
+
+
+def _next_round(level: int, by: Parameters):
+    def run(row: pa.Table, replies: pa.Table) -> pa.Table:
+        block, asked = _hear(level, by, row, replies)
+        ids = row.column("ids").chunk(0).flatten()
+        return _rows(row.column("block")[0].as_py(), ids, block.held, asked, by.parts, _schema(ids.type))
+
+    return run
+
+
+def _finish(level: int, by: Parameters):
+    def run(row: pa.Table, replies: pa.Table) -> pa.Table:
+        block, _ = _hear(level, by, row, replies)
+        known, root, model = block.scores()
+        ids, learned = row.column("ids").chunk(0).flatten(), pa.array(unpacked(block.held["learned"]).astype(bool))
+        cols = [ids, learned, pa.array(block.length), pa.array(known), pa.array(np.full(len(known), by.total)), pa.array(root), pa.array(model)]
+        return pa.table(cols, names=["doc_id", "learned", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return run
 
-    The model learns from the rows for which `train` is true. The root is the add-one distribution of the
-    training tokens' words: (c + 1) / (N + V + 1); base_score is a text's log10 probability under it, score
-    under the tree. Every word's exact count is used, so counts can be anywhere: documents are dealt over blocks of
-    about block_bytes by hash, a block's distinct words are summed with those of all blocks, and each
-    block gets back the counts of its own words. A block holds a bounded share of the words, a word at most one row a
-    block. The tree's strings are counted and handed back in the same way.
 
-    A word or ending is a symbol if it was seen symbol_count times, a context is counted if it was seen context_count
-    times, a follower if it was seen `least` times, so the tree grows with the corpus. On a corpus so small that
-    symbol_share or context_share of its tokens is less than the count, the share holds.
+def score(docs: DataFrame, train: Column, *, depth: int = 3, weight: float = 60.0, divergence: float = 0.02, least: int = 2, block_bytes: int = 12 << 20) -> DataFrame:
+    """One row per row of docs (doc_id, text): doc_id, learned, n_tokens, n_known, train_tokens, base_score, score.
 
-    Null texts are empty: the end alone. No training rows: N and V are 0, every probability is 1. Rows are
-    scored one by one, repeated or not. Other columns are ignored. No rows give no rows.
+    The model learns from the rows for which `train` is true. Its root is the add-one distribution of the training tokens'
+    words, (c + 1) / (N + V + 1); base_score is a text's log10 probability under it. Contexts are the last 1 to `depth`
+    words; before a text's start stand ends. Those that were seen `least` times or more are counted (the default leaves out only
+    those seen once, which tell nothing that their one occurrence doesn't), with every word that followed. After
+    a counted context that was seen C times, P(w) = (c(w) + weight * P(w after the context's last words but one)) / (C + weight):
+    smoothed by the next shorter context, down to the root, it sums to 1. A context is retained if the Kullback-Leibler divergence
+    of this distribution from the next shorter one's, over all words, is `divergence` nats or more. score is the text's log10
+    probability, each word's taken after the longest retained context that it follows. Counts are exact and of whole
+    texts; the tree has no bound but the corpus, and grows with it.
+
+    How: tokens become 64-bit hashes in blocks of about block_bytes of text. In each round every block sends the distinct
+    strings that end in its tokens, sorted, with their training counts, one row for each part of the key space; each part sums them and
+    sends the sums back, and so each block knows the counts of the tree's nodes that it meets, and no other. A string is asked for
+    only if its context was seen often enough, as the round before told. The divergence of a context is summed in the
+    same way, from terms that only the first block holding a string adds. A block sends a key once, so a frequent word, line or
+    document is no hot key; parts cut the key space evenly. Texts are read once and never shuffled; nothing but N and V comes to
+    the driver. Memory of a task: one block, or one part's keys. Each round is written to the shared folder.
+
+    Null texts are empty: the end alone. No training rows: N and V are 0, every probability is 1. Rows are scored one by
+    one, repeated or not; ties have no meaning here. A very long text is a block of its own, made words piece by piece. Other
+    columns are ignored, whatever their names. No rows give no rows.
     """
+    spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(train, F.lit(False)).alias("learned"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // block_bytes))
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks))
-    dealt = rows.withColumn("block", block).repartition(n_blocks, "block")
-
-    local = stored(dealt.mapInArrow(_count_words("learned"), "block long, word binary, n long"), "lm")
-    counted = stored(local.groupBy("word").agg(F.sum("n").alias("c")), "lm")
-    total, distinct = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
-    enough = max(1, min(symbol_count, total * symbol_share))
-
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            names = [w if c >= enough else ending(w) for w, c in zip(b.column("word").to_pylist(), b.column("c").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("word"), b.column("c"), pa.array(names, pa.binary())], names=["word", "c", "name"])
-
-    words = stored(counted.mapInArrow(named, "word binary, c long, name binary"), "lm")
-    own, room = F.max(F.col("word") == F.col("name")), F.count(F.when(F.col("c") > 0, 1))
-    # What a symbol has at the root; an ending also has room for one word that was never seen.
-    symbols = words.groupBy("name").agg(F.sum("c").alias("often"), F.when(own, F.lit(0)).otherwise(room).alias("room")).where(F.col("often") >= enough)
-    symbols = stored(symbols.select("name", F.xxhash64("name").alias("sym"), "often", ((F.col("often") + F.col("room") + 1) / F.lit(total + distinct + 1)).alias("mass")), "lm")
-    named_mass, named_tokens = symbols.agg(F.coalesce(F.sum("mass"), F.lit(0.0)), F.coalesce(F.sum("often"), F.lit(0))).first()
-    left_mass, left = max(1 - named_mass, 1 / (total + distinct + 1)), total - named_tokens
-    words = words.join(symbols, "name", "left").select("word", "c", F.coalesce("sym", F.lit(0)).alias("sym"), F.coalesce("often", F.lit(left)).alias("often"), F.coalesce("mass", F.lit(left_mass)).alias("mass"))
-    words = stored(words, "lm")
-    last = words.where(F.col("word") == F.lit(END)).select("sym").first()
-    end = last[0] if last else 0
-    here = local.select("block", "word").join(words, "word")
-
-    def encode(left: pa.Table, right: pa.Table) -> pa.Table:
-        place = {w: i for i, w in enumerate(right.column("word").to_pylist())}
-        seen = right.column("c").to_numpy()
-        root = np.log10((seen + 1) / (total + distinct + 1))
-        n, known, base, held = [], [], [], []
-        for t in left.column("text").to_pylist():
-            at = np.fromiter(map(place.__getitem__, tokens(t)), dtype=np.int32)
-            n.append(len(at))
-            known.append(int((seen[at] > 0).sum()))
-            base.append(float(root[at].sum()))
-            held.append(at.tobytes())
-        void = pa.nulls(len(n), pa.binary())
-        block = left.column("block")
-        docs = pa.table([left.column("doc_id"), block, left.column("learned"), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(held, pa.binary()), void, void, void, void], names=["doc_id", "block", *(c.split()[0] for c in ENCODED.split(", "))])
-        table = _word_row(block[0].as_py(), docs.schema, right.column("sym").to_numpy(), seen, right.column("mass").to_numpy(), right.column("often").to_numpy())
-        return pa.concat_tables([docs, table])
-
-    encoded = stored(dealt.groupBy("block").cogroup(here.groupBy("block")).applyInArrow(encode, f"doc_id {kind}, block long, {ENCODED}"), "lm")
-    forget(local, counted)
-    reclaim(docs.sparkSession)
-    roots = symbols.select(F.col("sym").alias("nxt"), (F.col("often") / F.lit(max(total, 1))).alias("p")).unionByName(docs.sparkSession.createDataFrame([(0, left / max(total, 1))], "nxt long, p double").where("p > 0"))
-    if total:
-        model = grow(encoded, roots, base=WRAP, end=end, depth=depth, enough=max(1, min(context_count, context_share * total)), divergence=divergence, least=least)
-    else:
-        model = docs.sparkSession.createDataFrame([], MODEL)
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows, words, at, first, n = _unpack(left)
-        tree = assemble(right, {END: end}, WRAP, depth)
-        out = np.zeros(len(at))
-        cut = np.cumsum(n)
-        start, a = 0, 0
-        while a < len(n):  # a run of documents of about a million tokens at a time
-            b = max(a + 1, int(np.searchsorted(cut, start + (1 << 20), side="right")))
-            part = slice(start, int(cut[b - 1]))
-            w = at[part]
-            out[part] = log_probabilities(tree, words["sym"][w], first[part] - start, (words["seen"][w] + 1) / (total + distinct + 1), words["mass"][w])
-            start, a = part.stop, b
-        model = np.add.reduceat(out, cut - n) / np.log(10)
-        return pa.table([*(rows.column(c) for c in ("doc_id", "learned", "n_tokens", "n_known")), pa.array(np.full(len(n), total), pa.int64()), rows.column("base_score"), pa.array(model, pa.float64())], names=["doc_id", "learned", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    return encoded.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(run, f"doc_id {kind}, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // block_bytes))
+    by = Parameters(depth, weight, divergence, least, parts)
+    state_row, out_row = STATE.format(kind), f"doc_id {kind}, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+    now = stored(rows.mapInArrow(_make_blocks(by, block_bytes), state_row), "lm")
+    for level in range(by.depth + 2):
+        asked = now.where("part is not null").select("block", "part", "kind", "keys", "sums")
+        replies = stored(asked.repartition(parts, "part", "kind").groupBy("part", "kind").applyInArrow(_sum_keys, REPLY), "lm")
+        reclaim(spark)  # the questions' shuffle
+        if level == 0:
+            total, distinct = replies.agg(F.sum("total"), F.sum("distinct")).first()
+            by.total, by.distinct = total or 0, distinct or 0
+        own = now.where("part is null").select("block", "ids", "held").repartition(parts, "block").groupBy("block")
+        back = replies.select("block", "part", "kind", "sums").repartition(parts, "block").groupBy("block")
+
+        if level == max(by.depth + 1, 1) or by.depth == 0:
+            return own.cogroup(back).applyInArrow(_finish(level, by), out_row)
+        before, now = now, stored(own.cogroup(back).applyInArrow(_next_round(level, by), state_row), "lm")
+        forget(before, replies)
+        reclaim(spark)
+    raise AssertionError("the last round returns")

@@ -346,40 +346,75 @@ def test_scores_are_exact_at_the_root_and_proper(spark, sf):
     assert suffix_tree.score(docs, F.lit(False)).agg(F.sum("base_score"), F.sum("train_tokens")).first() == (0, 0)
 
 
-def test_tree_probabilities_sum_to_one(spark):
-    text = " ".join(["a b", "a c", "b a b", "c c a"] * 40)
-    docs = frame(spark, [(i, text, None, None) for i in range(3)])
-    c = collections.Counter(w for t in [text] * 3 for w in suffix_tree.tokens(t))
-    tree = suffix_tree.learn(docs, dict(c), sum(c.values()), depth=2, context_share=0.01, divergence=0.001, least=1)
-    assert tree.kept[0].any()
-    tree.mass = np.array([1e-9, *(c[w] / sum(c.values()) for w in tree.symbols)])
-    tree.explicit = [np.bincount(f // tree.base, weights=n, minlength=len(k)) for f, n, k in zip(tree.follow, tree.counts, tree.contexts)]
-    for history in ([1, 2], [2, 1], [1, 1], [3, 2]):
-        p = 0.0
-        for w in range(1, tree.base):
-            ids = np.array([*history, w])
-            p += math.exp(suffix_tree.log_probabilities(tree, ids, np.zeros(3, dtype=np.int64), tree.mass[ids])[-1])
-        assert p == pytest.approx(1, abs=1e-6)
-
-
-def test_contexts_of_three_words_count(spark):
-    rng = random.Random(3)
-    runs = [" ".join([a, "m", "n", {"p": "x", "q": "y"}[a]]) for a in (rng.choice("pq") for _ in range(2000))]
-    docs = frame(spark, [(i, " ".join(runs[i : i + 100]), None, None) for i in range(0, 2000, 100)] + [(-1, "p m n x", None, None), (-2, "p m n y", None, None)])
-    got = {r.doc_id: r.score for r in suffix_tree.score(docs, F.col("doc_id") >= 0).collect()}
-    assert got[-1] > got[-2] + 1  # only the word three places before tells x from y
-
-
-def test_tree_grows_with_the_corpus(spark):
-    """A context of 1200 occurrences counts however much other text there is."""
+def naive_tree(rows, train, depth, weight, divergence, least=2):
+    """Scores by the definition: every context of the learned texts, every distribution over all words."""
+    toks = {i: suffix_tree.tokens(t) for i, t in rows.items()}
+    c = collections.Counter(w for i in train for w in toks[i])
+    n, v = sum(c.values()), len(c)
+    follow = collections.defaultdict(collections.Counter)
+    for i in train:
+        h = [None] * depth + toks[i]
+        for t, w in enumerate(toks[i], depth):
+            for d in range(1, depth + 1):
+                follow[tuple(h[t - d : t])][w] += 1
+
+    def p(ctx, w):
+        if not ctx:
+            return (c[w] + 1) / (n + v + 1)
+        total = sum(follow[ctx].values()) if ctx in follow else 0
+        return p(ctx[1:], w) if total < least else (follow[ctx][w] + weight * p(ctx[1:], w)) / (total + weight)
+
+    words, kept = [*c, "a word never seen"], set()
+    for ctx in list(follow):
+        if sum(follow[ctx].values()) >= least:
+            assert sum(p(ctx, w) for w in words) == pytest.approx(1)
+            if sum(p(ctx, w) * math.log(p(ctx, w) / p(ctx[1:], w)) for w in words) >= divergence:
+                kept.add(ctx)
+    out = {}
+    for i, text in toks.items():
+        h = [None] * depth + text
+        longest = [max((tuple(h[t - d : t]) for d in range(1, depth + 1) if tuple(h[t - d : t]) in kept), key=len, default=()) for t in range(depth, len(h))]
+        out[i] = sum(math.log10(p(ctx, w)) for ctx, w in zip(longest, text))
+    return out, kept
+
+
+@pytest.mark.parametrize("depth", [1, 3])
+def test_scores_match_a_naive_tree(spark, depth):
+    rng = random.Random(1)
+    letters = "abcdefghi"
+    rows = {i: " ".join(rng.choice(letters[: 2 + i % 7]) for _ in range(rng.randint(0, 40))) for i in range(60)}
+    rows |= {70: rows[5], 71: None, 72: "", 73: "zz a zz b", 74: rows[9]}
+    want, kept = naive_tree(rows, [i for i in rows if i % 4], depth, 3.0, 0.1)
+    assert 3 < len(kept) and (depth == 1 or len({len(k) for k in kept}) > 1)
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in rows.items()], "doc_id long, text string, block string, part string").repartition(3)
+    for block_bytes in (1 << 20, 60):  # one block a task, and many
+        got = {r.doc_id: r.score for r in suffix_tree.score(docs, F.col("doc_id") % 4 != 0, depth=depth, weight=3.0, divergence=0.1, block_bytes=block_bytes).collect()}
+        assert got == {i: pytest.approx(s, abs=1e-9) for i, s in want.items()}
+
+
+def test_the_tree_grows_and_knows_what_occurs_twice(spark):
+    """A context counts from its second occurrence on, however much other text there is; a text that occurs
+    twice scores far above texts that occur once."""
     rng = random.Random(4)
-    runs = [f"{a} {dict(p='x', q='y')[a]}" for a in (rng.choice("pq") for _ in range(2400))]
-    other = " ".join(f"z{i % 200}" for i in range(30_000))
-    rows = [(i, " ".join(runs[i : i + 100]), None, None) for i in range(0, 2400, 100)] + [(10_000 + i, other, None, None) for i in range(100)]
-    docs = frame(spark, rows + [(-1, "p x", None, None), (-2, "p y", None, None)])
-    got = {r.doc_id: r for r in suffix_tree.score(docs, F.col("doc_id") >= 0).where("doc_id < 0").collect()}
-    assert got[-1].train_tokens * 5e-4 > 1500  # less than a share that was asked for once
-    assert got[-1].score > got[-2].score + 1
+    other = [" ".join(f"z{rng.randrange(3000)}" for _ in range(400)) for _ in range(150)]
+    rows = [(10_000 + i, t, None, None) for i, t in enumerate(other)] + [(1, other[0], None, None), (2, "p m n x", None, None), (3, "p m n x", None, None), (4, "q m n y", None, None), (5, "q m n y", None, None), (-1, "p m n x", None, None), (-2, "p m n y", None, None)]
+    got = {r.doc_id: r for r in suffix_tree.score(frame(spark, rows), F.col("doc_id") >= 0, weight=1.0).collect()}
+    assert got[-1].score > got[-2].score + 0.2  # only the word three places before tells x from y
+    once = [got[10_000 + i].score for i in range(1, 150)]
+    assert got[1].score > 0.7 * max(once) and min(once) > 1.3 * max(once)
+
+
+def test_long_texts_are_cut_between_words(monkeypatch):
+    text = "Ab cd\x0befgh  i\n\nj" * 50
+    whole = suffix_tree.tokens(text)
+    for size in (1, 3, 7, 40):
+        monkeypatch.setattr(suffix_tree, "PIECE", size)
+        assert suffix_tree.tokens(text) == whole == [*text.lower().encode().split(), b"\n"]
+
+
+def test_packed_numbers_come_back():
+    for a in (np.array([], dtype=np.int64), np.array([0, -1, 1 << 62, 5]), np.arange(100_000) * 7):
+        assert (suffix_tree.unpacked(suffix_tree.packed(a)) == a).all()
 
 
 def test_grades(spark, sf):

@@ -40,9 +40,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def stored_by(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    """As stored(), in buckets by a column: what groups or joins by it needs no exchange of this table, if its other side
+    has as many partitions."""
+    spark, label = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
+    at = f"{scratch_root(spark)}/{label}"
+    df.write.format("parquet").option("compression", "zstd").option("path", at).bucketBy(buckets, column).saveAsTable(label)
+    out = spark.table(label)
+    out._stored_at, out._stored_as = at, label
+    return out
+
+
 def forget(*tables: DataFrame) -> None:
-    """Delete tables that stored() has written and that nothing will read again."""
+    """Delete tables that stored() or stored_by() has written and that nothing will read again."""
     for df in tables:
+        if hasattr(df, "_stored_as"):
+            df.sparkSession.sql(f"DROP TABLE {df._stored_as}")
         path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -13,17 +13,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, reclaim, slices, stored, trim
+from .common import forget, reclaim, slices, stored, stored_by, trim
 
 #: The end of a document as a word; no word holds a line end.
 END = b"\n"
 #: Bytes of a text that are words at a time, and words whose numbers a worker remembers. They change no result.
 PIECE, REMEMBERED = 1 << 20, 1_000_000
 #: Divergences are summed as whole numbers of this part of a nat, so that no order of rows changes them.
-UNIT = float(1 << 32)
+UNIT = float(1 << 24)
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 #: Odd multipliers: a string's number is that of its last word and multiples of those before it.
-_TIMES = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
+_TIMES = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64).view(np.int64)
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -48,7 +48,7 @@ class _Numbers(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) > REMEMBERED:
             self.clear()
-        self[word] = n = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        self[word] = n = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
         return n
 
 
@@ -56,22 +56,49 @@ _numbers = _Numbers()
 
 
 def packed(a: np.ndarray) -> bytes:
-    """64-bit numbers as bytes: their count, then all lowest bytes, all second ones, and so on, compressed. Small numbers take
-    a byte or so, sorted ones lose their common leading bits."""
-    planes = np.ascontiguousarray(a).view(np.uint8).reshape(-1, 8).T.tobytes()
-    return len(a).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
-
-
-def unpacked(b: bytes, kind: type = np.int64) -> np.ndarray:
-    n = int.from_bytes(b[:8], "little")
-    planes = pa.decompress(b[8:], decompressed_size=8 * n, codec="zstd", asbytes=True)
-    return np.frombuffer(planes, dtype=np.uint8).reshape(8, n).T.copy().view(kind).ravel()
+    """64-bit numbers as bytes: their count and width, then all lowest bytes, all second ones, and so on, compressed. Small
+    numbers take a byte or less, sorted ones lose their common leading bits."""
+    a = np.ascontiguousarray(a, dtype=np.int64)
+    width = 8 if not len(a) or a.min() < 0 else max(1, (int(a.max()).bit_length() + 7) // 8)
+    planes = a.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return len(a).to_bytes(8, "little") + bytes([width]) + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpacked(b: bytes) -> np.ndarray:
+    n, width = int.from_bytes(b[:8], "little"), b[8]
+    planes = pa.decompress(b[9:], decompressed_size=width * n, codec="zstd", asbytes=True)
+    out = np.zeros((n, 8), dtype=np.uint8)
+    out[:, :width] = np.frombuffer(planes, dtype=np.uint8).reshape(width, n).T
+    return out.view(np.int64).ravel()
+
+
+class Distinct:
+    """The distinct keys of an array: sorted, the place among them of each element, and the place of one element of each."""
+
+    def __init__(self, a: np.ndarray):
+        order = np.argsort(a)
+        new = np.ones(len(a), dtype=bool)
+        new[1:] = a[order[1:]] != a[order[:-1]]
+        self.one = order[new]
+        self.keys = a[self.one]
+        self.back = np.empty(len(a), dtype=np.int64)
+        self.back[order] = np.cumsum(new) - 1
+
+
+# What is written between rounds: a block's documents' ids and its packed arrays by name. What blocks ask: sorted keys with a
+# value each, for one part of the key space; kind 0 are strings, 1 contexts. What parts reply: a sum for each key.
+STATE = "block long, ids array<{}>, held map<string, binary>"
+ASKED = "block long, part long, kind long, keys binary, sums binary"
+REPLY = "block long, part long, kind long, sums binary, total long, distinct long"
 
 
-# What blocks and parts exchange. A block's own row (part is null) holds its documents' ids and packed arrays by name; its
-# other rows are sorted keys with a value each, for one part of the key space. kind: 0 strings, 1 contexts.
-STATE = "block long, part long, kind long, keys binary, sums binary, ids array<{}>, held map<string, binary>"
-REPLY = "block long, part long, kind long, sums binary, total long, distinct long"
+class Parameters:
+    def __init__(self, depth: int, weight: float, divergence: float, least: int, parts: int):
+        if not 0 <= depth < len(_TIMES):
+            raise ValueError(f"depth lies between 0 and {len(_TIMES) - 1}")
+        self.depth, self.weight, self.divergence, self.least, self.parts = depth, float(weight), divergence, least, parts
+        self.rounds = depth + 2 if depth else 1
+        self.total = self.distinct = 0
 
 
 class Block:
@@ -81,182 +108,167 @@ class Block:
     total(d) that of the d words alone, which is n[d - 1] one token earlier. Before a document's start stand ends.
     """
 
-    def __init__(self, held: dict[str, bytes], parameters: Parameters):
-        self.held, self.by = held, parameters
+    def __init__(self, held: dict[str, bytes], by: Parameters):
+        self.held, self.by = held, by
         self.length = unpacked(held["length"])
         self.start = np.cumsum(self.length) - self.length
-        place = unpacked(held["place"])
-        self.words = unpacked(held["table"], np.uint64)[place]
-        self.learned = np.repeat(unpacked(held["learned"]).astype(bool), self.length)
+        self.place = unpacked(held["place"])
+        self.words = unpacked(held["table"])[self.place]
         self.n: list[np.ndarray] = []
         while f"n{len(self.n)}" in held:
             known = unpacked(held[f"n{len(self.n)}"])
-            self.n.append(known if self.n else known[place])
-        self.best = unpacked(held["best"]) if "best" in held else np.zeros(len(place), dtype=np.int64)
+            self.n.append(known if self.n else known[self.place])
 
-    def before(self, a: np.ndarray, fill) -> np.ndarray:
+    def before(self, a: np.ndarray, fill: int) -> np.ndarray:
         """The value one token earlier, `fill` at a document's first token."""
         out = np.empty_like(a)
         out[1:] = a[:-1]
         out[self.start] = fill
         return out
 
-    @property
-    def documents(self) -> int:
-        """Documents learned from: the count of ends, and of any context of ends alone."""
-        return int(self.n[0][self.length[0] - 1]) if len(self.length) else 0
-
     def strings(self, d: int) -> np.ndarray:
         """The number of the string of the d words before each token and the token."""
-        end = np.uint64(_numbers[END])
         key, history = self.words * _TIMES[0], self.words
         for k in range(1, d + 1):
-            history = self.before(history, end)
-            key = key + history * _TIMES[k]
+            history = self.before(history, _numbers[END])
+            key += history * _TIMES[k]
         return key
 
-    def contexts(self, d: int) -> np.ndarray:
-        return self.before(self.strings(d - 1), np.uint64(d))
-
     def total(self, d: int) -> np.ndarray:
-        return self.before(self.n[d - 1], self.documents)
+        ends = int(self.n[0][self.length[0] - 1])  # documents learned from: what a context of ends alone counts
+        return self.before(self.n[d - 1], ends)
 
     def counted(self, d: int) -> np.ndarray:
         """Tokens whose context of d words has been seen often enough."""
         return np.flatnonzero(self.total(d) >= self.by.least)
 
+    def found(self, kind: int, d: int) -> tuple[np.ndarray, Distinct]:
+        """The counted tokens, and the strings or contexts at them."""
+        at = self.counted(d)
+        return at, Distinct((self.strings(d) if kind == 0 else self.before(self.strings(d - 1), d))[at])
+
     def probabilities(self, depth: int) -> Iterator[np.ndarray]:
         """After contexts of 0, 1, ... depth words, where counted; elsewhere as after the longest that is."""
         p = (self.n[0] + 1) / (self.by.total + self.by.distinct + 1)
         yield p
         for d in range(1, depth + 1):
-            at = self.counted(d)
+            at, total = self.counted(d), self.total(d)
             p = p.copy()
-            p[at] = (self.n[d][at] + self.by.weight * p[at]) / (self.total(d)[at] + self.by.weight)
+            p[at] = (self.n[d][at] + self.by.weight * p[at]) / (total[at] + self.by.weight)
             yield p
 
-    def ask_strings(self, d: int) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct strings behind counted contexts of d words, sorted, with their training counts here."""
-        at = self.counted(d)
-        keys, back = np.unique(self.strings(d)[at], return_inverse=True)
-        return keys, np.bincount(back, weights=self.learned[at], minlength=len(keys)).astype(np.int64)
-
-    def hear_strings(self, d: int, sums: np.ndarray) -> np.ndarray:
-        """Takes the counts over all blocks; returns for each of ask_strings() whether this block answers for it."""
-        at = self.counted(d)
-        back = np.unique(self.strings(d)[at], return_inverse=True)[1]
-        n = np.zeros(len(self.words), dtype=np.int64)
-        n[at] = (sums >> 1)[back]
-        self.n.append(n)
-        self.held[f"n{d}"] = packed(n)
-        return (sums & 1).astype(bool)
-
-    def ask_contexts(self, d: int, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The counted contexts of d words, sorted, each with what the strings that this block answers for add to its
-        divergence: p ln(p / q) less the share of an unseen word's part, q r ln r."""
-        at = self.counted(d)
-        _, first = np.unique(self.strings(d)[at], return_index=True)
-        keys, back = np.unique(self.contexts(d)[at], return_inverse=True)
-        *_, q, p = self.probabilities(d)
-        one = first[mine & (self.n[d][at[first]] > 0)]
-        x = at[one]
-        r = self.by.weight / (self.total(d)[x] + self.by.weight)
-        adds = p[x] * np.log(p[x] / q[x]) - q[x] * r * np.log(r)
-        sums = np.zeros(len(keys), dtype=np.int64)
-        np.add.at(sums, back[one], np.rint(adds * UNIT).astype(np.int64))
-        return keys, sums
-
-    def hear_contexts(self, d: int, sums: np.ndarray) -> None:
-        """Takes the sums over all blocks: a context is retained if its divergence reaches the limit."""
-        at = self.counted(d)
-        back = np.unique(self.contexts(d)[at], return_inverse=True)[1]
-        r = self.by.weight / (self.total(d)[at] + self.by.weight)
-        kept = (sums >> 1)[back] / UNIT + r * np.log(r) >= self.by.divergence
-        self.best[at[kept]] = d
-        self.held["best"] = packed(self.best)
+    def ask(self, level: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Round `level`: the strings of that level with their training counts here; and the contexts of one word less,
+        each with what the strings that this block answers for add to its divergence: p ln(p / q) less the part of an
+        unseen word's share, q r ln r."""
+        learned = np.repeat(unpacked(self.held["learned"]), self.length)
+        if level == 0:
+            of = Distinct(unpacked(self.held["table"]) * _TIMES[0])
+            yield 0, of.keys, np.bincount(self.place, weights=learned, minlength=len(of.keys)).astype(np.int64)[of.one]
+        elif level <= self.by.depth:
+            at, of = self.found(0, level)
+            yield 0, of.keys, np.bincount(of.back, weights=learned[at], minlength=len(of.keys)).astype(np.int64)
+        if level >= 2:
+            at, strings = self.found(0, level - 1)
+            contexts = Distinct(self.before(self.strings(level - 2), level - 1)[at])
+            *_, q, p = self.probabilities(level - 1)
+            one = strings.one[unpacked(self.held["mine"]).astype(bool)]
+            one = one[self.n[level - 1][at[one]] > 0]
+            x = at[one]
+            r = self.by.weight / (self.total(level - 1)[x] + self.by.weight)
+            adds = p[x] * np.log(p[x] / q[x]) - q[x] * r * np.log(r)
+            sums = np.zeros(len(contexts.keys), dtype=np.int64)
+            np.add.at(sums, contexts.back[one], np.rint(adds * UNIT).astype(np.int64))
+            yield 1, contexts.keys, sums
+
+    def hear(self, level: int, strings: np.ndarray, contexts: np.ndarray) -> None:
+        """Takes the sums of round `level` over all blocks, doubled, plus 1 where this block is the first to hold the key. A
+        context is retained if its divergence reaches the limit; best is the longest retained by token."""
+        if level == 0:
+            of = Distinct(unpacked(self.held["table"]) * _TIMES[0])
+            self.held["n0"] = packed((strings >> 1)[of.back])
+            self.n.append((strings >> 1)[of.back[self.place]])
+        elif level <= self.by.depth:
+            at, of = self.found(0, level)
+            n = np.zeros(len(self.words), dtype=np.int64)
+            n[at] = (strings >> 1)[of.back]
+            self.n.append(n)
+            self.held |= {f"n{level}": packed(n), "mine": packed(strings & 1)}
+        if level >= 2:
+            at, of = self.found(1, level - 1)
+            r = self.by.weight / (self.total(level - 1)[at] + self.by.weight)
+            kept = (contexts >> 1)[of.back] / UNIT + r * np.log(r) >= self.by.divergence
+            best = self.best()
+            best[at[kept]] = level - 1
+            self.held["best"] = packed(best)
+
+    def best(self) -> np.ndarray:
+        return unpacked(self.held["best"]) if "best" in self.held else np.zeros(len(self.words), dtype=np.int64)
 
     def scores(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """By document: words known, log10 probability at the root, and after the longest retained contexts."""
-        p = np.empty(len(self.words))
+        best, p, known = self.best(), np.empty(len(self.words)), (self.n[0] > 0).astype(np.int64)
         for d, of_d in enumerate(self.probabilities(self.by.depth)):
-            at = self.best == d
+            at = best == d
             p[at] = of_d[at]
             if d == 0:
                 root = np.add.reduceat(np.log10(of_d), self.start)
-        return np.add.reduceat((self.n[0] > 0).astype(np.int64), self.start), root, np.add.reduceat(np.log10(p), self.start)
-
-
-class Parameters:
-    def __init__(self, depth: int, weight: float, divergence: float, least: int, parts: int):
-        if not 0 <= depth < len(_TIMES):
-            raise ValueError(f"depth lies between 0 and {len(_TIMES) - 1}")
-        self.depth, self.weight, self.divergence, self.least, self.parts = depth, float(weight), divergence, least, parts
-        self.total = self.distinct = 0
-
-
-def _rows(block: int, ids: pa.Array, held: dict[str, bytes], asked: list[tuple[int, np.ndarray, np.ndarray]], parts: int, schema: pa.Schema) -> pa.Table:
-    """A block's own row and its questions, cut by ranges of keys."""
-    kind, part, keys, values = [None], [None], [None], [None]
-    for k, key, value in asked:
-        of = (key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-        cuts = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1), len(key)]
-        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-            if e > s:
-                kind.append(k)
-                part.append(int(of[s]))
-                keys.append(packed(key[s:e]))
-                values.append(packed(value[s:e]))
-    n = len(kind)
-    none = [None] * (n - 1)
-    cols = [[block] * n, part, kind, keys, values]
-    arrays = [pa.array(c, schema.field(i).type) for i, c in enumerate(cols)]
-    lists = pa.concat_arrays([pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.nulls(n - 1, pa.list_(ids.type))]).cast(schema.field(5).type)
-    return pa.table([*arrays, lists, pa.array([list(held.items()), *none], schema.field(6).type)], schema=schema)
-
-
-def _schema(ids: pa.DataType) -> pa.Schema:
-    long, raw = pa.int64(), pa.binary()
-    return pa.schema([("block", long), ("part", long), ("kind", long), ("keys", raw), ("sums", raw), ("ids", pa.list_(ids)), ("held", pa.map_(pa.string(), raw))])
+        return np.add.reduceat(known, self.start), root, np.add.reduceat(np.log10(p), self.start)
 
 
-def _make_blocks(by: Parameters, block_bytes: int):
-    """Documents as they come, block_bytes of text or one text to a block, with the counts of their words."""
+def _make_blocks(block_bytes: int):
+    """Documents as they come, block_bytes of text or one text to a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, made = TaskContext.get().partitionId(), 0
+        at, made, size = TaskContext.get().partitionId(), 0, 0
         ids: list[pa.Array] = []
         words: list[np.ndarray] = []
         length: list[int] = []
         learned: list[bool] = []
-        size = 0
-
-        def flush() -> pa.Table:
-            keys, place = np.unique(np.concatenate(words), return_inverse=True)
-            n, learn = np.array(length, dtype=np.int64), np.array(learned, dtype=np.int64)
-            here = np.bincount(place, weights=np.repeat(learn, n), minlength=len(keys)).astype(np.int64)
-            held = {"length": packed(n), "learned": packed(learn), "place": packed(place.astype(np.int64)), "table": packed(keys)}
-            every = pa.concat_arrays(ids)
-            # A key of level 0 is the word's number times _TIMES[0], as in Block.strings(); so the table is asked in that order.
-            asked = keys * _TIMES[0]
-            order = np.argsort(asked)
-            held["order"] = packed(order.astype(np.int64))
-            return _rows((at << 32) + made, every, held, [(0, asked[order], here[order])], by.parts, _schema(every.type))
+
+        def block() -> pa.RecordBatch:
+            of = Distinct(np.concatenate(words))
+            held = {"length": packed(length), "learned": packed(learned), "place": packed(of.back), "table": packed(of.keys)}
+            return _state((at << 32) + made, pa.concat_arrays(ids), held)
 
         for b in slices(batches):
             for i, (text, learn) in enumerate(zip(b.column("text").to_pylist(), b.column("learned").to_pylist(), strict=True)):
-                n = 0
-                for part in _words(text):
-                    words.append(np.fromiter(map(_numbers.__getitem__, part), dtype=np.uint64, count=len(part)))
-                    n += len(part)
-                length.append(n)
+                parts = [np.fromiter(map(_numbers.__getitem__, part), dtype=np.int64, count=len(part)) for part in _words(text)]
+                words += parts
+                length.append(sum(map(len, parts)))
                 learned.append(learn)
                 ids.append(b.column("doc_id").slice(i, 1))
                 size += len(text or "")
                 if size >= block_bytes:
-                    yield from flush().to_batches()
+                    yield block()
                     made, size, ids, words, length, learned = made + 1, 0, [], [], [], []
         if length:
-            yield from flush().to_batches()
+            yield block()
+        trim()
+
+    return run
+
+
+def _state(block: int, ids: pa.Array, held: dict[str, bytes]) -> pa.RecordBatch:
+    of = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+    arrays = [pa.array([block], pa.int64()), of, pa.array([list(held.items())], pa.map_(pa.string(), pa.binary()))]
+    return pa.RecordBatch.from_arrays(arrays, names=["block", "ids", "held"])
+
+
+def _ask(level: int, by: Parameters):
+    """A block's questions of a round, cut by ranges of keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at, held in zip(b.column("block").to_pylist(), b.column("held"), strict=True):
+                for kind, keys, sums in Block(dict(held.as_py()), by).ask(level):
+                    if not len(keys):
+                        continue
+                    part = ((keys >> 32) + (1 << 31)) * by.parts >> 32
+                    first = np.flatnonzero(np.diff(part, prepend=-1))
+                    spans = list(zip(first, [*first[1:], len(keys)], strict=True))
+                    cols = [np.full(len(spans), at), part[first], np.full(len(spans), kind), [packed(keys[s:e]) for s, e in spans], [packed(sums[s:e]) for s, e in spans]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["block", "part", "kind", "keys", "sums"])
         trim()
 
     return run
@@ -266,58 +278,34 @@ def _sum_keys(rows: pa.Table) -> pa.Table:
     """For one part of the key space: each key's sum over all blocks, sent back to every block that asked, doubled, plus
     1 for the first of them."""
     rows = rows.sort_by("block")
-    keys = [unpacked(k, np.uint64) for k in rows.column("keys").to_pylist()]
-    every, values = np.concatenate(keys), np.concatenate([unpacked(v) for v in rows.column("sums").to_pylist()])
-    order = np.argsort(every, kind="stable")
-    new = np.concatenate([[True], every[order][1:] != every[order][:-1]])
-    sums = np.add.reduceat(values[order], np.flatnonzero(new))
-    back = np.empty(len(every), dtype=np.int64)
-    back[order] = 2 * sums[np.cumsum(new) - 1] + new
+    keys = [unpacked(k) for k in rows.column("keys").to_pylist()]
+    of, values = Distinct(np.concatenate(keys)), np.concatenate([unpacked(v) for v in rows.column("sums").to_pylist()])
+    sums, first = np.zeros(len(of.keys), dtype=np.int64), np.full(len(of.keys), len(values))
+    np.add.at(sums, of.back, values)
+    np.minimum.at(first, of.back, np.arange(len(values)))
+    back = 2 * sums[of.back]
+    back[first] += 1
     cuts = np.cumsum([0, *map(len, keys)])
-    none = [None] * (len(keys) - 1)
     answers = pa.array([packed(back[s:e]) for s, e in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
+    none = [None] * (len(keys) - 1)
     return pa.table([rows.column("block"), rows.column("part"), rows.column("kind"), answers, pa.array([int(sums.sum()), *none], pa.int64()), pa.array([int((sums > 0).sum()), *none], pa.int64())], names=["block", "part", "kind", "sums", "total", "distinct"])
 
 
-def _answers(replies: pa.Table, kind: int) -> np.ndarray:
-    mine = replies.filter(pa.compute.equal(replies.column("kind"), kind)).sort_by("part")
-    parts = [unpacked(x) for x in mine.column("sums").to_pylist()]
-    return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
-
-
-def _hear(level: int, by: Parameters, row: pa.Table, replies: pa.Table) -> tuple[Block, list[tuple[int, np.ndarray, np.ndarray]]]:
-    """A block after a round of answers, and what it asks next."""
-    held = dict(row.column("held")[0].as_py())
-    asked = []
-    if level == 0:
-        n = np.empty(len(unpacked(held["table"])), dtype=np.int64)
-        n[unpacked(held.pop("order"))] = _answers(replies, 0) >> 1
-        held["n0"] = packed(n)
-    block = Block(held, by)
-    mine = block.hear_strings(level, _answers(replies, 0)) if 1 <= level <= by.depth else None
-    if level >= 2:
-        block.hear_contexts(level - 1, _answers(replies, 1))
-    if level < by.depth:
-        asked.append((0, *block.ask_strings(level + 1)))
-    if mine is not None:
-        asked.append((1, *block.ask_contexts(level, mine)))
-    return block, asked
-
-
-def _next_round(level: int, by: Parameters):
-    def run(row: pa.Table, replies: pa.Table) -> pa.Table:
-        block, asked = _hear(level, by, row, replies)
-        ids = row.column("ids").chunk(0).flatten()
-        return _rows(row.column("block")[0].as_py(), ids, block.held, asked, by.parts, _schema(ids.type))
-
-    return run
+def _hear(level: int, by: Parameters):
+    """A block after a round's replies; after the last one, its documents' scores."""
 
-
-def _finish(level: int, by: Parameters):
     def run(row: pa.Table, replies: pa.Table) -> pa.Table:
-        block, _ = _hear(level, by, row, replies)
+        block = Block(dict(row.column("held")[0].as_py()), by)
+        of_kind = []
+        for kind in (0, 1):
+            mine = replies.filter(pa.compute.equal(replies.column("kind"), kind)).sort_by("part")
+            of_kind.append(np.concatenate([np.zeros(0, dtype=np.int64), *map(unpacked, mine.column("sums").to_pylist())]))
+        block.hear(level, *of_kind)
+        ids = row.column("ids").chunk(0).flatten()
+        if level < by.rounds - 1:
+            return pa.Table.from_batches([_state(row.column("block")[0].as_py(), ids, block.held)])
         known, root, model = block.scores()
-        ids, learned = row.column("ids").chunk(0).flatten(), pa.array(unpacked(block.held["learned"]).astype(bool))
+        learned = pa.array(unpacked(block.held["learned"]).astype(bool))
         cols = [ids, learned, pa.array(block.length), pa.array(known), pa.array(np.full(len(known), by.total)), pa.array(root), pa.array(model)]
         return pa.table(cols, names=["doc_id", "learned", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
@@ -339,7 +327,8 @@ def score(docs: DataFrame, train: Column, *, depth: int = 3, weight: float = 60.
 
     How: tokens become 64-bit hashes in blocks of about block_bytes of text. In each round every block sends the distinct
     strings that end in its tokens, sorted, with their training counts, one row for each part of the key space; each part sums them and
-    sends the sums back, and so each block knows the counts of the tree's nodes that it meets, and no other. A string is asked for
+    sends the sums back, and so each block knows the counts of the tree's nodes that it meets, and no other. Blocks are
+    bucketed, so that only questions and replies are shuffled. A string is asked for
     only if its context was seen often enough, as the round before told. The divergence of a context is summed in the
     same way, from terms that only the first block holding a string adds. A block sends a key once, so a frequent word, line or
     document is no hot key; parts cut the key space evenly. Texts are read once and never shuffled; nothing but N and V comes to
@@ -357,20 +346,18 @@ def score(docs: DataFrame, train: Column, *, depth: int = 3, weight: float = 60.
     by = Parameters(depth, weight, divergence, least, parts)
     state_row, out_row = STATE.format(kind), f"doc_id {kind}, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
-    now = stored(rows.mapInArrow(_make_blocks(by, block_bytes), state_row), "lm")
-    for level in range(by.depth + 2):
-        asked = now.where("part is not null").select("block", "part", "kind", "keys", "sums")
-        replies = stored(asked.repartition(parts, "part", "kind").groupBy("part", "kind").applyInArrow(_sum_keys, REPLY), "lm")
+    now = stored_by(rows.mapInArrow(_make_blocks(block_bytes), state_row), "lm", "block", parts)
+    for level in range(by.rounds):
+        asked = now.mapInArrow(_ask(level, by), ASKED).repartition(parts, "part", "kind")
+        replies = stored(asked.groupBy("part", "kind").applyInArrow(_sum_keys, REPLY), "lm")
         reclaim(spark)  # the questions' shuffle
         if level == 0:
             total, distinct = replies.agg(F.sum("total"), F.sum("distinct")).first()
             by.total, by.distinct = total or 0, distinct or 0
-        own = now.where("part is null").select("block", "ids", "held").repartition(parts, "block").groupBy("block")
-        back = replies.select("block", "part", "kind", "sums").repartition(parts, "block").groupBy("block")
-
-        if level == max(by.depth + 1, 1) or by.depth == 0:
-            return own.cogroup(back).applyInArrow(_finish(level, by), out_row)
-        before, now = now, stored(own.cogroup(back).applyInArrow(_next_round(level, by), state_row), "lm")
+        heard = now.groupBy("block").cogroup(replies.repartition(parts, "block").groupBy("block"))
+        if level == by.rounds - 1:
+            return heard.applyInArrow(_hear(level, by), out_row)
+        before, now = now, stored_by(heard.applyInArrow(_hear(level, by), state_row), "lm", "block", parts)
         forget(before, replies)
         reclaim(spark)
     raise AssertionError("the last round returns")

@@ -5,10 +5,13 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,7 +65,8 @@ def forget(*tables: DataFrame) -> None:
 
 def reclaim(spark: SparkSession) -> None:
     """Have shuffle files that no frame refers to any more removed now: Spark finds them when the driver collects its
-    garbage, which a driver with little to do seldom does."""
+    garbage, which a driver with little to do seldom does. The scheduler remembers its last job: so there is one more."""
+    spark.range(1).count()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
@@ -87,6 +91,53 @@ def trim() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+#: Bytes of text whose words are found at a time.
+PIECE = 1 << 20
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+_P = np.uint64(0x9E3779B97F4A7C15)
+
+
+def mix(z: np.ndarray) -> np.ndarray:
+    """Numbers whose bits all depend on all bits of the given ones, one to one."""
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    with np.errstate(over="ignore"):
+        inverse = np.uint64(pow(int(_P), -1, 1 << 64))
+        return tuple(np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, p, np.uint64)])) for p in (_P, inverse))
+
+
+@cache
+def _tables() -> tuple[np.ndarray, ...]:
+    codes = np.arange(256)
+    return (codes == 32) | ((codes >= 9) & (codes <= 13)), mix(np.arange(1, 257, dtype=np.uint64) * _P), *_powers(PIECE + 4096)
+
+
+def word_hashes(raw: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The words of a text, runs of bytes other than ASCII white space, piece by piece: where each starts, and a 64-bit
+    hash of its bytes. A piece ends between words, so any long text takes little memory."""
+    at = 0
+    while at < len(raw):
+        gap = _SPACE.search(raw, at + PIECE) if at + PIECE < len(raw) else None
+        end = gap.start() if gap else len(raw)
+        is_space, of_byte, up, down = _tables()
+        a = np.frombuffer(raw, dtype=np.uint8, count=end - at, offset=at)
+        space = np.ones(len(a) + 2, dtype=bool)
+        space[1:-1] = is_space[a]
+        edge = np.flatnonzero(space[1:] != space[:-1])
+        if len(a) >= len(up):  # a word longer than a piece
+            up, down = _powers(len(a))
+        with np.errstate(over="ignore"):
+            run = np.zeros(len(a) + 1, np.uint64)
+            np.cumsum(of_byte[a] * up[: len(a)], out=run[1:])
+            first, last = edge[::2], edge[1::2]
+            yield first + at, mix((run[last] - run[first]) * down[first] + (last - first).astype(np.uint64))
+        at = end
+
+
 def row_key(*cols: str) -> Column:
     """128 bits (two longs) that tell rows apart by the given columns; nulls count as values."""
     parts = [x for c in cols for x in (F.col(c).isNull(), F.col(c))]

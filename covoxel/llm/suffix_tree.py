@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
-import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,46 +12,26 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, reclaim, slices, stored, stored_by, trim
+from .common import forget, reclaim, slices, stored, stored_by, trim, word_hashes
 
-#: The end of a document as a word; no word holds a line end.
-END = b"\n"
-#: Bytes of a text that are words at a time, and words whose numbers a worker remembers. They change no result.
-PIECE, REMEMBERED = 1 << 20, 1_000_000
+#: The end of a document as a word: a byte that no text holds.
+END = b"\xff"
 #: Divergences are summed as whole numbers of this part of a nat, so that no order of rows changes them.
 UNIT = float(1 << 24)
-_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 #: Odd multipliers: a string's number is that of its last word and multiples of those before it.
 _TIMES = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64).view(np.int64)
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """A-Z lowered, words between ASCII white space, then the end."""
-    return [w for part in _words(text) for w in part]
+def token_hashes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the words of all texts, A-Z lowered, each text followed by END; and how many each text has, with it."""
+    raw = b"".join((t or "").encode("utf-8", "replace").lower() + b" " + END + b" " for t in texts)
+    words = np.concatenate([np.zeros(0, dtype=np.uint64), *(h for _, h in word_hashes(raw))]).view(np.int64)
+    return words, np.diff(np.flatnonzero(words == end_hash()), prepend=-1)
 
 
-def _words(text: str | None) -> Iterator[list[bytes]]:
-    raw = (text or "").encode("utf-8", "replace")
-    at = 0
-    while at < len(raw):
-        gap = _SPACE.search(raw, at + PIECE) if at + PIECE < len(raw) else None
-        end = gap.start() if gap else len(raw)
-        yield raw[at:end].lower().split()
-        at = end
-    yield [END]
-
-
-class _Numbers(dict):
-    """word -> 64-bit hash."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        self[word] = n = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
-        return n
-
-
-_numbers = _Numbers()
+@cache
+def end_hash() -> int:
+    return int(next(word_hashes(END))[1].view(np.int64)[0])
 
 
 def packed(a: np.ndarray) -> bytes:
@@ -73,16 +52,23 @@ def unpacked(b: bytes) -> np.ndarray:
 
 
 class Distinct:
-    """The distinct keys of an array: sorted, the place among them of each element, and the place of one element of each."""
+    """The distinct keys of an array, sorted, and the place of one element of each."""
 
     def __init__(self, a: np.ndarray):
-        order = np.argsort(a)
-        new = np.ones(len(a), dtype=bool)
-        new[1:] = a[order[1:]] != a[order[:-1]]
-        self.one = order[new]
-        self.keys = a[self.one]
-        self.back = np.empty(len(a), dtype=np.int64)
-        self.back[order] = np.cumsum(new) - 1
+        self.order = np.argsort(a)
+        ordered = a[self.order]
+        self.new = np.ones(len(a), dtype=bool)
+        np.not_equal(ordered[1:], ordered[:-1], out=self.new[1:])
+        self.keys, self.one = ordered[self.new], self.order[self.new]
+
+    @property
+    def back(self) -> np.ndarray:
+        out = np.empty(len(self.order), dtype=np.int64)
+        out[self.order] = np.cumsum(self.new) - 1
+        return out
+
+    def total(self, values: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(values[self.order], np.flatnonzero(self.new)) if len(values) else values
 
 
 # What is written between rounds: a block's documents' ids and its packed arrays by name. What blocks ask: sorted keys with a
@@ -114,6 +100,7 @@ class Block:
         self.start = np.cumsum(self.length) - self.length
         self.place = unpacked(held["place"])
         self.words = unpacked(held["table"])[self.place]
+        self.known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.n: list[np.ndarray] = []
         while f"n{len(self.n)}" in held:
             known = unpacked(held[f"n{len(self.n)}"])
@@ -130,7 +117,7 @@ class Block:
         """The number of the string of the d words before each token and the token."""
         key, history = self.words * _TIMES[0], self.words
         for k in range(1, d + 1):
-            history = self.before(history, _numbers[END])
+            history = self.before(history, end_hash())
             key += history * _TIMES[k]
         return key
 
@@ -138,23 +125,25 @@ class Block:
         ends = int(self.n[0][self.length[0] - 1])  # documents learned from: what a context of ends alone counts
         return self.before(self.n[d - 1], ends)
 
-    def counted(self, d: int) -> np.ndarray:
-        """Tokens whose context of d words has been seen often enough."""
-        return np.flatnonzero(self.total(d) >= self.by.least)
+    def counted(self, d: int) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens whose context of d words has been seen often enough, and how often."""
+        if d not in self.known:
+            total = self.total(d)
+            at = np.flatnonzero(total >= self.by.least)
+            self.known[d] = at, total[at]
+        return self.known[d]
 
-    def found(self, kind: int, d: int) -> tuple[np.ndarray, Distinct]:
-        """The counted tokens, and the strings or contexts at them."""
-        at = self.counted(d)
-        return at, Distinct((self.strings(d) if kind == 0 else self.before(self.strings(d - 1), d))[at])
+    def contexts(self, d: int) -> np.ndarray:
+        return self.before(self.strings(d - 1), d)
 
     def probabilities(self, depth: int) -> Iterator[np.ndarray]:
         """After contexts of 0, 1, ... depth words, where counted; elsewhere as after the longest that is."""
         p = (self.n[0] + 1) / (self.by.total + self.by.distinct + 1)
         yield p
         for d in range(1, depth + 1):
-            at, total = self.counted(d), self.total(d)
+            at, total = self.counted(d)
             p = p.copy()
-            p[at] = (self.n[d][at] + self.by.weight * p[at]) / (total[at] + self.by.weight)
+            p[at] = (self.n[d][at] + self.by.weight * p[at]) / (total + self.by.weight)
             yield p
 
     def ask(self, level: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -164,50 +153,51 @@ class Block:
         learned = np.repeat(unpacked(self.held["learned"]), self.length)
         if level == 0:
             of = Distinct(unpacked(self.held["table"]) * _TIMES[0])
-            yield 0, of.keys, np.bincount(self.place, weights=learned, minlength=len(of.keys)).astype(np.int64)[of.one]
+            yield 0, of.keys, np.bincount(self.place, weights=learned, minlength=len(of.keys)).astype(np.int64)[of.order]
         elif level <= self.by.depth:
-            at, of = self.found(0, level)
-            yield 0, of.keys, np.bincount(of.back, weights=learned[at], minlength=len(of.keys)).astype(np.int64)
+            at, _ = self.counted(level)
+            of = Distinct(self.strings(level)[at])
+            yield 0, of.keys, of.total(learned[at])
         if level >= 2:
-            at, strings = self.found(0, level - 1)
-            contexts = Distinct(self.before(self.strings(level - 2), level - 1)[at])
-            *_, q, p = self.probabilities(level - 1)
-            one = strings.one[unpacked(self.held["mine"]).astype(bool)]
-            one = one[self.n[level - 1][at[one]] > 0]
-            x = at[one]
-            r = self.by.weight / (self.total(level - 1)[x] + self.by.weight)
-            adds = p[x] * np.log(p[x] / q[x]) - q[x] * r * np.log(r)
-            sums = np.zeros(len(contexts.keys), dtype=np.int64)
-            np.add.at(sums, contexts.back[one], np.rint(adds * UNIT).astype(np.int64))
-            yield 1, contexts.keys, sums
+            d = level - 1
+            one = unpacked(self.held["one"])  # one token of each string: 1, or 2 where this block answers for it
+            x = np.flatnonzero(one)
+            of = Distinct(self.contexts(d)[x])
+            *_, q, p = self.probabilities(d)
+            p, q, r = p[x], q[x], self.by.weight / (self.total(d)[x] + self.by.weight)
+            adds = np.where((one[x] == 2) & (self.n[d][x] > 0), p * np.log(p / q) - q * r * np.log(r), 0.0)
+            yield 1, of.keys, of.total(np.rint(adds * UNIT).astype(np.int64))
 
     def hear(self, level: int, strings: np.ndarray, contexts: np.ndarray) -> None:
         """Takes the sums of round `level` over all blocks, doubled, plus 1 where this block is the first to hold the key. A
         context is retained if its divergence reaches the limit; best is the longest retained by token."""
         if level == 0:
             of = Distinct(unpacked(self.held["table"]) * _TIMES[0])
-            self.held["n0"] = packed((strings >> 1)[of.back])
-            self.n.append((strings >> 1)[of.back[self.place]])
+            known = (strings >> 1)[of.back]
+            self.held["n0"] = packed(known)
+            self.n.append(known[self.place])
         elif level <= self.by.depth:
-            at, of = self.found(0, level)
-            n = np.zeros(len(self.words), dtype=np.int64)
+            at, _ = self.counted(level)
+            of = Distinct(self.strings(level)[at])
+            n, one = np.zeros(len(self.place), dtype=np.int64), np.zeros(len(self.place), dtype=np.int64)
             n[at] = (strings >> 1)[of.back]
+            one[at[of.one]] = 1 + (strings & 1)
             self.n.append(n)
-            self.held |= {f"n{level}": packed(n), "mine": packed(strings & 1)}
+            self.held |= {f"n{level}": packed(n), "one": packed(one)}
         if level >= 2:
-            at, of = self.found(1, level - 1)
-            r = self.by.weight / (self.total(level - 1)[at] + self.by.weight)
-            kept = (contexts >> 1)[of.back] / UNIT + r * np.log(r) >= self.by.divergence
+            at, total = self.counted(level - 1)
+            r = self.by.weight / (total + self.by.weight)
+            kept = (contexts >> 1)[Distinct(self.contexts(level - 1)[at]).back] / UNIT + r * np.log(r) >= self.by.divergence
             best = self.best()
             best[at[kept]] = level - 1
             self.held["best"] = packed(best)
 
     def best(self) -> np.ndarray:
-        return unpacked(self.held["best"]) if "best" in self.held else np.zeros(len(self.words), dtype=np.int64)
+        return unpacked(self.held["best"]) if "best" in self.held else np.zeros(len(self.place), dtype=np.int64)
 
     def scores(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """By document: words known, log10 probability at the root, and after the longest retained contexts."""
-        best, p, known = self.best(), np.empty(len(self.words)), (self.n[0] > 0).astype(np.int64)
+        best, p, known = self.best(), np.empty(len(self.place)), (self.n[0] > 0).astype(np.int64)
         for d, of_d in enumerate(self.probabilities(self.by.depth)):
             at = best == d
             p[at] = of_d[at]
@@ -221,28 +211,28 @@ def _make_blocks(block_bytes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, made, size = TaskContext.get().partitionId(), 0, 0
-        ids: list[pa.Array] = []
-        words: list[np.ndarray] = []
-        length: list[int] = []
-        learned: list[bool] = []
+        held: list[list] = [[], [], [], []]  # ids, words, lengths, learned
 
         def block() -> pa.RecordBatch:
-            of = Distinct(np.concatenate(words))
-            held = {"length": packed(length), "learned": packed(learned), "place": packed(of.back), "table": packed(of.keys)}
-            return _state((at << 32) + made, pa.concat_arrays(ids), held)
-
-        for b in slices(batches):
-            for i, (text, learn) in enumerate(zip(b.column("text").to_pylist(), b.column("learned").to_pylist(), strict=True)):
-                parts = [np.fromiter(map(_numbers.__getitem__, part), dtype=np.int64, count=len(part)) for part in _words(text)]
-                words += parts
-                length.append(sum(map(len, parts)))
-                learned.append(learn)
-                ids.append(b.column("doc_id").slice(i, 1))
-                size += len(text or "")
+            of, join = Distinct(np.concatenate(held[1])), np.concatenate
+            arrays = {"length": join(held[2]), "learned": join(held[3]), "place": of.back, "table": of.keys}
+            return _state((at << 32) + made, pa.concat_arrays(held[0]), {name: packed(a) for name, a in arrays.items()})
+
+        for b in batches:
+            texts, s = b.column("text").to_pylist(), 0
+            while s < len(texts):
+                e = s
+                while e < len(texts) and size < block_bytes and (e == s or e - s < 1000):
+                    size += len(texts[e] or "") + 1
+                    e += 1
+                words, length = token_hashes(texts[s:e])
+                for col, x in zip(held, (b.column("doc_id").slice(s, e - s), words, length, b.column("learned").slice(s, e - s).to_numpy(zero_copy_only=False)), strict=True):
+                    col.append(x)
+                s = e
                 if size >= block_bytes:
                     yield block()
-                    made, size, ids, words, length, learned = made + 1, 0, [], [], [], []
-        if length:
+                    made, size, held[:] = made + 1, 0, [[], [], [], []]
+        if held[0]:
             yield block()
         trim()
 
@@ -269,7 +259,6 @@ def _ask(level: int, by: Parameters):
                     spans = list(zip(first, [*first[1:], len(keys)], strict=True))
                     cols = [np.full(len(spans), at), part[first], np.full(len(spans), kind), [packed(keys[s:e]) for s, e in spans], [packed(sums[s:e]) for s, e in spans]]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["block", "part", "kind", "keys", "sums"])
-        trim()
 
     return run
 
@@ -280,11 +269,9 @@ def _sum_keys(rows: pa.Table) -> pa.Table:
     rows = rows.sort_by("block")
     keys = [unpacked(k) for k in rows.column("keys").to_pylist()]
     of, values = Distinct(np.concatenate(keys)), np.concatenate([unpacked(v) for v in rows.column("sums").to_pylist()])
-    sums, first = np.zeros(len(of.keys), dtype=np.int64), np.full(len(of.keys), len(values))
-    np.add.at(sums, of.back, values)
-    np.minimum.at(first, of.back, np.arange(len(values)))
+    sums = of.total(values)
     back = 2 * sums[of.back]
-    back[first] += 1
+    back[np.minimum.reduceat(of.order, np.flatnonzero(of.new))] += 1
     cuts = np.cumsum([0, *map(len, keys)])
     answers = pa.array([packed(back[s:e]) for s, e in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
     none = [None] * (len(keys) - 1)

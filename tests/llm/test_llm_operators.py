@@ -333,11 +333,11 @@ def test_scores_are_exact_at_the_root_and_proper(spark, sf):
     c = collections.Counter()
     for i, r in rows.items():
         if zlib.crc32(str(i).encode()) % 7 != 2:
-            c.update(suffix_tree.tokens(r.text))
+            c.update(tokens(r.text))
     total, kinds = sum(c.values()), len(c)
     held = [0.0, 0.0]
     for r in out:
-        t = suffix_tree.tokens(rows[r.doc_id].text)
+        t = tokens(rows[r.doc_id].text)
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(t), sum(w in c for w in t), total)
         assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (total + kinds + 1)) for w in t))
         if not r.learned:
@@ -346,9 +346,13 @@ def test_scores_are_exact_at_the_root_and_proper(spark, sf):
     assert suffix_tree.score(docs, F.lit(False)).agg(F.sum("base_score"), F.sum("train_tokens")).first() == (0, 0)
 
 
+def tokens(text):
+    return [*(text or "").encode().lower().split(), None]
+
+
 def naive_tree(rows, train, depth, weight, divergence, least=2):
     """Scores by the definition: every context of the learned texts, every distribution over all words."""
-    toks = {i: suffix_tree.tokens(t) for i, t in rows.items()}
+    toks = {i: tokens(t) for i, t in rows.items()}
     c = collections.Counter(w for i in train for w in toks[i])
     n, v = sum(c.values()), len(c)
     follow = collections.defaultdict(collections.Counter)
@@ -404,12 +408,21 @@ def test_the_tree_grows_and_knows_what_occurs_twice(spark):
     assert got[1].score > 0.7 * max(once) and min(once) > 1.3 * max(once)
 
 
-def test_long_texts_are_cut_between_words(monkeypatch):
-    text = "Ab cd\x0befgh  i\n\nj" * 50
-    whole = suffix_tree.tokens(text)
+def test_words_are_found_piece_by_piece(monkeypatch):
+    raw = "Ab cd\x0befgh  i\n\nj é ab \x0c".encode() * 50
+    (start, whole), words = next(common.word_hashes(raw)), raw.split()
+    assert [raw[s : s + len(w)] for s, w in zip(start, words)] == words and len(start) == len(words)
+    assert len(set(whole)) == len(set(words)) == len(set(zip(whole, words)))
     for size in (1, 3, 7, 40):
-        monkeypatch.setattr(suffix_tree, "PIECE", size)
-        assert suffix_tree.tokens(text) == whole == [*text.lower().encode().split(), b"\n"]
+        monkeypatch.setattr(common, "PIECE", size)
+        common._tables.cache_clear()
+        starts, hashes = (np.concatenate(x) for x in zip(*common.word_hashes(raw)))
+        assert (starts == start).all() and (hashes == whole).all()
+    monkeypatch.undo()
+    common._tables.cache_clear()
+    assert not list(common.word_hashes(b"")) and [len(h) for _, h in common.word_hashes(b" ")] == [0]
+    words, length = suffix_tree.token_hashes(["A b", None, "", "b"])
+    assert length.tolist() == [3, 1, 1, 2] and words[1] == words[5] and words[2] == words[3] == words[4] == words[6]
 
 
 def test_packed_numbers_come_back():

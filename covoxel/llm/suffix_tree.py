@@ -299,7 +299,7 @@ def _hear(level: int, by: Parameters):
     return run
 
 
-def score(docs: DataFrame, train: Column, *, depth: int = 3, weight: float = 60.0, divergence: float = 0.02, least: int = 2, block_bytes: int = 12 << 20) -> DataFrame:
+def score(docs: DataFrame, train: Column, *, depth: int = 3, weight: float = 60.0, divergence: float = 0.02, least: int = 2, block_bytes: int = 6 << 20) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, learned, n_tokens, n_known, train_tokens, base_score, score.
 
     The model learns from the rows for which `train` is true. Its root is the add-one distribution of the training tokens'
@@ -319,7 +319,7 @@ def score(docs: DataFrame, train: Column, *, depth: int = 3, weight: float = 60.
     only if its context was seen often enough, as the round before told. The divergence of a context is summed in the
     same way, from terms that only the first block holding a string adds. A block sends a key once, so a frequent word, line or
     document is no hot key; parts cut the key space evenly. Texts are read once and never shuffled; nothing but N and V comes to
-    the driver. Memory of a task: one block, or one part's keys. Each round is written to the shared folder.
+    the driver. Memory of a task: one block, or one part's keys, which are those of about four blocks. Each round is written to the shared folder.
 
     Null texts are empty: the end alone. No training rows: N and V are 0, every probability is 1. Rows are scored one by
     one, repeated or not; ties have no meaning here. A very long text is a block of its own, made words piece by piece. Other
@@ -329,7 +329,7 @@ def score(docs: DataFrame, train: Column, *, depth: int = 3, weight: float = 60.
     kind = dict(docs.dtypes)["doc_id"]
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(train, F.lit(False)).alias("learned"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // block_bytes))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (4 * block_bytes)))
     by = Parameters(depth, weight, divergence, least, parts)
     state_row, out_row = STATE.format(kind), f"doc_id {kind}, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from functools import cache
 from html import unescape
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import slices, stored
 
 #: Wrappers of all hosts are sent to every task up to this many bytes; beyond, they are joined by host and salt.
 SENT_BYTES, SALTS, FAN_IN = 32 << 20, 64, 64
@@ -28,17 +29,25 @@ ENDS_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 WALLS = {"table", "ul", "ol", "dl", "div", "article", "section", "body", "select"}
 NOT_MAIN = {"nav", "footer", "aside", "form", "head", "button", "select", "menu", "dialog", "svg", "canvas", "object", "audio", "video", "script", "style", "noscript", "template", "iframe", "textarea", "title"}
 NOT_MAIN_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar"}
-NOT_MAIN_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "promo", "promotion", "sponsor", "sponsored", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "sidebar", "footer", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "newsletter", "subscribe", "subscription", "signup", "login", "comment", "comments", "commentlist", "respond", "replies", "reply", "disqus", "share", "sharing", "social", "related", "recommended", "popup", "modal", "overlay", "widget", "pagination", "pager", "disclaimer", "copyright", "toolbar"}
-HEADER_WORDS = {"header", "masthead", "topbar"}
-MAIN_WORDS = {"article", "articlebody", "post", "entry", "story", "content", "main", "body", "text"}
+#: Class and id words of elements beside the article, and those that also tell at the front of a longer name.
+BESIDE = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "promo", "sponsor", "sponsored", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "sidebar", "footer", "header", "masthead", "topbar", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "newsletter", "subscribe", "signup", "login", "comment", "comments", "commentlist", "respond", "replies", "disqus", "share", "sharing", "social", "related", "recommended", "popup", "modal", "overlay", "widget", "pagination", "pager", "disclaimer", "copyright", "toolbar"}
+FRONT = {"ad", "ads", "advert", "comment", "comments", "cookie", "footer", "nav", "sidebar"}
+#: Elements that hold others rather than text.
+HOLDERS = {"html", "body", "div", "section", "article", "main", "center", "details", "table", "tbody", "thead", "tfoot", "tr", "td", "fieldset"}
+LISTS = {"ul", "ol", "dl", "menu"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+
+#: Elements nested deeper count as parts of the one at this depth. A row of more items than ITEMS, or with more names of one
+#: tag than NAMES, becomes one repeated group, or loses those names. A task hands on its wrappers when they reach HELD characters.
+DEPTH, ITEMS, NAMES, HELD = 100, 150, 24, 32 << 20
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
 _ATTR = re.compile(r"(?:^|[\s\"'/])(class|id|role|itemprop|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
-_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
+_PARTS = re.compile(r"[-_:]+|(?<=[a-z0-9])(?=[A-Z])")
 
 
 def _label(tag: str, attrs: str) -> str:
-    """An element's name in paths: its tag and what tells its part on the page; digits don't tell pages apart."""
+    """An element's name: its tag and what tells its part on the page; digits don't tell pages apart."""
     if not attrs.strip():
         return tag
     found = {}
@@ -54,27 +63,41 @@ def _label(tag: str, attrs: str) -> str:
 
 
 class Page:
-    """A page as text blocks with their paths, and as a skeleton of nested elements."""
+    """A page as text blocks and a skeleton of nested elements. Elements open and close as in a browser, roughly: what
+    is unclosed ends with its parent."""
 
     def __init__(self, html: str | None):
-        self.blocks: list[tuple[str, str, int]] = []  # path, text, characters inside links
+        self.blocks: list[tuple[str, int]] = []  # text, characters inside links
         self.owners: list[list] = []  # the skeleton's node of each block
         self.skeleton = ["html", []]
-        stack, nodes = ["html"], [self.skeleton]
+        names, nodes = ["html"], [self.skeleton]
+        is_open = {"html": 1}
         text: list[str] = []
-        linked, path, link = 0, "html", False
+        linked, link = 0, False
         mute: list[str] = []
         html = html or ""
         at, end = 0, len(html)
 
         def flush() -> None:
-            nonlocal text, linked, link
+            nonlocal linked, link
             said = " ".join("".join(text).split())
             if said:
-                self.blocks.append((path, said, min(linked, len(said))))
+                self.blocks.append((said, min(linked, len(said))))
                 self.owners.append(nodes[-1])
-            text, linked, link = [], 0, False
+            text.clear()
             mute.clear()
+            linked, link = 0, False
+
+        def shut(k: int) -> None:
+            for n in names[k:]:
+                is_open[n] -= 1
+            del names[k:], nodes[k:]
+
+        def innermost(tag: str) -> int:
+            k = len(names) - 1
+            while names[k] != tag:
+                k -= 1
+            return k
 
         while at < end:
             m = _TOKEN.search(html, at)
@@ -87,10 +110,10 @@ class Page:
                 break
             at = m.end()
             tag = (m[2] or "").lower()
-            if not tag:
+            if not tag or tag == "html":
                 continue
             close = bool(m[1])
-            if tag in INLINE:  # these don't part blocks; advert labels and the like inside a block are left out
+            if tag in INLINE:  # these don't part blocks; hidden ones are left out
                 if close:
                     link = link and tag != "a"
                     if mute and mute[-1] == tag:
@@ -99,63 +122,69 @@ class Page:
                     text.append(" ")
                 elif tag not in VOID:
                     link = link or tag == "a"
-                    if mute and tag == mute[-1] or m[3].strip() and _not_main(_label(tag, m[3]), _label(tag, m[3])):
+                    if mute and tag == mute[-1] or m[3].strip() and _label(tag, m[3]).endswith(".h:"):
                         mute.append(tag)
                 continue
             if close:
-                names = [s.partition(".")[0] for s in stack]
-                if tag in names[1:]:
-                    k = len(names) - 1 - names[::-1].index(tag)
-                    if any(n in WALLS and tag not in WALLS for n in names[k + 1 :]):
+                if is_open.get(tag):
+                    k = innermost(tag)
+                    if tag not in WALLS and not WALLS.isdisjoint(names[k + 1 :]):
                         continue
                     flush()
-                    del stack[k:], nodes[k:]
-                    path = "/".join(stack)
+                    shut(k)
                 elif tag == "p":
                     flush()
                 continue
             label = _label(tag, m[3])
-            if tag == "html":
-                continue
             if tag in RAW:
-                stop = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(html, at)
+                stop = _ends_raw(tag).search(html, at)
                 at = stop.end() if stop else end
-                nodes[-1][1].append([label, []])
                 continue
             flush()
-            names = [s.partition(".")[0] for s in stack]
-            if tag in ENDS_P and "p" in names:
-                k = len(names) - 1 - names[::-1].index("p")
-                del stack[k:], nodes[k:]
-            for k in range(len(stack) - 1, 0, -1):
-                name = stack[k].partition(".")[0]
-                if name in ENDS_SAME.get(tag, ()):
-                    del stack[k:], nodes[k:]
-                elif name in WALLS:
-                    break
-            if tag in ("body", "head") and len(stack) > 1:
-                del stack[1:], nodes[1:]
-            path = "/".join(stack)
+            if tag in ENDS_P and is_open.get("p"):
+                shut(innermost("p"))
+            if tag in ENDS_SAME:
+                for k in range(len(names) - 1, 0, -1):
+                    if names[k] in ENDS_SAME[tag]:
+                        shut(k)
+                    elif names[k] in WALLS:
+                        break
+            if tag in ("body", "head"):
+                shut(1)
             if tag in VOID:
                 continue
-            node = [label, []]
-            nodes[-1][1].append(node)
-            stack.append(label)
+            node = nodes[-1]
+            if len(nodes) < DEPTH:
+                node = [label, []]
+                nodes[-1][1].append(node)
+            names.append(tag)
             nodes.append(node)
-            path = "/".join(stack)
+            is_open[tag] = is_open.get(tag, 0) + 1
         flush()
 
 
-# A wrapper's grammar is a list of items [label, children, optional, repeated]; a label of "()" is a group.
+@cache
+def _ends_raw(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.IGNORECASE)
+
+
+# A wrapper's grammar is a list of items [label, children, optional, repeated]; a label of "()" is a group, one that
+# ends in ".*" stands for any element of its tag.
 
 
 def items_of(skeleton: list) -> list:
     """The grammar of one page: children that repeat, alone or in a row of up to six, become repeated items."""
-    return collapse([[label, items_of([label, kids]), False, False] for label, kids in skeleton[1]])
+    return bounded(collapse([[label, items_of([label, kids]), False, False] for label, kids in skeleton[1]]))
+
+
+def _tag(label: str) -> str:
+    return label.partition(".")[0]
 
 
 def _same(a: list, b: list) -> bool:
-    return a[0] == b[0] and (a[0] != "()" or [x[0] for x in a[1]] == [x[0] for x in b[1]])
+    if a[0] == b[0]:
+        return a[0] != "()" or [x[0] for x in a[1]] == [x[0] for x in b[1]]
+    return (a[0].endswith(".*") or b[0].endswith(".*")) and _tag(a[0]) == _tag(b[0])
 
 
 def collapse(items: list) -> list:
@@ -177,8 +206,26 @@ def collapse(items: list) -> list:
     return items
 
 
+def bounded(items: list) -> list:
+    """A row of items whose length follows the host's layout and not its number of pages: too many names of a tag are given
+    up for the tag, and too long a row for a repeated group of its items, each once and optional."""
+    names: dict[str, set[str]] = {}
+    for x in items:
+        names.setdefault(_tag(x[0]), set()).add(x[0])
+    many = {t for t, n in names.items() if len(n) > NAMES and t != "()"}
+    if many:
+        items = collapse([[f"{_tag(x[0])}.*", *x[1:]] if _tag(x[0]) in many else x for x in items])
+    if len(items) <= ITEMS:
+        return items
+    kinds: dict[str, list] = {}
+    for x in items:
+        for y in x[1] if x[0] == "()" else [x]:
+            kinds[y[0]] = merge_item(kinds[y[0]], y) if y[0] in kinds and y[0] != "()" else y
+    return [["()", [[*x[:2], True, x[3]] for x in kinds.values()], True, True]]
+
+
 def merge_item(a: list, b: list) -> list:
-    return [a[0], merge(a[1], b[1]), a[2] or b[2], a[3] or b[3]]
+    return [a[0] if a[0].endswith(".*") else b[0], merge(a[1], b[1]), a[2] or b[2], a[3] or b[3]]
 
 
 def merge(a: list, b: list) -> list:
@@ -186,23 +233,24 @@ def merge(a: list, b: list) -> list:
     that are then alike become one repeated item."""
     if not a or not b:
         return [[*x[:2], True, x[3]] for x in a or b]
-    best = np.zeros((len(a) + 1, len(b) + 1), dtype=np.int32)
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
+        row, below = best[i], best[i + 1]
         for j in range(len(b) - 1, -1, -1):
-            best[i, j] = best[i + 1, j + 1] + 1 if _same(a[i], b[j]) else max(best[i + 1, j], best[i, j + 1])
+            row[j] = below[j + 1] + 1 if _same(a[i], b[j]) else max(below[j], row[j + 1])
     out: list = []
     i = j = 0
     while i < len(a) or j < len(b):
         if i < len(a) and j < len(b) and _same(a[i], b[j]):
             out.append(merge_item(a[i], b[j]))
             i, j = i + 1, j + 1
-        elif j == len(b) or i < len(a) and best[i + 1, j] >= best[i, j + 1]:
+        elif j == len(b) or i < len(a) and best[i + 1][j] >= best[i][j + 1]:
             out.append([*a[i][:2], True, a[i][3]])
             i += 1
         else:
             out.append([*b[j][:2], True, b[j][3]])
             j += 1
-    return collapse(out)
+    return bounded(collapse(out))
 
 
 def expression(items: list) -> str:
@@ -220,22 +268,24 @@ class Automaton:
     """The elements of one list of items in order, and which may follow which: what reads a row of elements."""
 
     def __init__(self, items: list):
-        self.places: list[tuple[str, Automaton]] = []
+        self.places: list[tuple[str, Automaton, bool]] = []  # label, children, repeated
         self.after: list[dict[str, list[int]]] = []
-        first, last, _ = self._build(items)
+        self.named: dict[str, int] = {}
+        first, last, _ = self._build(items, False)
         self.first: dict[str, list[int]] = {}
         for q in first:
             self.first.setdefault(self.places[q][0], []).append(q)
         self.last = set(last)
 
-    def _build(self, items: list) -> tuple[list[int], list[int], bool]:
+    def _build(self, items: list, inside: bool) -> tuple[list[int], list[int], bool]:
         first, last, empty = [], [], True
         for label, kids, optional, repeated in items:
             if label == "()":
-                f, l, e = self._build(kids)
+                f, l, e = self._build(kids, inside or repeated)
             else:
                 f, l, e = [len(self.places)], [len(self.places)], False
-                self.places.append((label, Automaton(kids)))
+                self.named.setdefault(label, len(self.places))
+                self.places.append((label, Automaton(kids), inside or repeated))
                 self.after.append({})
             for x in [*last, *(l if repeated else [])]:
                 for q in f:
@@ -265,14 +315,15 @@ class Automaton:
         front: dict[int, int] | None = None
         for i, label in enumerate(labels):
             fresh: dict[int, int] = {}
-            if front is None:
-                fresh = {q: -1 for q in self.first.get(label, ())}
-            else:
-                for x in front:
-                    for q in self.after[x].get(label, ()):
-                        fresh.setdefault(q, x)
+            for name in (label, f"{_tag(label)}.*"):
+                if front is None:
+                    fresh |= {q: -1 for q in self.first.get(name, ())}
+                else:
+                    for x in front:
+                        for q in self.after[x].get(name, ()):
+                            fresh.setdefault(q, x)
             if not fresh:
-                q = next((k for k, place in enumerate(self.places) if place[0] == label), -1)
+                q = self.named.get(label, self.named.get(f"{_tag(label)}.*", -1))
                 if q < 0:
                     continue
                 settle()
@@ -282,50 +333,119 @@ class Automaton:
         settle()
         return out
 
-    def slots(self, page: Page) -> list[str]:
-        """The text slot of each block: its path, and the items on the way to it."""
+    def slots(self, page: Page) -> list[str | None]:
+        """The text slot of each block: the places of the items on the way to it; null if the expression has none."""
         where: dict[int, str] = {}
 
-        def walk(node: list, items: Automaton | None, at: str) -> None:
+        def walk(node: list, items: Automaton, at: str) -> None:
             where[id(node)] = at
-            places = items.read([k[0] for k in node[1]]) if items else [-1] * len(node[1])
-            for kid, q in zip(node[1], places, strict=True):
-                walk(kid, items.places[q][1] if q >= 0 else None, f"{at}.{q}")
+            for kid, q in zip(node[1], items.read([k[0] for k in node[1]]), strict=True):
+                if q >= 0:
+                    walk(kid, items.places[q][1], f"{at}.{q}")
 
         walk(page.skeleton, self, "")
-        return [f"{path}\n{where[id(node)]}" for (path, _, _), node in zip(page.blocks, page.owners, strict=True)]
+        return [where.get(id(node)) for node in page.owners]
+
+
+class Element:
+    """An item of a wrapper's grammar with what stands in it and below it on the host's pages."""
+
+    def __init__(self, label: str, items: Automaton, at: str, slots: dict[str, list], repeated: bool):
+        self.label, self.tag, self.at, self.repeated = label, _tag(label), at, repeated
+        self.kids = [Element(l, a, f"{at}.{q}", slots, r) for q, (l, a, r) in enumerate(items.places)]
+        own = slots.get(at)
+        self.own = own[1] - own[2] if own else 0
+        self.prose = self.own + sum(k.prose for k in self.kids)
+        self.slot = [at] if own else []
+
+    def every(self) -> Iterator[Element]:
+        yield self
+        for k in self.kids:
+            yield from k.every()
+
+    def texts(self) -> list[str]:
+        return [at for e in self.every() for at in e.slot]
+
+    def without(self, drop: Callable[[Element], bool]) -> None:
+        """Leave out the elements below for which drop() holds."""
+        self.kids = [k for k in self.kids if not drop(k)]
+        for k in self.kids:
+            k.without(drop)
+        self.prose = self.own + sum(k.prose for k in self.kids)
+
+    def held(self) -> int:
+        """Prose of its own and of elements below that aren't inside another holder."""
+        return self.own + sum(k.held() for k in self.kids if k.tag not in HOLDERS)
+
+
+def _beside_by_name(label: str) -> bool:
+    """Whether a class or id says that an element stands beside the article."""
+    for part in label.split(".")[1:]:
+        if part[:2] in ("c:", "i:"):
+            for name in part[2:].split():
+                words = [w.lower() for w in _PARTS.split(name) if w]
+                if name.lower() in BESIDE or words and (words[-1] in BESIDE or words[0] in FRONT):
+                    return True
+    return False
+
+
+def _beside_by_kind(e: Element, in_article: bool) -> bool:
+    if e.tag in NOT_MAIN or e.label.endswith(".h:") or e.tag == "header" and not in_article:
+        return True
+    return any(p[2:] in NOT_MAIN_ROLES for p in e.label.split(".") if p[:2] == "r:")
+
+
+def _is_article(e: Element) -> bool:
+    return e.tag == "article" or ".i:articlebody" in e.label.lower() or ".r:article" in e.label
+
+
+def _records(e: Element) -> bool:
+    """Whether an element is mostly a row of like elements of two texts or more without a heading: comments, teasers."""
+    for x in e.every():
+        if x.repeated and x.tag in HOLDERS | {"li"} and 2 * x.prose > e.prose:
+            below = list(x.every())
+            return sum(len(y.slot) for y in below) >= 2 and not any(y.tag in HEADINGS for y in below)
+    return False
 
 
 class Wrapper:
     """What the pages of a host have in common: the grammar of their elements, and for each text slot (an element
-    of the grammar) its pages, characters, characters in links, and least and greatest hash of a page's text there."""
+    of the grammar) its pages, characters, characters in links, least and greatest hash of a page's text there, and blocks."""
 
     def __init__(self, pages: int = 0, grammar: list | None = None, slots: dict | None = None):
         self.pages, self.grammar, self.slots = pages, grammar, slots or {}
-        self.seen: set[str] = set()
+        self.seen: set[bytes] = set()
+        self.size = 0
 
     def add(self, page: Page) -> None:
-        sign = json.dumps(items := items_of(page.skeleton))
+        text = json.dumps(items := items_of(page.skeleton))
+        sign = hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=16).digest()
         if sign not in self.seen:
             self.grammar = items if self.grammar is None else merge(self.grammar, items)
+            self.size = max(self.size, len(text))
             if len(self.seen) < 10_000:  # a memory of what needs no second alignment
                 self.seen.add(sign)
+                self.size += len(sign)
         self.pages += 1
 
     def fill(self, page: Page, items: Automaton) -> None:
         """Add what a page holds in the slots of the finished grammar."""
         here: dict[str, list] = {}
-        for slot, (_, said, linked) in zip(items.slots(page), page.blocks, strict=True):
-            s = here.setdefault(slot, [1, 0, 0, 0, 0])
+        for slot, (said, linked) in zip(items.slots(page), page.blocks, strict=True):
+            if slot is None:
+                continue
+            s = here.setdefault(slot, [1, 0, 0, 0, 0, 0])
             s[1] += len(said)
             s[2] += linked
             s[3] = s[4] = zlib.crc32(said.encode("utf-8", "replace"), s[3])
+            s[5] += 1
         self.merge_slots(here)
 
     def merge_slots(self, other: dict[str, list]) -> None:
-        for path, s in other.items():
-            t = self.slots.get(path)
-            self.slots[path] = list(s) if t is None else [t[0] + s[0], t[1] + s[1], t[2] + s[2], min(t[3], s[3]), max(t[4], s[4])]
+        for at, s in other.items():
+            t = self.slots.get(at)
+            self.size += len(at) + 40 if t is None else 0
+            self.slots[at] = list(s) if t is None else [t[0] + s[0], t[1] + s[1], t[2] + s[2], min(t[3], s[3]), max(t[4], s[4]), t[5] + s[5]]
 
     def join(self, other: Wrapper) -> Wrapper:
         self.grammar = other.grammar if self.grammar is None else self.grammar if other.grammar is None else merge(self.grammar, other.grammar)
@@ -343,67 +463,56 @@ class Wrapper:
     def main_slots(self) -> set[str]:
         """The slots that hold the article.
 
-        Slots are told apart by the alignment. Those with the same text on all pages that have them are the template,
-        not data, and out, if these are five pages and half of the host's or more, and other slots vary.
-        Slots inside elements that by name, role or class aren't article are out, too. Of the others, those in
-        article elements count; failing these, in main elements; failing these, in the element by class or id
-        word with most text; failing all, the body's without lists of links.
+        1. Slots with the same text on all pages that have them are the template, not data, and out, if these are five
+        pages and half of the host's or more, and other slots vary.
+        2. Elements that by tag, role or the hidden attribute stand beside an article are out. Holders and lists whose class or
+        id says so are out unless they are or hold an article, or most of the host's text: a name alone loses no article.
+        3. The article is the host's article elements (those that don't repeat, if there are such), else its main element.
+        Where there is neither, it is found from the body down: while one holder, not repeated, has more than half of
+        the text, and the text around it isn't mostly in plain sight, it is entered. There, slots that are mostly links are out.
+        4. Behind the article's own text, rows of like records without headings are reader comments and teasers, and out.
         """
-        path = lambda slot: slot.partition("\n")[0]
         varied = any(s[3] != s[4] for s in self.slots.values())
-        data = {p: s for p, s in self.slots.items() if not (varied and s[0] >= 5 and 2 * s[0] >= self.pages and s[3] == s[4])}
-        fair = {p: s for p, s in data.items() if not any(_not_main(x, path(p)) for x in path(p).split("/"))}
-        for wanted in (lambda x: x.partition(".")[0] == "article" or ".i:articlebody" in x.lower() or ".r:article" in x, lambda x: x.partition(".")[0] == "main" or ".r:main" in x):
-            inside = {p for p in fair if any(wanted(x) for x in path(p).split("/"))}
-            if inside:
-                return inside
-        tops: dict[str, int] = {}
-        for p, s in fair.items():
-            parts = path(p).split("/")
-            for k, x in enumerate(parts):
-                if x.partition(".")[0] in ("div", "section", "td") and _words(x) & MAIN_WORDS:
-                    top = "/".join(parts[: k + 1])
-                    tops[top] = tops.get(top, 0) + s[1] - s[2]
-        whole = sum(s[1] - s[2] for s in fair.values())
-        good = sorted((t for t, n in tops.items() if 2 * n >= whole > 0), key=lambda t: (-t.count("/"), t))
-        if good:
-            return {p for p in fair if path(p) == good[0] or path(p).startswith(good[0] + "/")}
-        return {p for p, s in fair.items() if 2 * s[2] <= s[1]}
-
-
-def _words(label: str) -> set[str]:
-    words = set()
-    for part in label.split(".")[1:]:
-        if part[:2] in ("c:", "i:", "r:"):
-            for piece in re.split(r"[^A-Za-z0-9]+", part[2:]):
-                words.add(piece.lower())
-                words.update(w.lower() for w in _WORDS.findall(piece))
-    return words
-
-
-def _not_main(label: str, path: str) -> bool:
-    tag = label.partition(".")[0]
-    if tag in ("html", "body"):
-        return False
-    in_article = any(x.partition(".")[0] in ("article", "main") for x in path.split("/")[: path.split("/").index(label)])
-    if tag in NOT_MAIN or ".h:" in label or tag == "header" and not in_article:
-        return True
-    if "." not in label:
-        return False
-    words = _words(label)
-    return bool(words & NOT_MAIN_WORDS) or bool(words & HEADER_WORDS) and not in_article or any(p[2:] in NOT_MAIN_ROLES for p in label.split(".") if p[:2] == "r:")
+        data = {at: s for at, s in self.slots.items() if not (varied and s[0] >= 5 and 2 * s[0] >= self.pages and s[3] == s[4])}
+        top = Element("html", Automaton(self.grammar or []), "", data, False)
+
+        def mark(e: Element, inside: bool) -> None:
+            e.inside = inside
+            for k in e.kids:
+                mark(k, inside or _is_article(e) or e.tag == "main")
+
+        mark(top, False)
+        top.without(lambda e: _beside_by_kind(e, e.inside))
+        article = lambda e: any(_is_article(x) or x.tag == "main" for x in e.every())
+        top.without(lambda e: e.tag in HOLDERS | LISTS and e.tag != "body" and _beside_by_name(e.label) and not article(e) and 2 * e.prose <= top.prose)
+        found = [e for e in top.every() if _is_article(e) and e.texts()]
+        found = [e for e in found if not e.repeated] or found or [e for e in top.every() if (e.tag == "main" or ".r:main" in e.label) and e.texts()][:1]
+        if not found:
+            e = top
+            while True:
+                inner = [k for k in e.kids if k.tag in HOLDERS and not k.repeated and 2 * k.prose > e.prose]
+                if not inner or 2 * e.held() > e.prose:
+                    break
+                e = inner[0]
+            e.without(lambda x: any(2 * data[at][2] > data[at][1] for at in x.slot))
+            found = [e]
+        for e in found:
+            if 2 * e.held() > e.prose:
+                last = max((i for i, k in enumerate(e.kids) if k.tag not in HOLDERS and k.held()), default=-1)
+                e.kids = [k for i, k in enumerate(e.kids) if i < last or not _records(k)]
+        return {at for e in found for at in e.texts()}
 
 
 def extract(page: Page, slots: set[str], items: Automaton | None = None) -> str:
     """The blocks in the slots of the grammar, in page order. A page without any is taken as the only one of its host."""
-    said = [text for slot, (_, text, _) in zip(items.slots(page), page.blocks, strict=True) if slot in slots] if items and slots else []
+    said = [text for slot, (text, _) in zip(items.slots(page), page.blocks, strict=True) if slot in slots] if items and slots else []
     if not said and page.blocks:
         own = Wrapper()
         own.add(page)
         items = Automaton(own.grammar or [])
         own.fill(page, items)
         slots = own.main_slots()
-        said = [text for slot, (_, text, _) in zip(items.slots(page), page.blocks, strict=True) if slot in slots]
+        said = [text for slot, (text, _) in zip(items.slots(page), page.blocks, strict=True) if slot in slots]
     return "\n".join(said)
 
 
@@ -423,9 +532,12 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts: dict[str, Wrapper] = {}
         part = 0
-        for b in batches:
+        for b in _small(batches):
             for host, html, part in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):  # noqa: B007
                 hosts.setdefault(host, Wrapper()).add(Page(html))
+            if sum(w.size + 1000 for w in hosts.values()) > HELD:
+                yield _rows(hosts, part)
+                hosts.clear()
         yield _rows(hosts, part)
 
     rows = pages.select(_host().alias("host"), "html", F.spark_partition_id().cast("long").alias("part"))
@@ -435,15 +547,22 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts: dict[str, Wrapper] = {}
         part = 0
-        for b in batches:
+        for b in _small(batches):
             for (_, items), host, html, part in zip(held(b), *(b.column(c).to_pylist() for c in ("host", "html", "part")), strict=True):  # noqa: B007
                 hosts.setdefault(host, Wrapper()).fill(Page(html), items)
+            if sum(w.size + 1000 for w in hosts.values()) > HELD:
+                yield _rows(hosts, part)
+                hosts.clear()
         yield _rows(hosts, part)
 
     filled = _join(stored(rows.mapInArrow(fill, "host string, part long, wrapper string"), "wrappers"))
     return grammars.join(filled.withColumnRenamed("wrapper", "filled"), "host").mapInArrow(_both, "host string, wrapper string")
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return slices(batches, 500)
+
+
 def _rows(hosts: dict[str, Wrapper], part: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(hosts), pa.string()), pa.array([part] * len(hosts), pa.int64()), pa.array([w.dump() for w in hosts.values()], pa.string())], names=["host", "part", "wrapper"])
 
@@ -517,7 +636,7 @@ def extract_main(pages: DataFrame) -> DataFrame:
     rows, held = _with_wrappers(pages.select(F.struct(*keep).alias("row"), "html", _host().alias("host")), chosen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _small(batches):
             said = [extract(Page(html), slots, items) for (slots, items), html in zip(held(b), b.column("html").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.column("row").flatten(), pa.array(said, pa.string()), pa.array([len(t) for t in said], pa.int64())], names=[*keep, "text", "n_chars"])
 

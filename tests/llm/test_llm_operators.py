@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -504,6 +505,73 @@ def test_alignment_makes_optional_and_repeated_items():
     assert wrappers.expression(twice) == "<body>(<h2/><p/>)+</>"
 
 
+def texts_of(spark, pages):
+    rows = [(i, f"http://host.org/{i}", h) for i, h in enumerate(pages)]
+    return [r.text for r in wrappers.extract_main(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).orderBy("page_id").collect()]
+
+
+def test_names_alone_lose_no_article(spark):
+    page = '<body><div class="menu"><a href=1>A {i}</a></div><article class="post category-social tag-comments"><h1>Head {i}</h1><section class="related-work"><p>Work {i}.</section><p class="notice">Mind {i}.<p>See the <span class="menu">menu {i}</span>.<div class="comments"><div><b>x</b><p>First {i}!</div></div></article></body>'
+    assert texts_of(spark, [page.format(i=i) for i in range(8)]) == [f"Head {i}\nWork {i}.\nMind {i}.\nSee the menu {i}." for i in range(8)]
+    page = '<body><div class="post category-social"><h1>Head {i}</h1><p>Text {i} that is long enough to tell.</div><div class="share"><p>Tell {i}</div></body>'
+    assert texts_of(spark, [page.format(i=i) for i in range(8)]) == [f"Head {i}\nText {i} that is long enough to tell." for i in range(8)]
+
+
+def test_names_that_tell_nothing(spark):
+    """Menu, advert, comments and imprint go by what repeats, varies and links, whatever the classes."""
+    rng = random.Random(1)
+    pages, want = [], []
+    for i in range(12):
+        paras = [prose(rng.randint(10, 40), rng) for _ in range(rng.randint(2, 6))]
+        menu = "".join(f"<li><a href={k}>Menu {k} {i}</a>" for k in range(rng.randint(2, 5)))
+        notes = "".join(f'<div class="q9"><b>name{k}</b><p>{prose(9, rng)}</div>' for k in range(rng.randint(1, 6)))
+        pages.append(f'<body><div class="z1"><ul class="z2">{menu}</ul></div><div class="k3"><h2>Head {i}</h2>{"".join(f"<p>{p}" for p in paras)}</div><div class="r4">{prose(6, rng)}</div><div class="t5">{notes}</div><p>Imprint</body>')
+        want.append("\n".join([f"Head {i}", *paras]))
+    assert texts_of(spark, pages) == want
+    inside = [p.replace("</div><div class=\"r4\">", "<div class=\"r4\">").replace("</div><p>Imprint", "</div></div><p>Imprint") for p in pages]
+    got = texts_of(spark, inside)  # comments and advert inside the article's element: the comments go
+    assert all(w in g and "name0" not in g for w, g in zip(want, got))
+
+
+def test_generated_names_and_deep_pages_stay_small(spark):
+    rng = random.Random(2)
+    pages = []
+    for i in range(300):
+        body = "".join(f'<div class="c{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}x"><p>Text {i} {k}</div>' for k in range(4))
+        pages.append(f"<body><article><h1>Head {i}</h1>{body}</article></body>")
+    assert texts_of(spark, pages) == ["\n".join([f"Head {i}", *(f"Text {i} {k}" for k in range(4))]) for i in range(300)]
+    w = wrappers.Wrapper()
+    for p in pages:
+        w.add(wrappers.Page(p))
+    assert len(w.dump()) < 5000
+    deep = "<div>" * 50_000 + "deep" + "</div>" * 50_000 + "<p>after"
+    mixed = "".join(rng.choice(["<p>a", "<ul><li>b</ul>", "<h2>c</h2>", "<pre>d</pre>"]) for _ in range(20_000))
+    got = texts_of(spark, [deep, mixed])
+    assert got[0] == "deep\nafter" and len(got[1].split("\n")) == 20_000
+
+
+def test_alignment_matches_brute_force():
+    """merge() against all alignments: as many items match as can, and the expression accepts both rows."""
+    rng = random.Random(7)
+    for _ in range(300):
+        rows = [[rng.choice("abcd") for _ in range(rng.randint(0, 6))] for _ in range(2)]
+        a, b = ([[x, [], False, False] for x in r] for r in rows)
+        common_ = max((len(x) for x in _subsets(rows[0]) if _within(x, rows[1])), default=0)
+        merged = wrappers.merge([list(x) for x in a], [list(x) for x in b])
+        flat = lambda items: sum(flat(x[1]) if x[0] == "()" else 1 for x in items)
+        assert flat(merged) <= len(a) + len(b) - common_
+        labels = lambda items: "".join(f"({labels(x[1])})" + "*?+"[0 if x[2] and x[3] else 1 if x[2] else 2] if x[0] == "()" else x[0] + ("*" if x[2] and x[3] else "?" if x[2] else "+" if x[3] else "") for x in items)
+        for r in rows:
+            assert re.fullmatch(labels(merged), "".join(r))
+            read = wrappers.Automaton(merged).read(r)
+            assert -1 not in read and read == sorted(read) or "(" in labels(merged) or "+" in labels(merged) or "*" in labels(merged)
+
+
+def _within(short, row):
+    it = iter(row)
+    return all(x in it for x in short)
+
+
 def test_pages_and_vectors_queries(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     assert QUERIES["op7_html_extraction"](spark, sf).count() == pages.count()

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import product
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covoxel.config import EngineConfig
+from covoxel.operators.proximity import bounds, nearest, rows_of
+from covoxel.operators.tiling import Shape
 
 KEYS = ["channel", "tile_x", "tile_y"]
 
@@ -60,6 +61,14 @@ def label(z: np.ndarray, y: np.ndarray, x: np.ndarray, connectivity: int) -> np.
     return out
 
 
+def _labelled(rows: pa.Table, connectivity: int) -> tuple[pa.Table, np.ndarray]:
+    z, y, x = (rows.column(c).to_numpy().astype(np.int64) for c in "zyx")
+    first = label(z, y, x, connectivity)
+    _, back, size = np.unique(first, return_inverse=True, return_counts=True)
+    packed = (z << 42) | (y << 21) | x
+    return rows.append_column("label", pa.array(packed[first])).append_column("size", pa.array(size[back])), size[back]
+
+
 def components(fg: DataFrame, cfg: EngineConfig) -> DataFrame:
     """fg with label and size. A label is the position (z, y, x packed) of one voxel of the component.
 
@@ -68,14 +77,33 @@ def components(fg: DataFrame, cfg: EngineConfig) -> DataFrame:
     """
     connectivity = cfg.connectivity
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        first = label(rows["z"].to_numpy(), rows["y"].to_numpy(), rows["x"].to_numpy(), connectivity)
-        _, back, size = np.unique(first, return_inverse=True, return_counts=True)
-        z, y, x = (rows[c].to_numpy(np.int64)[first] for c in ("z", "y", "x"))
-        return rows.assign(label=(z << 42) | (y << 21) | x, size=size[back])
+    def run(rows: pa.Table) -> pa.Table:
+        return _labelled(rows, connectivity)[0]
 
     schema = ", ".join(f"{c} {t}" for c, t in fg.dtypes) + ", label long, size long"
-    return fg.groupBy(*KEYS).applyInPandas(run, schema)
+    return fg.groupBy(*KEYS).applyInArrow(run, schema)
+
+
+def regions(fg: DataFrame, shape: Shape, cfg: EngineConfig) -> DataFrame:
+    """components() and, of those of min_voxels or more, proximity.proximity(), from one exchange and one pass over each
+    channel of a tile: fg's columns, label, size and min_d2. Rows of fg have a null min_d2; rows with a min_d2 are all voxels
+    within reach, with nulls elsewhere but for their place."""
+    connectivity, least = cfg.connectivity, cfg.min_voxels
+
+    def run(rows: pa.Table) -> pa.Table:
+        channel, tx, ty = (rows.column(c)[0].as_py() for c in KEYS)
+        out, size = _labelled(rows, connectivity)
+        out = out.append_column("min_d2", pa.nulls(len(size), pa.float64()))
+        kept = size >= least
+        if not kept.any():
+            return out
+        place, d2 = nearest([rows.column(c).to_numpy()[kept] for c in "zyx"], *bounds(tx, ty, shape, cfg), cfg)
+        near = rows_of(channel, tx, ty, place, d2)
+        cols = [near.column(f.name).cast(f.type) if f.name in near.column_names else pa.nulls(len(d2), f.type) for f in out.schema]
+        return pa.concat_tables([out, pa.table(cols, schema=out.schema)])
+
+    schema = ", ".join(f"{c} {t}" for c, t in fg.dtypes) + ", label long, size long, min_d2 double"
+    return fg.groupBy(*KEYS).applyInArrow(run, schema)
 
 
 def keep_large(labelled: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -86,8 +114,3 @@ def keep_large(labelled: DataFrame, cfg: EngineConfig) -> DataFrame:
 def component_stats(labelled: DataFrame, cfg: EngineConfig) -> DataFrame:
     return labelled.groupBy(*KEYS).agg(F.countDistinct("label").alias("n_components"), F.lit(cfg.min_voxels).alias("min_voxels"))
 
-
-def iter_offsets(connectivity: int) -> Iterator[tuple[int, int, int]]:
-    for o in half_offsets(connectivity):
-        yield o
-        yield tuple(-v for v in o)

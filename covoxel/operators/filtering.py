@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from covoxel.config import FilterConfig
 
 
-def max_radius(rows: DataFrame) -> Column:
-    return F.max("r_um")
-
-
 def _passes(cfg: FilterConfig) -> Column:
     return (F.col("overlap_coeff") >= cfg.min_overlap_coeff) & (F.col("inter_vox") >= cfg.min_inter_vox)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from covoxel.config import MAX_ITEMS_FOR_K4, MAX_PAIRS_FOR_SETS, MAX_SETS, WORD_
 from covoxel.operators.proximity import within
 
 TILE = ["tile_x", "tile_y"]
+#: Signatures that are a matrix of bits at a time.
+STEP = 1 << 15
 
 
 @dataclass(frozen=True)
@@ -47,12 +51,6 @@ def active_markers(stats: DataFrame, radii: DataFrame) -> DataFrame:
     return stats.join(F.broadcast(radii.select("r_idx", "min_marker")), "r_idx").where("voxel_count >= min_marker").drop("min_marker")
 
 
-def bit_words(positions: Column, word: int) -> Column:
-    """The bits of the given positions (array<int>) that fall into one word of WORD_BITS."""
-    mine = F.filter(positions, lambda p: F.floor(p / WORD_BITS) == word)
-    return F.aggregate(mine, F.lit(0).cast("long"), lambda a, p: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), (p % WORD_BITS).cast("int"))))
-
-
 def signatures(masked: DataFrame, n_channels: int) -> DataFrame:
     """tile_x, tile_y, r_idx, w0.. (a bit for each channel position), n: voxels with that combination of channels.
 
@@ -84,15 +82,41 @@ def signatures_by_distance(prox: DataFrame, n_channels: int, cfg: EngineConfig)
 
 
 def count_overlaps(candidates: DataFrame, histogram: DataFrame) -> DataFrame:
-    """candidates (tile_x, tile_y, r_idx, members, positions) with inter_vox and union_vox, from the histogram."""
+    """candidates (tile_x, tile_y, r_idx, members, positions and any others) with inter_vox and union_vox, from the histogram.
+
+    One pass over each tile and radius, both sides bounded by the tile and the candidate limits. Signatures become a matrix of
+    bits; candidates that differ in their last member alone are one product of a vector with it: the voxels that have all
+    members, and, of the complements, those that have none. Doubles hold these counts exactly.
+    """
     words = [c for c in histogram.columns if c.startswith("w")]
-    masks = candidates.withColumns({f"m{w[1:]}": bit_words(F.col("positions"), int(w[1:])) for w in words})
-    both = masks.join(histogram, [*TILE, "r_idx"])
-    every = reduce(lambda a, b: a & b, [F.col(w).bitwiseAND(F.col(f"m{w[1:]}")) == F.col(f"m{w[1:]}") for w in words])
-    some = reduce(lambda a, b: a | b, [F.col(w).bitwiseAND(F.col(f"m{w[1:]}")) != 0 for w in words])
-    sums = both.where(some).groupBy(*TILE, "r_idx", "members").agg(F.sum(F.when(every, F.col("n")).otherwise(0)).alias("inter_vox"), F.sum("n").alias("union_vox"))
-    out = candidates.drop("positions").join(sums, [*TILE, "r_idx", "members"], "left")
-    return out.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in ("inter_vox", "union_vox")})
+    kept = [(c, t) for c, t in candidates.dtypes if c != "positions"]
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        by_prefix: dict[tuple[int, ...], list[tuple[int, int]]] = {}
+        for row, at in enumerate(left.column("positions").to_pylist()):
+            by_prefix.setdefault(tuple(at[:-1]), []).append((row, at[-1]))
+        inter, union = np.zeros(left.num_rows), np.zeros(left.num_rows)
+        for s in range(0, right.num_rows, STEP):
+            part = right.slice(s, STEP)
+            bits = np.concatenate([(part.column(w).to_numpy()[:, None] >> np.arange(WORD_BITS)) & 1 for w in words], axis=1).astype(np.float64)
+            n = part.column("n").to_numpy().astype(np.float64)
+            for prefix, ends in by_prefix.items():
+                rows, last = (list(x) for x in zip(*ends, strict=True))
+                every, none = n.copy(), n.copy()
+                for p in prefix:
+                    every *= bits[:, p]
+                    none *= 1 - bits[:, p]
+                inter[rows] += every @ bits[:, last]
+                union[rows] += n.sum() - none @ (1 - bits[:, last])
+        out = left.select([c for c, _ in kept])
+        for name, x in (("inter_vox", inter), ("union_vox", union)):
+            out = out.append_column(name, pa.array(x.astype(np.int64)))
+        return out
+
+    schema = ", ".join(f"{c} {t}" for c, t in kept) + ", inter_vox long, union_vox long"
+    keys = [*TILE, "r_idx"]
+    named = histogram.withColumnsRenamed({k: f"of_{k}" for k in keys})  # both sides may come from the same rows
+    return candidates.groupBy(*keys).cogroup(named.groupBy(*[f"of_{k}" for k in keys])).applyInArrow(run, schema)
 
 
 def active_pairs(active: DataFrame) -> DataFrame:

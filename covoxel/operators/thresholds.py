@@ -1,7 +1,7 @@
 """Adaptive thresholds per channel and tile.
 
-Voxels are sparse: an absent voxel is 0. Projections are made dense over (y, x), which is small against the
-volume; the comparison with the threshold stays sparse where intensities aren't negative, since a threshold never lies below 0.
+Voxels are sparse: an absent voxel is 0, and never materialized. The columns in which no voxel is stored enter the quantiles as
+one row (0, how many there are) for each channel and tile, so nothing here is as large as the grid.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covoxel.config import EngineConfig
-from covoxel.operators.tiling import Shape, columns_grid
+from covoxel.operators.tiling import Shape, columns_grid, tile_grid
 
 MAD_TO_SIGMA, MAD_FLOOR = 1.4826, 1e-6  # fixed values
 
@@ -22,47 +22,71 @@ def channel_dim(voxels: DataFrame, cfg: EngineConfig) -> DataFrame:
     return voxels.select("channel").distinct()
 
 
+def _top(shape: Shape) -> list[Column]:
+    """Greatest value of a column; an absent voxel of it is 0."""
+    value = F.col("value").cast("double")
+    return [F.when(F.count("*") < shape.z, F.greatest(F.max(value), F.lit(0.0))).otherwise(F.max(value)).alias("m")]
+
+
 def mip(voxels: DataFrame, shape: Shape, cfg: EngineConfig) -> DataFrame:
-    """Greatest value over z for every channel and (y, x), 0 where no voxel is stored."""
-    top = voxels.groupBy("channel", "y", "x").agg(F.max("value").alias("m"))
+    """Greatest value over z for every channel and (y, x), 0 where no voxel is stored: the dense image, for export."""
+    top = voxels.groupBy("channel", "y", "x").agg(*_top(shape))
     spine = columns_grid(voxels.sparkSession, shape, cfg).crossJoin(F.broadcast(channel_dim(voxels, cfg)))  # one row per channel
     return spine.join(top, ["channel", "y", "x"], "left").withColumn("m", F.coalesce(F.col("m").cast("double"), F.lit(0.0)))
 
 
-def quantile_of(values: Column, n: Column, level: Column) -> Column:
-    """Linear interpolation in a sorted array; level may differ by row."""
-    at = (n - 1) * level
-    low = F.floor(at).cast("int")
-    a, b = F.get(values, low), F.get(values, F.least(low + 1, n.cast("int") - 1))
-    return a + (b - a) * (at - low)
+def projections(voxels: DataFrame, groups: DataFrame, keys: list[str], shape: Shape) -> DataFrame:
+    """keys, m, n, gap: the projections of stored columns (n = 1, gap = 0), and for each group one row of 0 that stands for its
+    n = gap columns without a voxel. groups: keys, n_columns."""
+    stored = voxels.groupBy(*dict.fromkeys([*keys, "channel", "y", "x"])).agg(*_top(shape))
+    held = stored.groupBy(*keys).agg(F.count("*").alias("held"))
+    gap = F.col("n_columns") - F.coalesce("held", F.lit(0))
+    empty = groups.join(held, keys, "left").select(*keys, F.lit(0.0).alias("m"), gap.cast("long").alias("n"), gap.cast("long").alias("gap"))
+    one = stored.select(*keys, "m", F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("gap"))
+    return one.unionByName(empty.where("n > 0"))
 
 
 def background(m: DataFrame, keys: list[str], cfg: EngineConfig) -> DataFrame:
     """The projections up to the trim quantile of their group."""
-    cut = m.groupBy(*keys).agg(F.percentile("m", F.lit(cfg.trim_q)).alias("cut"))
+    cut = m.groupBy(*keys).agg(F.percentile("m", F.lit(cfg.trim_q), F.col("n")).alias("cut"))
     return m.join(cut, keys).where("m <= cut")
 
 
 def global_thresholds(lowres: DataFrame, shape: Shape, cfg: EngineConfig) -> DataFrame:
     """channel, mu, mad, t_global: median + z * 1.4826 * MAD of the trimmed projection, from exact quantiles."""
-    bg = background(mip(lowres, shape, cfg), ["channel"], cfg)
-    mu = bg.groupBy("channel").agg(F.percentile("m", F.lit(0.5)).alias("mu"))
-    mad = bg.join(mu, "channel").groupBy("channel", "mu").agg((F.percentile(F.abs(F.col("m") - F.col("mu")), F.lit(0.5)) + MAD_FLOOR).alias("mad"))
+    groups = channel_dim(lowres, cfg).withColumn("n_columns", F.lit(shape.y * shape.x))
+    bg = background(projections(lowres, groups, ["channel"], shape), ["channel"], cfg)
+    mu = bg.groupBy("channel").agg(F.percentile("m", F.lit(0.5), F.col("n")).alias("mu"))
+    mad = bg.join(mu, "channel").groupBy("channel", "mu").agg((F.percentile(F.abs(F.col("m") - F.col("mu")), F.lit(0.5), F.col("n")) + MAD_FLOOR).alias("mad"))
     return mad.withColumn("t_global", F.col("mu") + F.lit(cfg.z_alpha * MAD_TO_SIGMA) * F.col("mad"))
 
 
-def tile_thresholds(voxels: DataFrame, t_global: DataFrame, shape: Shape, cfg: EngineConfig) -> DataFrame:
-    """channel, tile_x, tile_y, t_global, q_tile, t_final, alpha_eff.
+def _at(i: Column) -> Column:
+    """The i-th of a tile's projections: sorted stored ones in v, `gap` zeros behind its `below` negative ones."""
+    return F.when(i < F.col("below"), F.get("v", i)).when(i < F.col("below") + F.col("gap"), F.lit(0.0)).otherwise(F.get("v", i - F.col("gap").cast("int")))
+
+
+def tile_thresholds(voxels: DataFrame, t_global: DataFrame, shape: Shape, cfg: EngineConfig, tiles: DataFrame | None = None) -> DataFrame:
+    """channel, tile_x, tile_y, t_global, q_tile, t_final, alpha_eff, for all tiles or the given ones.
 
     alpha_eff is at least one projection's share, so tiles of fewer than 1 / alpha columns have a level of their own. A
-    tile's projections are gathered in an array: tile_y * tile_x numbers at most.
+    tile's stored projections are gathered in an array: tile_y * tile_x numbers at most.
     """
     keys = ["channel", "tile_x", "tile_y"]
-    bg = background(mip(voxels, shape, cfg), keys, cfg)
-    tiles = bg.groupBy(*keys).agg(F.array_sort(F.collect_list("m")).alias("v"), F.count("*").alias("n"))
-    tiles = tiles.withColumn("alpha_eff", F.greatest(F.lit(cfg.alpha), F.lit(1.0) / F.greatest(F.lit(1), F.col("n"))))
-    tiles = tiles.withColumn("q_tile", quantile_of(F.col("v"), F.col("n"), 1 - F.col("alpha_eff")))
-    out = tiles.join(F.broadcast(t_global.select("channel", "t_global")), "channel")  # one row per channel
+    grid = tile_grid(voxels.sparkSession, shape, cfg)
+    if tiles is not None:
+        grid = grid.join(tiles.select("tile_x", "tile_y"), ["tile_x", "tile_y"], "left_semi")
+    columns = (F.least("x1", F.lit(shape.x)) - F.col("x0")) * (F.least("y1", F.lit(shape.y)) - F.col("y0"))
+    groups = grid.select("tile_x", "tile_y", columns.alias("n_columns")).crossJoin(F.broadcast(t_global.select("channel")))  # one row per channel
+    bg = background(projections(voxels, groups, keys, shape), keys, cfg)
+    is_stored = F.col("gap") == 0
+    by_tile = bg.groupBy(*keys).agg(F.array_sort(F.collect_list(F.when(is_stored, F.col("m")))).alias("v"), F.sum("n").alias("n"), F.sum("gap").alias("gap"), F.count(F.when(is_stored & (F.col("m") < 0), 1)).alias("below"))
+    by_tile = by_tile.withColumn("alpha_eff", F.greatest(F.lit(cfg.alpha), F.lit(1.0) / F.greatest(F.lit(1), F.col("n"))))
+    at = (F.col("n") - 1) * (1 - F.col("alpha_eff"))
+    low = F.floor(at).cast("int")
+    a, b = _at(low), _at(F.least(low + 1, F.col("n").cast("int") - 1))
+    by_tile = by_tile.withColumn("q_tile", a + (b - a) * (at - low))
+    out = by_tile.join(F.broadcast(t_global.select("channel", "t_global")), "channel")  # one row per channel
     return out.select(*keys, "t_global", "q_tile", F.greatest("t_global", "q_tile").alias("t_final"), "alpha_eff")
 
 

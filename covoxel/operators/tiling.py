@@ -49,7 +49,3 @@ def radii(spark: SparkSession, cfg: EngineConfig) -> DataFrame:
 def region(level: Column, tile: str) -> Column:
     return F.call_function("shiftright", F.col(tile), level)
 
-
-def chunked(items: list, k: int) -> list[list]:
-    """Batches of k, in order. Spark deals work by partition, so nothing here needs it."""
-    return [items[i : i + k] for i in range(0, len(items), k)]

@@ -4,20 +4,32 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covoxel.config import EngineConfig
 from covoxel.functions.names import default_names
-from covoxel.operators import components, mining, proximity, rollup, thresholds, tiling
+from covoxel.operators import components, mining, proximity, thresholds, tiling
 from covoxel.operators.tiling import Shape
 from covoxel.plans import tables
 
 Stage = Callable[[DataFrame], DataFrame]
 
 
+def hold(df: DataFrame) -> DataFrame:
+    """df written to the folder that executors share (spark.checkpoint.dir), so that it outlives them; cached where the session
+    names none, as in tests."""
+    spark = df.sparkSession
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        return df.cache()
+    path = f"{at.rstrip('/')}/engine-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @dataclass
 class Engine:
     """One analysis of one volume.
@@ -34,21 +46,34 @@ class Engine:
     lowres_shape: Shape | None = None
     names: DataFrame | None = None
     segment: Stage | None = None
+    subset: DataFrame | None = None
     _made: dict = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if self.cfg.channels:
             self.voxels = self.voxels.where(F.col("channel").isin(list(self.cfg.channels)))
-        self.voxels = tiling.with_tiles(self.voxels, self.cfg)
+        if not {"tile_x", "tile_y"} <= set(self.voxels.columns):
+            self.voxels = tiling.with_tiles(self.voxels, self.cfg)
         self.spark = self.voxels.sparkSession
 
+    def only(self, tiles: DataFrame) -> Engine:
+        """The same analysis of some tiles (a bounded batch): their voxels alone are read, and the rest is as in the whole.
+
+        Global thresholds, channels and names are shared. The bounds of the batch are filters on y and x that reach the scan,
+        and on tile_x and tile_y, which prune folders where the volume is stored by tile.
+        """
+        part = tiles.select("tile_x", "tile_y")
+        box = part.agg(F.min("tile_x"), F.max("tile_x"), F.min("tile_y"), F.max("tile_y")).first()
+        voxels = self.voxels
+        if box[0] is not None:
+            x, y = (box[0], box[1]), (box[2], box[3])
+            voxels = voxels.where(F.col("x").between(x[0] * self.cfg.tile_x, (x[1] + 1) * self.cfg.tile_x - 1) & F.col("y").between(y[0] * self.cfg.tile_y, (y[1] + 1) * self.cfg.tile_y - 1))
+            voxels = voxels.where(F.col("tile_x").between(*x) & F.col("tile_y").between(*y))
+        made = {"global": self.global_thresholds(), "channels": self.channels()}
+        return replace(self, voxels=voxels.join(F.broadcast(part), ["tile_x", "tile_y"], "left_semi"), subset=part, _made=made)  # a batch of tiles
+
     def hold(self, df: DataFrame) -> DataFrame:
-        at = self.spark.conf.get("spark.checkpoint.dir", None)
-        if not at:
-            return df.cache()
-        path = f"{at.rstrip('/')}/engine-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return hold(df)
 
     def _once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._made:
@@ -71,28 +96,33 @@ class Engine:
         return tiling.radii(self.spark, self.cfg)
 
     def tiles(self) -> DataFrame:
-        return tiling.tile_grid(self.spark, self.shape, self.cfg)
+        grid = tiling.tile_grid(self.spark, self.shape, self.cfg)
+        return grid if self.subset is None else grid.join(self.subset, ["tile_x", "tile_y"], "left_semi")
 
     def global_thresholds(self) -> DataFrame:
         source = self.lowres if self.lowres is not None else self.voxels
         return self._once("global", lambda: self.hold(thresholds.global_thresholds(source, self.lowres_shape or self.shape, self.cfg)))
 
     def tile_thresholds(self) -> DataFrame:
-        return self._once("tile_t", lambda: self.hold(thresholds.tile_thresholds(self.voxels, self.global_thresholds(), self.shape, self.cfg)))
+        return self._once("tile_t", lambda: self.hold(thresholds.tile_thresholds(self.voxels, self.global_thresholds(), self.shape, self.cfg, self.subset)))
 
     def foreground(self) -> DataFrame:
         if self.segment is not None:
             return self.voxels.transform(self.segment)
         return thresholds.foreground(self.voxels, self.tile_thresholds())
 
+    def _regions(self) -> DataFrame:
+        """Labels and distances come from one pass over each channel of a tile."""
+        return self._once("regions", lambda: self.hold(components.regions(self.foreground(), self.shape, self.cfg)))
+
     def labelled(self) -> DataFrame:
-        return self._once("labelled", lambda: self.hold(components.components(self.foreground(), self.cfg)))
+        return self._regions().where("label is not null").drop("min_d2")
 
     def objects(self) -> DataFrame:
         return components.keep_large(self.labelled(), self.cfg)
 
     def proximity(self) -> DataFrame:
-        return self._once("prox", lambda: self.hold(proximity.proximity(self.objects(), self.shape.z, self.shape.y, self.shape.x, self.cfg)))
+        return self._regions().where("min_d2 is not null").select(*components.KEYS, "z", "y", "x", "min_d2")
 
     def masks(self) -> DataFrame:
         return proximity.masks(self.proximity(), self.cfg)
@@ -109,22 +139,13 @@ class Engine:
         return self.tile_thresholds().join(components.component_stats(self.labelled(), self.cfg), ["channel", "tile_x", "tile_y"], "left").fillna(0, ["n_components"]).fillna(self.cfg.min_voxels, ["min_voxels"])
 
     def mine(self, tiles: DataFrame | None = None) -> mining.Mined:
-        """Mine all tiles, or the given ones."""
-        if tiles is None:
-            return self._once("mined", lambda: self._mine(self.tiles()))
-        return self._mine(tiles)
-
-    def _mine(self, tiles: DataFrame) -> mining.Mined:
-        here = tiles.select("tile_x", "tile_y")
-        prox, inside = (df.join(here, ["tile_x", "tile_y"], "left_semi") for df in (self.proximity(), self.innermost()))
-        return mining.mine(prox, inside, tiles, self.channels(), self.radii(), self.cfg, self.hold)
+        """Mine all tiles, or a batch of them, of which alone anything is computed."""
+        if tiles is not None:
+            return self.only(tiles).mine()
+        return self._once("mined", lambda: mining.mine(self.proximity(), self.innermost(), self.tiles(), self.channels(), self.radii(), self.cfg, self.hold))
 
     def rollup(self, mined: mining.Mined | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-        m = mined or self.mine()
-        return rollup.rollup_channels(m.channel_stats, self.cfg), rollup.rollup_pairs(m.pairs, self.cfg), rollup.rollup_sets(m.sets, self.cfg)
+        return tables.roll_up(mined or self.mine(), self.cfg)
 
     def result_tables(self, mined: mining.Mined | None = None) -> dict[str, DataFrame]:
-        channels, pairs, sets = map(self.hold, self.rollup(mined))
-        rows = self.hold(tables.combination_rows(pairs, sets, self.channel_names()))
-        levels = rollup.hierarchy(channels, pairs, sets, self.cfg)
-        return {"metadata": tables.metadata_table(self.spark, self.channel_names(), levels, list(self.cfg.dilate_um), self.shape), "combinations": tables.combinations_table(rows), "tiles": tables.tiles_table(rows), "channel_stats": tables.channel_stats_table(channels, self.channel_names())}
+        return tables.result_tables(mined or self.mine(), self.channel_names(), self.shape, self.cfg, self.hold)

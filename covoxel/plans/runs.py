@@ -1,42 +1,94 @@
-"""Whole runs: resumable mining, aggregation into tables, filtering."""
+"""Whole runs: resumable mining by batches of tiles, aggregation into tables, filtering."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+from collections.abc import Callable, Iterator
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covoxel.config import FilterConfig
+from covoxel.config import EngineConfig, FilterConfig
+from covoxel.functions.names import default_names
 from covoxel.operators import filtering
 from covoxel.operators.mining import Mined
 from covoxel.operators.tiling import Shape
-from covoxel.plans.engine import Engine
+from covoxel.plans import tables
+from covoxel.plans.engine import Engine, hold
 from covoxel.sinks.store import export_sqlite, write_parquet
-from covoxel.sources.checkpoints import ResultStore, remaining
+from covoxel.sources import checkpoints
+from covoxel.sources.checkpoints import Progress, ResultStore, remaining
+
+Report = Callable[[Progress], None]
+
+
+def batches(tiles: DataFrame, size: int) -> Iterator[DataFrame]:
+    """Tiles in batches of `size`, row by row of the grid. What comes to the driver are tile numbers, one pair a tile."""
+    spark, found = tiles.sparkSession, tiles.select("tile_x", "tile_y").orderBy("tile_y", "tile_x").toLocalIterator()
+    part: list[tuple[int, int]] = []
+    for row in found:
+        part.append(tuple(row))
+        if len(part) == size:
+            yield spark.createDataFrame(part, "tile_x int, tile_y int")
+            part = []
+    if part:
+        yield spark.createDataFrame(part, "tile_x int, tile_y int")
+
+
+def run_tiles(engine: Engine, store: ResultStore, resume: bool = True, batch: int = 1024, report: Report | None = None) -> Mined:
+    """Mine the tiles that the store lacks (all, without resume), batch by batch, and return all results. Nothing is computed of
+    other tiles; a run that ends early keeps the batches it has written."""
+    todo = engine.hold(remaining(engine.tiles(), store.done()) if resume else engine.tiles())
+    before, start = store.done().count(), time.monotonic()
+    for part in batches(todo, batch):
+        store.write(engine.only(part).mine())
+        if report:
+            report(store.progress(engine.tiles(), before, time.monotonic() - start))
+    return store.read()
 
 
-def run_tiles(engine: Engine, store: ResultStore, resume: bool = True) -> Mined:
-    """Mine the tiles that the store lacks (all, without resume), write them, and return all results."""
-    todo = remaining(engine.tiles(), store.done()) if resume else engine.tiles()
-    todo = engine.hold(todo)
-    if not todo.isEmpty():
-        store.write(engine.mine(todo))
-    return store.read()
+def published(made: dict[str, DataFrame], path: str | None, sqlite: str | None) -> dict[str, DataFrame]:
+    if path:
+        write_parquet(made, path)
+    if sqlite:
+        export_sqlite(made, sqlite)
+    return made
 
 
 def aggregate(engine: Engine, mined: Mined, path: str | None = None, sqlite: str | None = None) -> dict[str, DataFrame]:
     """The result tables, also written as Parquet and as one SQLite file if asked for."""
-    tables = engine.result_tables(mined)
-    if path:
-        write_parquet(tables, path)
-    if sqlite:
-        export_sqlite(tables, sqlite)
-    return tables
+    return published(engine.result_tables(mined), path, sqlite)
 
 
 def run_full(engine: Engine, store: ResultStore, path: str | None = None, sqlite: str | None = None, resume: bool = True) -> dict[str, DataFrame]:
     return aggregate(engine, run_tiles(engine, store, resume), path, sqlite)
 
 
+def aggregate_results(mined: Mined, cfg: EngineConfig, shape: Shape, names: DataFrame | None = None, path: str | None = None, sqlite: str | None = None) -> dict[str, DataFrame]:
+    """The result tables of mined tiles alone, without the volume: radii and channels are those of the statistics."""
+    radii = [r[0] for r in mined.channel_stats.select("r_um").distinct().collect()]  # a handful
+    cfg = replace(cfg, dilate_um=tuple(radii) or cfg.dilate_um)
+    if names is None:
+        names = default_names(mined.channel_stats.select("channel").distinct())
+    return published(tables.result_tables(mined, names, shape, cfg, hold), path, sqlite)
+
+
+def aggregate_folder(spark: SparkSession, source: str, cfg: EngineConfig, shape: Shape | None = None, names: DataFrame | None = None, path: str | None = None, sqlite: str | None = None) -> dict[str, DataFrame]:
+    """The result tables of a folder of tile documents. Without a shape the bounds are those of whole tiles."""
+    docs = hold(checkpoints.read_json(spark, source))
+    return aggregate_results(checkpoints.flat(docs), cfg, shape or document_shape(docs), names, path, sqlite)
+
+
+def document_shape(docs: DataFrame) -> Shape:
+    """The bounds as whole tiles, where only tile documents are known."""
+    z, y, x = (F.max(F.get("tile_shape", F.lit(i))) for i in range(3))
+    top = docs.agg(F.max("tile_x"), F.max("tile_y"), z, y, x).first()
+    if top[0] is None:
+        raise ValueError("no tile results")
+    return Shape(top[2], (top[1] + 1) * top[3], (top[0] + 1) * top[4])
+
+
 def common_radius(stats: DataFrame) -> float:
     """The largest radius, which all tiles must share."""
     per_tile = stats.groupBy("tile_x", "tile_y").agg(F.sort_array(F.collect_set("r_um")).alias("radii")).groupBy("radii").count().collect()
@@ -55,13 +107,22 @@ def filter_results(mined: Mined, cfg: FilterConfig) -> tuple[Mined, DataFrame]:
     return Mined(mined.channel_stats, pairs, sets, mined.summary), filtering.stats(mined.summary, (mined.pairs, mined.sets), (pairs, sets))
 
 
+def filter_folder(spark: SparkSession, source: str, target: str, cfg: FilterConfig) -> DataFrame:
+    """Rewrite a folder of tile documents with the combinations that pass, all else unchanged; one row of counts."""
+    docs = hold(checkpoints.read_json(spark, source))
+    kept, counts = filter_results(checkpoints.flat(docs), cfg)
+    checkpoints.write_json(checkpoints.with_combinations(docs, kept.pairs, kept.sets), target)
+    return counts
+
+
 def filter_and_aggregate(engine: Engine, mined: Mined, cfg: FilterConfig, path: str | None = None, sqlite: str | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
     """As aggregate(), of filtered results; the engine's true shape gives the bounds of the volume."""
     kept, counts = filter_results(mined, cfg)
     return aggregate(engine, kept, path, sqlite), counts
 
 
-def padded_shape(tiles: DataFrame, tile_y: int, tile_x: int, depth: int) -> Shape:
-    """The bounds as whole tiles, where only tile results are known."""
-    top = tiles.agg(F.max("tile_x"), F.max("tile_y")).first()
-    return Shape(depth, (top[1] + 1) * tile_y, (top[0] + 1) * tile_x)
+def filter_and_aggregate_folder(spark: SparkSession, source: str, cfg: EngineConfig, wanted: FilterConfig, shape: Shape | None = None, names: DataFrame | None = None, path: str | None = None, sqlite: str | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """As aggregate_folder(), of what filter_results() keeps."""
+    docs = hold(checkpoints.read_json(spark, source))
+    kept, counts = filter_results(checkpoints.flat(docs), wanted)
+    return aggregate_results(kept, cfg, shape or document_shape(docs), names, path, sqlite), counts

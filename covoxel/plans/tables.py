@@ -2,15 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from covoxel.config import EngineConfig
 from covoxel.functions.names import channels_key, with_name
+from covoxel.operators import rollup
+from covoxel.operators.mining import Mined
 from covoxel.operators.tiling import Shape
 
+Hold = Callable[[DataFrame], DataFrame]
 TABLES = ("metadata", "combinations", "tiles", "channel_stats")
 
 
+def roll_up(m: Mined, cfg: EngineConfig) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return rollup.rollup_channels(m.channel_stats, cfg), rollup.rollup_pairs(m.pairs, cfg), rollup.rollup_sets(m.sets, cfg)
+
+
+def result_tables(m: Mined, names: DataFrame, shape: Shape, cfg: EngineConfig, hold: Hold) -> dict[str, DataFrame]:
+    """The published tables of mined tiles. No voxel is needed: names (channel, name) are those of the channels, shape that of
+    the volume, or of its tiles."""
+    channels, pairs, sets = map(hold, roll_up(m, cfg))
+    rows = hold(combination_rows(pairs, sets, names))
+    levels = rollup.hierarchy(channels, pairs, sets, cfg)
+    spark = rows.sparkSession
+    return {"metadata": metadata_table(spark, names, levels, list(cfg.dilate_um), shape), "combinations": combinations_table(rows), "tiles": tiles_table(rows), "channel_stats": channel_stats_table(channels, names)}
+
+
 def combination_rows(pairs: DataFrame, sets: DataFrame, names: DataFrame) -> DataFrame:
     """Pairs and sets of all levels as one frame with `id`. The number has no meaning beyond linking tables; it follows
     level, size, region, radius and members. Ids are dealt in one ordering pass over the rolled-up rows: ranges are

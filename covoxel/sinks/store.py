@@ -7,6 +7,7 @@ import os
 import shutil
 import sqlite3
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,7 +18,13 @@ DDL = {
     "tiles": "combination_id INTEGER, tile_x0 INTEGER, tile_x1 INTEGER, tile_y0 INTEGER, tile_y1 INTEGER, inter_count INTEGER, union_count INTEGER",
     "channel_stats": "channel TEXT, channel_idx INTEGER, dilation REAL, hierarchy_level INTEGER, tile_x0 INTEGER, tile_x1 INTEGER, tile_y0 INTEGER, tile_y1 INTEGER, voxel_count INTEGER, sum_intensity REAL, mean_intensity REAL",
 }
-INDEXED = {"combinations": ("channels", "hierarchy_level", "dilation", "iou"), "tiles": ("combination_id",), "channel_stats": ("channel", "hierarchy_level", "dilation")}
+#: Columns of each index; those of places serve lookups by region.
+INDEXED = {
+    "combinations": (("channels",), ("hierarchy_level", "dilation"), ("iou",)),
+    "tiles": (("combination_id",), ("tile_x0", "tile_x1", "tile_y0", "tile_y1")),
+    "channel_stats": (("channel",), ("hierarchy_level", "dilation"), ("tile_x0", "tile_x1", "tile_y0", "tile_y1")),
+}
+KEYS = {"tiles": ", FOREIGN KEY (combination_id) REFERENCES combinations (id)"}
 SPARK = {"TEXT": "string", "INTEGER": "long", "REAL": "double"}
 PARTED = {"combinations": ["hierarchy_level", "dilation"], "channel_stats": ["hierarchy_level", "dilation"]}
 
@@ -43,12 +50,12 @@ def export_sqlite(tables: dict[str, DataFrame], target: str) -> None:
         file = os.path.join(folder, "tables.db")
         with sqlite3.connect(file) as db:
             for name, columns in DDL.items():
-                db.execute(f"CREATE TABLE {name} ({columns})")
+                db.execute(f"CREATE TABLE {name} ({columns}{KEYS.get(name, '')})")
                 names = [c.split()[0] for c in columns.split(", ")]
                 rows = tables[name].select(*names).toLocalIterator(prefetchPartitions=True)
                 db.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(names))})", map(tuple, rows))
-                for c in INDEXED.get(name, ()):
-                    db.execute(f"CREATE INDEX idx_{name}_{c} ON {name} ({c})")
+                for cols in INDEXED.get(name, ()):
+                    db.execute(f"CREATE INDEX idx_{name}_{'_'.join(cols)} ON {name} ({', '.join(cols)})")
         db.close()
         part = f"{target}.part"
         with open(file, "rb") as source, gzip.open(part, "wb") as out:
@@ -56,9 +63,11 @@ def export_sqlite(tables: dict[str, DataFrame], target: str) -> None:
         os.replace(part, target)
 
 
-def import_sqlite(spark: SparkSession, source: str) -> dict[str, DataFrame]:
-    """The tables of such a file as DataFrames. It is one file on the driver, read in batches."""
+def import_sqlite(spark: SparkSession, source: str, rows: int = 100_000) -> dict[str, DataFrame]:
+    """The tables of such a file as DataFrames. It is one file on the driver, read and handed on `rows` rows at a time as
+    Parquet in the folder that executors share, or, where the session names none, as local frames."""
     out = {}
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     with tempfile.NamedTemporaryFile(suffix=".db") as file:
         with gzip.open(source, "rb") as packed:
             shutil.copyfileobj(packed, file)
@@ -66,7 +75,16 @@ def import_sqlite(spark: SparkSession, source: str) -> dict[str, DataFrame]:
         db = sqlite3.connect(file.name)
         for name, columns in DDL.items():
             kinds = [(c.split()[0], SPARK[c.split()[1]]) for c in columns.split(", ")]
-            rows = db.execute(f"SELECT {', '.join(c for c, _ in kinds)} FROM {name}").fetchall()
-            out[name] = spark.createDataFrame(rows, ", ".join(f"{c} {k}" for c, k in kinds))
+            schema, found = ", ".join(f"{c} {k}" for c, k in kinds), db.execute(f"SELECT {', '.join(c for c, _ in kinds)} FROM {name}")
+            at = shared and f"{shared.rstrip('/')}/import-{uuid.uuid4().hex}"
+            table = spark.createDataFrame([], schema)
+            while part := found.fetchmany(rows):
+                frame = spark.createDataFrame(part, schema)
+                if at:
+                    frame.write.mode("append").parquet(at)
+                    table = spark.read.schema(schema).parquet(at)
+                else:
+                    table = table.unionAll(frame)
+            out[name] = table
         db.close()
     return out

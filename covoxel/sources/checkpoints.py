@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ NAME = r"tile_(\d{4,})_(\d{4,})\.json\.gz$"
 PAIR = "tile_x int, tile_y int, r_um double, a int, b int, a_vox long, b_vox long, inter_vox long, union_vox long, iou double, overlap_coeff double"
 SET = "tile_x int, tile_y int, r_um double, k int, members array<int>, inter_vox long, union_vox long, iou double, overlap_coeff double"
 STATS = "tile_x int, tile_y int, channel int, r_um double, voxel_count long, sum_intensity double"
-DOCUMENT = f"tile_x int, tile_y int, tile_z int, tile_shape array<int>, total_voxels long, radii_um array<double>, marker_vox map<string,map<string,long>>, n_active_channels int, n_frequent_pairs int, channel_stats array<struct<{STATS}>>, pairs array<struct<{PAIR}>>, sets array<struct<{SET}>>".replace("int, ", "int, ")
+DOCUMENT = f"tile_x int, tile_y int, tile_z int, tile_shape array<int>, total_voxels long, radii_um array<double>, marker_vox map<string,map<string,long>>, n_active_channels int, n_frequent_pairs int, channel_stats array<struct<{STATS}>>, pairs array<struct<{PAIR}>>, sets array<struct<{SET}>>"
 
 
 def schema() -> T.StructType:
@@ -25,19 +26,26 @@ def schema() -> T.StructType:
     return T._parse_datatype_string(text)
 
 
+def _with_list(docs: DataFrame, rows: DataFrame, flat: str, name: str) -> DataFrame:
+    """docs with a tile's rows as the list `name`, empty if it has none."""
+    cols = [f.split(" ", 1)[0] for f in flat.split(", ")]
+    lists = rows.groupBy("tile_x", "tile_y").agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in cols]))).alias(name))
+    return docs.drop(name).join(lists, ["tile_x", "tile_y"], "left").withColumn(name, F.coalesce(name, F.array()))
+
+
+def with_combinations(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Documents with other pairs and sets."""
+    return _with_list(_with_list(docs, pairs, PAIR, "pairs"), sets, SET, "sets").select(*docs.columns)
+
+
 def documents(m: Mined, tiles: DataFrame, cfg: EngineConfig, depth: int) -> DataFrame:
     """One nested document per tile. A tile's rows are bounded by the candidate limits."""
     keys = ["tile_x", "tile_y"]
-
-    def listed(rows: DataFrame, flat: str, name: str) -> DataFrame:
-        cols = [f.split(" ", 1)[0] for f in flat.split(", ")]
-        return rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in cols]))).alias(name))
-
     radius = m.channel_stats.groupBy(*keys, "r_um").agg(F.map_from_entries(F.collect_list(F.struct(F.col("channel").cast("string"), F.col("voxel_count")))).alias("by"))
     marker = radius.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(F.col("r_um").cast("string"), F.col("by")))).alias("marker_vox"))
     out = tiles.join(m.summary, keys).join(marker, keys)
     for rows, flat, name in ((m.channel_stats, STATS, "channel_stats"), (m.pairs, PAIR, "pairs"), (m.sets, SET, "sets")):
-        out = out.join(listed(rows, flat, name), keys, "left").withColumn(name, F.coalesce(name, F.array()))
+        out = _with_list(out, rows, flat, name)
     return out.select(*keys, F.lit(0).alias("tile_z"), F.array(F.lit(depth), F.lit(cfg.tile_y), F.lit(cfg.tile_x)).alias("tile_shape"), "total_voxels", F.array(*map(F.lit, cfg.dilate_um)).alias("radii_um"), "marker_vox", F.col("n_active_channels").cast("int").alias("n_active_channels"), F.col("n_frequent_pairs").cast("int").alias("n_frequent_pairs"), "channel_stats", "pairs", "sets")
 
 
@@ -86,14 +94,42 @@ def remaining(tiles: DataFrame, done: DataFrame) -> DataFrame:
     return tiles.join(done.select("tile_x", "tile_y"), ["tile_x", "tile_y"], "left_anti")
 
 
+@dataclass(frozen=True)
+class Progress:
+    """Tiles done of those there are, since a start; rate and time left follow from the tiles done since then."""
+
+    done: int
+    of: int
+    since: int = 0
+    seconds: float = 0.0
+
+    @property
+    def per_second(self) -> float:
+        return (self.done - self.since) / self.seconds if self.seconds > 0 else 0.0
+
+    @property
+    def seconds_left(self) -> float | None:
+        return (self.of - self.done) / self.per_second if self.per_second else None
+
+    def __str__(self) -> str:
+        left = "unknown" if self.seconds_left is None else f"{self.seconds_left:.0f} s"
+        return f"{self.done}/{self.of} tiles, {self.per_second:.2f} tiles/s, left: {left}"
+
+
 class ResultStore:
-    """Mined tiles as Parquet partitioned by tile, with the fingerprint of the configuration they came from.
+    """Mined tiles as Parquet, with the fingerprint of the configuration they came from.
 
-    A rewrite replaces only the tiles it holds; Spark's committer makes it appear whole. Tiles are complete when they are in
-    the summary, which is written last.
+    Every write is a version: a folder version=N below each part. A tile's rows count if the summary, written last, names their
+    version as the tile's latest. So a tile that is mined again to fewer rows, or none, keeps nothing of before, and what an
+    interrupted write left is overseen, and overwritten by the next write.
     """
 
-    PARTS = ("channel_stats", "pairs", "sets", "summary")
+    PARTS = {
+        "channel_stats": "tile_x int, tile_y int, channel int, r_idx int, r_um double, voxel_count long, sum_intensity double",
+        "pairs": "tile_x int, tile_y int, r_idx int, r_um double, a int, b int, a_vox long, b_vox long, inter_vox long, union_vox long, iou double, overlap_coeff double",
+        "sets": "tile_x int, tile_y int, r_idx int, r_um double, k int, members array<int>, member_vox array<long>, inter_vox long, union_vox long, iou double, overlap_coeff double",
+        "summary": "tile_x int, tile_y int, n_active_channels long, n_frequent_pairs long",
+    }
 
     def __init__(self, spark: SparkSession, path: str, cfg: EngineConfig):
         self.spark, self.path, self.cfg = spark, path.rstrip("/"), cfg
@@ -102,6 +138,15 @@ class ResultStore:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
 
+    def _rows(self, part: str) -> DataFrame:
+        kept = f"{self.PARTS[part]}, version long"
+        if not self._exists(part):
+            return self.spark.createDataFrame([], kept)
+        return self.spark.read.schema(kept).parquet(f"{self.path}/{part}")
+
+    def _latest(self) -> DataFrame:
+        return self._rows("summary").groupBy("tile_x", "tile_y").agg(F.max("version").alias("version"))
+
     def check(self) -> None:
         if not self._exists("config"):
             return
@@ -112,21 +157,20 @@ class ResultStore:
     def write(self, m: Mined) -> None:
         self.check()
         if not self._exists("config"):
-            self.spark.createDataFrame([(json.dumps({"fingerprint": self.cfg.fingerprint()}),)], "value string").write.text(f"{self.path}/config")
-        for part in self.PARTS:
-            rows = getattr(m, part).repartition("tile_x", "tile_y")
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tile_x", "tile_y").parquet(f"{self.path}/{part}")
+            self.spark.createDataFrame([(json.dumps({"fingerprint": self.cfg.fingerprint()}),)], "value string").write.mode("overwrite").text(f"{self.path}/config")
+        version = (self._rows("summary").agg(F.max("version")).first()[0] or 0) + 1
+        for part, kept in self.PARTS.items():
+            cols = [F.col(c).cast(t).alias(c) for c, t in (x.split(" ", 1) for x in kept.split(", "))]
+            getattr(m, part).select(*cols).write.mode("overwrite").parquet(f"{self.path}/{part}/version={version}")
 
     def read(self) -> Mined:
         self.check()
-        return Mined(*[self.spark.read.parquet(f"{self.path}/{part}") for part in self.PARTS])
+        latest = self._latest()
+        return Mined(*[self._rows(part).join(latest, ["tile_x", "tile_y", "version"], "left_semi").drop("version") for part in self.PARTS])
 
-    def progress(self, tiles: DataFrame) -> tuple[int, int]:
-        """Tiles done, and tiles in all."""
-        return self.done().count(), tiles.count()
+    def progress(self, tiles: DataFrame, since: int = 0, seconds: float = 0.0) -> Progress:
+        return Progress(self.done().count(), tiles.count(), since, seconds)
 
     def done(self) -> DataFrame:
         self.check()
-        if not self._exists("summary"):
-            return self.spark.createDataFrame([], "tile_x int, tile_y int")
-        return self.spark.read.parquet(f"{self.path}/summary").select("tile_x", "tile_y")
+        return self._latest().select("tile_x", "tile_y")

@@ -52,7 +52,8 @@ def test_grid_and_batches(spark):
     grid = tiling.tile_grid(spark, Shape(2, 5, 9), CFG).collect()
     assert [(r.tile_x, r.tile_y) for r in grid] == [(x, y) for y in range(2) for x in range(3)]
     assert grid[-1].x1 == 12 and grid[0].total_voxels == 32
-    assert tiling.chunked([1, 2, 3], 2) == [[1, 2], [3]]
+    parts = [[tuple(r) for r in b.collect()] for b in runs.batches(tiling.tile_grid(spark, Shape(2, 5, 9), CFG), 4)]
+    assert parts == [[(0, 0), (1, 0), (2, 0), (0, 1)], [(1, 1), (2, 1)]]
 
 
 def naive_labels(points, connectivity):

@@ -70,9 +70,11 @@ def choose_levels(local: Pyramid | None, remote: Pyramid | None) -> tuple[tuple[
 
 
 def read_level(spark: SparkSession, location: str, key: str = ROOT) -> DataFrame:
-    """Voxels (channel, z, y, x, value) of one level, from Parquet at location or location/level=key."""
+    """Voxels (channel, z, y, x, value) of one level, from Parquet at location or location/level=key; with tile_x and tile_y where
+    rechunk() stored them, so that filters on these prune folders. They must be those of the analysis."""
     path = location if key == ROOT else f"{location.rstrip('/')}/level={key}"
-    return spark.read.parquet(path).select("channel", "z", "y", "x", "value")
+    stored = spark.read.parquet(path)
+    return stored.select("channel", "z", "y", "x", "value", *[c for c in ("tile_x", "tile_y") if c in stored.columns])
 
 
 def open_parquet(spark: SparkSession, location: str, components: list[str] | None = None) -> Pyramid:
@@ -93,6 +95,12 @@ def open_parquet(spark: SparkSession, location: str, components: list[str] | Non
     return Pyramid(location, tuple(levels))
 
 
+def tile_voxels(spark: SparkSession, location: str, tile_x: int, tile_y: int, channels: list[int] | None = None) -> DataFrame:
+    """One tile of a volume stored by rechunk(): only its folders are read."""
+    here = spark.read.parquet(location).where((F.col("tile_x") == tile_x) & (F.col("tile_y") == tile_y))
+    return here.where(F.col("channel").isin(channels)) if channels else here
+
+
 def roi(voxels: DataFrame, y: tuple[int, int] | None = None, x: tuple[int, int] | None = None, z: tuple[int, int] | None = None, channels: list[int] | None = None) -> DataFrame:
     """A region; with Parquet stored by rechunk() these filters prune files and row groups."""
     for axis, span in (("y", y), ("x", x), ("z", z)):

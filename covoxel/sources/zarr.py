@@ -1,76 +1,210 @@
-"""A Python data source for chunked array folders (array format version 2) of five axes (t, c, z, y, x).
+"""Chunked array folders (array format version 2) of five axes (t, c, z, y, x), alone or as a group of levels.
 
-One partition per chunk of the first time point; voxels of value 0 aren't stored. Chunks are raw, zlib or gzip.
-Use: spark.dataSource.register(ZarrSource); spark.read.format("zarr5").option("channels", "0,1").load(folder).
+Any file system that Spark reads holds them (chunks are read by its binaryFile source) and plain http servers (chunks are
+fetched by the tasks). Only the chunks that a region touches are read; voxels of value 0 aren't rows.
 """
 
 from __future__ import annotations
 
-import gzip
+import bz2
 import json
-import os
+import lzma
+import urllib.error
+import urllib.request
 import zlib
 from collections.abc import Iterator
-from itertools import product
+from dataclasses import dataclass
+from math import prod
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from covoxel.operators.tiling import Shape
+from covoxel.sources.pyramid import ROOT, Level, Pyramid
 
-class Chunk(InputPartition):
-    def __init__(self, at: tuple[int, ...]):
-        self.at = at
+VOXEL = "channel int, z int, y int, x int, value double"
+Span = tuple[int, int]
 
 
-class ZarrSource(DataSource):
+@dataclass(frozen=True)
+class Array:
+    """What an array's own description says."""
+
+    location: str
+    shape: tuple[int, ...]
+    chunks: tuple[int, ...]
+    dtype: str
+    codec: str | None
+    fill: float
+    order: str = "C"
+    separator: str = "."
+
     @classmethod
-    def name(cls) -> str:
-        return "zarr5"
-
-    def schema(self) -> str:
-        return "channel int, z int, y int, x int, value double"
-
-    def reader(self, schema) -> DataSourceReader:
-        return ZarrReader(self.options)
-
-
-class ZarrReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.path = options["path"].removeprefix("file://")
-        self.channels = {int(c) for c in options["channels"].split(",")} if options.get("channels") else None
-        with open(f"{self.path}/.zarray") as f:
-            self.meta = json.load(f)
-        if len(self.meta["shape"]) != 5:
-            raise ValueError("five axes (t, c, z, y, x) are needed")
-        codec = (self.meta.get("compressor") or {}).get("id")
-        if codec not in (None, "zlib", "gzip") or self.meta.get("filters"):
-            raise ValueError(f"chunks compressed by {codec} or filtered can't be read here")
-
-    def partitions(self) -> list[Chunk]:
-        shape, chunks = self.meta["shape"], self.meta["chunks"]
-        spans = [range(1), *(range(-(-s // c)) for s, c in zip(shape[1:], chunks[1:], strict=True))]
-        return [Chunk(at) for at in product(*spans) if self.channels is None or any(at[1] * chunks[1] <= c < (at[1] + 1) * chunks[1] for c in self.channels)]
-
-    def read(self, part: Chunk) -> Iterator[pa.RecordBatch]:
-        chunks, shape = self.meta["chunks"], self.meta["shape"]
-        file = f"{self.path}/{self.meta.get('dimension_separator', '.').join(map(str, part.at))}"
-        if not os.path.exists(file):
-            if not self.meta.get("fill_value"):
-                return
-            block = np.full(chunks, self.meta["fill_value"], dtype=np.dtype(self.meta["dtype"]))
-        else:
-            with open(file, "rb") as f:
-                raw = f.read()
-            codec = (self.meta.get("compressor") or {}).get("id")
-            raw = zlib.decompress(raw) if codec == "zlib" else gzip.decompress(raw) if codec == "gzip" else raw
-            block = np.frombuffer(raw, dtype=np.dtype(self.meta["dtype"])).reshape(chunks, order=self.meta.get("order", "C"))
-        block = block[0]
-        c, z, y, x = np.nonzero(block)
-        value = block[c, z, y, x].astype(np.float64)
-        c, z, y, x = (a + part.at[i + 1] * chunks[i + 1] for i, a in enumerate((c, z, y, x)))
-        keep = (c < shape[1]) & (z < shape[2]) & (y < shape[3]) & (x < shape[4])
-        if self.channels is not None:
-            keep &= np.isin(c, list(self.channels))
-        cols = [pa.array(a[keep].astype(np.int32)) for a in (c, z, y, x)]
-        yield pa.RecordBatch.from_arrays([*cols, pa.array(value[keep])], names=["channel", "z", "y", "x", "value"])
+    def parse(cls, location: str, text: str) -> Array:
+        m = json.loads(text)
+        if m.get("zarr_format") != 2 or len(m["shape"]) != 5:
+            raise ValueError(f"{location}: an array of format 2 with five axes (t, c, z, y, x) is needed")
+        codec = (m.get("compressor") or {}).get("id")
+        if codec not in CODECS or m.get("filters"):
+            raise ValueError(f"{location}: chunks compressed by {codec} or filtered can't be read here")
+        return cls(location.rstrip("/"), tuple(m["shape"]), tuple(m["chunks"]), m["dtype"], codec, m.get("fill_value") or 0, m.get("order", "C"), m.get("dimension_separator", "."))
+
+    def decode(self, raw: bytes) -> np.ndarray:
+        """A chunk's first time point: (c, z, y, x)."""
+        data = CODECS[self.codec](raw, prod(self.chunks) * np.dtype(self.dtype).itemsize)
+        return np.frombuffer(data, dtype=np.dtype(self.dtype)).reshape(self.chunks, order=self.order)[0]
+
+    def empty(self) -> np.ndarray:
+        return np.full(self.chunks[1:], self.fill, dtype=np.dtype(self.dtype))
+
+    def rows(self, at: tuple[int, ...], block: np.ndarray, spans: list[Span], channels: tuple[int, ...]) -> pa.RecordBatch:
+        """The voxels of the chunk at a place that lie in the array and in the region."""
+        place = list(np.nonzero(block))
+        value = block[tuple(place)].astype(np.float64)
+        place = [p + i * n for p, i, n in zip(place, at, self.chunks[1:], strict=True)]
+        keep = np.logical_and.reduce([(p >= lo) & (p < hi) for p, (lo, hi) in zip(place, spans, strict=True)])
+        if channels:
+            keep &= np.isin(place[0], channels)
+        return pa.RecordBatch.from_arrays([*(pa.array(p[keep].astype(np.int32)) for p in place), pa.array(value[keep])], names=["channel", "z", "y", "x", "value"])
+
+
+def _lz4(raw: bytes, size: int) -> bytes:
+    return pa.decompress(raw[4:], decompressed_size=int.from_bytes(raw[:4], "little"), codec="lz4_raw", asbytes=True)
+
+
+def _zstd(raw: bytes, size: int) -> bytes:
+    return pa.decompress(raw, decompressed_size=size, codec="zstd", asbytes=True)
+
+
+def _blosc(raw: bytes, size: int) -> bytes:
+    """A container of blocks, each cut into streams of one byte position or not, of which the common inner codecs are read."""
+    flags, width = raw[2], raw[3]
+    total, block = (int.from_bytes(raw[i : i + 4], "little") for i in (4, 8))
+    if flags & 2:
+        return raw[16 : 16 + total]
+    inner = {1: lambda b, n: pa.decompress(b, decompressed_size=n, codec="lz4_raw", asbytes=True), 3: lambda b, n: zlib.decompress(b), 4: _zstd}.get(flags >> 5)
+    if inner is None or flags & 4:
+        raise ValueError("this inner codec or bit shuffle can't be read here")
+    out = []
+    for k in range(-(-total // block) if block else 0):
+        here = min(block, total - k * block)
+        at = int.from_bytes(raw[16 + 4 * k : 20 + 4 * k], "little")
+        streams = width if not flags & 16 and width <= 16 and block // width >= 128 and here == block else 1
+        data = b""
+        for _ in range(streams):
+            n = int.from_bytes(raw[at : at + 4], "little")
+            part = raw[at + 4 : at + 4 + n]
+            data += part if n == here // streams else inner(part, here // streams)
+            at += 4 + n
+        if flags & 1 and width > 1:
+            whole = here // width * width
+            data = np.frombuffer(data[:whole], np.uint8).reshape(width, -1).T.tobytes() + data[whole:]
+        out.append(data)
+    return b"".join(out)
+
+
+#: By the name in an array's description: a chunk's bytes from those stored and their number.
+CODECS = {
+    None: lambda raw, size: raw,
+    "zlib": lambda raw, size: zlib.decompress(raw),
+    "gzip": lambda raw, size: zlib.decompress(raw, 47),
+    "bz2": lambda raw, size: bz2.decompress(raw),
+    "lzma": lambda raw, size: lzma.decompress(raw),
+    "zstd": _zstd,
+    "lz4": _lz4,
+    "blosc": _blosc,
+}
+
+
+def _is_web(location: str) -> bool:
+    return location.startswith(("http://", "https://"))
+
+
+def _fetch(url: str) -> bytes | None:
+    try:
+        with urllib.request.urlopen(url, timeout=60) as got:
+            return got.read()
+    except urllib.error.HTTPError as e:
+        if e.code in (403, 404):
+            return None
+        raise
+
+
+def _described(spark: SparkSession, location: str) -> Array | None:
+    """The array at a location, none if there is no description."""
+    at = f"{location.rstrip('/')}/.zarray"
+    if _is_web(location):
+        raw = _fetch(at)
+        return None if raw is None else Array.parse(location, raw.decode())
+    p = spark._jvm.org.apache.hadoop.fs.Path(at)
+    files = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(p):
+        return None
+    stream = files.open(p)  # Spark's own sources pass over names that begin with a dot
+    try:
+        return Array.parse(location, spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def open_arrays(spark: SparkSession, location: str, components: list[str] | None = None) -> Pyramid:
+    """The levels at a location: an array itself, or those of the arrays 0 to 6 (or the given ones) below that exist."""
+    alone = _described(spark, location)
+    found = {ROOT: alone} if alone else {k: _described(spark, f"{location.rstrip('/')}/{k}") for k in components or map(str, range(7))}
+    return Pyramid(location, tuple(Level(k, Shape(*a.shape[2:]), a.shape[1]) for k, a in found.items() if a))
+
+
+def read_array(spark: SparkSession, location: str, key: str = ROOT, *, channels: tuple[int, ...] = (), z: Span | None = None, y: Span | None = None, x: Span | None = None) -> DataFrame:
+    """Voxels (channel, z, y, x, value) of one level, or of a region of it: spans are first and end. One row of the plan is a
+    chunk; a chunk that isn't stored holds the array's fill value."""
+    at = location if key == ROOT else f"{location.rstrip('/')}/{key}"
+    a = _described(spark, at)
+    if a is None:
+        raise FileNotFoundError(at)
+    spans = [(max(0, s[0]), min(n, s[1])) if s else (0, n) for s, n in zip((None, z, y, x), a.shape[1:], strict=True)]
+    chunks = [sorted({c // a.chunks[1] for c in channels}) if channels else list(range(-(-a.shape[1] // a.chunks[1])))]
+    chunks += [list(range(lo // n, -(-hi // n))) if hi > lo else [] for (lo, hi), n in zip(spans[1:], a.chunks[2:], strict=True)]
+    if not all(chunks):
+        return spark.createDataFrame([], VOXEL)
+
+    def every() -> DataFrame:
+        """c, z, y, x of all chunks of the region."""
+        out, step = spark.range(prod(map(len, chunks))), 1
+        cols = []
+        for name, of in reversed(list(zip("czyx", chunks, strict=True))):
+            cols.append(F.get(F.array(*map(F.lit, of)) if len(of) < 1000 else F.sequence(F.lit(of[0]), F.lit(of[-1])), (F.floor(F.col("id") / step) % len(of)).cast("int")).cast("int").alias(name))
+            step *= len(of)
+        return out.select(*cols[::-1])
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            places = zip(*(b.column(c).to_pylist() for c in "czyx"), strict=True)
+            for i, place in enumerate(places):
+                if "content" in b.schema.names:
+                    raw = b.column("content")[i].as_py()
+                else:
+                    raw = _fetch(f"{a.location}/{a.separator.join(map(str, (0, *place)))}") if _is_web(a.location) else None
+                if raw is not None or a.fill:
+                    yield a.rows(place, a.decode(raw) if raw is not None else a.empty(), spans, channels)
+
+    if _is_web(a.location):
+        wanted = every()
+        return wanted.repartition(max(1, min(10_000, prod(map(len, chunks))))).mapInArrow(decoded, VOXEL)
+    full = [-(-n // c) for n, c in zip(a.shape[1:], a.chunks[1:], strict=True)]
+    glob = a.separator.join(["0", *("*" if len(of) == n else "{" + ",".join(map(str, of)) + "}" for of, n in zip(chunks, full, strict=True))])
+    number = r"(\d+)"
+    pattern = "/" + (r"\." if a.separator == "." else "/").join([number] * 5) + "$"
+    try:
+        files = spark.read.format("binaryFile").load(f"{a.location}/{glob}")
+        places = [F.regexp_extract("path", pattern, i + 2).cast("int").alias(n) for i, n in enumerate("czyx")]
+        held = files.where(F.col("path").rlike(pattern)).select(*places, "content")
+    except AnalysisException:  # no chunk is stored
+        held = None
+    out = held.mapInArrow(decoded, VOXEL) if held is not None else spark.createDataFrame([], VOXEL)
+    if a.fill:
+        gaps = every() if held is None else every().join(held.select(*"czyx"), list("czyx"), "left_anti")
+        out = out.unionAll(gaps.mapInArrow(decoded, VOXEL))
+    return out

@@ -1,12 +1,15 @@
 """Hand-made cases and brute force for the engine's stages."""
 
+import bz2
 import gzip
 import json
 import math
 import sqlite3
+import zlib
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -20,8 +23,8 @@ from covoxel.operators.tiling import Shape
 from covoxel.plans import runs
 from covoxel.plans.engine import Engine
 from covoxel.sinks.store import export_sqlite, import_sqlite, read_parquet, write_parquet
-from covoxel.sources import checkpoints, omexml, pyramid
-from covoxel.sources.checkpoints import ResultStore
+from covoxel.sources import checkpoints, omexml, pyramid, zarr
+from covoxel.sources.checkpoints import ResultStore, remaining
 from covoxel.streaming.tiles import VOXELS, mine_stream, stream_voxels
 
 CFG = EngineConfig(tile_xy=(4, 4), voxel_size=VoxelSize(1, 1, 2), min_obj_vol_um3=2, dilate_um=(0, 1, 2), min_marker_vox=1, min_support_pair=1, min_support_set=1, hierarchy_levels=2)
@@ -342,34 +345,181 @@ def test_ome_xml(spark, tmp_path):
     assert omexml.voxel_size(spark, str(tmp_path / "m.xml")) == VoxelSize(0.14, 0.14, 0.28)
 
 
-def test_zarr(spark, tmp_path):
-    from covoxel.sources.zarr import ZarrSource
+def blosc(data, width, codec, split):
+    """A container of one block: bytes shuffled, then one stream or one for each byte position."""
+    shuffled = np.frombuffer(data, np.uint8).reshape(-1, width).T.tobytes()
+    n = width if split else 1
+    streams = [pa.compress(shuffled[i * len(data) // n : (i + 1) * len(data) // n], codec={1: "lz4_raw", 4: "zstd"}[codec], asbytes=True) for i in range(n)]
+    body = b"".join(len(s).to_bytes(4, "little") + s for s in streams)
+    head = bytes([2, 1, 1 | (0 if split else 16) | codec << 5, width])
+    return head + b"".join(x.to_bytes(4, "little") for x in (len(data), len(data), 20 + len(body))) + (20).to_bytes(4, "little") + body
+
+
+CODECS = {
+    None: lambda b: b, "gzip": gzip.compress, "zlib": zlib.compress, "bz2": bz2.compress,
+    "zstd": lambda b: pa.compress(b, codec="zstd", asbytes=True),
+    "lz4": lambda b: len(b).to_bytes(4, "little") + pa.compress(b, codec="lz4_raw", asbytes=True),
+    "blosc": lambda b: blosc(b, 2, 4, False),
+}
+
+
+def write_array(at, dense, chunks, codec=None, separator=".", fill=0, without=()):
+    at.mkdir(parents=True, exist_ok=True)
+    (at / ".zarray").write_text(json.dumps({"zarr_format": 2, "shape": dense.shape, "chunks": chunks, "dtype": dense.dtype.str, "compressor": codec and {"id": codec}, "fill_value": fill, "order": "C", "filters": None, "dimension_separator": separator}))
+    for place in product(*(range(-(-n // c)) for n, c in zip(dense.shape, chunks))):
+        if place in without:
+            continue
+        block = np.zeros(chunks, dense.dtype)
+        part = dense[tuple(slice(i * c, (i + 1) * c) for i, c in zip(place, chunks))]
+        block[tuple(slice(0, n) for n in part.shape)] = part
+        file = at / separator.join(map(str, place))
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_bytes(CODECS[codec](block.tobytes()))
+
+
+def dense_of(rows, like):
+    back = np.zeros_like(like)
+    for r in rows.collect():
+        back[0, r.channel, r.z, r.y, r.x] = r.value
+    return back
+
 
+@pytest.mark.parametrize("codec", list(CODECS))
+def test_arrays(spark, tmp_path, codec):
     dense = np.random.default_rng(0).integers(0, 3, (1, 2, 3, 5, 4)).astype("<u2")
-    chunks = (1, 1, 3, 2, 4)
-    (tmp_path / ".zarray").write_text(json.dumps({"zarr_format": 2, "shape": dense.shape, "chunks": chunks, "dtype": "<u2", "compressor": {"id": "gzip", "level": 1}, "fill_value": 0, "order": "C", "filters": None}))
-    for c, y in product(range(2), range(3)):
-        block = np.zeros(chunks, "<u2")
-        part = dense[:, c : c + 1, :, y * 2 : y * 2 + 2]
-        block[:, :, :, : part.shape[3]] = part
-        (tmp_path / f"0.{c}.0.{y}.0").write_bytes(gzip.compress(block.tobytes()))
-    spark.dataSource.register(ZarrSource)
-    rows = spark.read.format("zarr5").load(str(tmp_path)).collect()
-    back = np.zeros_like(dense)
-    for r in rows:
-        back[0, r.channel, r.z, r.y, r.x] = r.value
-    assert (back == dense).all()
-    assert spark.read.format("zarr5").option("channels", "1").load(str(tmp_path)).select("channel").distinct().count() == 1
+    write_array(tmp_path / "a", dense, (1, 1, 3, 2, 4), codec, "/" if codec == "zstd" else ".")
+    assert (dense_of(zarr.read_array(spark, str(tmp_path / "a")), dense) == dense).all()
+
+
+def test_regions_levels_and_fill_values(spark, tmp_path):
+    dense = np.random.default_rng(1).integers(1, 9, (1, 2, 3, 6, 8)).astype("<u2")
+    write_array(tmp_path / "g" / "0", dense, (1, 1, 3, 2, 4), "zlib", fill=7, without=[(0, 1, 0, 2, 0)])
+    write_array(tmp_path / "g" / "1", dense[..., ::2, ::2], (1, 2, 3, 3, 4))
+    dense[0, 1, :, 4:6, :4] = 7
+    volume = zarr.open_arrays(spark, str(tmp_path / "g"))
+    assert [(v.key, v.shape, v.channels) for v in volume.levels] == [("0", Shape(3, 6, 8), 2), ("1", Shape(3, 3, 4), 2)]
+    assert (dense_of(zarr.read_array(spark, str(tmp_path / "g"), "0"), dense) == dense).all()
+    part = zarr.read_array(spark, str(tmp_path / "g"), "0", channels=(1,), y=(3, 6), x=(2, 7))
+    want = np.zeros_like(dense)
+    want[0, 1, :, 3:6, 2:7] = dense[0, 1, :, 3:6, 2:7]
+    assert (dense_of(part, dense) == want).all()
+    few = zarr.read_array(spark, str(tmp_path / "g"), "1", y=(0, 1))
+    assert few.count() and {r.y for r in few.collect()} == {0}
+    assert zarr.read_array(spark, str(tmp_path / "g"), "0", y=(6, 9)).count() == 0
+    with pytest.raises(ValueError, match="no volume"):
+        zarr.open_arrays(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="can't be read"):
+        zarr.Array.parse("x", json.dumps({"zarr_format": 2, "shape": [1] * 5, "chunks": [1] * 5, "dtype": "<u2", "compressor": {"id": "other"}}))
+    data = np.arange(4096, dtype="<u4").tobytes()
+    assert zarr._blosc(blosc(data, 4, 1, True), len(data)) == data
+
+
+def test_arrays_from_a_web_server(spark, tmp_path):
+    import threading
+    from functools import partial
+    from http.server import SimpleHTTPRequestHandler, ThreadingHTTPServer
+
+    dense = np.random.default_rng(2).integers(0, 4, (1, 1, 2, 4, 4)).astype("<u2")
+    write_array(tmp_path / "0", dense, (1, 1, 2, 2, 2), "gzip", without=[(0, 0, 0, 1, 1)])
+    dense[0, 0, :, 2:, 2:] = 0
+    server = ThreadingHTTPServer(("127.0.0.1", 0), partial(SimpleHTTPRequestHandler, directory=str(tmp_path)))
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    at = f"http://127.0.0.1:{server.server_port}"
+    assert [v.key for v in zarr.open_arrays(spark, at).levels] == ["0"]
+    assert (dense_of(zarr.read_array(spark, at, "0"), dense) == dense).all()
+    server.shutdown()
+
+
+ARGS = ["--tile", "4X4", "--vox", "1,1,2", "--min-vol-um3", "2", "--dilate-um", "0,1", "--min-marker-vox", "1", "--min-support-pair", "1", "--min-support-set", "1", "--hierarchy-levels", "2"]
 
 
 def test_command_line(spark, tmp_path):
-    _, v = random_volume(spark)
+    dense, v = random_volume(spark)
     pyramid.rechunk(v, str(tmp_path / "v"), 4, 4)
     assert pyramid.roi(spark.read.parquet(str(tmp_path / "v")), x=(0, 4), channels=[1]).where("x >= 4").count() == 0
-    args = ["run", "--voxels", str(tmp_path / "v"), "--tile", "4X4", "--voxel-size", "1,1,2", "--min-obj-vol", "2", "--dilate", "0,1", "--min-marker-vox", "1", "--min-support-pair", "1", "--min-support-set", "1", "--levels", "2", "--checkpoints", str(tmp_path / "c"), "--output", str(tmp_path / "o")]
-    assert cli.main(args, spark) == 0
-    assert read_parquet(spark, str(tmp_path / "o"))["combinations"].count() > 0
-    assert cli.parse_tile("128") == (128, 128) and cli.parse_tile("128X256") == (128, 256) and cli.parse_int_list("1,2") == (1, 2)
+    one = pyramid.tile_voxels(spark, str(tmp_path / "v"), 1, 0, [0])
+    assert one.count() == v.where("channel = 0 and x >= 4 and y < 4").count() and "PartitionFilters: [isnotnull(tile_x" in one._jdf.queryExecution().executedPlan().toString()
+    assert cli.main(["run", "--voxels", str(tmp_path / "v"), "--output-dir", str(tmp_path / "o"), "--batch", "2", *ARGS], spark) == 0
+    made = read_parquet(spark, str(tmp_path / "o" / "analysis"))
+    assert made["combinations"].count() > 0
+    full = np.zeros((1, 3, 3, 6, 7), "<u2")
+    for r in v.collect():
+        full[0, r.channel, r.z, r.y, r.x] = r.value
+    write_array(tmp_path / "z", full, (1, 1, 2, 4, 4), "zlib")
+    assert cli.main(["run", "--zarr-path", str(tmp_path / "z"), "--output-dir", str(tmp_path / "o"), "--output-name", "z", "--sqlite", *ARGS], spark) == 0
+    again = read_parquet(spark, str(tmp_path / "o" / "z"))
+    for name in ("combinations", "channel_stats"):
+        cols = [c for c in made[name].columns if c != "id"]
+        assert sorted(map(str, made[name].select(cols).collect())) == sorted(map(str, again[name].select(cols).collect()))
+    assert (tmp_path / "o" / "z.db.gz").exists()
+    assert cli.tile("128") == (128, 128) and cli.tile("128X256") == (128, 256) and cli.listed(int)("1,2") == (1, 2)
+    with pytest.raises(SystemExit):
+        cli.main(["run", *ARGS], spark)
+
+
+def test_second_stage_alone_and_filter_by_folder(spark, tmp_path):
+    _, v = random_volume(spark)
+    e = Engine(v, Shape(3, 6, 7), CFG)
+    m = e.mine()
+    at = str(tmp_path / "docs")
+    checkpoints.write_json(checkpoints.documents(m, e.tiles(), CFG, 3), at)
+    made, alone = e.result_tables(m), runs.aggregate_folder(spark, at, CFG, Shape(3, 6, 7))
+    for name in made:
+        cols = [c for c in made[name].columns if c not in ("id", "combination_id")]
+        assert sorted(map(str, made[name].select(cols).collect())) == sorted(map(str, alone[name].select(cols).collect())), name
+    assert runs.document_shape(checkpoints.read_json(spark, at)) == Shape(3, 8, 8)
+    wanted = FilterConfig(min_inter_vox=4, min_tiles_present=2)
+    counts = runs.filter_folder(spark, at, str(tmp_path / "kept"), wanted).first()
+    kept, want = checkpoints.flat(checkpoints.read_json(spark, str(tmp_path / "kept"))), runs.filter_results(m, wanted)[0]
+    cols = ["tile_x", "tile_y", "r_um", "inter_vox", "union_vox", "overlap_coeff"]
+    for part, key in (("pairs", ["a", "b"]), ("sets", ["members", "member_vox"])):
+        a, b = (sorted(map(str, getattr(x, part).select(*key, *cols).collect())) for x in (kept, want))
+        assert a == b and len(a) == counts[f"{part}_after"] <= counts[f"{part}_before"]
+    assert kept.channel_stats.count() == m.channel_stats.count()
+    tables, again = runs.filter_and_aggregate_folder(spark, at, CFG, wanted)
+    assert again.first() == counts and tables["combinations"].where("hierarchy_level = 0").count() == counts.pairs_after + counts.sets_after
+    assert cli.main(["filter", "--documents", at, "--target", str(tmp_path / "t"), "--filter-min-inter-vox", "4", "--filter-min-tiles-present", "2"], spark) == 0
+    assert checkpoints.flat(checkpoints.read_json(spark, str(tmp_path / "t"))).pairs.count() == counts.pairs_after
+    assert cli.main(["aggregate", "--documents", at, "--output-dir", str(tmp_path / "p"), *ARGS], spark) == 0
+    assert read_parquet(spark, str(tmp_path / "p" / "analysis"))["tiles"].count() > 0
+
+
+def test_tiles_mined_again_keep_nothing_of_before(spark, tmp_path):
+    _, v = random_volume(spark)
+    store = ResultStore(spark, str(tmp_path / "s"), CFG)
+    assert store.read().pairs.count() == 0 and store.done().count() == 0
+    store.write(Engine(v, Shape(3, 6, 7), CFG, lowres=v).mine())
+    assert store.read().pairs.where("tile_x = 0").count() > 0
+    gone = Engine(v.where("x >= 4"), Shape(3, 6, 7), CFG, lowres=v)
+    store.write(gone.mine(gone.tiles().where("tile_x = 0")))
+    again = store.read()
+    assert again.pairs.where("tile_x = 0").count() == 0 and again.pairs.where("tile_x = 1").count() > 0
+    assert again.summary.count() == 4 and again.channel_stats.count() == 4 * 3 * 3
+    few = EngineConfig(**{**CFG.__dict__, "max_set_size": 2})
+    pairs_only = ResultStore(spark, str(tmp_path / "few"), few)
+    got = runs.run_tiles(Engine(v, Shape(3, 6, 7), few), pairs_only)
+    assert got.sets.count() == 0 and got.pairs.count() > 0
+
+
+def test_a_run_that_ends_early_goes_on(spark, tmp_path):
+    _, v = random_volume(spark)
+    e = Engine(v, Shape(3, 6, 7), CFG)
+    store = ResultStore(spark, str(tmp_path / "s"), CFG)
+
+    class Stop(Exception):
+        pass
+
+    def stop(progress):
+        assert (progress.done, progress.of) == (2, 4) and progress.per_second > 0 and "2/4" in str(progress)
+        raise Stop
+
+    with pytest.raises(Stop):
+        runs.run_tiles(e, store, batch=2, report=stop)
+    assert store.done().count() == 2
+    rest = e.only(remaining(e.tiles(), store.done()))
+    assert rest.tiles().count() == 2 and rest.voxels.select("tile_y").distinct().count() == 1
+    cols = [c for c in e.mine().pairs.columns if c != "r_idx"]
+    assert sorted(map(str, runs.run_tiles(e, store, batch=2).pairs.select(cols).collect())) == sorted(map(str, e.mine().pairs.select(cols).collect()))
 
 
 def test_streamed_tiles_equal_a_batch(spark, tmp_path):

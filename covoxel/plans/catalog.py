@@ -1,6 +1,7 @@
 """The registered queries over the driver's tables and their SQL twins.
 
-The main volume is made from lineitem: six channels on a grid of 7 x 40 x 56, absent voxels 0. It is dense and noisy, so
+The main volume is made from lineitem: six channels on a grid of 7 x 40 x 56, and 56 more columns for every 60,000 lines, absent
+voxels 0. It is dense and noisy, so
 every stage has work to do, and integer voxel sizes make distances exact.
 """
 
@@ -18,10 +19,12 @@ from covoxel.operators.tiling import Shape
 from covoxel.plans import sql, tables
 from covoxel.plans.engine import Engine
 
-SHAPE = Shape(7, 40, 56)
+LINES, WIDTH = 60_000, 56
 CFG = EngineConfig(tile_xy=(16, 16), voxel_size=VoxelSize(1, 1, 2), min_obj_vol_um3=8, dilate_um=(0, 1, 2), min_marker_vox=20, min_support_pair=20, min_support_set=10)
 #: Thresholds by radius, with a radius missing (0) and one that no marker reaches.
 STOP = EngineConfig(tile_xy=(16, 16), voxel_size=VoxelSize(1, 1, 2), min_obj_vol_um3=8, dilate_um=(0, 1, 2), min_marker_vox={1: 100_000, 2: 20}, min_support_pair={0: 2, 1: 10, 2: 20}, min_support_set={2: 10})
+#: Faces connect, not corners.
+FACES = EngineConfig(tile_xy=(16, 16), voxel_size=VoxelSize(1, 1, 2), min_obj_vol_um3=8, connectivity=6, dilate_um=(0, 1, 2), min_marker_vox=20, min_support_pair=20, min_support_set=10)
 FILTER = FilterConfig(min_overlap_coeff=0.2, min_inter_vox=25, min_tiles_present=3, top_k_percent=0.5)
 
 
@@ -29,14 +32,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shape(spark: SparkSession, sf_dir: str) -> Shape:
+    return Shape(7, 40, WIDTH * max(1, table(spark, sf_dir, "lineitem").count() // LINES))
+
+
 def volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    place = [(F.col("l_suppkey") % 6).cast("int").alias("channel"), (F.col("l_linenumber") - 1).cast("int").alias("z"), (F.col("l_partkey") % 40).cast("int").alias("y"), (F.col("l_orderkey") % 56).cast("int").alias("x")]
+    place = [(F.col("l_suppkey") % 6).cast("int").alias("channel"), (F.col("l_linenumber") - 1).cast("int").alias("z"), (F.col("l_partkey") % 40).cast("int").alias("y"), (F.col("l_orderkey") % shape(spark, sf_dir).x).cast("int").alias("x")]
     return li.groupBy(*place).agg(F.sum(F.col("l_quantity").cast("long")).alias("value"))
 
 
 def engine(spark: SparkSession, sf_dir: str, cfg: EngineConfig = CFG) -> Engine:
-    e = Engine(volume(spark, sf_dir), SHAPE, cfg)
+    e = Engine(volume(spark, sf_dir), shape(spark, sf_dir), cfg)
     e.voxels = e.hold(e.voxels)
     return e
 
@@ -72,18 +79,19 @@ alive_pairs AS (SELECT tile_x, tile_y, r_idx FROM (
   SELECT s.tile_x, s.tile_y, s.r_idx, min(CASE WHEN e.r_idx IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY s.tile_x, s.tile_y ORDER BY s.r_idx DESC) AS ok
   FROM (SELECT * FROM tiles0, radii) s LEFT JOIN (SELECT DISTINCT tile_x, tile_y, r_idx FROM eligible_pairs) e USING (tile_x, tile_y, r_idx)) WHERE ok = 1),
 """ if cfg.aggressive_stop_on_fail else "alive_pairs AS (SELECT DISTINCT tile_x, tile_y, r_idx FROM eligible_pairs),"
+    faces = " AND abs(a.z - b.z) + abs(a.y - b.y) + abs(a.x - b.x) = 1" if cfg.connectivity == 6 else ""
     return f"""
-WITH RECURSIVE vox AS (
-  SELECT CAST(l_suppkey % 6 AS INTEGER) AS channel, l_linenumber - 1 AS z, CAST(l_partkey % 40 AS INTEGER) AS y, CAST(l_orderkey % 56 AS INTEGER) AS x,
-         CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS value, CAST(l_orderkey % 56 // 16 AS INTEGER) AS tile_x, CAST(l_partkey % 40 // 16 AS INTEGER) AS tile_y
-  FROM lineitem GROUP BY ALL),
+WITH RECURSIVE dims AS (SELECT {WIDTH} * greatest(1, count(*) // {LINES}) AS w FROM lineitem), vox AS (
+  SELECT CAST(l_suppkey % 6 AS INTEGER) AS channel, l_linenumber - 1 AS z, CAST(l_partkey % 40 AS INTEGER) AS y, CAST(l_orderkey % w AS INTEGER) AS x,
+         CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS value, CAST(l_orderkey % w // 16 AS INTEGER) AS tile_x, CAST(l_partkey % 40 // 16 AS INTEGER) AS tile_y
+  FROM lineitem, dims GROUP BY ALL),
 radii AS (SELECT *, {by_r(cfg.min_marker_vox)} AS min_marker, {by_r(cfg.min_support_pair)} AS min_pair, {by_r(cfg.min_support_set)} AS min_set
   FROM (VALUES {", ".join(f"({i}, CAST({r} AS DOUBLE))" for i, r in enumerate(cfg.dilate_um))}) t(r_idx, r_um)),
 chans AS (SELECT DISTINCT channel FROM vox),
-tiles0 AS (SELECT CAST(a.range AS INTEGER) AS tile_x, CAST(b.range AS INTEGER) AS tile_y FROM range(4) a, range(3) b),
+tiles0 AS (SELECT CAST(a.range AS INTEGER) AS tile_x, CAST(b.range AS INTEGER) AS tile_y FROM (SELECT unnest(range((w + 15) // 16)) AS range FROM dims) a, range(3) b),
 mip AS (
   SELECT channel, CAST(yy.range AS INTEGER) AS y, CAST(xx.range AS INTEGER) AS x, CAST(yy.range // 16 AS INTEGER) AS tile_y, CAST(xx.range // 16 AS INTEGER) AS tile_x, CAST(coalesce(m, 0) AS DOUBLE) AS m
-  FROM chans, range(40) yy, range(56) xx LEFT JOIN (SELECT channel AS c, y, x, max(value) AS m FROM vox GROUP BY ALL) v ON c = channel AND v.y = yy.range AND v.x = xx.range),
+  FROM chans, range(40) yy, (SELECT unnest(range(w)) AS range FROM dims) xx LEFT JOIN (SELECT channel AS c, y, x, max(value) AS m FROM vox GROUP BY ALL) v ON c = channel AND v.y = yy.range AND v.x = xx.range),
 gcut AS (SELECT channel, quantile_cont(m, {cfg.trim_q}) AS cut FROM mip GROUP BY ALL),
 gbg AS (SELECT channel, m FROM mip JOIN gcut USING (channel) WHERE m <= cut),
 gmu AS (SELECT channel, quantile_cont(m, 0.5) AS mu FROM gbg GROUP BY ALL),
@@ -94,14 +102,14 @@ thr AS (SELECT channel, tile_x, tile_y, t_global, q_tile, greatest(t_global, q_t
 fg AS (SELECT v.* FROM vox v JOIN thr USING (channel, tile_x, tile_y) WHERE value > t_final),
 edge AS (
   SELECT a.channel, a.z AS az, a.y AS ay, a.x AS ax, b.z AS bz, b.y AS bY, b.x AS bx FROM fg a JOIN fg b
-  ON a.channel = b.channel AND a.tile_x = b.tile_x AND a.tile_y = b.tile_y AND abs(a.z - b.z) <= 1 AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 AND (a.z, a.y, a.x) <> (b.z, b.y, b.x)),
+  ON a.channel = b.channel AND a.tile_x = b.tile_x AND a.tile_y = b.tile_y AND abs(a.z - b.z) <= 1 AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 AND (a.z, a.y, a.x) <> (b.z, b.y, b.x){faces}),
 reach AS (
-  SELECT channel, tile_x, tile_y, z, y, x, (z * 40 + y) * 56 + x AS root FROM fg
+  SELECT channel, tile_x, tile_y, z, y, x, (z * 40 + y) * 1000000 + x AS root FROM fg
   UNION SELECT f.channel, f.tile_x, f.tile_y, e.bz, e.bY, e.bx, f.root FROM reach f JOIN edge e ON f.channel = e.channel AND f.z = e.az AND f.y = e.ay AND f.x = e.ax),
 lab AS (SELECT channel, tile_x, tile_y, z, y, x, min(root) AS label FROM reach GROUP BY ALL),
 sized AS (SELECT *, count(*) OVER (PARTITION BY channel, tile_x, tile_y, label) AS size FROM lab),
 obj AS (SELECT * FROM sized WHERE size >= {cfg.min_voxels}),
-grid AS (SELECT CAST(a.range AS INTEGER) AS z, CAST(b.range AS INTEGER) AS y, CAST(c.range AS INTEGER) AS x, CAST(c.range // 16 AS INTEGER) AS tile_x, CAST(b.range // 16 AS INTEGER) AS tile_y FROM range(7) a, range(40) b, range(56) c),
+grid AS (SELECT CAST(a.range AS INTEGER) AS z, CAST(b.range AS INTEGER) AS y, CAST(c.range AS INTEGER) AS x, CAST(c.range // 16 AS INTEGER) AS tile_x, CAST(b.range // 16 AS INTEGER) AS tile_y FROM range(7) a, range(40) b, (SELECT unnest(range(w)) AS range FROM dims) c),
 prox AS (
   SELECT o.channel, g.tile_x, g.tile_y, g.z, g.y, g.x, CAST(min((g.x - o.x) ** 2 + (g.y - o.y) ** 2 + 4 * (g.z - o.z) ** 2) AS DOUBLE) AS min_d2
   FROM obj o JOIN grid g ON o.tile_x = g.tile_x AND o.tile_y = g.tile_y AND abs(g.x - o.x) <= 2 AND abs(g.y - o.y) <= 2 AND abs(g.z - o.z) <= 1
@@ -174,14 +182,14 @@ def voxel_volume(spark, sf_dir):
     return tiling.with_tiles(volume(spark, sf_dir), CFG)
 
 
-@query("SELECT CAST(a.range AS INTEGER) AS tile_x, CAST(b.range AS INTEGER) AS tile_y, CAST(a.range * 16 AS INTEGER) AS x0, CAST(a.range * 16 + 16 AS INTEGER) AS x1, CAST(b.range * 16 AS INTEGER) AS y0, CAST(b.range * 16 + 16 AS INTEGER) AS y1, CAST(1792 AS BIGINT) AS total_voxels FROM range(4) a, range(3) b")
+@query(f"SELECT CAST(a.range AS INTEGER) AS tile_x, CAST(b.range AS INTEGER) AS tile_y, CAST(a.range * 16 AS INTEGER) AS x0, CAST(a.range * 16 + 16 AS INTEGER) AS x1, CAST(b.range * 16 AS INTEGER) AS y0, CAST(b.range * 16 + 16 AS INTEGER) AS y1, CAST(1792 AS BIGINT) AS total_voxels FROM (SELECT unnest(range(({WIDTH} * greatest(1, count(*) // {LINES}) + 15) // 16)) AS range FROM lineitem) a, range(3) b")
 def tile_grid(spark, sf_dir):
-    return tiling.tile_grid(spark, SHAPE, CFG)
+    return tiling.tile_grid(spark, shape(spark, sf_dir), CFG)
 
 
 @query(last("SELECT channel, y, x, tile_x, tile_y, m FROM mip"))
 def mip(spark, sf_dir):
-    return thresholds.mip(volume(spark, sf_dir), SHAPE, CFG)
+    return thresholds.mip(volume(spark, sf_dir), shape(spark, sf_dir), CFG)
 
 
 @query(last("SELECT channel, round(mu, 9) AS mu, round(mad, 9) AS mad, round(t_global, 9) AS t_global FROM tglobal"))
@@ -250,9 +258,9 @@ def sets_out(df: DataFrame) -> DataFrame:
 @query(last("SELECT tile_x, tile_y, a, b FROM frequent"))
 def frequent_pairs(spark, sf_dir):
     e = engine(spark, sf_dir)
-    masked = e.masks().join(F.broadcast(e.channels()), "channel")
+    near = e.proximity().join(F.broadcast(e.channels()), "channel")
     active = mining.active_markers(e.mine().channel_stats, e.radii()).join(F.broadcast(e.channels()), "channel")
-    return mining.frequent_pairs(active, mining.signatures(masked, 6), e.radii(), 2).select("tile_x", "tile_y", "a", "b")
+    return mining.frequent_pairs(active, mining.signatures_by_distance(near, 6, CFG), e.radii(), 2).select("tile_x", "tile_y", "a", "b")
 
 
 @query(last(f"SELECT {PAIRS} FROM pairs"))
@@ -313,12 +321,12 @@ def hierarchy_meta(spark, sf_dir):
     return rollup.hierarchy(*e.rollup(), CFG)
 
 
-@query(last("""SELECT 'channels' AS key, to_json(list('ch' || channel ORDER BY channel)) AS value FROM chans UNION ALL SELECT 'dilation_amounts', '[0.0,1.0,2.0]' UNION ALL SELECT 'volume_bounds', '{"z":[0,7],"y":[0,40],"x":[0,56]}'"""))
+@query(last("""SELECT 'channels' AS key, to_json(list('ch' || channel ORDER BY channel)) AS value FROM chans UNION ALL SELECT 'dilation_amounts', '[0.0,1.0,2.0]' UNION ALL SELECT 'volume_bounds', '{"z":[0,7],"y":[0,40],"x":[0,' || w || ']}' FROM dims"""))
 def metadata_json(spark, sf_dir):
     """Without the levels, which hierarchy_meta compares as columns."""
     e = engine(spark, sf_dir)
     levels = spark.createDataFrame([(0, 16, 16, 0, 0, 0)], "level int, tile_size_x int, tile_size_y int, n_channels long, n_pairs long, n_sets long")
-    return tables.metadata_table(spark, e.channel_names(), levels, [0.0, 1.0, 2.0], SHAPE).where("key <> 'hierarchy_levels'")
+    return tables.metadata_table(spark, e.channel_names(), levels, [0.0, 1.0, 2.0], e.shape).where("key <> 'hierarchy_levels'")
 
 
 @query(last("SELECT channels, channel_count, dilation, hierarchy_level, total_count, total_union, round(iou, 9) AS iou, round(overlap_coeff, 9) AS overlap_coeff FROM combos"))
@@ -399,7 +407,7 @@ def basket(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(BASKET)
 def basket_pairs(spark, sf_dir):
     """Co-occurring brands from the histogram of brand combinations per year, instead of a self-join of lines."""
-    rows = Engine.hold(Engine(spark.createDataFrame([], "channel int, z int, y int, x int, value double"), SHAPE, CFG), basket(spark, sf_dir))
+    rows = Engine.hold(Engine(spark.createDataFrame([], "channel int, z int, y int, x int, value double"), Shape(1, 1, 1), CFG), basket(spark, sf_dir))
     found = sorted(r[0] for r in rows.select("channel").distinct().collect())
     pos = F.broadcast(spark.createDataFrame([(c, i) for i, c in enumerate(found)], "channel int, pos int"))
     histogram = mining.signatures(rows.join(pos, "channel"), len(found))
@@ -467,7 +475,7 @@ def filter_apply_sets(spark, sf_dir):
     return sets_out(filtering.apply(engine(spark, sf_dir).mine().sets, ["members"], 2.0, FILTER))
 
 
-@query(CHAIN + VALID_P + "SELECT *, round(CAST(100 AS DOUBLE) * (pairs_before + sets_before - pairs_after - sets_after) / (pairs_before + sets_before), 9) AS removed_percent FROM (SELECT CAST(12 AS BIGINT) AS tiles_processed, (SELECT count(*) FROM pairs) AS pairs_before, (SELECT count(*) FROM kept_p) AS pairs_after, (SELECT count(*) FROM sets) AS sets_before, (SELECT count(*) FROM kept_s) AS sets_after)")
+@query(CHAIN + VALID_P + "SELECT *, round(CAST(100 AS DOUBLE) * (pairs_before + sets_before - pairs_after - sets_after) / (pairs_before + sets_before), 9) AS removed_percent FROM (SELECT (SELECT count(*) FROM tiles0) AS tiles_processed, (SELECT count(*) FROM pairs) AS pairs_before, (SELECT count(*) FROM kept_p) AS pairs_after, (SELECT count(*) FROM sets) AS sets_before, (SELECT count(*) FROM kept_s) AS sets_after)")
 def filter_stats(spark, sf_dir):
     e = engine(spark, sf_dir)
     m = e.mine()
@@ -498,7 +506,7 @@ def checkpoint_documents(spark, sf_dir):
     from covoxel.sources.checkpoints import documents, flat
 
     e = engine(spark, sf_dir)
-    rows = flat(documents(e.mine(), e.tiles(), CFG, SHAPE.z)).sets
+    rows = flat(documents(e.mine(), e.tiles(), CFG, e.shape.z)).sets
     return rows.select("tile_x", "tile_y", "r_um", F.array_join("members", ",").alias("members"), F.array_join(F.transform("member_vox", lambda v: v.cast("string")), ",").alias("member_vox"), "inter_vox")
 
 
@@ -510,6 +518,99 @@ def metadata_read(spark, sf_dir):
     return rows.select(F.col("v.level").alias("hierarchy_level"), "v.tile_size_x", "v.n_channels")
 
 
+@query(last("SELECT channel, tile_x, tile_y, size, count(DISTINCT label) AS n FROM sized GROUP BY ALL", chain(FACES)))
+def component_sizes_by_faces(spark, sf_dir):
+    return engine(spark, sf_dir, FACES).labelled().groupBy("channel", "tile_x", "tile_y", "size").agg(F.countDistinct("label").alias("n"))
+
+
+LOWRES = """
+, low AS (SELECT channel, CAST(y // 2 AS INTEGER) AS y, CAST(x // 2 AS INTEGER) AS x, max(value) AS m FROM vox WHERE y % 2 = 0 AND x % 2 = 0 GROUP BY ALL),
+lmip AS (SELECT c.channel, CAST(coalesce(m, 0) AS DOUBLE) AS m FROM chans c CROSS JOIN range(20) yy CROSS JOIN (SELECT unnest(range(w // 2)) AS range FROM dims) xx LEFT JOIN low ON low.channel = c.channel AND low.y = yy.range AND low.x = xx.range),
+lcut AS (SELECT channel, quantile_cont(m, 0.98) AS cut FROM lmip GROUP BY ALL),
+lbg AS (SELECT channel, m FROM lmip JOIN lcut USING (channel) WHERE m <= cut),
+lmu AS (SELECT channel, quantile_cont(m, 0.5) AS mu FROM lbg GROUP BY ALL)
+SELECT channel, round(mu, 9) AS mu, round(mad, 9) AS mad FROM (SELECT channel, mu, quantile_cont(abs(m - mu), 0.5) + 1e-6 AS mad FROM lbg JOIN lmu USING (channel) GROUP BY ALL)
+"""
+
+
+@query(CHAIN + LOWRES)
+def lowres_thresholds(spark, sf_dir):
+    """Global thresholds from a second, coarser volume: every other row and column."""
+    e, s = engine(spark, sf_dir), shape(spark, sf_dir)
+    low = volume(spark, sf_dir).where("y % 2 = 0 AND x % 2 = 0").withColumns({"y": F.expr("y div 2").cast("int"), "x": F.expr("x div 2").cast("int")})
+    from_low = Engine(e.voxels, s, CFG, lowres=low, lowres_shape=Shape(s.z, s.y // 2, s.x // 2))
+    return from_low.global_thresholds().select("channel", F.round("mu", 9).alias("mu"), F.round("mad", 9).alias("mad"))
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder where executors share one, else on this machine."""
+    import tempfile
+    import uuid
+
+    at = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
+    return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query(last(f"SELECT {PAIRS} FROM pairs"))
+def pairs_by_batches(spark, sf_dir):
+    """Tiles mined and written in batches, one batch before the rest as by a run that ended early, then read back."""
+    from covoxel.plans.runs import run_tiles
+    from covoxel.sources.checkpoints import ResultStore
+
+    e = engine(spark, sf_dir)
+    store = ResultStore(spark, folder(spark, "store"), CFG)
+    store.write(e.mine(e.tiles().where("tile_x = 1")))
+    return pairs_out(run_tiles(e, store, batch=max(5, e.tiles().count() // 2)).pairs)
+
+
+def written_documents(spark: SparkSession, sf_dir: str) -> str:
+    from covoxel.sources.checkpoints import documents, write_json
+
+    e, at = engine(spark, sf_dir), folder(spark, "documents")
+    write_json(documents(e.mine(), e.tiles(), CFG, e.shape.z), at)
+    return at
+
+
+@query(last("SELECT channels, channel_count, dilation, hierarchy_level, total_count, total_union, round(iou, 9) AS iou, round(overlap_coeff, 9) AS overlap_coeff FROM combos"))
+def tables_from_documents(spark, sf_dir):
+    """The second stage alone: from a folder of tile documents, without the volume."""
+    from covoxel.plans.runs import aggregate_folder
+
+    return aggregate_folder(spark, written_documents(spark, sf_dir), CFG)["combinations"].drop("id").withColumns(r9("iou", "overlap_coeff"))
+
+
+@query(CHAIN + VALID_P + f"SELECT {SETS} FROM kept_s")
+def filtered_documents(spark, sf_dir):
+    """Documents rewritten with what passes, and read back."""
+    from covoxel.plans.runs import filter_folder
+    from covoxel.sources.checkpoints import flat, read_json
+
+    target = folder(spark, "filtered")
+    filter_folder(spark, written_documents(spark, sf_dir), target, FILTER)
+    return sets_out(flat(read_json(spark, target)).sets)
+
+
+@query(CHAIN + VALID_P + f"SELECT {PAIRS} FROM pairs SEMI JOIN valid_p USING (a, b)")
+def filter_all_dilations(spark, sf_dir):
+    """Rows of valid pairs at every radius, whatever they are there."""
+    every = FilterConfig(**{**FILTER.__dict__, "filter_by_max_dilation": False})
+    return pairs_out(filtering.apply(engine(spark, sf_dir).mine().pairs, ["a", "b"], 2.0, every))
+
+
+@query(last("SELECT 'combinations' AS name, count(*) AS n FROM combos UNION ALL SELECT 'tiles', count(*) FROM combos UNION ALL SELECT 'channel_stats', count(*) FROM up_channels UNION ALL SELECT 'metadata', 4"))
+def exchanged_file(spark, sf_dir):
+    """Rows of the tables written to one file and read back from it."""
+    import os
+    import tempfile
+
+    from covoxel.sinks.store import export_sqlite, import_sqlite
+
+    with tempfile.TemporaryDirectory() as at:  # one file on the driver, by its nature
+        export_sqlite(engine(spark, sf_dir).result_tables(), os.path.join(at, "t.db.gz"))
+        back = import_sqlite(spark, os.path.join(at, "t.db.gz"))
+    return spark.createDataFrame([(name, df.count()) for name, df in back.items()], "name string, n long")
+
+
 @query("SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL")
 def event_activity(spark, sf_dir):
     """The windows of streaming.tiles.event_activity over the whole table as a batch."""

@@ -7,93 +7,75 @@ from pyspark.sql import functions as F
 
 from .common import row_key, stored
 
-#: Added by chunks(); columns of the documents that have these names are kept apart.
+#: Columns that are added here begin with this.
 _OWN = "__line_dedup"
 
 
-def _chunked(docs: DataFrame, window: int) -> DataFrame:
-    """docs with one more column, _OWN.chunks: array<struct<idx, n_lines, body>>, null for a null text."""
+def _with_lines(docs: DataFrame) -> DataFrame:
+    """docs with the lines of text (null for a null text) and the places, from 0, of those that aren't blank."""
     lines = docs.withColumn(f"{_OWN}_lines", F.split("text", "\n"))
-    number = lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long")
-    hashed = lines.withColumn(f"{_OWN}_h", F.transform(f"{_OWN}_lines", number))
-    h, n = F.col(f"{_OWN}_h"), F.size(f"{_OWN}_lines")
-    zero = F.array(F.lit(0).cast("long"))
-    roll: Column = h
-    for back in range(1, window):  # h[i] + 31 h[i-1] + 31² h[i-2] ...
-        earlier = F.slice(F.concat(*[zero] * back, h), F.lit(1), n)
-        weight = F.lit(31**back)
-        roll = F.zip_with(roll, earlier, lambda a, b: a + b * weight)  # noqa: B023
-    rolled = hashed.withColumn(f"{_OWN}_h", roll)
-    r = F.col(f"{_OWN}_h")
-    below = F.zip_with(r, F.slice(F.concat(F.array(F.lit(None).cast("long")), r), F.lit(1), n), lambda a, b: a < b)
-    least = F.zip_with(below, F.zip_with(r, F.slice(r, F.lit(2), n), lambda a, b: a <= b), lambda a, b: a & b)
-    cut = F.transform(least, lambda x, i: F.when(x | (i == n - 1), i + 1))
-    ended = rolled.withColumn(f"{_OWN}_ends", F.filter(cut, lambda e: e.isNotNull()))
-    ends, body = F.col(f"{_OWN}_ends"), F.col(f"{_OWN}_lines")
+    held = F.col(f"{_OWN}_lines")
+    blank = lambda x: F.trim(F.translate(x, "\t\x0b\x0c\r", "    ")) == ""
+    return lines.withColumn(f"{_OWN}_at", F.filter(F.sequence(F.lit(0), F.size(held) - 1), lambda i: ~blank(F.get(held, i))))
 
-    def chunk(k: Column) -> Column:
-        first = F.when(k > 1, F.get(ends, k - 2)).otherwise(0) + 1
-        size = F.get(ends, k - 1) - first + 1
-        return F.struct(k.alias("idx"), size.alias("n_lines"), F.array_join(F.slice(body, first, size), "\n").alias("body"))
 
-    # lines and ends are used twice, so no optimizer rule moves their computation into the loop.
-    chunks = F.when(n > 0, F.transform(F.sequence(F.lit(1), F.size(ends)), chunk))
-    return ended.withColumn(f"{_OWN}_chunks", chunks).drop(f"{_OWN}_h")
-
-
-def line_dedup(docs: DataFrame, *, window: int = 2, min_lines: int = 2) -> DataFrame:
+def line_dedup(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text, any others) with repeated chunks of lines removed from text, and with the columns
-    n_lines, n_chunks, n_lines_removed, n_chunks_removed and all_removed (nothing is left of it) added. To drop
-    documents, filter on all_removed: Spark pushes a filter on the others below the chunking, which is then done twice.
-
-    A chunk ends behind a line where a rolling hash over the hashes of `window` lines is less than at the line
-    before and no more than at the line behind, so the same passage is cut alike wherever it stands, and only a
-    document's last chunk can be a single line. Of the chunks of min_lines lines or
-    more that aren't blank, those whose 64-bit hash occurs again anywhere are compared byte by byte with
-    the first occurrence (least doc_id, nulls last, then row, then place); the equal ones are removed.
-    What remains is joined by line ends, unchanged.
-
-    Shuffled: 24 bytes per chunk to find repeated hashes; the texts once by row for those that hold any,
-    the repeated chunks' bodies, and the texts for the rebuild. A hot chunk is counted and reduced to
-    its first occurrence before the shuffle, and the joins on it are plain equi-joins that AQE splits.
-
-    Null texts stay null, with counts 0; an empty text is one empty line and stays. Rows that repeat
-    doc_id and text are one document and fare alike. No rows give no rows. Columns of docs that have
-    the name of an added one are replaced.
+    n_lines, n_lines_removed, n_chunks_removed and all_removed (no line that isn't blank is left of it) added. To drop
+    documents, filter on all_removed: Spark pushes a filter on the others below the split into lines, which is then done twice.
+
+    A rolling hash over the hashes of two lines in a row that aren't blank says where chunks begin and end: a chunk is as long
+    a run as its every window occurs elsewhere, too, so it has two lines or more, and its boundaries
+    are the same wherever the passage stands and whatever is before or behind it. Each window whose 64-bit hash occurs again
+    anywhere is compared byte by byte with the first occurrence (least doc_id, nulls last, then row, then place). The
+    windows equal to it make up the chunks that are removed, with the blank lines inside; the first occurrence stays. What
+    remains is joined by line ends, unchanged. So any two lines in a row that stand earlier in the corpus go, however short
+    the passage; single lines never do.
+
+    Shuffled: 28 bytes per line to find repeated hashes; the texts once by row for those that hold any,
+    the repeated windows, and the texts for the rebuild. A hot window is counted and reduced to
+    its first occurrence before the shuffle, and the joins on it are plain equi-joins that AQE splits. A document's work is
+    linear in its lines.
+
+    Null texts stay null, with counts 0; an empty text is one empty line and stays. Very long texts are lines of one row,
+    never gathered with others. Rows that repeat doc_id and text are one document and fare alike; ties fall to the least place.
+    No rows give no rows. Columns of docs that have the name of an added one are replaced.
     """
-    made = ["n_lines", "n_chunks", "n_lines_removed", "n_chunks_removed", "all_removed"]
+    made = ["n_lines", "n_lines_removed", "n_chunks_removed", "all_removed"]
     base = docs.drop(*[c for c in docs.columns if c in made or c.startswith(_OWN)])
     keyed = base.withColumn(f"{_OWN}_key", row_key("doc_id", "text"))
     k1, k2 = F.col(f"{_OWN}_key.k1"), F.col(f"{_OWN}_key.k2")
-
-    worth = lambda c: (c["n_lines"] >= min_lines) & (F.trim(F.translate(c["body"], "\n\t\r", "")) != "")
-    small = keyed.select("doc_id", "text", f"{_OWN}_key")
-    each = _chunked(small, window).select(k1.alias("k1"), k2.alias("k2"), F.explode(F.filter(f"{_OWN}_chunks", worth)).alias("c"))
-    meta = stored(each.select("k1", "k2", F.col("c.idx").alias("idx"), F.xxhash64("c.body").alias("hash")), "lines")
-    # A repeated row isn't a repeat of its chunks: the place (row, idx) must differ.
-    # Aggregates are written before they are joined: AQE splits the join of a hot chunk only if none feeds it.
-    again = meta.groupBy("hash").agg(F.min(F.struct("k1", "k2", "idx")).alias("x"), F.max(F.struct("k1", "k2", "idx")).alias("y")).where("x <> y").select("hash")
+    small = keyed.select(F.col("doc_id").alias("id"), "text", k1.alias("k1"), k2.alias("k2"))
+
+    lines, at = F.col(f"{_OWN}_lines"), F.col(f"{_OWN}_at")
+    line = lambda p: F.get(lines, F.get(at, p))
+    hashes = _with_lines(small).withColumn("h", F.transform(at, lambda i: F.xxhash64(F.get(lines, i))))
+    # Filters on these arrays, which a plain explode implies, would be pushed below the split and repeat it for every line.
+    rolled = F.zip_with(F.slice("h", F.lit(1), F.greatest(F.size("h") - 1, F.lit(0))), F.slice("h", F.lit(2), F.size("h")), lambda a, b: F.xxhash64(a, b))
+    each = hashes.select("k1", "k2", F.posexplode_outer(rolled).alias("p", "hash"))
+    meta = stored(each.where("p is not null"), "lines")
+    # A repeated row isn't a repeat of its windows: the place (row, p) must differ.
+    # Aggregates are written before they are joined: AQE splits the join of a hot window only if none feeds it.
+    again = meta.groupBy("hash").agg(F.min(F.struct("k1", "k2", "p")).alias("x"), F.max(F.struct("k1", "k2", "p")).alias("y")).where("x <> y").select("hash")
     again = stored(again, "lines")
-    touched = meta.join(again, "hash").groupBy("k1", "k2").agg(F.collect_set("idx").alias("touched"))
+    touched = meta.join(again, "hash").groupBy(F.col("k1").alias("t1"), F.col("k2").alias("t2")).agg(F.collect_set("p").alias("touched"))
 
-    suspects = small.join(touched, (k1 == F.col("k1")) & (k2 == F.col("k2")))
-    bodies = _chunked(suspects.select("doc_id", "text", "k1", "k2", "touched"), window)
-    bodies = bodies.select("doc_id", "k1", "k2", F.size(f"{_OWN}_ends").alias("of"), F.explode(F.filter(f"{_OWN}_chunks", lambda c: F.array_contains("touched", c["idx"]))).alias("c"))
-    bodies = stored(bodies.select(F.xxhash64("c.body").alias("hash"), F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), "k1", "k2", F.col("c.idx").alias("idx")).alias("at"), "of", F.col("c.body").alias("body")), "lines")
+    suspects = _with_lines(small.join(touched, (F.col("k1") == F.col("t1")) & (F.col("k2") == F.col("t2"))))
+    windows = F.transform("touched", lambda p: F.struct(p.alias("p"), F.xxhash64(F.xxhash64(line(p)), F.xxhash64(line(p + 1))).alias("hash"), F.concat(line(p), F.lit("\n"), line(p + 1)).alias("body")))
+    # Two steps: what stands beside an explode is computed behind it, with its arrays copied to every row.
+    bodies = suspects.select("id", "k1", "k2", F.size(at).alias("of"), windows.alias("w")).select("id", "k1", "k2", "of", F.explode_outer("w").alias("w"))
+    bodies = stored(bodies.select("w.hash", F.struct(F.col("id").isNull().alias("last"), "id", "k1", "k2", F.col("w.p").alias("p")).alias("at"), "of", "w.body"), "lines")
     first = stored(bodies.groupBy("hash").agg(F.min(F.struct("at", "body")).alias("first")), "lines")
     gone = bodies.join(first, "hash").where((F.col("body") == F.col("first.body")) & (F.col("at") != F.col("first.at")))
-    gone = gone.groupBy(F.col("at.k1").alias("g1"), F.col("at.k2").alias("g2")).agg(F.collect_set("at.idx").alias(f"{_OWN}_gone"), F.max("of").alias(f"{_OWN}_of"))
+    gone = gone.groupBy(F.col("at.k1").alias(f"{_OWN}_g1"), F.col("at.k2").alias(f"{_OWN}_g2")).agg(F.collect_set("at.p").alias(f"{_OWN}_gone"), F.max("of").alias(f"{_OWN}_of"))
 
     # Whether all of a document is gone follows from this table alone, so a filter on it is as cheap as the join.
-    gone = gone.withColumn("all_removed", F.size(f"{_OWN}_gone") == F.col(f"{_OWN}_of"))
-    out = keyed.join(gone, (k1 == F.col("g1")) & (k2 == F.col("g2")), "left").drop("g1", "g2")
-    out = _chunked(out, window)
-    drop = F.coalesce(f"{_OWN}_gone", F.array().cast("array<int>"))
-    kept = F.filter(f"{_OWN}_chunks", lambda c: ~F.array_contains(f"{_OWN}_gone", c["idx"]))
-    text = F.when(F.col(f"{_OWN}_gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda c: c["body"]), "\n"))
-    lost = F.aggregate(F.filter(f"{_OWN}_chunks", lambda c: F.array_contains(drop, c["idx"])), F.lit(0), lambda a, c: a + c["n_lines"])
-    count = lambda x: F.coalesce(x, F.lit(0)).cast("long")
-    size = lambda x: F.when(x.isNotNull(), F.size(x))
-    added = {"n_lines": count(size(F.col(f"{_OWN}_lines"))), "n_chunks": count(size(F.col(f"{_OWN}_ends"))), "n_lines_removed": count(F.when(F.col(f"{_OWN}_gone").isNotNull(), lost)), "n_chunks_removed": count(size(F.col(f"{_OWN}_gone")))}
-    added["all_removed"] = F.coalesce("all_removed", F.lit(False))
-    return out.select(*[text.alias(c) if c == "text" else F.col(c) for c in base.columns], *[v.alias(k) for k, v in added.items()])
+    every, behind = F.col(f"{_OWN}_gone"), F.transform(f"{_OWN}_gone", lambda p: p + 1)
+    gone = gone.withColumn("all_removed", F.size(F.array_union(every, behind)) == F.col(f"{_OWN}_of"))
+    out = _with_lines(keyed.join(gone, (k1 == F.col(f"{_OWN}_g1")) & (k2 == F.col(f"{_OWN}_g2")), "left"))
+    lost = F.array_distinct(F.flatten(F.transform(every, lambda p: F.sequence(F.get(at, p), F.get(at, p + 1)))))
+    kept: Column = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), lost)
+    text = F.when(every.isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
+    count = lambda x: F.coalesce(F.when(x.isNotNull(), F.size(x)), F.lit(0)).cast("long")
+    added = {"n_lines": count(lines), "n_lines_removed": count(lost), "n_chunks_removed": count(F.array_except(every, behind)), "all_removed": F.coalesce("all_removed", F.lit(False))}
+    return out.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in base.columns], *[v.alias(k) for k, v in added.items()])

@@ -75,29 +75,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP1_SQL = """
 WITH l AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i,
-         len(string_split(text, chr(10))) AS n
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i
   FROM documents WHERE text IS NOT NULL),
-h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l),
-r AS (SELECT *, h + 31 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) AS roll FROM h),
-e AS (
-  SELECT *, CASE WHEN i = n OR roll < lag(roll) OVER (PARTITION BY doc_id ORDER BY i) AND roll <= lead(roll) OVER (PARTITION BY doc_id ORDER BY i)
-                 THEN 1 ELSE 0 END AS cut FROM r),
-c AS (
-  SELECT *, 1 + coalesce(sum(cut) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS idx FROM e),
-k AS (SELECT doc_id, idx, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY i) AS body FROM c GROUP BY doc_id, idx),
-f AS (
-  SELECT *, CASE WHEN n_lines >= 2 AND trim(translate(body, chr(10) || chr(9) || chr(13), '')) <> ''
-                 THEN row_number() OVER (PARTITION BY body ORDER BY doc_id, idx) > 1 ELSE false END AS gone FROM k),
-g AS (
-  SELECT doc_id, CAST(sum(n_lines) AS BIGINT) AS n_lines, count(*) AS n_chunks,
-         CAST(coalesce(sum(n_lines) FILTER (WHERE gone), 0) AS BIGINT) AS n_lines_removed, count(*) FILTER (WHERE gone) AS n_chunks_removed,
-         coalesce(string_agg(body, chr(10) ORDER BY idx) FILTER (WHERE NOT gone), '') AS text
-  FROM f GROUP BY doc_id)
-SELECT d.doc_id, g.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_chunks, 0) AS n_chunks,
-       coalesce(n_lines_removed, 0) AS n_lines_removed, coalesce(n_chunks_removed, 0) AS n_chunks_removed,
-       coalesce(n_chunks_removed = n_chunks, false) AS all_removed
-FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id
+n AS (
+  SELECT *, lead(line) OVER w AS next_line, lead(i) OVER w AS next_i, row_number() OVER w AS p
+  FROM l WHERE trim(translate(line, chr(9) || chr(11) || chr(12) || chr(13), '    ')) <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+f AS (SELECT *, row_number() OVER (PARTITION BY line, next_line ORDER BY doc_id, p) AS nth FROM n WHERE next_i IS NOT NULL),
+g AS (SELECT doc_id, i, next_i, p, coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p) = p - 1, false) AS goes_on FROM f WHERE nth > 1),
+c AS (SELECT doc_id, count(*) FILTER (WHERE NOT goes_on) AS n_chunks_removed FROM g GROUP BY doc_id),
+x AS (SELECT DISTINCT doc_id, unnest(range(i, next_i + 1)) AS i FROM g),
+r AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(x.i) AS n_lines_removed, coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (WHERE x.i IS NULL), '') AS text,
+         count(x.i) > 0 AND count(*) FILTER (WHERE x.i IS NULL AND trim(translate(line, chr(9) || chr(11) || chr(12) || chr(13), '    ')) <> '') = 0 AS all_removed
+  FROM l LEFT JOIN x ON l.doc_id = x.doc_id AND l.i = x.i GROUP BY l.doc_id)
+SELECT d.doc_id, r.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_lines_removed, 0) AS n_lines_removed,
+       coalesce(n_chunks_removed, 0) AS n_chunks_removed, coalesce(all_removed, false) AS all_removed
+FROM documents d LEFT JOIN r ON d.doc_id = r.doc_id LEFT JOIN c ON d.doc_id = c.doc_id
 """
 
 OP2_SQL = """

@@ -56,21 +56,28 @@ def test_queries_survive_odd_rows_and_empty_tables(name, spark, odd, tmp_path):
 
 def test_line_dedup_removes_shared_passages(spark):
     rng = random.Random(3)  # whatever other tests have drawn
-    shared = "\n".join(prose(12, rng) for _ in range(14))
-    own = [[prose(9, rng) for _ in range(6)] for _ in range(40)]
-    rows = [(i, "\n".join(own[i][:3]) + "\n" + shared + "\n" + "\n".join(own[i][3:]), "en", "s") for i in range(40)]
-    rows += [(50, "only\nmine", "en", "s"), (51, None, None, None), (52, "", "en", "s"), (53, "a\r\nb\n\n\n", "en", "s"), (54, shared, "en", "s"), (54, shared, "en", "s")]
-    out = {r.doc_id: r for r in lines.line_dedup(frame(spark, rows).withColumn("n_lines", F.lit("x"))).collect()}
-    assert out[0].text == rows[0][1] and out[0].n_lines_removed == 0
-    for i in range(1, 40):
-        assert out[i].n_lines_removed >= 6
-        left = out[i].text.split("\n")
-        assert all(x in left for x in own[i][:2]) and all(x in left for x in own[i][5:])
-        assert out[i].n_lines == 20 and len(left) + out[i].n_lines_removed == 20
-    assert out[50].text == "only\nmine" and out[51].text is None and out[52].text == "" and out[53].text == "a\r\nb\n\n\n"
-    assert out[54].n_lines_removed > 0 and out[54].all_removed == (out[54].text == "")
-    twice = {r.doc_id: r for r in lines.line_dedup(frame(spark, [(1, shared, "en", "s"), (2, shared, "en", "s")])).collect()}
-    assert not twice[1].all_removed and twice[2].n_lines_removed >= 6
+    rows, want = [], {}
+    for length in (2, 3, 5, 14):
+        shared = [prose(12, rng) for _ in range(length)]
+        for i in range(6):
+            own, at = [prose(9, rng) for _ in range(6)], 100 * length + i
+            rows.append((at, "\n".join(own[: i % 4]) + "\n\n" * (i % 2) + "\n" + "\n".join(shared) + "\n" + "\n".join(own[i % 4 :]), "en", "s"))
+            want[at] = [*own[: i % 4], *(shared if i == 0 else []), *own[i % 4 :]]
+    whole = "\n".join(prose(8, rng) for _ in range(4))
+    rows += [(50, "only\nmine", "en", "s"), (51, None, None, None), (52, "", "en", "s"), (53, "a\r\nb\n\n\n", "en", "s"), (5400, whole, "en", "s"), (5400, whole, "en", "s"), (5401, whole, "en", "s"), (5402, "alone\n\n" + whole.replace("\n", "\n\n"), "en", "s")]
+    clash = frame(spark, rows).withColumns({"n_lines": F.lit("x"), "h": F.lit("y"), "k1": F.lit("z"), "gone": F.lit("u"), "p": F.lit("v")})
+    out = {r.doc_id: r for r in lines.line_dedup(clash).collect()}
+    source = {r[0]: r[1] for r in rows}
+    for at, left in want.items():
+        assert [x for x in out[at].text.split("\n") if x] == left
+        assert out[at].n_chunks_removed == (at % 100 > 0) and out[at].n_lines == len(out[at].text.split("\n")) + out[at].n_lines_removed
+    for at in (50, 51, 52, 53, 5400):
+        assert out[at].text == source[at] and out[at].n_lines_removed == 0 and not out[at].all_removed
+    assert out[5401].all_removed and out[5401].text == "" and out[5401].n_lines_removed == 4
+    assert out[5402].text == "alone\n" and not out[5402].all_removed and (out[5402].h, out[5402].gone) == ("y", "u")
+    long = "\n".join(f"line {i % 30_000}" for i in range(60_000))
+    r = lines.line_dedup(frame(spark, [(1, long, None, None)])).first()
+    assert r.text == "\n".join(long.split("\n")[:30_000]) and r.n_lines_removed == 30_000 and r.n_chunks_removed == 1
 
 
 def water(sizes, weights=(1, 2, 3), most=3):

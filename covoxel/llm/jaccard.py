@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -11,27 +10,14 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, forget, reclaim, slices, stored
+from .common import components, forget, mix, reclaim, slices, stored, word_hashes
 
-#: Groups of a count vector, points in a leaf, members of a block that one task holds of either side,
+#: Groups of a count vector, points in a leaf, children of a node above, members of a block that one task holds of either side,
 #: documents from which a shingle is put last in the global order, and bits of the table of such shingles.
-GROUPS, LEAF, SHARE, FREQUENT, BITS = 512, 32, 512, 16, 24
+GROUPS, LEAF, FAN, SHARE, FREQUENT, BITS = 512, 32, 8, 512, 16, 24
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _mix(z: np.ndarray) -> np.ndarray:
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return z ^ (z >> np.uint64(31))
-
-
-@cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    with np.errstate(over="ignore"):
-        inverse = np.uint64(pow(int(_P), -1, 1 << 64))
-        return tuple(np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, p, np.uint64)])) for p in (_P, inverse))
-
-
 def shingle_sets(texts: Sequence[str | None], k: int) -> list[np.ndarray]:
     """For each text the sorted distinct 64-bit hashes of its k-word shingles.
 
@@ -51,21 +37,15 @@ def shingle_sets(texts: Sequence[str | None], k: int) -> list[np.ndarray]:
 
 
 def _sets(texts: list[bytes], k: int) -> list[np.ndarray]:
-    raw = np.frombuffer(b" " + b" ".join(texts) + b" ", dtype=np.uint8)
-    space = (raw == 32) | ((raw >= 9) & (raw <= 13))
-    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
-    start, end = edge[::2], edge[1::2]
+    found = list(word_hashes(b" ".join(texts)))
+    start, word = (np.concatenate([np.zeros(0, kind), *(x[i] for x in found)]) for i, kind in ((0, np.int64), (1, np.uint64)))
     with np.errstate(over="ignore"):
-        up, down = _powers(1 << max(20, int(len(raw)).bit_length()))
-        of_byte = _mix(np.arange(1, 257, dtype=np.uint64) * _P)
-        run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(of_byte[raw] * up[: len(raw)], dtype=np.uint64)])
-        word = _mix((run[end] - run[start]) * down[start] + (end - start).astype(np.uint64))
-        bound = np.searchsorted(start, np.cumsum([1, *(len(t) + 1 for t in texts)]))
+        bound = np.searchsorted(start, np.cumsum([0, *(len(t) + 1 for t in texts)]))
         n = max(0, len(word) - k + 1)
         grams = np.zeros(n, dtype=np.uint64)
         for j in range(k):
             grams = grams * _P + word[j : j + n]
-        grams = _mix(grams)
+        grams = mix(grams)
         sets = []
         for a, b in zip(bound[:-1], bound[1:], strict=True):
             if b - a >= k:
@@ -75,7 +55,7 @@ def _sets(texts: list[bytes], k: int) -> list[np.ndarray]:
                 whole = np.uint64(b - a)
                 for w in word[a:b]:
                     whole = whole * _P + w
-                sets.append(_mix(np.array([~whole])))
+                sets.append(mix(np.array([~whole])))
             else:
                 sets.append(np.zeros(0, dtype=np.uint64))
     return sets
@@ -100,29 +80,40 @@ def least_overlap(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
 
 
 class CountTree:
-    """A packed R-tree over count vectors: points in order of size, then of their counts, LEAF to a leaf;
-    each leaf knows the coordinate-wise greatest counts and the sizes in it."""
+    """A packed R-tree over count vectors: points in order of size, then of their counts, LEAF to a leaf and FAN nodes to a
+    node above; each node knows the coordinate-wise greatest counts and the sizes below it."""
 
     def __init__(self, n: np.ndarray, vectors: np.ndarray):
         coarse = vectors.reshape(len(n), 8, -1).sum(axis=2)
         self.order = np.lexsort([*coarse.T, n])
         self.n, self.points = n[self.order], vectors[self.order].astype(np.int64)
-        self.first = np.arange(0, len(n), LEAF)
-        self.high = np.maximum.reduceat(self.points, self.first, axis=0) if len(n) else self.points
-        self.low_n = self.n[self.first]
-        self.high_n = self.n[np.minimum(self.first + LEAF, len(n)) - 1] if len(n) else self.n
+        #: From the leaves up: greatest counts, least and greatest size.
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        high, low_n, high_n, width = self.points, self.n, self.n, LEAF
+        while len(n) and (not self.levels or len(high) > FAN):
+            first = np.arange(0, len(high), width)
+            high, low_n = np.maximum.reduceat(high, first, axis=0), low_n[first]
+            high_n = np.maximum.reduceat(high_n, first)
+            self.levels.append((high, low_n, high_n))
+            width = FAN
 
     def search(self, n: int, vector: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-        """Points (numbers as given) whose summed coordinate minima leave room for the threshold, and those sums."""
-        fits = (100 * self.low_n <= 10000 * n // percent) & (100 * self.high_n >= percent * n)
-        leaves = np.flatnonzero(fits)
-        if len(leaves):
-            bound = np.minimum(self.high[leaves], vector).sum(axis=1)
-            leaves = leaves[bound >= least_overlap(n, np.maximum(self.low_n[leaves], -(-percent * n // 100)), percent)]
-        if not len(leaves):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = (self.first[leaves][:, None] + np.arange(LEAF)).ravel()
-        at = at[at < len(self.n)]
+        """Points (numbers as given) whose summed coordinate minima leave room for the threshold, and those sums. A node is
+        entered only if its box does."""
+        none = np.zeros(0, np.int64)
+        at = np.arange(len(self.levels[-1][1])) if self.levels else none
+        for depth in range(len(self.levels) - 1, -1, -1):
+            high, low_n, high_n = self.levels[depth]
+            at = at[(100 * low_n[at] <= 10000 * n // percent) & (100 * high_n[at] >= percent * n)]
+            if not len(at):
+                return none, none
+            bound = np.minimum(high[at], vector).sum(axis=1)
+            at = at[bound >= least_overlap(n, np.maximum(low_n[at], -(-percent * n // 100)), percent)]
+            width, below = (FAN, len(self.levels[depth - 1][1])) if depth else (LEAF, len(self.n))
+            at = (at[:, None] * width + np.arange(width)).ravel()
+            at = at[at < below]
+        if not len(at):
+            return none, none
         bound = np.minimum(self.points[at], vector).sum(axis=1)
         m = self.n[at]
         ok = (bound >= least_overlap(n, m, percent)) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
@@ -248,7 +239,8 @@ def jaccard_classes(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
     ones, of documents in pairs. They save shuffles; a full one, as at a great scale, changes no result.
 
     Null and empty texts: no shingles, linked with nothing, component_id = doc_id. A null doc_id takes its
-    class's ids, null if the class has none. Rows with the same doc_id are one document. Other columns are
+    class's ids, null if the class has none. Rows with the same doc_id are one document; ties fall to the least id. Words of a very
+    long text are found piece by piece, and its set is one array. Other columns are
     ignored. No rows give no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -260,8 +252,8 @@ def jaccard_classes(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
             for s in shingle_sets(b.column("text").to_pylist(), words):
                 n.append(len(s))
                 with np.errstate(over="ignore"):
-                    d1.append(int(np.bitwise_xor.reduce(_mix(s + _P)).view(np.int64)) if len(s) else 0)
-                    d2.append(int(np.add.reduce(_mix(s ^ _P)).view(np.int64)) if len(s) else 0)
+                    d1.append(int(np.bitwise_xor.reduce(mix(s + _P)).view(np.int64)) if len(s) else 0)
+                    d2.append(int(np.add.reduce(mix(s ^ _P)).view(np.int64)) if len(s) else 0)
                 vec.append(count_vector(s).tobytes())
                 often = in_table(s, bits)
                 first = np.concatenate([s[~often], s[often]])  # both parts stay in order of hash

@@ -49,10 +49,18 @@ def document_vectors(texts: Sequence[str | None], dims: int = DIMENSIONS) -> tup
     """The bundles (sums) of each text's n-gram vectors, and whether it has a letter.
 
     Case is folded; every run of other characters is one space, and one stands at either end. A whole
-    text is counted, however long.
+    text is counted, however long: a text of more than CHUNK characters is cut at spaces into parts, and the n-gram across
+    each cut, a letter, the space and a letter, is added.
     """
     out, some = np.zeros((len(texts), dims), dtype=np.float32), np.zeros(len(texts), dtype=bool)
     at = 0
+    long = [i for i, t in enumerate(texts) if t and len(t) > CHUNK]
+    if long:
+        short = [None if t and len(t) > CHUNK else t for t in texts]
+        out, some = document_vectors(short, dims)
+        for i in long:
+            out[i], some[i] = _long_vector(texts[i], dims)
+        return out, some
     while at < len(texts):
         end, size = at, 0
         while end < len(texts) and (end == at or size + len(texts[end] or "") <= CHUNK):
@@ -63,6 +71,26 @@ def document_vectors(texts: Sequence[str | None], dims: int = DIMENSIONS) -> tup
     return out, some
 
 
+def _long_vector(text: str, dims: int) -> tuple[np.ndarray, bool]:
+    total, some, last, at = np.zeros(dims, dtype=np.float32), False, "", 0
+    while at < len(text):
+        end = text.find(" ", at + CHUNK)
+        end = len(text) if end < 0 else end
+        part = text[at:end]
+        v, letters = np.zeros((1, dims), dtype=np.float32), np.zeros(1, dtype=bool)
+        _bundle([part], v, letters, dims)
+        total += v[0]
+        if letters[0]:
+            low = part.lower()
+            first = next(c for c in low if c.isalpha())
+            if last:
+                codes = np.array([ord(last), 32, ord(first)])
+                total += gram_vectors(np.array([[0, 1, 2]]), letter_vectors(codes, dims))[0]
+            last, some = next(c for c in reversed(low) if c.isalpha()), True
+        at = end
+    return total, some
+
+
 def _bundle(texts: list[str], out: np.ndarray, some: np.ndarray, dims: int) -> None:
     low = [t.lower() for t in texts]
     codes = np.frombuffer("".join(f" {t} " for t in low).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)

@@ -108,16 +108,17 @@ def interleave(pages: DataFrame, media: DataFrame, html: str = "html") -> DataFr
     media has a column digest and any others; rows that repeat a digest count once. The references of
     a page are joined on digest only, in a plain equi-join whose hot keys AQE splits; positions and
     captions travel with the reference, so they stay aligned whatever the join's order. Pages without
-    items give no rows. Null digests join nothing.
+    items give no rows. Null digests join nothing. Of rows of media with one digest any counts, since equal digests mean
+    equal bytes. Columns of pages that have the name of an added one are replaced. A very long page is one row's items.
     """
     refs = sequences(pages, html)
     keep = [c for c in refs.columns if c != "items"]
-    one = refs.select(*keep, F.explode("items").alias("item"))
+    one = refs.select(*keep, F.explode("items").alias("__item"))
     # Written first: AQE splits the join of a hot digest only if no aggregate feeds it.
-    known = stored(media.where("digest is not null").dropDuplicates(["digest"]), "media").select(F.col("digest").alias("found"), F.struct(*[c for c in media.columns if c != "digest"]).alias("media"))
-    out = one.join(known, F.col("item.digest") == F.col("found"), "left")
+    known = stored(media.where("digest is not null").dropDuplicates(["digest"]), "media").select(F.col("digest").alias("__found"), F.struct(*[c for c in media.columns if c != "digest"]).alias("media"))
+    out = one.join(known, F.col("__item.digest") == F.col("__found"), "left")
     clash = {"position", "kind", "text", "caption", "digest", "media"}
-    return out.select(*[c for c in keep if c not in clash], "item.position", "item.kind", "item.text", "item.caption", "item.digest", "media")
+    return out.select(*[f"`{c}`" for c in keep if c not in clash], *[f"__item.{c}" for c in ("position", "kind", "text", "caption", "digest")], "media")
 
 
 def to_png(payload: bytes, width: int = WIDTH) -> bytes:

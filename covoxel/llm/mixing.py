@@ -106,10 +106,12 @@ def mix(docs: DataFrame, *, weights: Sequence[int] = (1, 2, 3), most: int = 3, s
     A hot source is no hot task: histograms are summed before the shuffle, and tables by source,
     repeated once per salt, are joined by source and salt. Size: words of the text, 0 if it is null.
     Null sources are one source. Rows with the same id fare alike; a null id hashes as the empty text.
-    No rows give no rows. Columns of docs that have the name of an added one are replaced.
+    No rows give no rows. Ties: documents whose hashes are equal fare alike. Very long texts are counted in place. Columns of docs
+    that have the name of an added one are replaced; all others stay.
     """
-    made = {"size", "source_size", "target", "copies", "taken", "h", "passes", "prefix", "last", "row_salt", "of_source", "of_salt"}
+    made = ["size", "source_size", "target", "copies", "taken"]
     base = docs.drop(*[c for c in docs.columns if c in made])
     sized = stored(base.select("doc_id", "source", _size("text"), _place("doc_id")), "mix")
     ends = thresholds(sized, weights, most, salts)
-    return _taken(base.select("*", _size("text"), _place("doc_id")), ends, salts)
+    out = _taken(base.select(F.struct("*").alias("row"), "source", _size("text"), _place("doc_id")), ends, salts)
+    return out.select("row.*", *made)

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from .common import components, row_key, stored
 
-#: Members of a bucket that one task holds of either side; up to SMALL, a bucket's pairs are listed outright.
-SHARE, SMALL = 512, 32
+#: Members of a cell that one task holds of either side, and pairs that are counted at a time.
+SHARE, AT_ONCE = 512, 1 << 20
 
 
 def normal_probability(x: float) -> float:
@@ -70,18 +70,28 @@ def unit_vectors(raw: list[bytes]) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def window_counts(q: np.ndarray, x: np.ndarray, window: float) -> np.ndarray:
-    """How often each point of x lies in the window centred on each query, over sorted projections."""
-    total = np.zeros((len(q), len(x)), dtype=np.int16)
-    rows = np.arange(len(q))
-    for j in range(q.shape[1]):
-        order = np.argsort(x[:, j], kind="stable")
-        place = x[order, j]
-        step = np.zeros((len(q), len(x) + 1), dtype=np.int16)
-        np.add.at(step, (rows, np.searchsorted(place, q[:, j] - window, side="left")), 1)
-        np.add.at(step, (rows, np.searchsorted(place, q[:, j] + window, side="right")), -1)
-        total[:, order] += np.cumsum(step[:, :-1], axis=1, dtype=np.int16)
-    return total
+def collisions(cell: np.ndarray, place: np.ndarray, window: float, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs a < b of points of the same cell that lie within a window of each other on `least` lines or more.
+
+    Each line is sorted, cell by cell, once; the window centred on a point holds its partners behind it; the
+    pairs met on all lines are counted.
+    """
+    n = len(cell)
+    apart = 2 * float(np.abs(place).max(initial=0.0)) + 2 * window + 1
+    codes = []
+    for j in range(place.shape[1]):
+        key = cell * apart + place[:, j]
+        order = np.argsort(key, kind="stable")
+        ordered = key[order]
+        ends = np.searchsorted(ordered, ordered + window, side="right")
+        met = ends - np.arange(n) - 1
+        first = np.repeat(np.arange(n), met)
+        second = first + 1 + np.arange(len(first)) - np.repeat(np.cumsum(met) - met, met)
+        a, b = order[first], order[second]
+        codes.append(np.minimum(a, b) * n + np.maximum(a, b))
+    pair, count = np.unique(np.concatenate(codes), return_counts=True)
+    pair = pair[count >= least]
+    return pair // n, pair % n
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -122,24 +132,17 @@ def _compare(proj: Projections):
             place = unit @ proj.count
             new = np.any([rows[c][1:] != rows[c][:-1] for c in ("t", "key", "i", "j")], axis=0)
             bounds = np.concatenate([[0], np.flatnonzero(new) + 1, [len(unit)]])
+            cell = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+            # Cells in runs of about AT_ONCE possible pairs.
+            load = np.cumsum(np.diff(bounds) ** 2) // AT_ONCE
+            cuts = [0, *(bounds[1:-1][load[1:] != load[:-1]]), len(unit)]
             left, right = [], []
-            for s, e in zip(bounds[:-1], bounds[1:], strict=True):
-                inside = rows["i"][s] == rows["j"][s]
-                if e - s <= SMALL and inside:
-                    a, b = np.triu_indices(e - s, 1)
-                    a, b = a + s, b + s
-                    hit = (np.abs(place[a] - place[b]) <= proj.window).sum(axis=1) >= proj.least
-                    left.append(a[hit])
-                    right.append(b[hit])
-                    continue
-                l, r = s + np.flatnonzero(rows["left"][s:e]), s + np.flatnonzero(rows["right"][s:e])
-                for at in range(0, len(l), SHARE):
-                    part = l[at : at + SHARE]
-                    a, b = np.nonzero(window_counts(place[part], place[r], proj.window) >= proj.least)
-                    a, b = part[a], r[b]
-                    keep = a < b if inside else np.ones(len(a), dtype=bool)
-                    left.append(a[keep])
-                    right.append(b[keep])
+            for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+                a, b = collisions(cell[s:e] - cell[s], place[s:e], proj.window, proj.least)
+                a, b = a + s, b + s
+                across = (rows["left"][a] & rows["right"][b]) | (rows["right"][a] & rows["left"][b])
+                left.append(a[across])
+                right.append(b[across])
             a, b = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (left, right))
             keep = np.zeros(len(a), dtype=bool)
             for at in range(0, len(a), 100_000):
@@ -176,6 +179,9 @@ def near_duplicates(vectors: DataFrame, *, cosine: float = 0.95, recall: float =
     any size is dealt over tasks by pairs of shares of SHARE members; a task sends on a sum and a root per
     member, never its pairs.
 
+    Within a cell the kept lines are sorted and each vector's window holds its partners; pairs that meet in enough windows are
+    verified. Ties: equal cosines need no order; links are symmetric.
+
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, as do rows
     with a null vec_id (component_id null, kept false). Rows that repeat a vec_id share its links. Other
     columns are ignored. No rows give no rows.

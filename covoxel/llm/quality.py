@@ -105,7 +105,8 @@ def learn(docs: DataFrame, ratings: DataFrame, levels: int, sample: int = SAMPLE
     """From ratings (doc_id, grade from 0 to levels - 1) of docs (doc_id, text).
 
     At most `sample` rated ids are used, those of least hash: the only bound on what is learned from. Their
-    feature numbers, not their texts, come to the driver. Null ids, null and foreign grades are skipped.
+    feature numbers, not their texts, come to the driver. Null ids, null and foreign grades are skipped. Of an id's ratings the
+    least counts, and of its texts the least by code point, so that reruns agree.
     """
     chosen = ratings.where(F.col("doc_id").isNotNull() & F.col("grade").between(0, levels - 1)).groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -116,7 +117,8 @@ def learn(docs: DataFrame, ratings: DataFrame, levels: int, sample: int = SAMPLE
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("grade"), x], names=["doc_id", "grade", "x"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    rated = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])  # at most `sample` rows
+    rated = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")  # at most `sample` rows
+    rated = rated.groupBy("doc_id", "grade").agg(F.min("text").alias("text"))
     rows = sorted(rated.select("doc_id", "grade", "text").mapInArrow(run, f"doc_id {kind}, grade int, x binary").collect(), key=lambda r: r[0])
     return fit([np.frombuffer(r[2], dtype=np.int32) for r in rows], np.array([r[1] for r in rows], dtype=np.int64), levels)
 
@@ -125,7 +127,8 @@ def grade(docs: DataFrame, model: Grader, *, least: int | None = None, tail: flo
     """docs with expected_grade, p_tail (of grade `least` or better, by default the best) and selected
     (p_tail >= tail) added, in one narrow pass over whole texts.
 
-    Null and empty texts are graded by what an empty text's features say. Columns of docs that have the name of an
+    Null and empty texts are graded by what an empty text's features say; repeated rows are graded alike, and so are texts
+    with the same features. A very long text is graded whole. Columns of docs that have the name of an
     added one are replaced. No rows give no rows.
     """
     base = docs.drop(*[c for c in ("expected_grade", "p_tail", "selected") if c in docs.columns])

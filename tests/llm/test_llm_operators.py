@@ -174,6 +174,37 @@ def test_bundles_match_the_definition():
     assert (got[0] == want).all() and (got[3] == want).all() and some.tolist() == [True, False, False, True]
 
 
+def test_long_texts_are_read_in_parts(monkeypatch):
+    rng = random.Random(6)
+    texts = [prose(200, rng) + " 12 . É " + prose(100, rng), "abc " * 40, "12 " * 60, "x" * 300]
+    (whole, some), sets = langid.document_vectors(texts), jaccard.shingle_sets(texts, 4)
+    monkeypatch.setattr(langid, "CHUNK", 37)
+    monkeypatch.setattr(common, "PIECE", 41)
+    got, again = langid.document_vectors(texts)
+    assert (got == whole).all() and (some == again).all()
+    assert all((a == b).all() for a, b in zip(sets, jaccard.shingle_sets(texts, 4)))
+    assert [len(x) for x in sets] == [len(x) for x in naive_sets(texts, 4)]
+
+
+def naive_language(text, prototypes):
+    """The nearest prototype by the definition, n-gram by n-gram."""
+    low = "".join(c if c.isalpha() else " " for c in text.lower())
+    low = f" {' '.join(low.split())} "
+    v = langid.letter_vectors(np.array([ord(c) for c in low])).astype(int)
+    bundle = sum(np.roll(v[i], 2) * np.roll(v[i + 1], 1) * v[i + 2] for i in range(len(low) - 2))
+    return prototypes @ bundle / np.linalg.norm(bundle)
+
+
+def test_language_scores_match_the_definition(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(40)
+    profiles = langid.learn(docs)
+    rows = [r for r in docs.collect() if r.text and any(c.isalpha() for c in r.text)][:12]
+    lang, score = profiles.predict([r.text[:400] for r in rows])
+    for r, l, s in zip(rows, lang, score):
+        cos = naive_language(r.text[:400], profiles.prototypes)
+        assert l == profiles.languages[cos.argmax()] and s == pytest.approx(max(0, cos.max()), abs=1e-5)
+
+
 def test_language_id_learns_and_ignores_other_columns(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     out = QUERIES["op3_language_id"](spark, sf).join(docs.select("doc_id", "lang"), "doc_id").collect()
@@ -326,32 +357,12 @@ def _naive_roots(ids, link):
         root = new
 
 
-def test_window_counts_are_collisions():
+def test_collisions_match_brute_force():
     rng = np.random.default_rng(3)
-    q, x = rng.standard_normal((9, 6)), rng.standard_normal((40, 6))
-    want = (np.abs(q[:, None] - x[None]) <= 0.5).sum(axis=2)
-    assert (neardup.window_counts(q, x, 0.5) == want).all()
-
-
-def test_scores_are_exact_at_the_root_and_proper(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet").unionByName(frame(spark, [(10**6, None, None, None), (10**6 + 1, "", None, None)]))
-    rows = {r.doc_id: r for r in docs.collect()}
-    out = suffix_tree.score(docs, common.crc_of_id() % 7 != 2).collect()
-    assert len(out) == len(rows)
-    c = collections.Counter()
-    for i, r in rows.items():
-        if zlib.crc32(str(i).encode()) % 7 != 2:
-            c.update(tokens(r.text))
-    total, kinds = sum(c.values()), len(c)
-    held = [0.0, 0.0]
-    for r in out:
-        t = tokens(rows[r.doc_id].text)
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(t), sum(w in c for w in t), total)
-        assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (total + kinds + 1)) for w in t))
-        if not r.learned:
-            held = [held[0] + r.base_score, held[1] + r.score]
-    assert held[1] > held[0]
-    assert suffix_tree.score(docs, F.lit(False)).agg(F.sum("base_score"), F.sum("train_tokens")).first() == (0, 0)
+    place, cell = rng.standard_normal((60, 6)), np.sort(rng.integers(0, 7, 60))
+    near = (np.abs(place[:, None] - place[None]) <= 0.5).sum(axis=2)
+    want = {(i, j) for i in range(60) for j in range(i + 1, 60) if cell[i] == cell[j] and near[i, j] >= 3}
+    assert want and set(zip(*neardup.collisions(cell, place, 0.5, 3))) == want
 
 
 def tokens(text):
@@ -453,14 +464,49 @@ def test_grades(spark, sf):
     assert quality.grade(odd, model).count() == 2
 
 
-def test_gradient_matches_the_likelihood():
+def test_fit_reaches_the_greatest_likelihood():
+    """Against the cumulative-link likelihood maximized by brute force over a grid: one weight, two thresholds."""
     rng = np.random.default_rng(0)
+    x = rng.integers(0, 2, 3000)
+    true = lambda s: 1 / (1 + np.exp(np.array([-0.5, 1.0]) - s))
+    grades = np.array([int(u < true(2.0 * v)[0]) + int(u < true(2.0 * v)[1]) for v, u in zip(x, rng.random(3000))])
+    m = quality.fit([np.array([7] if v else [], dtype=np.int32) for v in x], grades, 3, passes=20, l1=0.0, l2=0.0)
+
+    def likelihood(w, t0, t1):
+        total = 0.0
+        for v in (0, 1):
+            upper = 1 / (1 + np.exp(np.array([t0, t1]) - w * v))
+            p = np.array([1 - upper[0], upper[0] - upper[1], upper[1]])
+            total += (np.log(np.maximum(p, 1e-12)) * np.bincount(grades[x == v], minlength=3)).sum()
+        return total
+
+    best = max(likelihood(w, a, b) for w in np.arange(1, 3, 0.1) for a in np.arange(-1.2, 0.4, 0.1) for b in np.arange(0.2, 1.8, 0.1))
+    assert likelihood(float(m.weights[7]), *m.thresholds) > best - 15 and 1.5 < m.weights[7] < 2.5
     good, bad = np.array([1, 2]), np.array([3, 4])
     sets = [good if i % 3 == 2 else bad if i % 3 == 0 else np.array([5]) for i in range(600)]
-    m = quality.fit(sets, np.array([i % 3 for i in range(600)]), 3)
-    tails = m.tails([good, np.array([5]), bad])
+    tails = quality.fit(sets, np.array([i % 3 for i in range(600)]), 3).tails([good, np.array([5]), bad])
     assert tails[0, 1] > 0.8 and tails[1, 0] > 0.7 and tails[1, 1] < 0.3 and tails[2, 0] < 0.2
-    assert rng is not None
+
+
+def test_clashing_names_and_repeated_rows(spark, odd):
+    names = ("h", "passes", "prefix", "last", "row_salt", "of_source", "found", "item", "slots", "host", "wrapper", "row", "part", "g1", "g2")
+    clash = odd.withColumns({c: F.lit(c) for c in names})
+    out = mixing.mix(clash)
+    assert set(clash.columns) <= set(out.columns) and out.count() == clash.count()
+    assert tuple(out.select(*names).first()) == names
+    d = hashlib.sha256(b"x").hexdigest()
+    pages = spark.createDataFrame([(1, f'<p>a</p><img src="sha256:{d}">')], "page long, html string").withColumns({c: F.lit(c) for c in names})
+    shown = media.interleave(pages, spark.createDataFrame([(d, 7)], "digest string, w int"))
+    assert tuple(shown.select(*names).first()) == names and shown.count() == 2
+    web = spark.createDataFrame([(1, "http://a.org/1", "<p>x</p>")] * 2, "page_id long, url string, html string").withColumns({c: F.lit(c) for c in names})
+    read = wrappers.extract_main(web)
+    assert [r.text for r in read.collect()] == ["x", "x"] and tuple(read.select(*names).first()) == names
+    rated = spark.createDataFrame([(1, 0), (1, 2), (7, 1), (None, 1), (8, None), (5, 9)], "doc_id long, grade int")
+    twice = odd.unionByName(odd.where("doc_id = 1").withColumn("text", F.lit("other words")))
+    a, b = (quality.learn(x, rated, 3) for x in (twice, twice.repartition(5)))
+    assert (a.weights == b.weights).all() and quality.grade(clash, a).count() == odd.count()
+    vectors = spark.createDataFrame([(1, [1.0, 0.0])] * 3, "vec_id long, embedding array<double>").withColumns({c: F.lit(c) for c in names})
+    assert {(r.n_links, r.component_id) for r in neardup.near_duplicates(vectors).collect()} == {(2, 1)}
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T{i}</title><script>var a="</p>";</script></head><body><header><h1>Site</h1></header>

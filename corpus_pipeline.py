@@ -1,4 +1,8 @@
-"""A training-data pipeline of five stages, each over all that its predecessor kept."""
+"""A training-data pipeline of five stages, each over all that its predecessor kept.
+
+In every stage an empty table gives an empty table, columns beyond those of documents are kept by all but the last whatever their
+names, rows that repeat others fare as these do unless the stage says otherwise, and very long texts are read whole.
+"""
 
 from __future__ import annotations
 
@@ -20,7 +24,8 @@ LEAST_SCORE = 0.05
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: null texts, texts without a letter or far from every learned language."""
+    """Documents without a language go: null texts, texts without a letter or far from every learned language. Ties between
+    languages don't matter here. Where no row has a language to learn from, all go."""
     profiles = learn(docs.where(crc_of_id() % 5 != 0))
     known = identify(docs.select(F.struct(*docs.columns).alias("doc"), "text"), profiles)
     return known.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select("doc.*")
@@ -28,7 +33,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def remove_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated chunks of lines go from the texts. A document of which nothing is left goes, too: all it held
-    stands elsewhere. n_chars follows the text."""
+    stands elsewhere. n_chars follows the text. Null and empty texts stay; rows that repeat an id and a text are one document."""
     out = line_dedup(docs.withColumn("__columns", F.struct(*[c for c in docs.columns if c != "text"])))
     out = out.where(~F.col("all_removed"))
     chars = F.length("text").cast("long")
@@ -55,14 +60,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources come to their target weights: documents that the mix doesn't take go, those it takes more than once
-    are repeated."""
+    are repeated. A null source is a source; rows that repeat an id fare alike; a null text weighs nothing and goes or stays by
+    its hash."""
     taken = mix(docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text", "source"))
     times = F.sequence(F.lit(1).cast("long"), F.col("copies"))
     return taken.where("copies > 0").withColumn("copy", F.explode(times)).select("doc.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 4096 tokens."""
+    """The pieces of all documents in sequences of 4096 tokens. A null or empty text is its end alone; every row is packed."""
     return pack(docs, vocabulary())
 
 

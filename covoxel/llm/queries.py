@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .codes import vector_codes
 from .common import crc_of_id, table
 from .jaccard import jaccard_classes
 from .langid import identify, learn
 from .lines import line_dedup
 from .media import media_columns
 from .mixing import mix_sizes
+from .negatives import hard_negatives
 from .neardup import near_duplicates
 from .packing import pack
 from .quality import grade, ratings
 from .quality import learn as learn_grades
+from .secret_scan import KINDS, find_secrets, span_list
 from .suffix_tree import score
 from .wrappers import extract_main
 
@@ -73,6 +76,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, _ = vector_codes(table(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    of = lambda *kinds: F.filter("found", lambda x: x["kind"].isin(*kinds))
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2(span_list(of("assign", "access", "hex")), 256).alias("base_sha256"), span_list(F.col("found")).alias("spans"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    out = hard_negatives(rows.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0)
+    return out.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 OP1_SQL = """
 WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i
@@ -124,5 +146,47 @@ SELECT d.doc_id, d.size, m.source_size, m.target, CAST(d.size * (m.passes + m.mo
 FROM d JOIN m ON d.source IS NOT DISTINCT FROM m.source AND d.h = m.h
 """
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op3_language_id": op3_language_id, "op4_media_columns": op4_media_columns, "op5_jaccard_join": op5_jaccard_join, "op6_quality": op6_quality, "op7_html_extraction": op7_html_extraction, "op8_embedding_near_dedup": op8_embedding_near_dedup, "op9_lm_scoring": op9_lm_scoring, "op10_packing": op10_packing}
-ORACLES = {"op1_line_dedup": OP1_SQL, "op2_mixing": OP2_SQL}
+_WHOLE = "[CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding]"
+_FINITE = "embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0"
+
+OP11_SQL = f"""
+WITH v AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS i, vec_id, label, {_WHOLE} AS q FROM embeddings WHERE {_FINITE}),
+p AS (SELECT i, part, q[part * (len(q) // 16) + 1 : (part + 1) * (len(q) // 16)] AS x FROM v, range(16) r(part)),
+c0 AS (SELECT part, i AS entry, x AS c FROM p WHERE i < 64),
+""" + "".join(f"""
+d{k} AS (
+  SELECT i, p.part, min(CAST(list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(x, c)]) AS BIGINT) * 64 + entry) AS best, any_value(x) AS x
+  FROM p JOIN c{k} c ON p.part = c.part GROUP BY i, p.part),
+""" + (f"""
+m{k} AS (
+  SELECT part, entry, list(mean ORDER BY pos) AS c
+  FROM (SELECT part, best % 64 AS entry, pos, CAST(floor(sum(comp) / count(*)) AS BIGINT) AS mean
+        FROM (SELECT part, best, unnest(x) AS comp, unnest(range(len(x))) AS pos FROM d{k}) GROUP BY part, best % 64, pos)
+  GROUP BY part, entry),
+c{k + 1} AS (SELECT c.part, c.entry, coalesce(m.c, c.c) AS c FROM c{k} c LEFT JOIN m{k} m ON c.part = m.part AND c.entry = m.entry),
+""" if k < 2 else "") for k in range(3)) + """
+e AS (SELECT i, string_agg(printf('%02x', best % 64), '' ORDER BY part) AS code, CAST(sum(best // 64) AS BIGINT) AS error FROM d2 GROUP BY i),
+s AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM v JOIN e USING (i), s
+"""
+
+OP13_SQL = f"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, CAST({_WHOLE} AS DOUBLE[]) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {_FINITE}),
+s AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id AS id, a.label = v.label AS alike, CAST(list_inner_product(a.q, v.q) AS BIGINT) AS score
+  FROM v a, v WHERE a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_mixing": op2_mixing, "op3_language_id": op3_language_id, "op4_media_columns": op4_media_columns, "op5_jaccard_join": op5_jaccard_join, "op6_quality": op6_quality, "op7_html_extraction": op7_html_extraction, "op8_embedding_near_dedup": op8_embedding_near_dedup, "op9_lm_scoring": op9_lm_scoring, "op10_packing": op10_packing, "op11_vector_codes": op11_vector_codes, "op12_secret_scan": op12_secret_scan, "op13_hard_negatives": op13_hard_negatives}
+ORACLES = {"op1_line_dedup": OP1_SQL, "op2_mixing": OP2_SQL, "op11_vector_codes": OP11_SQL, "op13_hard_negatives": OP13_SQL}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 from dataclasses import MISSING, fields, replace
+from functools import partial
 
 from covoxel.config import EngineConfig, FilterConfig, VoxelSize
 
@@ -59,7 +60,9 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--zarr-url", help="the same on a web server or store; thresholds come from its lowest level")
     run.add_argument("--voxels", help="instead of --zarr-path: Parquet of channel, z, y, x, value; or a folder with level=N below")
     run.add_argument("--remote", help="instead of --zarr-url: a second location, for thresholds from its lowest level")
+    run.add_argument("--forbidden-is-absent", action="store_true", help="chunks that a web server refuses (403) aren't stored there; else a refusal ends the run")
     run.add_argument("--checkpoints", help="folder of tile results (default: checkpoints in the output folder)")
+    run.add_argument("--tile-documents", action="store_true", help="keep tile results as a folder of documents, tile_XXXX_YYYY.json.gz, instead of Parquet")
     run.add_argument("--no-resume", action="store_true")
     run.add_argument("--batch", type=int, default=1024, help="tiles mined and written at a time")
     stage = sub.add_parser("aggregate", help="write the result tables of a folder of tile documents")
@@ -85,8 +88,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     from covoxel.functions.names import channel_dimension
     from covoxel.plans import runs
     from covoxel.plans.engine import Engine
-    from covoxel.sources import omexml, pyramid, zarr
-    from covoxel.sources.checkpoints import ResultStore
+    from covoxel.sources import objects, omexml, pyramid, zarr
+    from covoxel.sources.checkpoints import DocumentStore, ResultStore
 
     a = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("covoxel").getOrCreate()
@@ -110,14 +113,18 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     local, remote = (a.zarr_path, a.zarr_url) if arrays else (a.voxels, a.remote)
     if not local and not remote:
         parser().error("a volume is needed: --zarr-path, --zarr-url, --voxels or --remote")
-    opened = zarr.open_arrays if arrays else pyramid.open_parquet
+    absent = (*objects.ABSENT, 403) if a.forbidden_is_absent else objects.ABSENT
+    opened = partial(zarr.open_arrays, absent=absent) if arrays else pyramid.open_parquet
     (at, level), (low_at, low) = pyramid.choose_levels(*(opened(spark, p) if p else None for p in (local, remote)))
     if arrays:
-        voxels, lowres = (zarr.read_array(spark, p, v.key, channels=cfg.channels) for p, v in ((at, level), (low_at, low)))
+        cfg = replace(cfg, channels=cfg.channels or tuple(range(level.channels)))
+        voxels, lowres = (zarr.read_array(spark, p, v.key, channels=cfg.channels, absent=absent) for p, v in ((at, level), (low_at, low)))
     else:
         voxels, lowres = (pyramid.read_level(spark, p, v.key) for p, v in ((at, level), (low_at, low)))
-    engine = Engine(voxels, level.shape, cfg, lowres=lowres, lowres_shape=low.shape, names=names)
-    mined = runs.run_tiles(engine, ResultStore(spark, a.checkpoints or f"{out}/checkpoints", cfg), not a.no_resume, a.batch, print)
+    engine = Engine(voxels, level.shape, cfg, lowres=lowres, lowres_shape=low.shape, names=names, block=level.block)
+    kept = a.checkpoints or f"{out}/checkpoints"
+    store = DocumentStore(spark, kept, cfg, level.shape) if a.tile_documents else ResultStore(spark, kept, cfg)
+    mined = runs.run_tiles(engine, store, not a.no_resume, a.batch, print)
     if a.filter:
         runs.filter_and_aggregate(engine, mined, wanted, **to)
     else:

@@ -14,8 +14,8 @@ from covoxel.config import MAX_ITEMS_FOR_K4, MAX_PAIRS_FOR_SETS, MAX_SETS, WORD_
 from covoxel.operators.proximity import within
 
 TILE = ["tile_x", "tile_y"]
-#: Signatures that are a matrix of bits at a time.
-STEP = 1 << 15
+#: Signatures that are a matrix of bits at a time; signatures of a tile that one task counts, about.
+STEP, SHARE = 1 << 13, 1 << 17
 
 
 @dataclass(frozen=True)
@@ -84,9 +84,11 @@ def signatures_by_distance(prox: DataFrame, n_channels: int, cfg: EngineConfig)
 def count_overlaps(candidates: DataFrame, histogram: DataFrame) -> DataFrame:
     """candidates (tile_x, tile_y, r_idx, members, positions and any others) with inter_vox and union_vox, from the histogram.
 
-    One pass over each tile and radius, both sides bounded by the tile and the candidate limits. Signatures become a matrix of
-    bits; candidates that differ in their last member alone are one product of a vector with it: the voxels that have all
-    members, and, of the complements, those that have none. Doubles hold these counts exactly.
+    Signatures become a matrix of bits; candidates that differ in their last member alone are one product of a vector with it:
+    the voxels that have all members, and, of the complements, those that have none. Doubles hold these counts exactly.
+
+    A tile's signatures are dealt into shares of about SHARE, each counted against all its candidates by a task of its own, and the shares' counts
+    are added up: so a tile of any size spreads over the cluster. Both sides of a task are bounded, by SHARE and the candidate limits.
     """
     words = [c for c in histogram.columns if c.startswith("w")]
     kept = [(c, t) for c, t in candidates.dtypes if c != "positions"]
@@ -116,7 +118,13 @@ def count_overlaps(candidates: DataFrame, histogram: DataFrame) -> DataFrame:
     schema = ", ".join(f"{c} {t}" for c, t in kept) + ", inter_vox long, union_vox long"
     keys = [*TILE, "r_idx"]
     named = histogram.withColumnsRenamed({k: f"of_{k}" for k in keys})  # both sides may come from the same rows
-    return candidates.groupBy(*keys).cogroup(named.groupBy(*[f"of_{k}" for k in keys])).applyInArrow(run, schema)
+    shares = histogram.groupBy(*keys).agg(F.ceil(F.count("*") / SHARE).cast("int").alias("shares"))
+    dealt = shares.withColumnsRenamed({k: f"in_{k}" for k in keys})
+    same = [F.col(f"of_{k}") == F.col(f"in_{k}") for k in keys]
+    right = named.join(dealt, same).drop(*[f"in_{k}" for k in keys]).withColumn("share", F.pmod(F.xxhash64(*words), F.col("shares")).cast("int"))
+    left = candidates.join(shares, keys, "left").withColumn("of_share", F.explode(F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1))).drop("shares")
+    partial = left.groupBy(*keys, "of_share").cogroup(right.groupBy(*[f"of_{k}" for k in keys], "share")).applyInArrow(run, schema)
+    return partial.groupBy(*[c for c, _ in kept]).agg(F.sum("inter_vox").alias("inter_vox"), F.sum("union_vox").alias("union_vox"))
 
 
 def active_pairs(active: DataFrame) -> DataFrame:

@@ -6,10 +6,13 @@ one row (0, how many there are) for each channel and tile, so nothing here is as
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covoxel.config import EngineConfig
+from covoxel.operators.selection import order_key, quantile
 from covoxel.operators.tiling import Shape, columns_grid, tile_grid
 
 MAD_TO_SIGMA, MAD_FLOOR = 1.4826, 1e-6  # fixed values
@@ -52,13 +55,22 @@ def background(m: DataFrame, keys: list[str], cfg: EngineConfig) -> DataFrame:
     return m.join(cut, keys).where("m <= cut")
 
 
-def global_thresholds(lowres: DataFrame, shape: Shape, cfg: EngineConfig) -> DataFrame:
-    """channel, mu, mad, t_global: median + z * 1.4826 * MAD of the trimmed projection, from exact quantiles."""
+def global_thresholds(lowres: DataFrame, shape: Shape, cfg: EngineConfig, hold: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """channel, mu, mad, t_global: median + z * 1.4826 * MAD of the trimmed projection, from exact quantiles.
+
+    A channel's projection is as large as the volume's face, so its quantiles come from selection(), which gathers no channel anywhere; hold() keeps the
+    projections, so that the volume is read once.
+    """
+    by = ["channel"]
     groups = channel_dim(lowres, cfg).withColumn("n_columns", F.lit(shape.y * shape.x))
-    bg = background(projections(lowres, groups, ["channel"], shape), ["channel"], cfg)
-    mu = bg.groupBy("channel").agg(F.percentile("m", F.lit(0.5), F.col("n")).alias("mu"))
-    mad = bg.join(mu, "channel").groupBy("channel", "mu").agg((F.percentile(F.abs(F.col("m") - F.col("mu")), F.lit(0.5), F.col("n")) + MAD_FLOOR).alias("mad"))
-    return mad.withColumn("t_global", F.col("mu") + F.lit(cfg.z_alpha * MAD_TO_SIGMA) * F.col("mad"))
+    m = hold(projections(lowres, groups, by, shape).select(*by, "m", "n", order_key("m").alias("key")))
+    cut = quantile(m, by, cfg.trim_q, "cut")
+    bg = m.join(F.broadcast(cut), by).where("m <= cut")  # one row per channel, as below
+    mu = quantile(bg, by, 0.5, "mu")
+    apart = bg.join(F.broadcast(mu), by).withColumn("m", F.abs(F.col("m") - F.col("mu")))
+    mad = quantile(apart.withColumn("key", order_key("m")), by, 0.5, "mad")
+    out = mu.join(F.broadcast(mad), by).withColumn("mad", F.col("mad") + MAD_FLOOR)
+    return out.withColumn("t_global", F.col("mu") + F.lit(cfg.z_alpha * MAD_TO_SIGMA) * F.col("mad"))
 
 
 def _at(i: Column) -> Column:

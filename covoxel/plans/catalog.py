@@ -33,7 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shape(spark: SparkSession, sf_dir: str) -> Shape:
-    return Shape(7, 40, WIDTH * max(1, table(spark, sf_dir, "lineitem").count() // LINES))
+    if sf_dir not in _SHAPES:
+        _SHAPES[sf_dir] = Shape(7, 40, WIDTH * max(1, table(spark, sf_dir, "lineitem").count() // LINES))
+    return _SHAPES[sf_dir]
+
+
+_SHAPES: dict[str, Shape] = {}
 
 
 def volume(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -483,21 +488,30 @@ def filter_stats(spark, sf_dir):
     return filtering.stats(e.tiles(), (m.pairs, m.sets), after).withColumns(r9("removed_percent"))
 
 
-@query(last("SELECT tile_x, tile_y FROM tiles0 ANTI JOIN (SELECT tile_x, tile_y FROM summary WHERE n_frequent_pairs > 14) USING (tile_x, tile_y)"))
+def stopped_run(spark: SparkSession, sf_dir: str) -> tuple[Engine, str]:
+    """A folder of documents as a run leaves it that was stopped after the tiles of every other column."""
+    from covoxel.sources.checkpoints import DocumentStore
+
+    e, at = engine(spark, sf_dir), folder(spark, "stopped")
+    DocumentStore(spark, at, CFG, e.shape).write(e.mine(e.tiles().where("tile_x % 2 = 1")))
+    return e, at
+
+
+@query(last("SELECT tile_x, tile_y FROM tiles0 WHERE tile_x % 2 = 0"))
 def resume_remaining_tiles(spark, sf_dir):
-    """Tiles without a result, if those with more than 14 frequent pairs had been done."""
-    from covoxel.sources.checkpoints import remaining
+    """Tiles that a stopped run's folder of documents lacks."""
+    from covoxel.sources.checkpoints import completed, remaining
 
-    e = engine(spark, sf_dir)
-    return remaining(e.tiles(), e.mine().summary.where("n_frequent_pairs > 14")).select("tile_x", "tile_y")
+    e, at = stopped_run(spark, sf_dir)
+    return remaining(e.tiles(), completed(spark, at)).select("tile_x", "tile_y")
 
 
-@query(last("SELECT count(*) AS n_tiles, min(tile_x) AS min_tile_x, max(tile_x) AS max_tile_x, min(tile_y) AS min_tile_y, max(tile_y) AS max_tile_y FROM summary WHERE n_frequent_pairs > 14"))
+@query(last("SELECT count(*) AS n_tiles, min(tile_x) AS min_tile_x, max(tile_x) AS max_tile_x, min(tile_y) AS min_tile_y, max(tile_y) AS max_tile_y FROM tiles0 WHERE tile_x % 2 = 1"))
 def checkpoint_stats(spark, sf_dir):
-    """Count and ranges of done tiles, if those with more than 14 frequent pairs had been done."""
-    from covoxel.sources.checkpoints import stats
+    """Count and ranges of the tiles in a stopped run's folder of documents."""
+    from covoxel.sources.checkpoints import completed, stats
 
-    return stats(engine(spark, sf_dir).mine().summary.where("n_frequent_pairs > 14"))
+    return stats(completed(spark, stopped_run(spark, sf_dir)[1]))
 
 
 @query(last("SELECT s.tile_x, s.tile_y, s.r_um, array_to_string(s.members, ',') AS members, array_to_string(s.member_vox, ',') AS member_vox, inter_vox FROM sets s"))
@@ -563,11 +577,47 @@ def pairs_by_batches(spark, sf_dir):
     return pairs_out(run_tiles(e, store, batch=max(5, e.tiles().count() // 2)).pairs)
 
 
+@query(last("SELECT channel, z, y, x, CAST(value AS DOUBLE) AS value FROM vox WHERE channel IN (1, 4) AND y BETWEEN 10 AND 29 AND x >= 20 AND z <> 3"))
+def array_region(spark, sf_dir):
+    """A region of the volume stored as a chunked array: filters choose the chunks, and what they can't say is left to Spark."""
+    from covoxel.sources import zarr
+
+    at, s = folder(spark, "array"), shape(spark, sf_dir)
+    zarr.write_array(volume(spark, sf_dir), at, s, 6, (1, 4, 16, 16), "<u4")
+    return zarr.read_array(spark, at, channels=(1, 4), y=(10, 30)).where("x >= 20 and z <> 3")
+
+
+@query(last(f"SELECT {SETS} FROM sets"))
+def resume_documents(spark, sf_dir):
+    """A run that keeps tile documents, stopped after one batch and resumed by the names of its files."""
+    from covoxel.plans.runs import run_tiles
+    from covoxel.sources.checkpoints import DocumentStore
+
+    e = engine(spark, sf_dir)
+    store = DocumentStore(spark, folder(spark, "resumed"), CFG, e.shape)
+    store.write(e.mine(e.tiles().where("tile_x = 1")))
+    return sets_out(run_tiles(e, store).sets)
+
+
+@query(last("SELECT tile_x, tile_y, n_active_channels, n_frequent_pairs FROM summary"))
+def snapshot_summary(spark, sf_dir):
+    """Every tile written twice by several writes, which the store merges; the last write of a tile counts."""
+    from covoxel.operators.mining import Mined
+    from covoxel.sources.checkpoints import ResultStore
+
+    e = engine(spark, sf_dir)
+    m, store = e.mine(), ResultStore(spark, folder(spark, "snapshots"), CFG, merge_at=2)
+    for step in (0, 1, 0):
+        part = Mined(*[getattr(m, name).where(f"tile_x % 2 = {step}") for name in ResultStore.PARTS])
+        store.write(part)
+    return store.read().summary
+
+
 def written_documents(spark: SparkSession, sf_dir: str) -> str:
-    from covoxel.sources.checkpoints import documents, write_json
+    from covoxel.sources.checkpoints import documents, write_tiles
 
     e, at = engine(spark, sf_dir), folder(spark, "documents")
-    write_json(documents(e.mine(), e.tiles(), CFG, e.shape.z), at)
+    write_tiles(documents(e.mine(), e.tiles(), CFG, e.shape.z), at)
     return at
 
 

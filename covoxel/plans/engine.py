@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
@@ -27,7 +28,18 @@ def hold(df: DataFrame) -> DataFrame:
         return df.cache()
     path = f"{at.rstrip('/')}/engine-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._held_at = path
+    return out
+
+
+def let_go(df: DataFrame) -> None:
+    """Drop what hold() has kept; nothing may read it again."""
+    if at := getattr(df, "_held_at", None):
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    else:
+        df.unpersist()
 
 
 @dataclass
@@ -36,7 +48,9 @@ class Engine:
 
     voxels: channel, z, y, x, value (absent = 0). lowres, with its shape, is what global thresholds are taken from; by
     default the volume itself. Every method is lazy; what several steps read is cached by `hold`, or written to the folder that
-    executors share (spark.checkpoint.dir) if the session names one. segment: a replacement for thresholds to masks.
+    executors share (spark.checkpoint.dir) if the session names one. segment: a replacement for thresholds to masks. block: the
+    sides (y, x) of what the source of voxels reads in one piece, if a read is costly, as of compressed arrays: then every batch of tiles reads its voxels
+    once, holds them, and consists of whole pieces (see batch_unit), so that no piece is read for two batches.
     """
 
     voxels: DataFrame
@@ -47,7 +61,9 @@ class Engine:
     names: DataFrame | None = None
     segment: Stage | None = None
     subset: DataFrame | None = None
+    block: tuple[int, int] | None = None
     _made: dict = field(default_factory=dict)
+    _held: list = field(default_factory=list)
 
     def __post_init__(self) -> None:
         if self.cfg.channels:
@@ -70,10 +86,27 @@ class Engine:
             voxels = voxels.where(F.col("x").between(x[0] * self.cfg.tile_x, (x[1] + 1) * self.cfg.tile_x - 1) & F.col("y").between(y[0] * self.cfg.tile_y, (y[1] + 1) * self.cfg.tile_y - 1))
             voxels = voxels.where(F.col("tile_x").between(*x) & F.col("tile_y").between(*y))
         made = {"global": self.global_thresholds(), "channels": self.channels()}
-        return replace(self, voxels=voxels.join(F.broadcast(part), ["tile_x", "tile_y"], "left_semi"), subset=part, _made=made)  # a batch of tiles
+        out = replace(self, voxels=voxels.join(F.broadcast(part), ["tile_x", "tile_y"], "left_semi"), subset=part, _made=made, _held=[])  # a batch of tiles
+        if self.block:
+            out.voxels = out.hold(out.voxels)
+        return out
+
+    def batch_unit(self) -> tuple[int, int] | None:
+        """The tiles (down, across) that make up whole pieces of the source, if it has such."""
+        if self.block is None:
+            return None
+        return math.lcm(self.block[0], self.cfg.tile_y) // self.cfg.tile_y, math.lcm(self.block[1], self.cfg.tile_x) // self.cfg.tile_x
 
     def hold(self, df: DataFrame) -> DataFrame:
-        return hold(df)
+        self._held.append(hold(df))
+        return self._held[-1]
+
+    def release(self) -> None:
+        """Drop what this analysis holds; its frames can't be read any more."""
+        for df in self._held:
+            let_go(df)
+        self._held.clear()
+        self._made.clear()
 
     def _once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._made:
@@ -84,6 +117,8 @@ class Engine:
         """channel, pos: positions from 0 in order of channel; one row each."""
 
         def make() -> DataFrame:
+            if self.cfg.channels:
+                return self.spark.createDataFrame([(c, i) for i, c in enumerate(sorted(self.cfg.channels))], "channel int, pos int")
             found = sorted(r[0] for r in thresholds.channel_dim(self.voxels, self.cfg).collect())  # one row per channel
             return self.spark.createDataFrame([(c, i) for i, c in enumerate(found)], "channel int, pos int")
 
@@ -99,9 +134,14 @@ class Engine:
         grid = tiling.tile_grid(self.spark, self.shape, self.cfg)
         return grid if self.subset is None else grid.join(self.subset, ["tile_x", "tile_y"], "left_semi")
 
+    def n_tiles(self) -> int:
+        if self.subset is not None:
+            return self.subset.count()
+        return -(-self.shape.y // self.cfg.tile_y) * -(-self.shape.x // self.cfg.tile_x)
+
     def global_thresholds(self) -> DataFrame:
         source = self.lowres if self.lowres is not None else self.voxels
-        return self._once("global", lambda: self.hold(thresholds.global_thresholds(source, self.lowres_shape or self.shape, self.cfg)))
+        return self._once("global", lambda: thresholds.global_thresholds(source, self.lowres_shape or self.shape, self.cfg, self.hold))
 
     def tile_thresholds(self) -> DataFrame:
         return self._once("tile_t", lambda: self.hold(thresholds.tile_thresholds(self.voxels, self.global_thresholds(), self.shape, self.cfg, self.subset)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import replace
+from itertools import groupby, islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,34 +18,64 @@ from covoxel.operators.tiling import Shape
 from covoxel.plans import tables
 from covoxel.plans.engine import Engine, hold
 from covoxel.sinks.store import export_sqlite, write_parquet
-from covoxel.sources import checkpoints
-from covoxel.sources.checkpoints import Progress, ResultStore, remaining
+from covoxel.sources import checkpoints, objects
+from covoxel.sources.checkpoints import DocumentStore, Progress, ResultStore, remaining
 
 Report = Callable[[Progress], None]
 
 
-def batches(tiles: DataFrame, size: int) -> Iterator[DataFrame]:
-    """Tiles in batches of `size`, row by row of the grid. What comes to the driver are tile numbers, one pair a tile."""
-    spark, found = tiles.sparkSession, tiles.select("tile_x", "tile_y").orderBy("tile_y", "tile_x").toLocalIterator()
-    part: list[tuple[int, int]] = []
-    for row in found:
-        part.append(tuple(row))
-        if len(part) == size:
-            yield spark.createDataFrame(part, "tile_x int, tile_y int")
-            part = []
-    if part:
-        yield spark.createDataFrame(part, "tile_x int, tile_y int")
-
-
-def run_tiles(engine: Engine, store: ResultStore, resume: bool = True, batch: int = 1024, report: Report | None = None) -> Mined:
+def batches(tiles: DataFrame, size: int, unit: tuple[int, int] = (1, 1)) -> Iterator[DataFrame]:
+    """Tiles in batches of about `size`, row by row of the grid. What comes to the driver are tile numbers, one pair a tile.
+
+    unit: (tiles down, tiles across) that aren't parted. If it is more than a tile, every batch is a run of neighbouring units of one row of units,
+    or several whole rows, so that the box around a batch holds no tile of another one, and a batch has one unit at least.
+    """
+    spark = tiles.sparkSession
+    frame = lambda part: spark.createDataFrame(part, "tile_x int, tile_y int")
+    down, across = unit
+    place = tiles.select("tile_x", "tile_y", F.expr(f"tile_y div {down}").alias("v"), F.expr(f"tile_x div {across}").alias("u"))
+    found = place.orderBy("v", "u", "tile_y", "tile_x").toLocalIterator()
+    if unit == (1, 1):
+        while part := [(r.tile_x, r.tile_y) for r in islice(found, size)]:
+            yield frame(part)
+        return
+    rows: list[tuple[int, int]] = []  # whole rows of units with the same columns
+    below, columns = None, None
+    for v, row in groupby(found, lambda r: r.v):
+        units = [(u, [(r.tile_x, r.tile_y) for r in of]) for u, of in groupby(row, lambda r: r.u)]
+        whole, here = [t for _, of in units for t in of], [u for u, _ in units]
+        if rows and (below != v or columns != here or len(rows) + len(whole) > size):
+            yield frame(rows)
+            rows = []
+        if len(whole) <= size and here == list(range(here[0], here[-1] + 1)):
+            rows, below, columns = rows + whole, v + 1, here
+            continue
+        part: list[tuple[int, int]] = []
+        last = None
+        for u, of in units:
+            if part and (u != last + 1 or len(part) + len(of) > size):
+                yield frame(part)
+                part = []
+            part, last = part + of, u
+        yield frame(part)
+    if rows:
+        yield frame(rows)
+
+
+def run_tiles(engine: Engine, store: ResultStore | DocumentStore, resume: bool = True, batch: int = 1024, report: Report | None = None) -> Mined:
     """Mine the tiles that the store lacks (all, without resume), batch by batch, and return all results. Nothing is computed of
-    other tiles; a run that ends early keeps the batches it has written."""
+    other tiles; a run that ends early keeps the batches it has written, and what a batch held is dropped after it. Progress is counted while a
+    batch is written, so reports need no job of their own."""
     todo = engine.hold(remaining(engine.tiles(), store.done()) if resume else engine.tiles())
-    before, start = store.done().count(), time.monotonic()
-    for part in batches(todo, batch):
-        store.write(engine.only(part).mine())
+    of, start = engine.n_tiles(), time.monotonic()
+    before = of - todo.count() if resume else 0
+    done = before
+    for part in batches(todo, batch, engine.batch_unit() or (1, 1)):
+        now = engine.only(part)
+        done += store.write(now.mine())
+        now.release()
         if report:
-            report(store.progress(engine.tiles(), before, time.monotonic() - start))
+            report(Progress(done, of, before, time.monotonic() - start))
     return store.read()
 
 
@@ -111,7 +142,11 @@ def filter_folder(spark: SparkSession, source: str, target: str, cfg: FilterConf
     """Rewrite a folder of tile documents with the combinations that pass, all else unchanged; one row of counts."""
     docs = hold(checkpoints.read_json(spark, source))
     kept, counts = filter_results(checkpoints.flat(docs), cfg)
-    checkpoints.write_json(checkpoints.with_combinations(docs, kept.pairs, kept.sets), target)
+    out = checkpoints.with_combinations(docs, kept.pairs, kept.sets)
+    if objects.can_open(target):
+        checkpoints.write_tiles(out, target, overwrite=True)
+    else:
+        checkpoints.write_json(out, target)
     return counts
 
 

@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+import gzip
 import json
+import re
+import uuid
+import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from covoxel.config import EngineConfig
 from covoxel.operators.mining import Mined
+from covoxel.operators.tiling import Shape, tile_grid
+from covoxel.sinks.named_files import FILES, write_files
+from covoxel.sources import files
 
 NAME = r"tile_(\d{4,})_(\d{4,})\.json\.gz$"
 PAIR = "tile_x int, tile_y int, r_um double, a int, b int, a_vox long, b_vox long, inter_vox long, union_vox long, iou double, overlap_coeff double"
@@ -50,15 +59,50 @@ def documents(m: Mined, tiles: DataFrame, cfg: EngineConfig, depth: int) -> Data
 
 
 def write_json(docs: DataFrame, path: str) -> None:
-    """Documents as compressed JSON lines; the committer makes each file appear whole."""
+    """Documents as compressed JSON lines in Spark's own files, on any file system; the committer makes each file appear whole."""
     docs.write.mode("overwrite").option("compression", "gzip").json(path)
 
 
+def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        packed = [gzip.compress(line.as_py().encode(), mtime=0) for line in b.column("line")]
+        yield pa.RecordBatch.from_arrays([b.column("name"), pa.array(packed, pa.binary())], names=["name", "content"])
+
+
+def write_tiles(docs: DataFrame, path: str, overwrite: bool = False) -> None:
+    """Each document as a file of its own, tile_XXXX_YYYY.json.gz: what completed() knows. Files appear when all are written, each
+    whole; an earlier document of the same tile is replaced, and with overwrite those of all other tiles go."""
+    name = F.format_string("tile_%04d_%04d.json.gz", "tile_x", "tile_y")
+    rows = docs.select(name.alias("name"), F.to_json(F.struct(*docs.columns)).alias("line"))
+    write_files(rows.mapInArrow(_zipped, FILES), path, overwrite)
+
+
+def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Which files hold no whole documents, and why."""
+    for b in batches:
+        bad: list[tuple[str, str]] = []
+        for path, content in zip(b.column("path").to_pylist(), b.column("content"), strict=True):
+            try:
+                lines = gzip.decompress(content.as_py()).decode().splitlines()
+                if not all({"tile_x", "tile_y"} <= json.loads(line).keys() for line in lines if line.strip()):
+                    bad.append((path, "no tile numbers"))
+            except (OSError, EOFError, zlib.error, ValueError, AttributeError) as e:
+                bad.append((path, type(e).__name__ + ": " + str(e)[:200]))
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in bad], pa.string()) for i in (0, 1)], names=["path", "reason"])
+
+
+def broken_files(spark: SparkSession, path: str) -> DataFrame:
+    """path, reason: files of a folder that read_json() passes over, wholly or in part: truncated, malformed, or without tile numbers."""
+    if not files.exists(spark, path):
+        return spark.createDataFrame([], "path string, reason string")
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.json.gz").load(path)
+    return found.select("path", "content").mapInArrow(_checked, "path string, reason string")
+
+
 def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """Documents, one to a line. Truncated files and malformed lines are skipped; of a tile that occurs twice the one in the
+    """Documents, one to a line. Truncated files and malformed lines are skipped (broken_files() lists them); of a tile that occurs twice the one in the
     last file by name counts. A missing folder has no documents."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+    if not files.exists(spark, path):
         return spark.createDataFrame([], schema())
     read = spark.read.schema(schema()).option("mode", "PERMISSIVE").option("ignoreCorruptFiles", "true").option("pathGlobFilter", "*.json.gz").json(path)
     named = read.where("tile_x IS NOT NULL AND tile_y IS NOT NULL").withColumn("__file", F.input_file_name())
@@ -79,9 +123,11 @@ def flat(docs: DataFrame) -> Mined:
 
 
 def completed(spark: SparkSession, path: str) -> DataFrame:
-    """tile_x, tile_y of files named tile_XXXX_YYYY.json.gz; other names are ignored."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "tile_*.json.gz").load(path).select("path")
-    found = files.select(F.regexp_extract("path", NAME, 1).alias("x"), F.regexp_extract("path", NAME, 2).alias("y")).where("x <> ''")
+    """tile_x, tile_y of files named tile_XXXX_YYYY.json.gz; other names are ignored, and a missing folder has none."""
+    if not files.exists(spark, path):
+        return spark.createDataFrame([], "tile_x int, tile_y int")
+    named = spark.read.format("binaryFile").option("pathGlobFilter", "tile_*.json.gz").load(path).select("path")
+    found = named.select(F.regexp_extract("path", NAME, 1).alias("x"), F.regexp_extract("path", NAME, 2).alias("y")).where("x <> ''")
     return found.select(F.col("x").cast("int").alias("tile_x"), F.col("y").cast("int").alias("tile_y")).distinct()
 
 
@@ -117,11 +163,14 @@ class Progress:
 
 
 class ResultStore:
-    """Mined tiles as Parquet, with the fingerprint of the configuration they came from.
-
-    Every write is a version: a folder version=N below each part. A tile's rows count if the summary, written last, names their
-    version as the tile's latest. So a tile that is mined again to fewer rows, or none, keeps nothing of before, and what an
-    interrupted write left is overseen, and overwritten by the next write.
+    """Mined tiles as Parquet, in snapshots, with the fingerprint of the configuration they came from.
+
+    A write puts its rows into a folder of its own and then publishes a snapshot: a small file that lists, in order, the folders that count.
+    Snapshots are numbered and created only if their number is free, so of two writers that publish at once the second one sees the
+    first one's snapshot and publishes on top of it; neither overwrites the other, and a reader sees all of a write or nothing. Only listed
+    folders are read. A tile's rows are those of the last folder that has it in its summary, so a tile that is mined again to fewer rows,
+    or none, keeps nothing of before. When there are more than `merge_at` folders, a write merges them into one; what is listed no
+    longer is removed after `keep` more snapshots, so that readers of these can end.
     """
 
     PARTS = {
@@ -131,46 +180,116 @@ class ResultStore:
         "summary": "tile_x int, tile_y int, n_active_channels long, n_frequent_pairs long",
     }
 
-    def __init__(self, spark: SparkSession, path: str, cfg: EngineConfig):
-        self.spark, self.path, self.cfg = spark, path.rstrip("/"), cfg
+    def __init__(self, spark: SparkSession, path: str, cfg: EngineConfig, merge_at: int = 16, keep: int = 2):
+        self.spark, self.path, self.cfg, self.merge_at, self.keep = spark, path.rstrip("/"), cfg, merge_at, keep
 
-    def _exists(self, part: str) -> bool:
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+    # Snapshots
 
-    def _rows(self, part: str) -> DataFrame:
-        kept = f"{self.PARTS[part]}, version long"
-        if not self._exists(part):
-            return self.spark.createDataFrame([], kept)
-        return self.spark.read.schema(kept).parquet(f"{self.path}/{part}")
+    def snapshots(self) -> list[int]:
+        return sorted(int(m[1]) for f in files.names(self.spark, f"{self.path}/snapshots") if (m := re.fullmatch(r"(\d+)\.json", f)))
+
+    def snapshot(self, number: int | None = None) -> dict:
+        """number and folders of the newest snapshot, or of a given one; 0 and none in a new store."""
+        every = self.snapshots()
+        if not every:
+            return {"number": 0, "folders": []}
+        found = json.loads(files.text(self.spark, f"{self.path}/snapshots/{every[-1] if number is None else number}.json"))
+        if found["fingerprint"] != self.cfg.fingerprint():
+            raise ValueError("the results in this folder come from another configuration")
+        return found
 
-    def _latest(self) -> DataFrame:
-        return self._rows("summary").groupBy("tile_x", "tile_y").agg(F.max("version").alias("version"))
+    def _publish(self, change: Callable[[list[str]], list[str]]) -> dict:
+        """A new snapshot with the newest one's folders changed, again and again until no other writer was faster."""
+        while True:
+            last = self.snapshot()
+            new = {"number": last["number"] + 1, "fingerprint": self.cfg.fingerprint(), "folders": change(last["folders"])}
+            if files.create(self.spark, f"{self.path}/snapshots/{new['number']}.json", json.dumps(new)):
+                return new
 
     def check(self) -> None:
-        if not self._exists("config"):
-            return
-        found = json.loads(self.spark.read.text(f"{self.path}/config").first()[0])["fingerprint"]
-        if found != self.cfg.fingerprint():
-            raise ValueError("the results in this folder come from another configuration")
+        self.snapshot()
 
-    def write(self, m: Mined) -> None:
-        self.check()
-        if not self._exists("config"):
-            self.spark.createDataFrame([(json.dumps({"fingerprint": self.cfg.fingerprint()}),)], "value string").write.mode("overwrite").text(f"{self.path}/config")
-        version = (self._rows("summary").agg(F.max("version")).first()[0] or 0) + 1
+    # Rows
+
+    def _rows(self, part: str, folders: list[str]) -> DataFrame:
+        kept = f"{self.PARTS[part]}, folder string"
+        if not folders:
+            return self.spark.createDataFrame([], kept)
+        return self.spark.read.schema(kept).parquet(*[f"{self.path}/{f}/{part}" for f in folders])
+
+    def _latest(self, folders: list[str]) -> DataFrame:
+        """tile_x, tile_y and the folder that has the tile's rows."""
+        order = self.spark.createDataFrame([(f, i) for i, f in enumerate(folders)], "folder string, nth int")  # merge_at rows or a few more
+        by_tile = self._rows("summary", folders).join(F.broadcast(order), "folder").groupBy("tile_x", "tile_y")
+        return by_tile.agg(F.max_by("folder", "nth").alias("folder"))
+
+    def _read(self, folders: list[str]) -> Mined:
+        if len(folders) == 1:
+            return Mined(*[self._rows(part, folders).drop("folder") for part in self.PARTS])
+        latest = self._latest(folders)
+        return Mined(*[self._rows(part, folders).join(latest, ["tile_x", "tile_y", "folder"], "left_semi").drop("folder") for part in self.PARTS])
+
+    def _put(self, m: Mined) -> tuple[str, int]:
+        """A folder with these rows, and how many tiles are in it: counted while they are written."""
+        folder, tiles = f"part-{uuid.uuid4().hex}", Observation()
         for part, kept in self.PARTS.items():
             cols = [F.col(c).cast(t).alias(c) for c, t in (x.split(" ", 1) for x in kept.split(", "))]
-            getattr(m, part).select(*cols).write.mode("overwrite").parquet(f"{self.path}/{part}/version={version}")
+            rows = getattr(m, part).select(*cols, F.lit(folder).alias("folder"))
+            rows = rows.observe(tiles, F.count("*").alias("n")) if part == "summary" else rows
+            rows.write.parquet(f"{self.path}/{folder}/{part}")
+        return folder, tiles.get["n"]
 
-    def read(self) -> Mined:
+    def write(self, m: Mined) -> int:
+        """Add tiles, or replace them; how many there were."""
         self.check()
-        latest = self._latest()
-        return Mined(*[self._rows(part).join(latest, ["tile_x", "tile_y", "version"], "left_semi").drop("version") for part in self.PARTS])
+        folder, n = self._put(m)
+        if len(self._publish(lambda folders: [*folders, folder])["folders"]) > self.merge_at:
+            self.compact()
+        return n
+
+    def compact(self) -> None:
+        """Merge all folders into one. Folders that another writer adds meanwhile stay behind it; if another one merges them first, its
+        merge counts."""
+        old = self.snapshot()["folders"]
+        if len(old) < 2:
+            return
+        merged, _ = self._put(self._read(old))
+        self._publish(lambda now: [merged, *now[len(old) :]] if now[: len(old)] == old else now)
+        self._clean()
+
+    def _clean(self) -> None:
+        """Remove folders that only snapshots before the last `keep` ones list, and these snapshots. A folder that no snapshot lists may be
+        another writer's that isn't published yet, and stays."""
+        every = self.snapshots()
+        old, new = every[: -self.keep - 1], every[-self.keep - 1 :]
+        listed = lambda numbers: {f for n in numbers for f in self.snapshot(n)["folders"]}
+        for folder in listed(old) - listed(new):
+            files.remove(self.spark, f"{self.path}/{folder}")
+        for n in old:
+            files.remove(self.spark, f"{self.path}/snapshots/{n}.json")
 
-    def progress(self, tiles: DataFrame, since: int = 0, seconds: float = 0.0) -> Progress:
-        return Progress(self.done().count(), tiles.count(), since, seconds)
+    def read(self) -> Mined:
+        return self._read(self.snapshot()["folders"])
 
     def done(self) -> DataFrame:
-        self.check()
-        return self._latest().select("tile_x", "tile_y")
+        return self._rows("summary", self.snapshot()["folders"]).select("tile_x", "tile_y").distinct()
+
+
+class DocumentStore:
+    """Mined tiles as a folder of documents, one file a tile, which other tools read: what names a tile is done. Voxel counts of sets'
+    members are looked up in the documents when they are read back."""
+
+    def __init__(self, spark: SparkSession, path: str, cfg: EngineConfig, shape: Shape):
+        self.spark, self.path, self.cfg, self.shape = spark, path.rstrip("/"), cfg, shape
+
+    def write(self, m: Mined) -> int:
+        n = Observation()
+        docs = documents(m, tile_grid(self.spark, self.shape, self.cfg), self.cfg, self.shape.z)
+        write_tiles(docs.observe(n, F.count("*").alias("n")), self.path)
+        return n.get["n"]
+
+    def read(self) -> Mined:
+        return flat(read_json(self.spark, self.path))
+
+    def done(self) -> DataFrame:
+        return completed(self.spark, self.path)

@@ -19,11 +19,13 @@ def is_remote(location: str) -> bool:
 
 @dataclass(frozen=True)
 class Level:
-    """One resolution. key: "root" for a volume without levels, else a number as text."""
+    """One resolution. key: "root" for a volume without levels, else a number as text. block: the sides (y, x) of what the
+    source reads in one piece, if it has such."""
 
     key: str
     shape: Shape
     channels: int = 1
+    block: tuple[int, int] | None = None
 
     @property
     def size(self) -> int:

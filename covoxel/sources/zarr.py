@@ -1,7 +1,7 @@
 """Chunked array folders (array format version 2) of five axes (t, c, z, y, x), alone or as a group of levels.
 
-Any file system that Spark reads holds them (chunks are read by its binaryFile source) and plain http servers (chunks are
-fetched by the tasks). Only the chunks that a region touches are read; voxels of value 0 aren't rows.
+Where tasks can open objects by themselves (files, web servers, s3, gs, hdfs) they are read by the data source of array_format, to which filters on the axes
+come down; elsewhere by Spark's binaryFile source, for a region given beforehand. Voxels of value 0 aren't rows.
 """
 
 from __future__ import annotations
@@ -9,8 +9,6 @@ from __future__ import annotations
 import bz2
 import json
 import lzma
-import urllib.error
-import urllib.request
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,14 +16,15 @@ from math import prod
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covoxel.operators.tiling import Shape
+from covoxel.sinks.named_files import FILES, write_files
+from covoxel.sources import array_format, objects
+from covoxel.sources.array_format import VOXEL
 from covoxel.sources.pyramid import ROOT, Level, Pyramid
 
-VOXEL = "channel int, z int, y int, x int, value double"
 Span = tuple[int, int]
 
 
@@ -119,25 +118,11 @@ CODECS = {
 }
 
 
-def _is_web(location: str) -> bool:
-    return location.startswith(("http://", "https://"))
-
-
-def _fetch(url: str) -> bytes | None:
-    try:
-        with urllib.request.urlopen(url, timeout=60) as got:
-            return got.read()
-    except urllib.error.HTTPError as e:
-        if e.code in (403, 404):
-            return None
-        raise
-
-
-def _described(spark: SparkSession, location: str) -> Array | None:
+def _described(spark: SparkSession, location: str, absent: tuple[int, ...] = objects.ABSENT) -> Array | None:
     """The array at a location, none if there is no description."""
     at = f"{location.rstrip('/')}/.zarray"
-    if _is_web(location):
-        raw = _fetch(at)
+    if objects.can_open(at):
+        raw = objects.read(at, absent)
         return None if raw is None else Array.parse(location, raw.decode())
     p = spark._jvm.org.apache.hadoop.fs.Path(at)
     files = p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -150,17 +135,29 @@ def _described(spark: SparkSession, location: str) -> Array | None:
         stream.close()
 
 
-def open_arrays(spark: SparkSession, location: str, components: list[str] | None = None) -> Pyramid:
+def open_arrays(spark: SparkSession, location: str, components: list[str] | None = None, absent: tuple[int, ...] = objects.ABSENT) -> Pyramid:
     """The levels at a location: an array itself, or those of the arrays 0 to 6 (or the given ones) below that exist."""
-    alone = _described(spark, location)
-    found = {ROOT: alone} if alone else {k: _described(spark, f"{location.rstrip('/')}/{k}") for k in components or map(str, range(7))}
-    return Pyramid(location, tuple(Level(k, Shape(*a.shape[2:]), a.shape[1]) for k, a in found.items() if a))
+    alone = _described(spark, location, absent)
+    found = {ROOT: alone} if alone else {k: _described(spark, f"{location.rstrip('/')}/{k}", absent) for k in components or map(str, range(7))}
+    return Pyramid(location, tuple(Level(k, Shape(*a.shape[2:]), a.shape[1], a.chunks[3:]) for k, a in found.items() if a))
 
 
-def read_array(spark: SparkSession, location: str, key: str = ROOT, *, channels: tuple[int, ...] = (), z: Span | None = None, y: Span | None = None, x: Span | None = None) -> DataFrame:
-    """Voxels (channel, z, y, x, value) of one level, or of a region of it: spans are first and end. One row of the plan is a
-    chunk; a chunk that isn't stored holds the array's fill value."""
+def read_array(spark: SparkSession, location: str, key: str = ROOT, *, channels: tuple[int, ...] = (), z: Span | None = None, y: Span | None = None, x: Span | None = None, absent: tuple[int, ...] = objects.ABSENT) -> DataFrame:
+    """Voxels (channel, z, y, x, value) of one level, or of a region of it: spans are first and end. A chunk that isn't
+    stored holds the array's fill value. absent: the web answers that mean that."""
     at = location if key == ROOT else f"{location.rstrip('/')}/{key}"
+    if not objects.can_open(at):
+        return _read_files(spark, at, channels, z, y, x)
+    array_format.register(spark)
+    out = spark.read.format("covoxel_arrays").option("absent", ",".join(map(str, absent))).load(at)
+    for axis, span in (("z", z), ("y", y), ("x", x)):
+        if span:
+            out = out.where((F.col(axis) >= span[0]) & (F.col(axis) < span[1]))
+    return out.where(F.col("channel").isin(list(channels))) if channels else out
+
+
+def _read_files(spark: SparkSession, at: str, channels: tuple[int, ...], z: Span | None, y: Span | None, x: Span | None) -> DataFrame:
+    """The same from a file system that only Spark opens: one row of the plan is a chunk."""
     a = _described(spark, at)
     if a is None:
         raise FileNotFoundError(at)
@@ -183,28 +180,39 @@ def read_array(spark: SparkSession, location: str, key: str = ROOT, *, channels:
         for b in batches:
             places = zip(*(b.column(c).to_pylist() for c in "czyx"), strict=True)
             for i, place in enumerate(places):
-                if "content" in b.schema.names:
-                    raw = b.column("content")[i].as_py()
-                else:
-                    raw = _fetch(f"{a.location}/{a.separator.join(map(str, (0, *place)))}") if _is_web(a.location) else None
+                raw = b.column("content")[i].as_py() if "content" in b.schema.names else None
                 if raw is not None or a.fill:
                     yield a.rows(place, a.decode(raw) if raw is not None else a.empty(), spans, channels)
 
-    if _is_web(a.location):
-        wanted = every()
-        return wanted.repartition(max(1, min(10_000, prod(map(len, chunks))))).mapInArrow(decoded, VOXEL)
     full = [-(-n // c) for n, c in zip(a.shape[1:], a.chunks[1:], strict=True)]
     glob = a.separator.join(["0", *("*" if len(of) == n else "{" + ",".join(map(str, of)) + "}" for of, n in zip(chunks, full, strict=True))])
-    number = r"(\d+)"
-    pattern = "/" + (r"\." if a.separator == "." else "/").join([number] * 5) + "$"
-    try:
-        files = spark.read.format("binaryFile").load(f"{a.location}/{glob}")
-        places = [F.regexp_extract("path", pattern, i + 2).cast("int").alias(n) for i, n in enumerate("czyx")]
-        held = files.where(F.col("path").rlike(pattern)).select(*places, "content")
-    except AnalysisException:  # no chunk is stored
-        held = None
-    out = held.mapInArrow(decoded, VOXEL) if held is not None else spark.createDataFrame([], VOXEL)
+    pattern = "/" + (r"\." if a.separator == "." else "/").join([r"(\d+)"] * 5) + "$"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{a.location}/{glob}")
+    if len(hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop) or []):
+        files = spark.read.format("binaryFile").load(f"{a.location}/{glob}").where(F.col("path").rlike(pattern))
+        held = files.select(*[F.regexp_extract("path", pattern, i + 2).cast("int").alias(n) for i, n in enumerate("czyx")], "content")
+    else:  # no chunk is stored
+        held = spark.createDataFrame([], "c int, z int, y int, x int, content binary")
+    out = held.mapInArrow(decoded, VOXEL)
     if a.fill:
-        gaps = every() if held is None else every().join(held.select(*"czyx"), list("czyx"), "left_anti")
-        out = out.unionAll(gaps.mapInArrow(decoded, VOXEL))
+        out = out.unionAll(every().join(held.select(*"czyx"), list("czyx"), "left_anti").mapInArrow(decoded, VOXEL))
     return out
+
+
+def write_array(voxels: DataFrame, location: str, shape: Shape, channels: int, chunks: tuple[int, int, int, int] = (1, 64, 128, 128), dtype: str = "<u2") -> None:
+    """Store voxels (channel, z, y, x, value) as a chunked array that read_array() and other tools open: one task packs a chunk, zlib
+    compressed; chunks without a voxel aren't stored. The description comes last, so an array that is there is whole."""
+    size = (channels, shape.z, shape.y, shape.x)
+    place = [F.expr(f"{axis} div {n}").cast("int").alias(f"c_{axis}") for axis, n in zip(("channel", "z", "y", "x"), chunks, strict=True)]
+
+    def pack(rows: pa.Table) -> pa.Table:
+        block = np.zeros(chunks, dtype)
+        at = [rows.column(axis).to_numpy() % n for axis, n in zip(("channel", "z", "y", "x"), chunks, strict=True)]
+        block[tuple(at)] = rows.column("value").to_numpy()
+        name = ".".join(str(rows.column(f"c_{axis}")[0]) for axis in ("channel", "z", "y", "x"))
+        return pa.table({"name": [f"0.{name}"], "content": [zlib.compress(block.tobytes())]})
+
+    cells = voxels.select("channel", "z", "y", "x", F.col("value").cast("double").alias("value"), *place)
+    write_files(cells.groupBy("c_channel", "c_z", "c_y", "c_x").applyInArrow(pack, FILES), location, overwrite=True)
+    described = {"zarr_format": 2, "shape": [1, *size], "chunks": [1, *chunks], "dtype": dtype, "compressor": {"id": "zlib", "level": 6}, "fill_value": 0, "order": "C", "filters": None, "dimension_separator": "."}
+    objects.write(f"{location.rstrip('/')}/.zarray", json.dumps(described).encode())

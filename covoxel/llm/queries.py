@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import lines
 from .codes import vector_codes
 from .common import crc_of_id, table
 from .jaccard import jaccard_classes
@@ -95,24 +96,49 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 
 
-OP1_SQL = """
+OP1_SQL = f"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i
   FROM documents WHERE text IS NOT NULL),
 n AS (
-  SELECT *, lead(line) OVER w AS next_line, lead(i) OVER w AS next_i, row_number() OVER w AS p
+  SELECT *, row_number() OVER w - 1 AS p, count(*) OVER (PARTITION BY doc_id) AS n
   FROM l WHERE trim(translate(line, chr(9) || chr(11) || chr(12) || chr(13), '    ')) <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-f AS (SELECT *, row_number() OVER (PARTITION BY line, next_line ORDER BY doc_id, p) AS nth FROM n WHERE next_i IS NOT NULL),
-g AS (SELECT doc_id, i, next_i, p, coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p) = p - 1, false) AS goes_on FROM f WHERE nth > 1),
-c AS (SELECT doc_id, count(*) FILTER (WHERE NOT goes_on) AS n_chunks_removed FROM g GROUP BY doc_id),
-x AS (SELECT DISTINCT doc_id, unnest(range(i, next_i + 1)) AS i FROM g),
 r AS (
-  SELECT l.doc_id, count(*) AS n_lines, count(x.i) AS n_lines_removed, coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (WHERE x.i IS NULL), '') AS text,
-         count(x.i) > 0 AND count(*) FILTER (WHERE x.i IS NULL AND trim(translate(line, chr(9) || chr(11) || chr(12) || chr(13), '    ')) <> '') = 0 AS all_removed
-  FROM l LEFT JOIN x ON l.doc_id = x.doc_id AND l.i = x.i GROUP BY l.doc_id)
-SELECT d.doc_id, r.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_lines_removed, 0) AS n_lines_removed,
-       coalesce(n_chunks_removed, 0) AS n_chunks_removed, coalesce(all_removed, false) AS all_removed
-FROM documents d LEFT JOIN r ON d.doc_id = r.doc_id LEFT JOIN c ON d.doc_id = c.doc_id
+  SELECT doc_id, p, p = 0 OR substr(h, 1, 1) >= '{lines.MARK}' AS starts, p = n - 2 OR substr(h, 2, 1) >= '{lines.MARK}' AS ends, n
+  FROM (SELECT *, md5(md5(line) || md5(lead(line) OVER (PARTITION BY doc_id ORDER BY p))) AS h FROM n) WHERE p < n - 1),
+b AS (
+  SELECT a.doc_id, a.p AS s, coalesce(min(z.p) FILTER (WHERE z.ends), least(a.p + {lines.MOST - 1}, any_value(a.n) - 2)) + 1 AS e
+  FROM r a JOIN r z ON a.doc_id = z.doc_id AND z.p BETWEEN a.p AND a.p + {lines.MOST - 1} WHERE a.starts GROUP BY a.doc_id, a.p),
+c AS (SELECT b.doc_id, s, e, list(line ORDER BY p) AS body FROM b JOIN n ON b.doc_id = n.doc_id AND n.p BETWEEN s AND e GROUP BY b.doc_id, s, e),
+f AS (SELECT *, first_value(doc_id) OVER w AS f, s - first_value(s) OVER w AS shift, row_number() OVER w AS nth FROM c WINDOW w AS (PARTITION BY body ORDER BY doc_id, s)),
+m AS (SELECT doc_id, s, e, f, shift FROM f WHERE nth > 1),
+t AS (
+  SELECT m.*, k, x.line IS NOT DISTINCT FROM y.line AND x.line IS NOT NULL AS same
+  FROM m CROSS JOIN (SELECT unnest(range(-{lines.BEFORE}, {lines.BEHIND + 1})) AS k)
+  LEFT JOIN n x ON x.doc_id = m.doc_id AND x.p = CASE WHEN k < 0 THEN s + k ELSE e + k END
+  LEFT JOIN n y ON y.doc_id = m.f AND y.p = CASE WHEN k < 0 THEN s + k ELSE e + k END - shift),
+g AS (
+  SELECT doc_id, f, shift, t.s + coalesce(max(k) FILTER (WHERE k < 0 AND NOT same), -{lines.BEFORE + 1}) + 1 AS s, t.e + coalesce(min(k) FILTER (WHERE k > 0 AND NOT same), {lines.BEHIND + 1}) - 1 AS e
+  FROM t GROUP BY doc_id, t.s, t.e, f, shift),
+j AS (SELECT *, coalesce(s > max(e) OVER (PARTITION BY doc_id, f, shift ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1, true) AS fresh FROM g),
+q AS (
+  SELECT doc_id, f, shift, min(s) AS s, max(e) AS e
+  FROM (SELECT *, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY doc_id, f, shift ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM j) GROUP BY doc_id, f, shift, island),
+o AS (SELECT DISTINCT f AS doc_id, s - shift AS s, e - shift AS e FROM q),
+o1 AS (SELECT o.* FROM o WHERE NOT EXISTS (SELECT 1 FROM q WHERE q.doc_id = o.doc_id AND q.s <= o.s AND q.e >= o.e)),
+x AS (
+  SELECT DISTINCT n.doc_id, n.p, n.i FROM n JOIN q ON n.doc_id = q.doc_id AND n.p BETWEEN q.s AND q.e
+  WHERE NOT EXISTS (SELECT 1 FROM o1 WHERE o1.doc_id = n.doc_id AND n.p BETWEEN o1.s AND o1.e)),
+u AS (SELECT *, lead(p) OVER w = p + 1 AS goes_on, lead(i) OVER w AS next_i FROM x WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+y AS (SELECT DISTINCT doc_id, unnest(range(i, CASE WHEN goes_on THEN next_i ELSE i END + 1)) AS i FROM u),
+k AS (SELECT doc_id, count(*) FILTER (WHERE NOT coalesce(goes_on, false)) AS n_chunks_removed, count(*) AS n_gone FROM u GROUP BY doc_id),
+z AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(y.i) AS n_lines_removed, coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (WHERE y.i IS NULL), '') AS text
+  FROM l LEFT JOIN y ON l.doc_id = y.doc_id AND l.i = y.i GROUP BY l.doc_id),
+a AS (SELECT doc_id, any_value(n) AS n FROM n GROUP BY doc_id)
+SELECT d.doc_id, z.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_lines_removed, 0) AS n_lines_removed,
+       coalesce(n_chunks_removed, 0) AS n_chunks_removed, coalesce(n_gone = n, false) AS all_removed
+FROM documents d LEFT JOIN z ON d.doc_id = z.doc_id LEFT JOIN k ON d.doc_id = k.doc_id LEFT JOIN a ON d.doc_id = a.doc_id
 """
 
 OP2_SQL = """

@@ -32,6 +32,8 @@ NOT_MAIN_ROLES = {"navigation", "banner", "contentinfo", "complementary", "searc
 #: Class and id words of elements beside the article, and those that also tell at the front of a longer name.
 BESIDE = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "promo", "sponsor", "sponsored", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "sidebar", "footer", "header", "masthead", "topbar", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "newsletter", "subscribe", "signup", "login", "comment", "comments", "commentlist", "respond", "replies", "disqus", "share", "sharing", "social", "related", "recommended", "popup", "modal", "overlay", "widget", "pagination", "pager", "disclaimer", "copyright", "toolbar"}
 FRONT = {"ad", "ads", "advert", "comment", "comments", "cookie", "footer", "nav", "sidebar"}
+#: Those of them that may be a part of an article: inside one they tell nothing.
+PARTS = {"banner", "header", "footer", "masthead", "topbar", "nav", "navbar", "navigation", "menu", "sidebar", "notice", "notices", "disclaimer", "copyright", "toolbar", "widget"}
 #: Elements that hold others rather than text.
 HOLDERS = {"html", "body", "div", "section", "article", "main", "center", "details", "table", "tbody", "thead", "tfoot", "tr", "td", "fieldset"}
 LISTS = {"ul", "ol", "dl", "menu"}
@@ -41,7 +43,8 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: tag than NAMES, becomes one repeated group, or loses those names. A task hands on its wrappers when they reach HELD characters.
 DEPTH, ITEMS, NAMES, HELD = 100, 150, 24, 32 << 20
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile("[>\"']")
 _ATTR = re.compile(r"(?:^|[\s\"'/])(class|id|role|itemprop|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
 _PARTS = re.compile(r"[-_:]+|(?<=[a-z0-9])(?=[A-Z])")
 
@@ -62,6 +65,62 @@ def _label(tag: str, attrs: str) -> str:
     return out
 
 
+class Scanner:
+    """The tags of a page, one after another: where each begins and ends, whether it closes, its name and its attributes (empty
+    name: a comment or declaration). A < that no > follows outside of quotes is text.
+
+    Linear in the page, whatever it holds: places outside of quotes from which no tag ended are remembered, and so is the next > or quote.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.last = {c: html.rfind(c) for c in ">\"'"}
+        self.failed: set[int] = set()
+        self.ahead = (0, -1)  # from where to where there is no > or quote
+
+    def _stop(self, at: int) -> int:
+        """The next > or quote from `at` on, -1 if there is none."""
+        if self.ahead[0] <= at <= self.ahead[1]:
+            return self.ahead[1]
+        m = _STOP.search(self.html, at) if at <= max(self.last.values()) else None
+        if m:
+            self.ahead = at, m.start()
+        return m.start() if m else -1
+
+    def _tag_end(self, at: int) -> int:
+        """Where the > stands that ends a tag whose attributes begin at `at`, -1 if there is none."""
+        passed = []
+        while at <= self.last[">"]:
+            stop = self._stop(at)
+            if stop < 0 or stop in self.failed:
+                break
+            quote = self.html[stop]
+            if quote == ">":
+                return stop
+            passed.append(stop)
+            if stop == self.last[quote]:
+                break
+            at = self.html.find(quote, stop + 1) + 1
+        self.failed.update(passed)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        html = self.html
+        while (start := html.find("<", at)) >= 0:
+            if html.startswith("<!--", start):
+                end = html.find("-->", start + 4)
+                return start, end + 3 if end >= 0 else len(html), False, "", ""
+            if html.startswith(("<!", "<?"), start):
+                end = html.find(">", start)
+                return start, end + 1 if end >= 0 else len(html), False, "", ""
+            name = _NAME.match(html, start + 1) if start < self.last[">"] else None
+            end = self._tag_end(name.end()) if name else -1
+            if end >= 0:
+                return start, end + 1, bool(name[1]), name[2].lower(), html[name.end() : end]
+            at = start + 1
+        return None
+
+
 class Page:
     """A page as text blocks and a skeleton of nested elements. Elements open and close as in a browser, roughly: what
     is unclosed ends with its parent."""
@@ -71,11 +130,12 @@ class Page:
         self.owners: list[list] = []  # the skeleton's node of each block
         self.skeleton = ["html", []]
         names, nodes = ["html"], [self.skeleton]
-        is_open = {"html": 1}
+        where, walls = {"html": [0]}, []  # the places of each open name, and of those that WALLS has
         text: list[str] = []
         linked, link = 0, False
         mute: list[str] = []
         html = html or ""
+        scanner = Scanner(html)
         at, end = 0, len(html)
 
         def flush() -> None:
@@ -90,29 +150,23 @@ class Page:
 
         def shut(k: int) -> None:
             for n in names[k:]:
-                is_open[n] -= 1
+                where[n].pop()
+            while walls and walls[-1] >= k:
+                walls.pop()
             del names[k:], nodes[k:]
 
-        def innermost(tag: str) -> int:
-            k = len(names) - 1
-            while names[k] != tag:
-                k -= 1
-            return k
-
         while at < end:
-            m = _TOKEN.search(html, at)
-            piece = html[at : m.start() if m else end]
+            m = scanner.next(at)
+            piece = html[at : m[0] if m else end]
             if piece and not mute:
                 piece = unescape(piece)
                 text.append(piece)
                 linked += len(piece) if link else 0
             if m is None:
                 break
-            at = m.end()
-            tag = (m[2] or "").lower()
+            _, at, close, tag, attrs = m
             if not tag or tag == "html":
                 continue
-            close = bool(m[1])
             if tag in INLINE:  # these don't part blocks; hidden ones are left out
                 if close:
                     link = link and tag != "a"
@@ -122,27 +176,27 @@ class Page:
                     text.append(" ")
                 elif tag not in VOID:
                     link = link or tag == "a"
-                    if mute and tag == mute[-1] or m[3].strip() and _label(tag, m[3]).endswith(".h:"):
+                    if mute and tag == mute[-1] or attrs.strip() and _label(tag, attrs).endswith(".h:"):
                         mute.append(tag)
                 continue
             if close:
-                if is_open.get(tag):
-                    k = innermost(tag)
-                    if tag not in WALLS and not WALLS.isdisjoint(names[k + 1 :]):
+                if where.get(tag):
+                    k = where[tag][-1]
+                    if tag not in WALLS and walls and walls[-1] > k:
                         continue
                     flush()
                     shut(k)
                 elif tag == "p":
                     flush()
                 continue
-            label = _label(tag, m[3])
+            label = _label(tag, attrs)
             if tag in RAW:
                 stop = _ends_raw(tag).search(html, at)
                 at = stop.end() if stop else end
                 continue
             flush()
-            if tag in ENDS_P and is_open.get("p"):
-                shut(innermost("p"))
+            if tag in ENDS_P and where.get("p"):
+                shut(where["p"][-1])
             if tag in ENDS_SAME:
                 for k in range(len(names) - 1, 0, -1):
                     if names[k] in ENDS_SAME[tag]:
@@ -157,9 +211,11 @@ class Page:
             if len(nodes) < DEPTH:
                 node = [label, []]
                 nodes[-1][1].append(node)
+            where.setdefault(tag, []).append(len(names))
+            if tag in WALLS:
+                walls.append(len(names))
             names.append(tag)
             nodes.append(node)
-            is_open[tag] = is_open.get(tag, 0) + 1
         flush()
 
 
@@ -169,7 +225,7 @@ def _ends_raw(tag: str) -> re.Pattern:
 
 
 # A wrapper's grammar is a list of items [label, children, optional, repeated]; a label of "()" is a group, one that
-# ends in ".*" stands for any element of its tag.
+# ends in ".*" stands for any element of its tag that tells nothing by its names (see _kind).
 
 
 def items_of(skeleton: list) -> list:
@@ -181,10 +237,34 @@ def _tag(label: str) -> str:
     return label.partition(".")[0]
 
 
+@cache
+def _kind(label: str) -> str:
+    """What stands for a label in a row with too many names: what the choice of the article goes by stays, the rest is any element of
+    its tag."""
+    tag = _tag(label)
+    if tag == label or tag == "()":
+        return label
+    if label.endswith(".h:"):
+        return f"{tag}.h:"
+    role = next((p for p in label.split(".") if p[:2] == "r:" and (p[2:] in NOT_MAIN_ROLES or p[2:] in ("article", "main"))), None)
+    if role or ".i:articlebody" in label.lower():
+        return f"{tag}.{role or 'r:article'}"
+    for inside in (True, False):
+        if _beside_by_name(label, inside):
+            return f"{tag}.c:{'ads' if inside else 'header'}-"
+    return f"{tag}.*"
+
+
+def _stands_for_more(label: str) -> bool:
+    return label.endswith((".*", ".c:ads-", ".c:header-")) and label == _kind(label) or label.endswith(".*")
+
+
 def _same(a: list, b: list) -> bool:
     if a[0] == b[0]:
         return a[0] != "()" or [x[0] for x in a[1]] == [x[0] for x in b[1]]
-    return (a[0].endswith(".*") or b[0].endswith(".*")) and _tag(a[0]) == _tag(b[0])
+    if _tag(a[0]) != _tag(b[0]) or a[0] == "()":
+        return False
+    return _stands_for_more(a[0]) and _kind(b[0]) == a[0] or _stands_for_more(b[0]) and _kind(a[0]) == b[0]
 
 
 def collapse(items: list) -> list:
@@ -208,13 +288,13 @@ def collapse(items: list) -> list:
 
 def bounded(items: list) -> list:
     """A row of items whose length follows the host's layout and not its number of pages: too many names of a tag are given
-    up for the tag, and too long a row for a repeated group of its items, each once and optional."""
+    up for their kinds, and too long a row for a repeated group of its items, each once and optional."""
     names: dict[str, set[str]] = {}
     for x in items:
         names.setdefault(_tag(x[0]), set()).add(x[0])
     many = {t for t, n in names.items() if len(n) > NAMES and t != "()"}
     if many:
-        items = collapse([[f"{_tag(x[0])}.*", *x[1:]] if _tag(x[0]) in many else x for x in items])
+        items = collapse([[_kind(x[0]), *x[1:]] if _tag(x[0]) in many else x for x in items])
     if len(items) <= ITEMS:
         return items
     kinds: dict[str, list] = {}
@@ -225,7 +305,7 @@ def bounded(items: list) -> list:
 
 
 def merge_item(a: list, b: list) -> list:
-    return [a[0] if a[0].endswith(".*") else b[0], merge(a[1], b[1]), a[2] or b[2], a[3] or b[3]]
+    return [a[0] if _stands_for_more(a[0]) else b[0], merge(a[1], b[1]), a[2] or b[2], a[3] or b[3]]
 
 
 def merge(a: list, b: list) -> list:
@@ -315,7 +395,7 @@ class Automaton:
         front: dict[int, int] | None = None
         for i, label in enumerate(labels):
             fresh: dict[int, int] = {}
-            for name in (label, f"{_tag(label)}.*"):
+            for name in dict.fromkeys((label, _kind(label), f"{_tag(label)}.*")):
                 if front is None:
                     fresh |= {q: -1 for q in self.first.get(name, ())}
                 else:
@@ -323,7 +403,7 @@ class Automaton:
                         for q in self.after[x].get(name, ()):
                             fresh.setdefault(q, x)
             if not fresh:
-                q = self.named.get(label, self.named.get(f"{_tag(label)}.*", -1))
+                q = next((self.named[n] for n in (label, _kind(label), f"{_tag(label)}.*") if n in self.named), -1)
                 if q < 0:
                     continue
                 settle()
@@ -378,13 +458,14 @@ class Element:
         return self.own + sum(k.held() for k in self.kids if k.tag not in HOLDERS)
 
 
-def _beside_by_name(label: str) -> bool:
-    """Whether a class or id says that an element stands beside the article."""
+def _beside_by_name(label: str, inside: bool = False) -> bool:
+    """Whether a class or id says that an element stands beside the article, or, inside one, is none of its parts."""
+    beside, front = (BESIDE - PARTS, FRONT - PARTS) if inside else (BESIDE, FRONT)
     for part in label.split(".")[1:]:
         if part[:2] in ("c:", "i:"):
             for name in part[2:].split():
                 words = [w.lower() for w in _PARTS.split(name) if w]
-                if name.lower() in BESIDE or words and (words[-1] in BESIDE or words[0] in FRONT):
+                if name.lower() in beside or words and (words[-1] in beside or words[0] in front):
                     return True
     return False
 
@@ -466,7 +547,8 @@ class Wrapper:
         1. Slots with the same text on all pages that have them are the template, not data, and out, if these are five
         pages and half of the host's or more, and other slots vary.
         2. Elements that by tag, role or the hidden attribute stand beside an article are out. Holders and lists whose class or
-        id says so are out unless they are or hold an article, or most of the host's text: a name alone loses no article.
+        id says so are out unless they are or hold an article, or most of the host's text: a name alone loses no article. Inside an article, names
+        that its own parts may have (header, footer, notice, ...) tell nothing.
         3. The article is the host's article elements (those that don't repeat, if there are such), else its main element.
         Where there is neither, it is found from the body down: while one holder, not repeated, has more than half of
         the text, and the text around it isn't mostly in plain sight, it is entered. There, slots that are mostly links are out.
@@ -484,7 +566,7 @@ class Wrapper:
         mark(top, False)
         top.without(lambda e: _beside_by_kind(e, e.inside))
         article = lambda e: any(_is_article(x) or x.tag == "main" for x in e.every())
-        top.without(lambda e: e.tag in HOLDERS | LISTS and e.tag != "body" and _beside_by_name(e.label) and not article(e) and 2 * e.prose <= top.prose)
+        top.without(lambda e: e.tag in HOLDERS | LISTS and e.tag != "body" and _beside_by_name(e.label, e.inside) and not article(e) and 2 * e.prose <= top.prose)
         found = [e for e in top.every() if _is_article(e) and e.texts()]
         found = [e for e in found if not e.repeated] or found or [e for e in top.every() if (e.tag == "main" or ".r:main" in e.label) and e.texts()][:1]
         if not found:

@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 
 from .common import slices
 
-#: Dimensions of the vectors, letters in an n-gram, and about how many characters are counted at a time.
-DIMENSIONS, GRAM, CHUNK = 512, 3, 500_000
+#: Dimensions of the vectors, letters in an n-gram, about how many characters, and how many distinct n-grams, are counted at a time.
+DIMENSIONS, GRAM, CHUNK, STEP = 512, 3, 500_000, 1 << 14
 UNDETERMINED = "und"
 
 
@@ -49,8 +49,8 @@ def document_vectors(texts: Sequence[str | None], dims: int = DIMENSIONS) -> tup
     """The bundles (sums) of each text's n-gram vectors, and whether it has a letter.
 
     Case is folded; every run of other characters is one space, and one stands at either end. A whole
-    text is counted, however long: a text of more than CHUNK characters is cut at spaces into parts, and the n-gram across
-    each cut, a letter, the space and a letter, is added.
+    text is counted, however long: a text of more than CHUNK characters is read in pieces that overlap by an n-gram less a letter, at
+    any character, so texts without spaces take no more memory.
     """
     out, some = np.zeros((len(texts), dims), dtype=np.float32), np.zeros(len(texts), dtype=bool)
     at = 0
@@ -71,37 +71,45 @@ def document_vectors(texts: Sequence[str | None], dims: int = DIMENSIONS) -> tup
     return out, some
 
 
+def _codes(text: str) -> np.ndarray:
+    """A text's letters as they are, everything else as a space."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    return np.where(_is_letter()[codes], codes, 32)
+
+
 def _long_vector(text: str, dims: int) -> tuple[np.ndarray, bool]:
-    total, some, last, at = np.zeros(dims, dtype=np.float32), False, "", 0
-    while at < len(text):
-        end = text.find(" ", at + CHUNK)
-        end = len(text) if end < 0 else end
-        part = text[at:end]
-        v, letters = np.zeros((1, dims), dtype=np.float32), np.zeros(1, dtype=bool)
-        _bundle([part], v, letters, dims)
-        total += v[0]
-        if letters[0]:
-            low = part.lower()
-            first = next(c for c in low if c.isalpha())
-            if last:
-                codes = np.array([ord(last), 32, ord(first)])
-                total += gram_vectors(np.array([[0, 1, 2]]), letter_vectors(codes, dims))[0]
-            last, some = next(c for c in reversed(low) if c.isalpha()), True
-        at = end
-    return total, some
+    """As of a text in one piece. Case is folded in the whole, since it may depend on what stands beside a letter; each piece goes on from
+    the last letters and spaces of the one before, so any character can be the last of a piece."""
+    low, total, some = text.lower(), np.zeros((1, dims), dtype=np.float32), False
+    tail = np.array([32], dtype=np.uint32)
+    for at in range(0, len(low), CHUNK):
+        codes = np.concatenate([tail, _codes(low[at : at + CHUNK])])
+        codes = codes[np.concatenate([[True], (codes[1:] != 32) | (codes[:-1] != 32)])]
+        some = some or bool((codes != 32).any())
+        _count(codes, np.zeros(len(codes), dtype=np.int64), total, dims)
+        tail = codes[1 - GRAM :]
+    if tail[-1] != 32:
+        codes = np.concatenate([tail, np.array([32], dtype=np.uint32)])
+        _count(codes, np.zeros(len(codes), dtype=np.int64), total, dims)
+    return total[0], some
 
 
 def _bundle(texts: list[str], out: np.ndarray, some: np.ndarray, dims: int) -> None:
     low = [t.lower() for t in texts]
-    codes = np.frombuffer("".join(f" {t} " for t in low).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    codes = _codes("".join(f" {t} " for t in low))
     of = np.repeat(np.arange(len(texts)), [len(t) + 2 for t in low])
-    letter = _is_letter()[codes]
-    codes = np.where(letter, codes, 32)
+    letter = codes != 32
     keep = letter.copy()
     keep[1:] |= letter[:-1] | (of[1:] != of[:-1])
     keep[:1] = True
-    codes, of, letter = codes[keep], of[keep], letter[keep]
     some |= np.bincount(of[letter], minlength=len(texts)) > 0
+    _count(codes[keep], of[keep], out, dims)
+
+
+def _count(codes: np.ndarray, of: np.ndarray, out: np.ndarray, dims: int) -> None:
+    """Add to each text's vector (rows of out; of: the text of each letter or space) those of its n-grams: STEP distinct ones at a time,
+    however many there are, as in scripts with thousands of letters."""
+    texts = len(out)
     seen = np.zeros(0x110000, dtype=np.int64)
     seen[codes] = 1
     symbols = np.flatnonzero(seen)
@@ -124,16 +132,16 @@ def _bundle(texts: list[str], out: np.ndarray, some: np.ndarray, dims: int) -> N
     else:
         grams, key = np.unique(key, return_inverse=True)
     vectors = letter_vectors(symbols, dims)
-    step = max(1, (1 << 22) // max(1, len(texts)))  # bounds the matrix of counts
+    step = max(1, min(STEP, (1 << 22) // max(1, texts)))  # bounds the matrices of counts and of n-grams
     order = None if len(grams) <= step else np.argsort(key, kind="stable")
     for a in range(0, len(grams), step):
         g = grams[a : a + step]
         if order is None:
             ks, ds = key, doc
         else:
-            lo, hi = np.searchsorted(key[order], [a, a + len(g)])
+            lo, hi = np.searchsorted(key, [a, a + len(g)], sorter=order)
             ks, ds = key[order[lo:hi]] - a, doc[order[lo:hi]]
-        counts = np.bincount(ds * len(g) + ks, minlength=len(texts) * len(g)).reshape(len(texts), len(g)).astype(np.float32)
+        counts = np.bincount(ds * len(g) + ks, minlength=texts * len(g)).reshape(texts, len(g)).astype(np.float32)
         parts = np.stack([g // k ** (GRAM - 1 - j) % k for j in range(GRAM)], axis=1)
         out += counts @ gram_vectors(parts, vectors).astype(np.float32)
 

@@ -54,23 +54,37 @@ def test_queries_survive_odd_rows_and_empty_tables(name, spark, odd, tmp_path):
         assert n >= odd.count() if at == "odd" else n == 0
 
 
+def nonblank(text):
+    return [x for x in (text or "").split("\n") if x.strip(" \t\x0b\x0c\r")]
+
+
 def test_line_dedup_removes_shared_passages(spark):
+    """Passages of two to fourteen lines in six texts each: how often all but the first are gone, by length."""
     rng = random.Random(3)  # whatever other tests have drawn
-    rows, want = [], {}
-    for length in (2, 3, 5, 14):
+    rows, want, length_of = [], {}, {}
+    lengths = [n for n in (2, 3, 4, 5, 6, 8, 14) for _ in range(40)]
+    for k, length in enumerate(lengths):
         shared = [prose(12, rng) for _ in range(length)]
         for i in range(6):
-            own, at = [prose(9, rng) for _ in range(6)], 100 * length + i
+            own, at = [prose(9, rng) for _ in range(6)], 10_000 + 100 * k + i
             rows.append((at, "\n".join(own[: i % 4]) + "\n\n" * (i % 2) + "\n" + "\n".join(shared) + "\n" + "\n".join(own[i % 4 :]), "en", "s"))
-            want[at] = [*own[: i % 4], *(shared if i == 0 else []), *own[i % 4 :]]
+            want[at], length_of[at] = [*own[: i % 4], *(shared if i == 0 else []), *own[i % 4 :]], length
     whole = "\n".join(prose(8, rng) for _ in range(4))
     rows += [(50, "only\nmine", "en", "s"), (51, None, None, None), (52, "", "en", "s"), (53, "a\r\nb\n\n\n", "en", "s"), (5400, whole, "en", "s"), (5400, whole, "en", "s"), (5401, whole, "en", "s"), (5402, "alone\n\n" + whole.replace("\n", "\n\n"), "en", "s")]
-    clash = frame(spark, rows).withColumns({"n_lines": F.lit("x"), "h": F.lit("y"), "k1": F.lit("z"), "gone": F.lit("u"), "p": F.lit("v")})
+    clash = frame(spark, rows).withColumns({"n_lines": F.lit("x"), "h": F.lit("y"), "k1": F.lit("z"), "gone": F.lit("u"), "p": F.lit("v"), "s": F.lit("w")})
     out = {r.doc_id: r for r in lines.line_dedup(clash).collect()}
-    source = {r[0]: r[1] for r in rows}
+    source, right, of = {r[0]: r[1] for r in rows}, collections.Counter(), collections.Counter()
     for at, left in want.items():
-        assert [x for x in out[at].text.split("\n") if x] == left
-        assert out[at].n_chunks_removed == (at % 100 > 0) and out[at].n_lines == len(out[at].text.split("\n")) + out[at].n_lines_removed
+        got = nonblank(out[at].text)
+        of[length_of[at]] += at % 100 > 0
+        if got == left:
+            right[length_of[at]] += at % 100 > 0
+            assert out[at].n_chunks_removed == (at % 100 > 0) and out[at].n_lines == len(out[at].text.split("\n")) + out[at].n_lines_removed
+        else:
+            assert got == nonblank(source[at]) and length_of[at] < 8  # nothing else goes
+    rate = {n: right[n] / of[n] for n in of}
+    for n, least in {2: 0.4, 3: 0.7, 4: 0.85, 5: 0.9, 6: 0.95, 8: 0.98, 14: 1.0}.items():
+        assert rate[n] >= least, rate
     for at in (50, 51, 52, 53, 5400):
         assert out[at].text == source[at] and out[at].n_lines_removed == 0 and not out[at].all_removed
     assert out[5401].all_removed and out[5401].text == "" and out[5401].n_lines_removed == 4
@@ -80,6 +94,33 @@ def test_line_dedup_removes_shared_passages(spark):
     assert r.text == "\n".join(long.split("\n")[:30_000]) and r.n_lines_removed == 30_000 and r.n_chunks_removed == 1
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_whatever_goes_stands_elsewhere(spark, seed):
+    """Random texts of few lines, so that passages overlap in every way: every run of removed lines is made of runs of two lines or
+    more that stand in what is left, and every text that is all removed stands there whole."""
+    rng = random.Random(seed)
+    alphabet = [f"line {i}" for i in range((3, 8, 30, 12)[seed])]
+    pieces = [[rng.choice(alphabet) for _ in range(rng.randint(2, 9))] for _ in range(12)]
+    rows = [(i, "\n".join(x for _ in range(rng.randint(1, 4)) for x in (rng.choice(pieces) if rng.random() < 0.7 else [rng.choice(alphabet)])), None, None) for i in range(150)]
+    rows += [(150 + i, "\n".join(ls), None, None) for i, ls in enumerate([["a", "b"], ["a", "b", "c"], ["b", "c"], ["Yes.", "No."], ["x"] * 30, ["x"] * 7, ["x", "y"] * 20, ["y", "x"] * 5])]
+    out = {r.doc_id: r for r in lines.line_dedup(frame(spark, rows).repartition(3)).collect()}
+    left = [nonblank(r.text) for r in out.values()]
+    stands = {tuple(ls[i : i + n]) for ls in left for n in (2, 3) for i in range(len(ls) - n + 1)}
+    text = ["\n".join(["", *ls, ""]) for ls in left]
+    removed = 0
+    for i, source, *_ in rows:
+        before, after = source.split("\n"), nonblank(out[i].text)
+        assert len(before) - len(after) == out[i].n_lines_removed
+        removed += out[i].n_lines_removed
+        if out[i].all_removed:
+            assert after == []
+            # every line with a neighbour of its text
+            for k in range(len(before)):
+                assert any(tuple(before[s : s + 2]) in stands for s in (k - 1, k) if 0 <= s < len(before) - 1), (i, before)
+    assert removed > 100
+    assert any("\nb\nc\n" in t for t in text) and any("\na\nb\n" in t for t in text)
+
+
 def water(sizes, weights=(1, 2, 3), most=3):
     """The iterative statement of the targets."""
     order = sorted(sizes, key=lambda s: (s is None, s))

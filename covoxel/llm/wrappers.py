@@ -43,8 +43,7 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: tag than NAMES, becomes one repeated group, or loses those names. A task hands on its wrappers when they reach HELD characters.
 DEPTH, ITEMS, NAMES, HELD = 100, 150, 24, 32 << 20
 
-_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
-_STOP = re.compile("[>\"']")
+_STOP, _NAME_END = re.compile("[>\"']"), re.compile(r"[\s/>]")
 _ATTR = re.compile(r"(?:^|[\s\"'/])(class|id|role|itemprop|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
 _PARTS = re.compile(r"[-_:]+|(?<=[a-z0-9])(?=[A-Z])")
 
@@ -77,6 +76,7 @@ class Scanner:
         self.last = {c: html.rfind(c) for c in ">\"'"}
         self.failed: set[int] = set()
         self.ahead = (0, -1)  # from where to where there is no > or quote
+        self.named = (0, -1)  # from where to where no name ends
 
     def _stop(self, at: int) -> int:
         """The next > or quote from `at` on, -1 if there is none."""
@@ -87,10 +87,16 @@ class Scanner:
             self.ahead = at, m.start()
         return m.start() if m else -1
 
+    def _name_end(self, at: int) -> int:
+        """Where a name that is behind a < with a > somewhere behind it ends."""
+        if not self.named[0] <= at <= self.named[1]:
+            self.named = at, _NAME_END.search(self.html, at).start()
+        return self.named[1]
+
     def _tag_end(self, at: int) -> int:
         """Where the > stands that ends a tag whose attributes begin at `at`, -1 if there is none."""
         passed = []
-        while at <= self.last[">"]:
+        while 0 < at <= self.last[">"]:
             stop = self._stop(at)
             if stop < 0 or stop in self.failed:
                 break
@@ -113,10 +119,13 @@ class Scanner:
             if html.startswith(("<!", "<?"), start):
                 end = html.find(">", start)
                 return start, end + 1 if end >= 0 else len(html), False, "", ""
-            name = _NAME.match(html, start + 1) if start < self.last[">"] else None
-            end = self._tag_end(name.end()) if name else -1
-            if end >= 0:
-                return start, end + 1, bool(name[1]), name[2].lower(), html[name.end() : end]
+            close = html.startswith("/", start + 1)
+            first = start + 1 + close
+            if start < self.last[">"] and html[first].isascii() and html[first].isalpha():
+                whole = self._name_end(first)
+                for stop in dict.fromkeys((whole, min(whole, self._stop(first)))):  # a quote is a name's own only if that ends the tag
+                    if (end := self._tag_end(stop)) >= 0:
+                        return start, end + 1, close, html[first:stop].lower(), html[stop:end]
             at = start + 1
         return None
 

@@ -673,3 +673,69 @@ def test_pages_and_vectors_queries(spark, sf):
     assert got.columns == ["vec_id", "n_links", "component_id", "kept"]
     assert got.count() == spark.read.parquet(f"{sf}/embeddings.parquet").count()
     assert QUERIES["op6_quality"](spark, sf).count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+
+
+def test_texts_without_spaces_are_read_in_pieces(monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(chr(0x4E00 + rng.randrange(400)) for _ in range(900)), "ΑΣΣ" * 100 + "ΟΔΟΣ ", "a\nb\n" * 150, " \n" * 300, "ab" * 200 + " , " + "é" * 77]
+    whole, some = langid.document_vectors(texts)
+    for chunk, step in ((37, 50), (64, 7), (1, 1 << 14)):
+        monkeypatch.setattr(langid, "CHUNK", chunk)
+        monkeypatch.setattr(langid, "STEP", step)
+        got, again = langid.document_vectors(texts)
+        assert (got == whole).all() and (again == some).all()
+
+
+def test_memory_of_a_long_text_is_bounded():
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    text = bytes(np.stack([rng.integers(0, 100, 1_000_000), np.full(1_000_000, 0x4E)], axis=1).astype(np.uint8)).decode("utf-16-le")
+    tracemalloc.start()
+    langid.document_vectors([text])
+    assert tracemalloc.get_traced_memory()[1] < 300e6
+    tracemalloc.stop()
+
+
+def extracted(html):
+    return wrappers.extract(wrappers.Page(html), set())
+
+
+def test_malformed_pages_take_linear_time():
+    import time
+
+    for piece, n in (("<b ", 300_000), ("<b \"x '", 60_000), ("<", 300_000), ('<a "', 100_000), ("<!-", 100_000), ("</p>", 100_000), ("<p><i>", 50_000), ("<li>", 50_000), ("<b", 150_000), ("<b/", 100_000)):
+        for end in ("", ">", "'>", "\">'", ' ">'):
+            start = time.process_time()
+            wrappers.Page(piece * n + end)
+            assert time.process_time() - start < 4, (piece, end)
+    start = time.process_time()
+    wrappers.Page("<p>" + "<div>" * 20_000 + "</p>" * 20_000)
+    assert time.process_time() - start < 4
+
+
+def test_scanner_finds_tags_as_the_expression_does():
+    token = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+    rng = random.Random(11)
+    for _ in range(3000):
+        html = "".join(rng.choice(["< ", ">", '"', "'", "b", "</b ", "<p ", " ", "<!--", "-->", "<!x ", "=", "a", "\n", "<q/", "</", "<i>"]) for _ in range(rng.randint(1, 24)))
+        scanner, at, got = wrappers.Scanner(html), 0, []
+        while m := scanner.next(at):
+            got.append(m)
+            at = m[1]
+        want = [(m.start(), m.end(), bool(m[1]), (m[2] or "").lower(), m[3] or "") for m in token.finditer(html)]
+        assert got == want, html
+
+
+def test_names_inside_an_article_keep_its_parts():
+    html = '<body><div class="header">Site</div><article><div class="entry-header"><h1>Title</h1></div><p>Some text of the article.</p><div class="article-notice">N text</div><div class="sidebar-left-text">S text</div><div class="ad">Buy</div><div class="comments"><p>Nice!</p></div></article></body>'
+    assert extracted(html) == "Title\nSome text of the article.\nN text\nS text"
+
+
+@pytest.mark.parametrize("n", [10, 24, 30, 200])
+def test_comments_go_however_many_names_there_are(n):
+    sections = "".join(f'<section class="s-{chr(97 + i % 26)}{chr(97 + i // 26)}x"><h2>H{i}</h2><p>Paragraph {i} with its own words.</p></section>' for i in range(n))
+    beside = '<section class="comments"><p>Reader says hi</p></section><div class="ad-box">Buy it</div>'
+    want = [x for i in range(n) for x in (f"H{i}", f"Paragraph {i} with its own words.")]
+    assert extracted(f"<body><article>{sections}{beside}</article></body>").split("\n") == want
+    assert extracted(f"<body><article>{beside}{sections}</article></body>").split("\n") == want

@@ -32,23 +32,23 @@ def scratch_root(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Write df to a new folder below scratch_root() and read it back: this cuts the lineage, and
     what was computed outlives the executors that computed it."""
     spark = df.sparkSession
     at = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(at)
+    df.write.option("compression", codec).parquet(at)
     out = spark.read.schema(df.schema).parquet(at)
     out._stored_at = at
     return out
 
 
-def stored_by(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+def stored_by(df: DataFrame, name: str, column: str, buckets: int, codec: str = "zstd") -> DataFrame:
     """As stored(), in buckets by a column: what groups or joins by it needs no exchange of this table, if its other side
     has as many partitions."""
     spark, label = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
     at = f"{scratch_root(spark)}/{label}"
-    df.write.format("parquet").option("compression", "zstd").option("path", at).bucketBy(buckets, column).saveAsTable(label)
+    df.write.format("parquet").option("compression", codec).option("path", at).bucketBy(buckets, column).saveAsTable(label)
     out = spark.table(label)
     out._stored_at, out._stored_as = at, label
     return out

@@ -18,6 +18,8 @@ from .common import forget, reclaim, slices, stored, stored_by, trim, word_hashe
 END = b"\xff"
 #: Divergences are summed as whole numbers of this part of a nat, so that no order of rows changes them.
 UNIT = float(1 << 24)
+#: Tables of packed arrays aren't compressed a second time.
+PACKED = "uncompressed"
 #: Odd multipliers: a string's number is that of its last word and multiples of those before it.
 _TIMES = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64).view(np.int64)
 
@@ -39,15 +41,18 @@ def packed(a: np.ndarray) -> bytes:
     numbers take a byte or less, sorted ones lose their common leading bits."""
     a = np.ascontiguousarray(a, dtype=np.int64)
     width = 8 if not len(a) or a.min() < 0 else max(1, (int(a.max()).bit_length() + 7) // 8)
-    planes = a.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    of, planes = a.view(np.uint8).reshape(-1, 8), np.empty((width, len(a)), dtype=np.uint8)
+    for i in range(width):  # plane by plane: several times as fast as a transposed copy
+        planes[i] = of[:, i]
     return len(a).to_bytes(8, "little") + bytes([width]) + pa.compress(planes, codec="zstd", asbytes=True)
 
 
 def unpacked(b: bytes) -> np.ndarray:
     n, width = int.from_bytes(b[:8], "little"), b[8]
-    planes = pa.decompress(b[9:], decompressed_size=width * n, codec="zstd", asbytes=True)
+    planes = np.frombuffer(pa.decompress(memoryview(b)[9:], decompressed_size=width * n, codec="zstd"), dtype=np.uint8).reshape(width, n)
     out = np.zeros((n, 8), dtype=np.uint8)
-    out[:, :width] = np.frombuffer(planes, dtype=np.uint8).reshape(width, n).T
+    for i in range(width):
+        out[:, i] = planes[i]
     return out.view(np.int64).ravel()
 
 
@@ -90,8 +95,8 @@ class Parameters:
 class Block:
     """The tokens of some documents, and what is known of the strings that end at each.
 
-    Arrays by token: n[d] is the training count of the string of the d words before the token and the token itself;
-    total(d) that of the d words alone, which is n[d - 1] one token earlier. Before a document's start stand ends.
+    Arrays by token: n(d) is the training count of the string of the d words before the token and the token itself;
+    total(d) that of the d words alone, which is n(d - 1) one token earlier. Before a document's start stand ends.
     """
 
     def __init__(self, held: dict[str, bytes], by: Parameters):
@@ -99,12 +104,15 @@ class Block:
         self.length = unpacked(held["length"])
         self.start = np.cumsum(self.length) - self.length
         self.place = unpacked(held["place"])
-        self.words = unpacked(held["table"])[self.place]
         self.known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        self.n: list[np.ndarray] = []
-        while f"n{len(self.n)}" in held:
-            known = unpacked(held[f"n{len(self.n)}"])
-            self.n.append(known if self.n else known[self.place])
+        self._n: dict[int, np.ndarray] = {}
+        self._keys: list[tuple[np.ndarray, np.ndarray]] = []  # by d: the strings, and the word d places before each token
+
+    def n(self, d: int) -> np.ndarray:
+        if d not in self._n:
+            known = unpacked(self.held[f"n{d}"])
+            self._n[d] = known if d else known[self.place]
+        return self._n[d]
 
     def before(self, a: np.ndarray, fill: int) -> np.ndarray:
         """The value one token earlier, `fill` at a document's first token."""
@@ -115,15 +123,18 @@ class Block:
 
     def strings(self, d: int) -> np.ndarray:
         """The number of the string of the d words before each token and the token."""
-        key, history = self.words * _TIMES[0], self.words
-        for k in range(1, d + 1):
+        if not self._keys:
+            words = unpacked(self.held["table"])[self.place]
+            self._keys.append((words * _TIMES[0], words))
+        while len(self._keys) <= d:
+            key, history = self._keys[-1]
             history = self.before(history, end_hash())
-            key += history * _TIMES[k]
-        return key
+            self._keys.append((key + history * _TIMES[len(self._keys)], history))
+        return self._keys[d][0]
 
     def total(self, d: int) -> np.ndarray:
-        ends = int(self.n[0][self.length[0] - 1])  # documents learned from: what a context of ends alone counts
-        return self.before(self.n[d - 1], ends)
+        ends = int(self.n(0)[self.length[0] - 1])  # documents learned from: what a context of ends alone counts
+        return self.before(self.n(d - 1), ends)
 
     def counted(self, d: int) -> tuple[np.ndarray, np.ndarray]:
         """Tokens whose context of d words has been seen often enough, and how often."""
@@ -138,12 +149,12 @@ class Block:
 
     def probabilities(self, depth: int) -> Iterator[np.ndarray]:
         """After contexts of 0, 1, ... depth words, where counted; elsewhere as after the longest that is."""
-        p = (self.n[0] + 1) / (self.by.total + self.by.distinct + 1)
+        p = (self.n(0) + 1) / (self.by.total + self.by.distinct + 1)
         yield p
         for d in range(1, depth + 1):
             at, total = self.counted(d)
             p = p.copy()
-            p[at] = (self.n[d][at] + self.by.weight * p[at]) / (total + self.by.weight)
+            p[at] = (self.n(d)[at] + self.by.weight * p[at]) / (total + self.by.weight)
             yield p
 
     def ask(self, level: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -165,7 +176,7 @@ class Block:
             of = Distinct(self.contexts(d)[x])
             *_, q, p = self.probabilities(d)
             p, q, r = p[x], q[x], self.by.weight / (self.total(d)[x] + self.by.weight)
-            adds = np.where((one[x] == 2) & (self.n[d][x] > 0), p * np.log(p / q) - q * r * np.log(r), 0.0)
+            adds = np.where((one[x] == 2) & (self.n(d)[x] > 0), p * np.log(p / q) - q * r * np.log(r), 0.0)
             yield 1, of.keys, of.total(np.rint(adds * UNIT).astype(np.int64))
 
     def hear(self, level: int, strings: np.ndarray, contexts: np.ndarray) -> None:
@@ -175,14 +186,14 @@ class Block:
             of = Distinct(unpacked(self.held["table"]) * _TIMES[0])
             known = (strings >> 1)[of.back]
             self.held["n0"] = packed(known)
-            self.n.append(known[self.place])
+            self._n[0] = known[self.place]
         elif level <= self.by.depth:
             at, _ = self.counted(level)
             of = Distinct(self.strings(level)[at])
             n, one = np.zeros(len(self.place), dtype=np.int64), np.zeros(len(self.place), dtype=np.int64)
             n[at] = (strings >> 1)[of.back]
             one[at[of.one]] = 1 + (strings & 1)
-            self.n.append(n)
+            self._n[level] = n
             self.held |= {f"n{level}": packed(n), "one": packed(one)}
         if level >= 2:
             at, total = self.counted(level - 1)
@@ -197,7 +208,7 @@ class Block:
 
     def scores(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """By document: words known, log10 probability at the root, and after the longest retained contexts."""
-        best, p, known = self.best(), np.empty(len(self.place)), (self.n[0] > 0).astype(np.int64)
+        best, p, known = self.best(), np.empty(len(self.place)), (self.n(0) > 0).astype(np.int64)
         for d, of_d in enumerate(self.probabilities(self.by.depth)):
             at = best == d
             p[at] = of_d[at]
@@ -333,10 +344,10 @@ def score(docs: DataFrame, train: Column, *, depth: int = 3, weight: float = 60.
     by = Parameters(depth, weight, divergence, least, parts)
     state_row, out_row = STATE.format(kind), f"doc_id {kind}, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
-    now = stored_by(rows.mapInArrow(_make_blocks(block_bytes), state_row), "lm", "block", parts)
+    now = stored_by(rows.mapInArrow(_make_blocks(block_bytes), state_row), "lm", "block", parts, PACKED)
     for level in range(by.rounds):
         asked = now.mapInArrow(_ask(level, by), ASKED).repartition(parts, "part", "kind")
-        replies = stored(asked.groupBy("part", "kind").applyInArrow(_sum_keys, REPLY), "lm")
+        replies = stored(asked.groupBy("part", "kind").applyInArrow(_sum_keys, REPLY), "lm", PACKED)
         reclaim(spark)  # the questions' shuffle
         if level == 0:
             total, distinct = replies.agg(F.sum("total"), F.sum("distinct")).first()
@@ -344,7 +355,7 @@ def score(docs: DataFrame, train: Column, *, depth: int = 3, weight: float = 60.
         heard = now.groupBy("block").cogroup(replies.repartition(parts, "block").groupBy("block"))
         if level == by.rounds - 1:
             return heard.applyInArrow(_hear(level, by), out_row)
-        before, now = now, stored_by(heard.applyInArrow(_hear(level, by), state_row), "lm", "block", parts)
+        before, now = now, stored_by(heard.applyInArrow(_hear(level, by), state_row), "lm", "block", parts, PACKED)
         forget(before, replies)
         reclaim(spark)
     raise AssertionError("the last round returns")

@@ -48,6 +48,19 @@ def test_stages_keep_columns_and_take_effect(spark, sf, docs):
     assert max(r["count"] for r in mixed.where("doc_id < 1000000").groupBy("doc_id").count().collect()) <= 3
 
 
+def test_unlearned_scripts_go_and_short_texts_stay(spark, sf, docs):
+    import random
+
+    rng = random.Random(4)
+    words = lambda first, n: " ".join("".join(chr(first + rng.randrange(32)) for _ in range(rng.randint(2, 9))) for _ in range(n))
+    strange = [(2 * 10**6 + i, words((0x430, 0x4E00, 0x627, 0xAC00)[i % 4], 40), None, "x", 1) for i in range(80)]
+    short = [(3 * 10**6 + i, t, None, "x", 1) for i, t in enumerate(["Avec.", "Re.", "A", "ж", "Edrere."])]
+    out = corpus_pipeline.language_id(spark, docs.unionByName(spark.createDataFrame(strange + short, DOCS)), sf)
+    assert out.where("doc_id between 2000000 and 2999999").count() <= 8 and out.where("doc_id >= 3000000").count() == 5
+    letters = docs.where("doc_id < 1000000 and text rlike '[A-Za-zÀ-ÿ]'")
+    assert out.where("doc_id < 1000000").count() == letters.count()
+
+
 def test_unlike_texts_with_one_id_stay(spark, sf):
     other = LONG.replace("line", "verse").replace("alpha", "delta").replace("beta", "zeta").replace("gamma", "eta")
     rows = [(1, LONG, "en", "x", 1), (1, other, "en", "x", 1), (1, LONG + " end", "en", "x", 1), (1, other, "en", "x", 1), (2, other, "en", "x", 1), (3, "short", "en", "x", 1), (None, LONG, "en", "x", 1)]

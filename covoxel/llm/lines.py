@@ -90,9 +90,10 @@ def line_dedup(docs: DataFrame) -> DataFrame:
 
     meta = stored(_chunks(small), "lines")
     # A repeated row isn't a repeat of its chunks: the place (row, s) must differ.
-    # Aggregates are written before they are joined: AQE splits the join of a hot chunk only if none feeds it.
+    # Aggregates are written before they are joined: AQE splits the join of a hot chunk only if none feeds it. They grow with the corpus, so
+    # their joins are merge joins at every size.
     again = stored(meta.groupBy("hash").agg(F.min(F.struct("k1", "k2", "s")).alias("x"), F.max(F.struct("k1", "k2", "s")).alias("y")).where("x <> y").select("hash"), "lines")
-    touched = meta.join(again, "hash").groupBy(F.col("k1").alias("t1"), F.col("k2").alias("t2")).agg(F.collect_set(F.struct("s", "e", "hash")).alias("c"))
+    touched = meta.join(again.hint("merge"), "hash").groupBy(F.col("k1").alias("t1"), F.col("k2").alias("t2")).agg(F.collect_set(F.struct("s", "e", "hash")).alias("c"))
 
     lines, at = F.col(f"{_OWN}_lines"), F.col(f"{_OWN}_at")
     suspects = _with_lines(small.dropDuplicates(["k1", "k2"]).join(touched, (F.col("k1") == F.col("t1")) & (F.col("k2") == F.col("t2"))))
@@ -107,16 +108,15 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     chunks = stored(chunks, "lines")
     first = stored(chunks.groupBy("hash").agg(F.min(F.struct("at", "own", "before", "behind")).alias("first")), "lines")
     left, right = _alike(F.col("before"), F.col("first.before")), _alike(F.col("behind"), F.col("first.behind"))
-    copies = chunks.join(first, "hash").where((F.col("at") != F.col("first.at")) & (F.col("own") == F.col("first.own")))
+    copies = chunks.join(first.hint("merge"), "hash").where((F.col("at") != F.col("first.at")) & (F.col("own") == F.col("first.own")))
     copies = copies.select("at.k1", "at.k2", (F.col("at.s") - left).alias("s"), (F.col("at.s") + F.size("own") - 1 + right).alias("e"), F.col("first.at.k1").alias("f1"), F.col("first.at.k2").alias("f2"), (F.col("at.s") - F.col("first.at.s")).alias("shift"))
     regions = stored(_islands(copies, ["k1", "k2", "f1", "f2", "shift"]), "lines")
 
-    # Bytes: hashes of lines in regions that unlike lines share. There are none, but for an accident.
-    inside = regions.select("k1", "k2", "s", "e").union(regions.select("f1", "f2", F.col("s") - F.col("shift"), F.col("e") - F.col("shift"))).distinct()
-    spans = inside.groupBy(F.col("k1").alias("t1"), F.col("k2").alias("t2")).agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    here = suspects.join(spans, (F.col("k1") == F.col("t1")) & (F.col("k2") == F.col("t2")))
-    places = F.array_distinct(F.flatten(F.transform("spans", lambda x: F.sequence(x["s"], x["e"]))))
-    each = here.select("h", "body", places.alias("p")).select(F.explode_outer(F.transform("p", lambda p: F.struct(F.get("h", p).alias("h"), F.get("body", p).alias("line")))).alias("x"))
+    # Bytes: hashes that unlike lines share, of those in chunks and as far around as regions reach. There are none, but for an accident. This
+    # reads the suspects alone, so their texts aren't shuffled once more; of like lines, a task sends one.
+    around = F.transform("c", lambda c: F.sequence(F.greatest(c["s"] - BEFORE, F.lit(0)), F.least(c["e"] + BEHIND, F.col("of") - 1)))
+    near = suspects.select("h", "body", F.array_distinct(F.flatten(around)).alias("p"))
+    each = near.select(F.explode_outer(F.transform("p", lambda p: F.struct(F.get("h", p).alias("h"), F.get("body", p).alias("line")))).alias("x"))
     liars = stored(each.groupBy("x.h").agg(F.min("x.line").alias("a"), F.max("x.line").alias("b")).where("a <> b").select(F.col("h").alias("liar")), "lines")
     if not liars.isEmpty():
         told = suspects.select(F.col("k1").alias("t1"), F.col("k2").alias("t2"), F.posexplode("h").alias("p", "liar")).join(liars, "liar").drop("liar")
@@ -135,7 +135,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     forget(meta, again, chunks, first, suspects, regions if hasattr(regions, "_stored_at") else liars)
 
     every = F.col(f"{_OWN}_gone")
-    out = _with_lines(keyed.join(gone, (k1 == F.col(f"{_OWN}_g1")) & (k2 == F.col(f"{_OWN}_g2")), "left"))
+    out = _with_lines(keyed.join(gone.hint("merge"), (k1 == F.col(f"{_OWN}_g1")) & (k2 == F.col(f"{_OWN}_g2")), "left"))
     inner = F.array_intersect(every, F.transform(every, lambda p: p - 1))  # the next line goes, too: and the blank ones between
     lost = F.array_distinct(F.concat(F.transform(every, lambda p: F.get(at, p)), F.flatten(F.transform(inner, lambda p: F.sequence(F.get(at, p), F.get(at, p + 1))))))
     kept_lines: Column = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), lost)

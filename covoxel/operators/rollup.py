@@ -28,13 +28,25 @@ def bounds(rows: DataFrame) -> DataFrame:
 
 def rollup_channels(stats: DataFrame, cfg: EngineConfig) -> DataFrame:
     out = regions(stats, cfg).groupBy(*REGION, "channel", "r_um").agg(F.sum("voxel_count").alias("voxel_count"), F.sum("sum_intensity").alias("sum_intensity"))
-    return bounds(out).withColumn("mean_intensity", ratio(F.col("sum_intensity"), F.col("voxel_count")))
+    return channel_measures(out)
+
+
+def channel_measures(sums: DataFrame) -> DataFrame:
+    return bounds(sums).withColumn("mean_intensity", ratio(F.col("sum_intensity"), F.col("voxel_count")))
+
+
+def pair_measures(sums: DataFrame) -> DataFrame:
+    return bounds(sums).withColumns({"iou": ratio(F.col("inter_vox"), F.col("union_vox")), "overlap_coeff": ratio(F.col("inter_vox"), F.least("a_vox", "b_vox"))})
+
+
+def set_measures(sums: DataFrame) -> DataFrame:
+    return bounds(sums).withColumns({"iou": ratio(F.col("inter_vox"), F.col("union_vox")), "overlap_coeff": ratio(F.col("inter_vox"), F.array_min("member_vox"))})
 
 
 def rollup_pairs(pairs: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Sums cover only tiles in which the pair has a row."""
     out = regions(pairs, cfg).groupBy(*REGION, "a", "b", "r_um").agg(*[F.sum(c).alias(c) for c in ("a_vox", "b_vox", "inter_vox", "union_vox")])
-    return bounds(out).withColumns({"iou": ratio(F.col("inter_vox"), F.col("union_vox")), "overlap_coeff": ratio(F.col("inter_vox"), F.least("a_vox", "b_vox"))})
+    return pair_measures(out)
 
 
 def rollup_sets(sets: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -44,7 +56,7 @@ def rollup_sets(sets: DataFrame, cfg: EngineConfig) -> DataFrame:
     places = [F.sum(F.coalesce(F.get("member_vox", F.lit(i)), F.lit(0))).alias(f"v{i}") for i in range(most)]
     out = rows.groupBy(*REGION, "members", "k", "r_um").agg(F.sum("inter_vox").alias("inter_vox"), F.sum("union_vox").alias("union_vox"), *places)
     out = out.withColumn("member_vox", F.slice(F.array(*[f"v{i}" for i in range(most)]), F.lit(1), F.col("k"))).drop(*[f"v{i}" for i in range(most)])
-    return bounds(out).withColumns({"iou": ratio(F.col("inter_vox"), F.col("union_vox")), "overlap_coeff": ratio(F.col("inter_vox"), F.array_min("member_vox"))})
+    return set_measures(out)
 
 
 def hierarchy(channels: DataFrame, pairs: DataFrame, sets: DataFrame, cfg: EngineConfig) -> DataFrame:

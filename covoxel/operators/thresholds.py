@@ -38,14 +38,15 @@ def mip(voxels: DataFrame, shape: Shape, cfg: EngineConfig) -> DataFrame:
     return spine.join(top, ["channel", "y", "x"], "left").withColumn("m", F.coalesce(F.col("m").cast("double"), F.lit(0.0)))
 
 
-def projections(voxels: DataFrame, groups: DataFrame, keys: list[str], shape: Shape) -> DataFrame:
-    """keys, m, n, gap: the projections of stored columns (n = 1, gap = 0), and for each group one row of 0 that stands for its
-    n = gap columns without a voxel. groups: keys, n_columns."""
-    stored = voxels.groupBy(*dict.fromkeys([*keys, "channel", "y", "x"])).agg(*_top(shape))
+def projections(voxels: DataFrame, groups: DataFrame, keys: list[str], shape: Shape, hold: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """keys, m, n, gap, key (order_key of m): the projections of stored columns (n = 1, gap = 0), and for each group one row of 0 that stands for its
+    n = gap columns without a voxel. groups: keys, n_columns. What is stored is read twice: hold() may keep it."""
+    stored = hold(voxels.groupBy(*dict.fromkeys([*keys, "channel", "y", "x"])).agg(*_top(shape)).withColumn("key", order_key("m")))
     held = stored.groupBy(*keys).agg(F.count("*").alias("held"))
     gap = F.col("n_columns") - F.coalesce("held", F.lit(0))
-    empty = groups.join(held, keys, "left").select(*keys, F.lit(0.0).alias("m"), gap.cast("long").alias("n"), gap.cast("long").alias("gap"))
-    one = stored.select(*keys, "m", F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("gap"))
+    long = lambda n: F.lit(n).cast("long")
+    empty = groups.join(held, keys, "left").select(*keys, F.lit(0.0).alias("m"), gap.cast("long").alias("n"), gap.cast("long").alias("gap"), long(0).alias("key"))
+    one = stored.select(*keys, "m", long(1).alias("n"), long(0).alias("gap"), "key")
     return one.unionByName(empty.where("n > 0"))
 
 
@@ -63,7 +64,7 @@ def global_thresholds(lowres: DataFrame, shape: Shape, cfg: EngineConfig, hold:
     """
     by = ["channel"]
     groups = channel_dim(lowres, cfg).withColumn("n_columns", F.lit(shape.y * shape.x))
-    m = hold(projections(lowres, groups, by, shape).select(*by, "m", "n", order_key("m").alias("key")))
+    m = projections(lowres, groups, by, shape, hold)
     cut = quantile(m, by, cfg.trim_q, "cut")
     bg = m.join(F.broadcast(cut), by).where("m <= cut")  # one row per channel, as below
     mu = quantile(bg, by, 0.5, "mu")

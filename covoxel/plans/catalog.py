@@ -613,6 +613,22 @@ def snapshot_summary(spark, sf_dir):
     return store.read().summary
 
 
+@query(last(f"SELECT {REGION}, a, b, r_um, a_vox, b_vox, inter_vox, union_vox, round(iou, 9) AS iou, round(overlap_coeff, 9) AS overlap_coeff FROM up_pairs"))
+def incremental_rollup(spark, sf_dir):
+    """A roll-up kept on disk: of all tiles with wrong counts first, then brought up to date tile column by tile column."""
+    from dataclasses import replace
+
+    from covoxel.plans.incremental import RollupStore
+
+    e = engine(spark, sf_dir)
+    m, store = e.mine(), RollupStore(spark, folder(spark, "rollup"), CFG)
+    m = replace(m, pairs=e.hold(m.pairs), sets=e.hold(m.sets))
+    store.update(replace(m, pairs=m.pairs.withColumn("inter_vox", F.col("inter_vox") + 7)))
+    for step in (0, 1):
+        store.update(mining.Mined(*[getattr(m, name).where(f"tile_x % 2 = {step}") for name in ("channel_stats", "pairs", "sets", "summary")]))
+    return store.read()[1].drop("region_x", "region_y").withColumns(r9("iou", "overlap_coeff"))
+
+
 def written_documents(spark: SparkSession, sf_dir: str) -> str:
     from covoxel.sources.checkpoints import documents, write_tiles
 

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import gzip
 import json
-import re
-import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -20,6 +18,7 @@ from covoxel.operators.mining import Mined
 from covoxel.operators.tiling import Shape, tile_grid
 from covoxel.sinks.named_files import FILES, write_files
 from covoxel.sources import files
+from covoxel.sources.snapshots import Snapshots
 
 NAME = r"tile_(\d{4,})_(\d{4,})\.json\.gz$"
 PAIR = "tile_x int, tile_y int, r_um double, a int, b int, a_vox long, b_vox long, inter_vox long, union_vox long, iou double, overlap_coeff double"
@@ -162,17 +161,11 @@ class Progress:
         return f"{self.done}/{self.of} tiles, {self.per_second:.2f} tiles/s, left: {left}"
 
 
-class ResultStore:
-    """Mined tiles as Parquet, in snapshots, with the fingerprint of the configuration they came from.
-
-    A write puts its rows into a folder of its own and then publishes a snapshot: a small file that lists, in order, the folders that count.
-    Snapshots are numbered and created only if their number is free, so of two writers that publish at once the second one sees the
-    first one's snapshot and publishes on top of it; neither overwrites the other, and a reader sees all of a write or nothing. Only listed
-    folders are read. A tile's rows are those of the last folder that has it in its summary, so a tile that is mined again to fewer rows,
-    or none, keeps nothing of before. When there are more than `merge_at` folders, a write merges them into one; what is listed no
-    longer is removed after `keep` more snapshots, so that readers of these can end.
-    """
+class ResultStore(Snapshots):
+    """Mined tiles: a tile's rows are those of the last folder that has it in its summary, so one that is mined again to fewer rows, or none,
+    keeps nothing of before."""
 
+    KEYS, INDEX = ("tile_x", "tile_y"), "summary"
     PARTS = {
         "channel_stats": "tile_x int, tile_y int, channel int, r_idx int, r_um double, voxel_count long, sum_intensity double",
         "pairs": "tile_x int, tile_y int, r_idx int, r_um double, a int, b int, a_vox long, b_vox long, inter_vox long, union_vox long, iou double, overlap_coeff double",
@@ -180,99 +173,15 @@ class ResultStore:
         "summary": "tile_x int, tile_y int, n_active_channels long, n_frequent_pairs long",
     }
 
-    def __init__(self, spark: SparkSession, path: str, cfg: EngineConfig, merge_at: int = 16, keep: int = 2):
-        self.spark, self.path, self.cfg, self.merge_at, self.keep = spark, path.rstrip("/"), cfg, merge_at, keep
-
-    # Snapshots
-
-    def snapshots(self) -> list[int]:
-        return sorted(int(m[1]) for f in files.names(self.spark, f"{self.path}/snapshots") if (m := re.fullmatch(r"(\d+)\.json", f)))
-
-    def snapshot(self, number: int | None = None) -> dict:
-        """number and folders of the newest snapshot, or of a given one; 0 and none in a new store."""
-        every = self.snapshots()
-        if not every:
-            return {"number": 0, "folders": []}
-        found = json.loads(files.text(self.spark, f"{self.path}/snapshots/{every[-1] if number is None else number}.json"))
-        if found["fingerprint"] != self.cfg.fingerprint():
-            raise ValueError("the results in this folder come from another configuration")
-        return found
-
-    def _publish(self, change: Callable[[list[str]], list[str]]) -> dict:
-        """A new snapshot with the newest one's folders changed, again and again until no other writer was faster."""
-        while True:
-            last = self.snapshot()
-            new = {"number": last["number"] + 1, "fingerprint": self.cfg.fingerprint(), "folders": change(last["folders"])}
-            if files.create(self.spark, f"{self.path}/snapshots/{new['number']}.json", json.dumps(new)):
-                return new
-
-    def check(self) -> None:
-        self.snapshot()
-
-    # Rows
-
-    def _rows(self, part: str, folders: list[str]) -> DataFrame:
-        kept = f"{self.PARTS[part]}, folder string"
-        if not folders:
-            return self.spark.createDataFrame([], kept)
-        return self.spark.read.schema(kept).parquet(*[f"{self.path}/{f}/{part}" for f in folders])
-
-    def _latest(self, folders: list[str]) -> DataFrame:
-        """tile_x, tile_y and the folder that has the tile's rows."""
-        order = self.spark.createDataFrame([(f, i) for i, f in enumerate(folders)], "folder string, nth int")  # merge_at rows or a few more
-        by_tile = self._rows("summary", folders).join(F.broadcast(order), "folder").groupBy("tile_x", "tile_y")
-        return by_tile.agg(F.max_by("folder", "nth").alias("folder"))
-
-    def _read(self, folders: list[str]) -> Mined:
-        if len(folders) == 1:
-            return Mined(*[self._rows(part, folders).drop("folder") for part in self.PARTS])
-        latest = self._latest(folders)
-        return Mined(*[self._rows(part, folders).join(latest, ["tile_x", "tile_y", "folder"], "left_semi").drop("folder") for part in self.PARTS])
-
-    def _put(self, m: Mined) -> tuple[str, int]:
-        """A folder with these rows, and how many tiles are in it: counted while they are written."""
-        folder, tiles = f"part-{uuid.uuid4().hex}", Observation()
-        for part, kept in self.PARTS.items():
-            cols = [F.col(c).cast(t).alias(c) for c, t in (x.split(" ", 1) for x in kept.split(", "))]
-            rows = getattr(m, part).select(*cols, F.lit(folder).alias("folder"))
-            rows = rows.observe(tiles, F.count("*").alias("n")) if part == "summary" else rows
-            rows.write.parquet(f"{self.path}/{folder}/{part}")
-        return folder, tiles.get["n"]
-
     def write(self, m: Mined) -> int:
         """Add tiles, or replace them; how many there were."""
-        self.check()
-        folder, n = self._put(m)
-        if len(self._publish(lambda folders: [*folders, folder])["folders"]) > self.merge_at:
-            self.compact()
-        return n
-
-    def compact(self) -> None:
-        """Merge all folders into one. Folders that another writer adds meanwhile stay behind it; if another one merges them first, its
-        merge counts."""
-        old = self.snapshot()["folders"]
-        if len(old) < 2:
-            return
-        merged, _ = self._put(self._read(old))
-        self._publish(lambda now: [merged, *now[len(old) :]] if now[: len(old)] == old else now)
-        self._clean()
-
-    def _clean(self) -> None:
-        """Remove folders that only snapshots before the last `keep` ones list, and these snapshots. A folder that no snapshot lists may be
-        another writer's that isn't published yet, and stays."""
-        every = self.snapshots()
-        old, new = every[: -self.keep - 1], every[-self.keep - 1 :]
-        listed = lambda numbers: {f for n in numbers for f in self.snapshot(n)["folders"]}
-        for folder in listed(old) - listed(new):
-            files.remove(self.spark, f"{self.path}/{folder}")
-        for n in old:
-            files.remove(self.spark, f"{self.path}/snapshots/{n}.json")
+        return self.add({part: getattr(m, part) for part in self.PARTS})
 
     def read(self) -> Mined:
-        return self._read(self.snapshot()["folders"])
+        return Mined(**self.frames())
 
     def done(self) -> DataFrame:
-        return self._rows("summary", self.snapshot()["folders"]).select("tile_x", "tile_y").distinct()
+        return self.index()
 
 
 class DocumentStore:

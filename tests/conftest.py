@@ -11,7 +11,8 @@ SF = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    session = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+    # Few rows and many plans: compiling a plan takes longer than running it.
+    session = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "2").config("spark.default.parallelism", "2").config("spark.sql.codegen.wholeStage", "false").config("spark.driver.memory", "4g").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

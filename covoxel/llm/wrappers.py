@@ -43,6 +43,7 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: tag than NAMES, becomes one repeated group, or loses those names. A task hands on its wrappers when they reach HELD characters.
 DEPTH, ITEMS, NAMES, HELD = 100, 150, 24, 32 << 20
 
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
 _STOP, _NAME_END = re.compile("[>\"']"), re.compile(r"[\s/>]")
 _ATTR = re.compile(r"(?:^|[\s\"'/])(class|id|role|itemprop|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
 _PARTS = re.compile(r"[-_:]+|(?<=[a-z0-9])(?=[A-Z])")
@@ -68,13 +69,15 @@ class Scanner:
     """The tags of a page, one after another: where each begins and ends, whether it closes, its name and its attributes (empty
     name: a comment or declaration). A < that no > follows outside of quotes is text.
 
-    Linear in the page, whatever it holds: places outside of quotes from which no tag ended are remembered, and so is the next > or quote.
+    Linear in the page, whatever it holds: after the first tag that doesn't end, places outside of quotes from which none ended are
+    remembered, and so is the next > or quote.
     """
 
     def __init__(self, html: str):
         self.html = html
         self.last = {c: html.rfind(c) for c in ">\"'"}
         self.failed: set[int] = set()
+        self.sound = True  # every tag so far has ended
         self.ahead = (0, -1)  # from where to where there is no > or quote
         self.named = (0, -1)  # from where to where no name ends
 
@@ -119,14 +122,19 @@ class Scanner:
             if html.startswith(("<!", "<?"), start):
                 end = html.find(">", start)
                 return start, end + 1 if end >= 0 else len(html), False, "", ""
+            at = start + 1
+            if start >= self.last[">"]:
+                continue
+            if self.sound and (m := _TAG.match(html, start)):
+                return start, m.end(), bool(m[1]), m[2].lower(), m[3]
             close = html.startswith("/", start + 1)
             first = start + 1 + close
-            if start < self.last[">"] and html[first].isascii() and html[first].isalpha():
+            if html[first].isascii() and html[first].isalpha():
+                self.sound = False
                 whole = self._name_end(first)
                 for stop in dict.fromkeys((whole, min(whole, self._stop(first)))):  # a quote is a name's own only if that ends the tag
                     if (end := self._tag_end(stop)) >= 0:
                         return start, end + 1, close, html[first:stop].lower(), html[stop:end]
-            at = start + 1
         return None
 
 

@@ -677,6 +677,30 @@ def exchanged_file(spark, sf_dir):
     return spark.createDataFrame([(name, df.count()) for name, df in back.items()], "name string, n long")
 
 
+@query(last(f"SELECT {PAIRS} FROM pairs"))
+def streamed_pairs(spark, sf_dir):
+    """Pairs from a stream: tiles are mined when their planes are closed, every fourth column of them, whose ends never come, when it is
+    late, and all again after a fifth of the voxels, which comes last."""
+    from dataclasses import replace
+
+    from covoxel.sources.checkpoints import ResultStore
+    from covoxel.streaming.completion import ARRIVALS, mine_completed, stream_rows
+
+    e, at = engine(spark, sf_dir, replace(CFG, channels=tuple(range(6)))), folder(spark, "stream")
+    stamped = lambda df, minute: df.selectExpr("channel", "z", "y", "x", "value", f"timestamp_seconds({60 * minute}) AS ts")
+    put = lambda df: df.write.mode("append").parquet(f"{at}/in")
+    known = lambda: spark.read.schema(ARRIVALS).parquet(f"{at}/in")
+    store, voxels = ResultStore(spark, f"{at}/store", e.cfg), e.voxels.withColumn("value", F.col("value").cast("double"))
+    ends = e.tiles().where("tile_x % 4 < 3").selectExpr("explode(sequence(0, 5)) AS channel", "y0 AS y", "x0 AS x").selectExpr("channel", f"explode(sequence(0, {e.shape.z - 1})) AS z", "y", "x", "CAST(NULL AS DOUBLE) AS value")
+    clock = spark.range(1).selectExpr(*(f"CAST(NULL AS {c.split()[1]}) AS {c.split()[0]}" for c in ARRIVALS.split(", ")[:5]))
+    late = (F.col("x") + F.col("y") + F.col("z")) % 5 == 0
+    for frames in ((stamped(voxels.where(~late), 1), stamped(ends, 1)), (stamped(voxels.where(late), 2), stamped(clock, 60))):
+        for df in frames:
+            put(df)
+        mine_completed(stream_rows(spark, f"{at}/in"), e.shape, e.cfg, e.voxels, store, f"{at}/state", known).awaitTermination()
+    return pairs_out(store.read().pairs)
+
+
 @query("SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL")
 def event_activity(spark, sf_dir):
     """The windows of streaming.tiles.event_activity over the whole table as a batch."""

@@ -701,6 +701,32 @@ def streamed_pairs(spark, sf_dir):
     return pairs_out(store.read().pairs)
 
 
+def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    from covoxel.sinks.store import open_tables, write_parquet
+
+    at = folder(spark, "tables")
+    write_parquet(engine(spark, sf_dir).result_tables(), at, bucket_rows=256)
+    return open_tables(spark, at)
+
+
+@query(last("SELECT channels, dilation, hierarchy_level, tile_x0, tile_y0, total_count AS inter_count, total_union AS union_count, round(iou, 9) AS iou FROM (SELECT channels, dilation, total_count, total_union, iou, " + REGION + " FROM combos) WHERE tile_x0 < 3 AND tile_x1 > 1 AND tile_y0 < 2 AND tile_y1 > 0"))
+def stored_region(spark, sf_dir):
+    """All combinations in a rectangle of tiles, at every level and radius, from the stored tables."""
+    from covoxel.sinks.store import in_region
+
+    kept = stored_tables(spark, sf_dir)
+    there = in_region(kept["tiles"], (1, 3), (0, 2)).join(kept["combinations"], F.col("combination_id") == F.col("id"))
+    return there.select("channels", "dilation", "hierarchy_level", "tile_x0", "tile_y0", "inter_count", "union_count", F.round("iou", 9).alias("iou"))
+
+
+@query(COMBO0 + "SELECT channels, region_x AS tile_x0, region_y AS tile_y0, total_count AS inter_count, total_union AS union_count, round(iou, 9) AS iou FROM combos WHERE hierarchy_level = 0 AND dilation = 1.0 AND channels LIKE 'ch2|%'")
+def stored_heatmaps(spark, sf_dir):
+    """The heat maps of all combinations that begin with a channel, from the stored tables."""
+    kept = stored_tables(spark, sf_dir)
+    some = kept["combinations"].where("hierarchy_level = 0 AND dilation = 1.0D AND startswith(channels, 'ch2|')")
+    return some.join(kept["tiles"], F.col("combination_id") == F.col("id")).select("channels", "tile_x0", "tile_y0", "inter_count", "union_count", F.round("iou", 9).alias("iou"))
+
+
 @query("SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL")
 def event_activity(spark, sf_dir):
     """The windows of streaming.tiles.event_activity over the whole table as a batch."""

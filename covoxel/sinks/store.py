@@ -8,8 +8,10 @@ import shutil
 import sqlite3
 import tempfile
 import uuid
+from hashlib import sha256
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Fixed format of the exchanged file.
 DDL = {
@@ -26,22 +28,86 @@ INDEXED = {
 }
 KEYS = {"tiles": ", FOREIGN KEY (combination_id) REFERENCES combinations (id)"}
 SPARK = {"TEXT": "string", "INTEGER": "long", "REAL": "double"}
-PARTED = {"combinations": ["hierarchy_level", "dilation"], "channel_stats": ["hierarchy_level", "dilation"]}
+#: Rows of a bucket of combinations and tiles, about, and what each stored table is sorted by.
+BUCKET_ROWS = 4_000_000
+SORTED = {"combinations": ["hierarchy_level", "dilation", "channels"], "tiles": ["place"], "channel_stats": ["hierarchy_level", "dilation", "channel", "place"]}
+BUCKETED = {"combinations": "id", "tiles": "combination_id"}
 
 
-def write_parquet(tables: dict[str, DataFrame], path: str) -> None:
-    """One folder per table; the large ones by level and radius, sorted by channels, so that lookups skip row groups."""
+def place(x: str, y: str) -> Column:
+    """Bits of two columns of numbers from 0 in turn (the Z-order curve): what is near on the plane is near in this order."""
+
+    def apart(name: str) -> Column:
+        v = F.col(name).cast("long").bitwiseAND(0xFFFFFFFF >> 1)
+        for by, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            v = v.bitwiseOR(F.shiftleft(v, by)).bitwiseAND(F.lit(mask))
+        return v
+
+    return apart(x).bitwiseOR(F.shiftleft(apart(y), 1))
+
+
+def write_parquet(tables: dict[str, DataFrame], path: str, bucket_rows: int = BUCKET_ROWS, options: dict[str, str] | None = None) -> None:
+    """One folder per table, laid out for lookups.
+
+    combinations and tiles are dealt to as many buckets by the combination's number, so that joining them shuffles neither (see open_tables()). Within a
+    bucket combinations are sorted by level, radius and channels, tiles by place: lookups by name or region skip row groups. channel_stats has
+    folders by level and radius, range partitions by channel and place within: no level is written by one task. options are Parquet's.
+    """
+    spark, options = tables["combinations"].sparkSession, options or {}
+    path = _whole(spark, path)
+    buckets = 1
+    while buckets * bucket_rows < tables["combinations"].count():
+        buckets *= 2
+    tables = {name: df.withColumn("place", place("tile_x0", "tile_y0")) if "place" in SORTED.get(name, []) else df for name, df in tables.items()}
     for name, df in tables.items():
-        by = PARTED.get(name, [])
-        if by:
-            first = "channels" if "channels" in df.columns else "channel"
-            df.repartition(*by).sortWithinPartitions(*by, first).write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{name}")
+        at = f"{path}/{name}"
+        if name in BUCKETED:
+            key, table = BUCKETED[name], _table_name(path, name)
+            df.repartition(buckets, key).write.mode("overwrite").options(**options, path=at).bucketBy(buckets, key).sortBy(*SORTED[name]).saveAsTable(table, format="parquet")
+            spark.sql(f"DROP TABLE {table}")  # the session's entry, not the files
+        elif name == "channel_stats":
+            df.repartitionByRange(*SORTED[name]).sortWithinPartitions(*SORTED[name]).write.mode("overwrite").options(**options).partitionBy("hierarchy_level", "dilation").parquet(at)
         else:
-            df.write.mode("overwrite").parquet(f"{path}/{name}")
+            df.write.mode("overwrite").parquet(at)
+    spark.createDataFrame([(buckets,)], "buckets int").write.mode("overwrite").parquet(f"{path}/layout")
+
+
+def _whole(spark: SparkSession, path: str) -> str:
+    """A path with its file system, since the catalog takes bare ones as below its own folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
+def _columns(name: str) -> list[str]:
+    return [c.split()[0] for c in DDL[name].split(", ")]
+
+
+def _table_name(path: str, name: str) -> str:
+    return f"covoxel_{sha256(path.rstrip('/').encode()).hexdigest()[:12]}_{name}"
 
 
 def read_parquet(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{path}/{name}") for name in DDL}
+    return {name: spark.read.parquet(f"{path}/{name}").select(_columns(name)) for name in DDL}
+
+
+def open_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The tables of such a folder with what their layout is good for: the session's catalog learns the buckets, so that combinations and
+    tiles join without a shuffle."""
+    path = _whole(spark, path)
+    out = read_parquet(spark, path)
+    buckets = spark.read.parquet(f"{path}/layout").first().buckets
+    for name, key in BUCKETED.items():
+        table, stored = _table_name(path, name), spark.read.parquet(f"{path}/{name}").schema
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stored)
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({', '.join(SORTED[name])}) INTO {buckets} BUCKETS LOCATION '{path}/{name}'")
+        out[name] = spark.table(table).select(_columns(name))
+    return out
+
+
+def in_region(rows: DataFrame, x: tuple[int, int], y: tuple[int, int]) -> DataFrame:
+    """Rows of tiles or channel_stats whose region meets a rectangle of tiles (first and end); as filters that reach the scan."""
+    return rows.where((F.col("tile_x0") < x[1]) & (F.col("tile_x1") > x[0]) & (F.col("tile_y0") < y[1]) & (F.col("tile_y1") > y[0]))
 
 
 def export_sqlite(tables: dict[str, DataFrame], target: str) -> None:
@@ -51,7 +117,7 @@ def export_sqlite(tables: dict[str, DataFrame], target: str) -> None:
         with sqlite3.connect(file) as db:
             for name, columns in DDL.items():
                 db.execute(f"CREATE TABLE {name} ({columns}{KEYS.get(name, '')})")
-                names = [c.split()[0] for c in columns.split(", ")]
+                names = _columns(name)
                 rows = tables[name].select(*names).toLocalIterator(prefetchPartitions=True)
                 db.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(names))})", map(tuple, rows))
                 for cols in INDEXED.get(name, ()):

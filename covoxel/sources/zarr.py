@@ -78,15 +78,62 @@ def _zstd(raw: bytes, size: int) -> bytes:
     return pa.decompress(raw, decompressed_size=size, codec="zstd", asbytes=True)
 
 
+def _short_lz(raw: bytes, size: int) -> bytes:
+    """The byte-oriented LZ code of short matches. A control byte below 32 is followed by that many literals and one more; the others hold, from the
+    top, three bits of the match's length less 2 and five of its distance. Length 7 is continued by bytes as long as they are 255, distance
+    8191 by two bytes more."""
+    out, at, control = bytearray(), 1, raw[0] & 31
+    while True:
+        if control < 32:
+            out += raw[at : at + control + 1]
+            at += control + 1
+        else:
+            length, back = (control >> 5) + 2, (control & 31) << 8
+            if control >> 5 == 7:
+                while True:
+                    more, at = raw[at], at + 1
+                    length += more
+                    if more < 255:
+                        break
+            back, at = back + raw[at], at + 1
+            if back == 8191:
+                back, at = back + (raw[at] << 8 | raw[at + 1]), at + 2
+            start = len(out) - back - 1
+            if start < 0:
+                raise ValueError("a match begins before its block")
+            piece = out[start : start + length]
+            out += (piece * -(-length // len(piece)))[:length]  # a match may reach into what it writes
+        if at >= len(raw) or len(out) >= size:
+            return bytes(out)
+        control, at = raw[at], at + 1
+
+
+def _bits_together(data: bytes, width: int) -> bytes:
+    """Undo a shuffle of bits: stored are the planes of bit 0 of all elements, then of bit 1, and so on."""
+    n = len(data) // width
+    if n % 8:
+        return data  # such blocks are stored as they are
+    planes = np.unpackbits(np.frombuffer(data, np.uint8).reshape(8 * width, n // 8), axis=1, bitorder="little")
+    return np.packbits(planes.T, axis=1, bitorder="little").tobytes()
+
+
+def _arrow(codec: str):
+    return lambda b, n: pa.decompress(b, decompressed_size=n, codec=codec, asbytes=True)
+
+
+#: Codecs of a container's streams by their number.
+INNER = {0: _short_lz, 1: _arrow("lz4_raw"), 2: _arrow("snappy"), 3: lambda b, n: zlib.decompress(b), 4: _zstd}
+
+
 def _blosc(raw: bytes, size: int) -> bytes:
-    """A container of blocks, each cut into streams of one byte position or not, of which the common inner codecs are read."""
+    """A container of blocks, each cut into streams of one byte position or not, shuffled by bytes or bits."""
     flags, width = raw[2], raw[3]
     total, block = (int.from_bytes(raw[i : i + 4], "little") for i in (4, 8))
     if flags & 2:
         return raw[16 : 16 + total]
-    inner = {1: lambda b, n: pa.decompress(b, decompressed_size=n, codec="lz4_raw", asbytes=True), 3: lambda b, n: zlib.decompress(b), 4: _zstd}.get(flags >> 5)
-    if inner is None or flags & 4:
-        raise ValueError("this inner codec or bit shuffle can't be read here")
+    inner = INNER.get(flags >> 5)
+    if inner is None:
+        raise ValueError("this inner codec can't be read here")
     out = []
     for k in range(-(-total // block) if block else 0):
         here = min(block, total - k * block)
@@ -98,7 +145,10 @@ def _blosc(raw: bytes, size: int) -> bytes:
             part = raw[at + 4 : at + 4 + n]
             data += part if n == here // streams else inner(part, here // streams)
             at += 4 + n
-        if flags & 1 and width > 1:
+        if flags & 4:
+            whole = here // width * width
+            data = _bits_together(data[:whole], width) + data[whole:]
+        elif flags & 1 and width > 1:
             whole = here // width * width
             data = np.frombuffer(data[:whole], np.uint8).reshape(width, -1).T.tobytes() + data[whole:]
         out.append(data)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covoxel.config import EngineConfig
@@ -25,25 +25,29 @@ def result_tables(m: Mined, names: DataFrame, shape: Shape, cfg: EngineConfig, h
     """The published tables of mined tiles. No voxel is needed: names (channel, name) are those of the channels, shape that of
     the volume, or of its tiles."""
     channels, pairs, sets = map(hold, roll_up(m, cfg))
-    rows = hold(combination_rows(pairs, sets, names))
+    rows = combination_rows(pairs, sets, names, hold)
     levels = rollup.hierarchy(channels, pairs, sets, cfg)
     spark = rows.sparkSession
     return {"metadata": metadata_table(spark, names, levels, list(cfg.dilate_um), shape), "combinations": combinations_table(rows), "tiles": tiles_table(rows), "channel_stats": channel_stats_table(channels, names)}
 
 
-def combination_rows(pairs: DataFrame, sets: DataFrame, names: DataFrame) -> DataFrame:
+def combination_rows(pairs: DataFrame, sets: DataFrame, names: DataFrame, hold: Hold) -> DataFrame:
     """Pairs and sets of all levels as one frame with `id`. The number has no meaning beyond linking tables; it follows
     level, size, region, radius and members. Ids are dealt in one ordering pass over the rolled-up rows: ranges are
-    sorted in parallel, counted, and numbered from their offsets, so no task holds all rows."""
+    sorted in parallel, counted, and numbered from their offsets, so no task holds all rows. The ranges are held before they are counted:
+    planned a second time they would have other bounds, which come from a sample, and AQE would join others of them."""
     two = pairs.withColumns({"members": F.array("a", "b"), "k": F.lit(2)})
     cols = ["hierarchy_level", "region_x", "region_y", "members", "k", "r_um", "inter_vox", "union_vox", "iou", "overlap_coeff", "tile_x0", "tile_x1", "tile_y0", "tile_y1"]
     every = channels_key(two.select(*cols).unionByName(sets.select(*cols)), names)
     order = ["hierarchy_level", "k", "region_x", "region_y", "r_um", "members"]
     ranged = every.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()})
-    in_part = ranged.withColumn("in_part", F.col("at").bitwiseAND((1 << 33) - 1) + 1)
-    sizes = in_part.groupBy("part").agg(F.max("in_part").alias("n"))
-    offsets = sizes.withColumn("before", F.sum("n").over(Window.orderBy("part")) - F.col("n")).select("part", "before")
-    return in_part.join(offsets, "part").withColumn("id", F.col("before") + F.col("in_part")).drop("part", "at", "in_part", "before")
+    in_part = hold(ranged.withColumn("in_part", F.col("at").bitwiseAND((1 << 33) - 1) + 1).drop("at"))
+    before, offsets = 0, []
+    for r in in_part.groupBy("part").agg(F.max("in_part").alias("n")).orderBy("part").collect():  # one row per range
+        offsets.append((r.part, before))
+        before += r.n
+    starts = in_part.sparkSession.createDataFrame(offsets, "part int, before long")
+    return in_part.join(F.broadcast(starts), "part").withColumn("id", F.col("before") + F.col("in_part")).drop("part", "in_part", "before")
 
 
 def combinations_table(rows: DataFrame) -> DataFrame:

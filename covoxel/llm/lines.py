@@ -10,7 +10,7 @@ from .common import forget, row_key, stored
 #: Columns that are added here begin with this.
 _OWN = "__line_dedup"
 #: A chunk begins at a window of two lines whose rolling hash has a first hexadecimal digit of MARK or more, and ends with the first one,
-#: from there on, whose second digit is; windows of a chunk at most; lines before and behind equal chunks that are compared, too.
+#: from there on, whose second digit is; windows of such a chunk at most; lines before and behind equal chunks that are compared, too.
 MARK, MOST, BEFORE, BEHIND = "4", 8, 8, 16
 
 
@@ -33,9 +33,13 @@ def _chunks(docs: DataFrame) -> DataFrame:
     last = F.size("r") - 1
     starts = F.filter(F.sequence(F.lit(0), last), lambda i: (i == 0) | (F.substr(F.get("r", i), F.lit(1), F.lit(1)) >= MARK))
     step = step.select("k1", "k2", "h", last.alias("last"), F.transform("r", lambda x: F.substr(x, F.lit(2), F.lit(1)) >= MARK).alias("ends"), F.when(last >= 0, starts).alias("starts"))
+    # Windows that aren't a chunk of their own by the marks.
+    plain = F.array_except(F.sequence(F.lit(0), F.col("last")), F.filter("starts", lambda i: F.get("ends", i) | (i == F.col("last"))))
+    step = step.withColumn("plain", F.when(F.col("last") >= 0, plain))
     ahead = lambda i: F.array_position(F.slice("ends", i + 1, F.lit(MOST)), True)
     end = lambda i: F.least(F.when(ahead(i) > 0, i + ahead(i).cast("int") - 1).otherwise(i + MOST - 1), F.col("last")) + 1
-    step = step.withColumn("c", F.transform("starts", lambda i: F.struct(i.alias("s"), end(i).alias("e"))))
+    chunk = lambda name, e: F.transform(name, lambda i: F.struct(i.alias("s"), e(i).alias("e")))
+    step = step.withColumn("c", F.concat(chunk("starts", end), chunk("plain", lambda i: i + 1)))
     step = step.withColumn("c", F.transform("c", lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), F.xxhash64(F.slice("h", c["s"] + 1, c["e"] - c["s"] + 1)).alias("hash"))))
     # An outer explode: a plain one implies a filter, which would be pushed below and repeat all this.
     return step.select("k1", "k2", F.explode_outer("c").alias("c")).where("c is not null").select("k1", "k2", "c.s", "c.e", "c.hash")
@@ -63,8 +67,8 @@ def line_dedup(docs: DataFrame) -> DataFrame:
 
     Chunks: a rolling hash over the hashes of every two lines in a row that aren't blank chooses where chunks begin (three windows in four, and a text's first one) and where
     they end (the first of three in four, from the beginning on; after MOST windows; or the last one). So a chunk has two lines or more, and its boundaries
-    follow from the lines in it alone, wherever they stand. A passage of two lines holds a chunk with a probability of 9 / 16, of
-    three lines 0.84, four 0.94, six 0.99; a passage that is a whole text always does.
+    follow from the lines in it alone, wherever they stand. Every other window of two lines is a chunk, too: so no passage of two lines or more is
+    missed, whatever its hashes.
 
     Equal chunks, anywhere, are compared line by line with their first occurrence (least doc_id, nulls last, then row, then place), and so are the lines before
     (BEFORE) and behind (BEHIND), as far as they are equal, which reach the next marks; what adjoins along the same two

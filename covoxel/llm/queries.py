@@ -108,7 +108,8 @@ r AS (
   FROM (SELECT *, md5(md5(line) || md5(lead(line) OVER (PARTITION BY doc_id ORDER BY p))) AS h FROM n) WHERE p < n - 1),
 b AS (
   SELECT a.doc_id, a.p AS s, coalesce(min(z.p) FILTER (WHERE z.ends), least(a.p + {lines.MOST - 1}, any_value(a.n) - 2)) + 1 AS e
-  FROM r a JOIN r z ON a.doc_id = z.doc_id AND z.p BETWEEN a.p AND a.p + {lines.MOST - 1} WHERE a.starts GROUP BY a.doc_id, a.p),
+  FROM r a JOIN r z ON a.doc_id = z.doc_id AND z.p BETWEEN a.p AND a.p + {lines.MOST - 1} WHERE a.starts GROUP BY a.doc_id, a.p
+  UNION SELECT doc_id, p, p + 1 FROM r),
 c AS (SELECT b.doc_id, s, e, list(line ORDER BY p) AS body FROM b JOIN n ON b.doc_id = n.doc_id AND n.p BETWEEN s AND e GROUP BY b.doc_id, s, e),
 f AS (SELECT *, first_value(doc_id) OVER w AS f, s - first_value(s) OVER w AS shift, row_number() OVER w AS nth FROM c WINDOW w AS (PARTITION BY body ORDER BY doc_id, s)),
 m AS (SELECT doc_id, s, e, f, shift FROM f WHERE nth > 1),

@@ -7,6 +7,7 @@ every stage has work to do, and integer voxel sizes make distances exact.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -336,23 +337,25 @@ def metadata_json(spark, sf_dir):
 
 @query(last("SELECT channels, channel_count, dilation, hierarchy_level, total_count, total_union, round(iou, 9) AS iou, round(overlap_coeff, 9) AS overlap_coeff FROM combos"))
 def combinations_table(spark, sf_dir):
-    return engine(spark, sf_dir).result_tables()["combinations"].drop("id").withColumns(r9("iou", "overlap_coeff"))
+    return engine(spark, sf_dir).result_tables(only=("combinations",))["combinations"].drop("id").withColumns(r9("iou", "overlap_coeff"))
 
 
 @query(last(f"SELECT channels, dilation, {REGION}, total_count AS inter_count, total_union AS union_count FROM combos"))
 def tiles_table(spark, sf_dir):
-    made = engine(spark, sf_dir).result_tables()
+    made = engine(spark, sf_dir).result_tables(only=("combinations", "tiles"))
     both = made["combinations"].join(made["tiles"], F.col("id") == F.col("combination_id"))
     return both.select("channels", "dilation", "hierarchy_level", "tile_x0", "tile_x1", "tile_y0", "tile_y1", "inter_count", "union_count")
 
 
 @query(last(f"SELECT 'ch' || channel AS channel, channel AS channel_idx, r_um AS dilation, {REGION}, voxel_count, sum_intensity, round(mean_intensity, 9) AS mean_intensity FROM up_channels"))
 def channel_stats_table(spark, sf_dir):
-    return engine(spark, sf_dir).result_tables()["channel_stats"].withColumns(r9("mean_intensity"))
+    return engine(spark, sf_dir).result_tables(only=("channel_stats",))["channel_stats"].withColumns(r9("mean_intensity"))
 
 
 def over_tables(spark: SparkSession, sf_dir: str, text: str, **values) -> DataFrame:
-    tables.register_views(engine(spark, sf_dir).result_tables())
+    """Of the result tables those that the text names are made."""
+    only = tuple(name for name in tables.TABLES if re.search(rf"\b(?:FROM|JOIN) {name}\b", text))
+    tables.register_views(engine(spark, sf_dir).result_tables(only=only))
     return spark.sql(text.format(**values))
 
 
@@ -527,7 +530,7 @@ def checkpoint_documents(spark, sf_dir):
 @query(COMBO0 + "SELECT hierarchy_level, 16 << hierarchy_level AS tile_size_x, count(*) AS n_channels FROM up_channels GROUP BY ALL")
 def metadata_read(spark, sf_dir):
     """The JSON metadata parsed back into rows."""
-    levels = engine(spark, sf_dir).result_tables()["metadata"].where("key = 'hierarchy_levels'")
+    levels = engine(spark, sf_dir).result_tables(only=("metadata",))["metadata"].where("key = 'hierarchy_levels'")
     rows = levels.select(F.explode(F.from_json("value", "array<struct<level: int, tile_size_x: int, n_channels: long>>")).alias("v"))
     return rows.select(F.col("v.level").alias("hierarchy_level"), "v.tile_size_x", "v.n_channels")
 

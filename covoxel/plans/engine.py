@@ -139,12 +139,20 @@ class Engine:
             return self.subset.count()
         return -(-self.shape.y // self.cfg.tile_y) * -(-self.shape.x // self.cfg.tile_x)
 
+    def projections(self) -> DataFrame:
+        """Those of the volume; thresholds of the whole and of tiles come from one aggregation of its voxels."""
+        return self._once("projections", lambda: self.hold(thresholds.projections(self.voxels, self.shape)))
+
     def global_thresholds(self) -> DataFrame:
-        source = self.lowres if self.lowres is not None else self.voxels
-        return self._once("global", lambda: thresholds.global_thresholds(source, self.lowres_shape or self.shape, self.cfg, self.hold))
+        source, stored = (self.voxels, self.projections) if self.lowres is None else (self.lowres, lambda: None)
+        return self._once("global", lambda: thresholds.global_thresholds(source, self.lowres_shape or self.shape, self.cfg, self.hold, stored()))
 
     def tile_thresholds(self) -> DataFrame:
-        return self._once("tile_t", lambda: self.hold(thresholds.tile_thresholds(self.voxels, self.global_thresholds(), self.shape, self.cfg, self.subset)))
+        def make() -> DataFrame:
+            t_global = self.global_thresholds()  # with the projections, if it is taken from the volume itself
+            return self.hold(thresholds.tile_thresholds(self.voxels, t_global, self.shape, self.cfg, self.subset, self._made.get("projections")))
+
+        return self._once("tile_t", make)
 
     def foreground(self) -> DataFrame:
         if self.segment is not None:
@@ -187,5 +195,5 @@ class Engine:
     def rollup(self, mined: mining.Mined | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
         return tables.roll_up(mined or self.mine(), self.cfg)
 
-    def result_tables(self, mined: mining.Mined | None = None) -> dict[str, DataFrame]:
-        return tables.result_tables(mined or self.mine(), self.channel_names(), self.shape, self.cfg, self.hold)
+    def result_tables(self, mined: mining.Mined | None = None, only: tuple[str, ...] = tables.TABLES) -> dict[str, DataFrame]:
+        return tables.result_tables(mined or self.mine(), self.channel_names(), self.shape, self.cfg, self.hold, only)

@@ -21,14 +21,22 @@ def roll_up(m: Mined, cfg: EngineConfig) -> tuple[DataFrame, DataFrame, DataFram
     return rollup.rollup_channels(m.channel_stats, cfg), rollup.rollup_pairs(m.pairs, cfg), rollup.rollup_sets(m.sets, cfg)
 
 
-def result_tables(m: Mined, names: DataFrame, shape: Shape, cfg: EngineConfig, hold: Hold) -> dict[str, DataFrame]:
-    """The published tables of mined tiles. No voxel is needed: names (channel, name) are those of the channels, shape that of
-    the volume, or of its tiles."""
-    channels, pairs, sets = map(hold, roll_up(m, cfg))
-    rows = combination_rows(pairs, sets, names, hold)
-    levels = rollup.hierarchy(channels, pairs, sets, cfg)
-    spark = rows.sparkSession
-    return {"metadata": metadata_table(spark, names, levels, list(cfg.dilate_um), shape), "combinations": combinations_table(rows), "tiles": tiles_table(rows), "channel_stats": channel_stats_table(channels, names)}
+def result_tables(m: Mined, names: DataFrame, shape: Shape, cfg: EngineConfig, hold: Hold, only: tuple[str, ...] = TABLES) -> dict[str, DataFrame]:
+    """The published tables of mined tiles, or some of them, for which nothing else is rolled up. No voxel is needed: names (channel, name) are those of the
+    channels, shape that of the volume, or of its tiles."""
+    channels, pairs, sets = roll_up(m, cfg)
+    made = {}
+    if {"metadata", "channel_stats"} & set(only):
+        channels = hold(channels)
+        made["channel_stats"] = channel_stats_table(channels, names)
+    if {"metadata", "combinations", "tiles"} & set(only):
+        pairs, sets = hold(pairs), hold(sets)
+    if {"combinations", "tiles"} & set(only):
+        rows = combination_rows(pairs, sets, names, hold)
+        made |= {"combinations": combinations_table(rows), "tiles": tiles_table(rows)}
+    if "metadata" in only:
+        made["metadata"] = metadata_table(pairs.sparkSession, names, rollup.hierarchy(channels, pairs, sets, cfg), list(cfg.dilate_um), shape)
+    return {name: made[name] for name in only}
 
 
 def combination_rows(pairs: DataFrame, sets: DataFrame, names: DataFrame, hold: Hold) -> DataFrame:

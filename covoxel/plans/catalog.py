@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covoxel.config import EngineConfig, FilterConfig, VoxelSize
@@ -54,8 +54,14 @@ def engine(spark: SparkSession, sf_dir: str, cfg: EngineConfig = CFG) -> Engine:
     return e
 
 
+def nine(x: Column) -> Column:
+    """x to nine digits as SQL engines round doubles, by whole numbers of 1e-9. F.round() takes the shortest decimal that stands for x: 661 / 5120, just
+    below 0.1291015625, is a tie for it and goes up."""
+    return F.round(x * 1e9) / 1e9
+
+
 def r9(*cols: str) -> dict:
-    return {c: F.round(c, 9) for c in cols}
+    return {c: nine(F.col(c)) for c in cols}
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -225,7 +231,7 @@ def component_filtered_mask(spark, sf_dir):
 
 @query(last("SELECT channel, tile_x, tile_y, round(t_final, 9) AS t_final, coalesce(n, 0) AS n_components, 4 AS min_voxels FROM thr LEFT JOIN (SELECT channel, tile_x, tile_y, count(DISTINCT label) AS n FROM lab GROUP BY ALL) USING (channel, tile_x, tile_y)"))
 def tile_outputs(spark, sf_dir):
-    return engine(spark, sf_dir).tile_outputs().select("channel", "tile_x", "tile_y", F.round("t_final", 9).alias("t_final"), "n_components", "min_voxels")
+    return engine(spark, sf_dir).tile_outputs().select("channel", "tile_x", "tile_y", nine(F.col("t_final")).alias("t_final"), "n_components", "min_voxels")
 
 
 @query(last("SELECT channel, tile_x, tile_y, z, y, x, min_d2 FROM prox"))
@@ -254,11 +260,11 @@ SETS = "tile_x, tile_y, r_um, k, array_to_string(members, ',') AS members, inter
 
 
 def pairs_out(df: DataFrame) -> DataFrame:
-    return df.select("tile_x", "tile_y", "r_um", "a", "b", "a_vox", "b_vox", "inter_vox", "union_vox", F.round("iou", 9).alias("iou"), F.round("overlap_coeff", 9).alias("overlap_coeff"))
+    return df.select("tile_x", "tile_y", "r_um", "a", "b", "a_vox", "b_vox", "inter_vox", "union_vox", nine(F.col("iou")).alias("iou"), nine(F.col("overlap_coeff")).alias("overlap_coeff"))
 
 
 def sets_out(df: DataFrame) -> DataFrame:
-    return df.select("tile_x", "tile_y", "r_um", "k", F.array_join("members", ",").alias("members"), "inter_vox", "union_vox", F.round("iou", 9).alias("iou"), F.round("overlap_coeff", 9).alias("overlap_coeff"))
+    return df.select("tile_x", "tile_y", "r_um", "k", F.array_join("members", ",").alias("members"), "inter_vox", "union_vox", nine(F.col("iou")).alias("iou"), nine(F.col("overlap_coeff")).alias("overlap_coeff"))
 
 
 @query(last("SELECT tile_x, tile_y, a, b FROM frequent"))
@@ -421,7 +427,7 @@ def basket_pairs(spark, sf_dir):
     histogram = mining.signatures(rows.join(pos, "channel"), len(found))
     counts = rows.groupBy("tile_x", "tile_y", "r_idx", "channel").agg(F.count("*").alias("voxel_count")).join(pos, "channel")
     out = mining.count_overlaps(mining.active_pairs(counts), histogram).where("inter_vox > 0")
-    return out.select(F.col("tile_x").alias("tile"), "a", "b", "a_vox", "b_vox", "inter_vox", "union_vox", F.round(F.col("inter_vox") / F.col("union_vox"), 9).alias("iou"))
+    return out.select(F.col("tile_x").alias("tile"), "a", "b", "a_vox", "b_vox", "inter_vox", "union_vox", nine(F.col("inter_vox") / F.col("union_vox")).alias("iou"))
 
 
 NAMES = "SELECT p_partkey AS channel, CASE WHEN p_partkey % 7 = 0 THEN p_brand || ' Do Not Use' ELSE p_brand END AS name FROM part"
@@ -556,7 +562,7 @@ def lowres_thresholds(spark, sf_dir):
     e, s = engine(spark, sf_dir), shape(spark, sf_dir)
     low = volume(spark, sf_dir).where("y % 2 = 0 AND x % 2 = 0").withColumns({"y": F.expr("y div 2").cast("int"), "x": F.expr("x div 2").cast("int")})
     from_low = Engine(e.voxels, s, CFG, lowres=low, lowres_shape=Shape(s.z, s.y // 2, s.x // 2))
-    return from_low.global_thresholds().select("channel", F.round("mu", 9).alias("mu"), F.round("mad", 9).alias("mad"))
+    return from_low.global_thresholds().select("channel", nine(F.col("mu")).alias("mu"), nine(F.col("mad")).alias("mad"))
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -719,7 +725,7 @@ def stored_region(spark, sf_dir):
 
     kept = stored_tables(spark, sf_dir)
     there = in_region(kept["tiles"], (1, 3), (0, 2)).join(kept["combinations"], F.col("combination_id") == F.col("id"))
-    return there.select("channels", "dilation", "hierarchy_level", "tile_x0", "tile_y0", "inter_count", "union_count", F.round("iou", 9).alias("iou"))
+    return there.select("channels", "dilation", "hierarchy_level", "tile_x0", "tile_y0", "inter_count", "union_count", nine(F.col("iou")).alias("iou"))
 
 
 @query(COMBO0 + "SELECT channels, region_x AS tile_x0, region_y AS tile_y0, total_count AS inter_count, total_union AS union_count, round(iou, 9) AS iou FROM combos WHERE hierarchy_level = 0 AND dilation = 1.0 AND channels LIKE 'ch2|%'")
@@ -727,7 +733,7 @@ def stored_heatmaps(spark, sf_dir):
     """The heat maps of all combinations that begin with a channel, from the stored tables."""
     kept = stored_tables(spark, sf_dir)
     some = kept["combinations"].where("hierarchy_level = 0 AND dilation = 1.0D AND startswith(channels, 'ch2|')")
-    return some.join(kept["tiles"], F.col("combination_id") == F.col("id")).select("channels", "tile_x0", "tile_y0", "inter_count", "union_count", F.round("iou", 9).alias("iou"))
+    return some.join(kept["tiles"], F.col("combination_id") == F.col("id")).select("channels", "tile_x0", "tile_y0", "inter_count", "union_count", nine(F.col("iou")).alias("iou"))
 
 
 @query("SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL")

@@ -63,6 +63,15 @@ def signatures(masked: DataFrame, n_channels: int) -> DataFrame:
     return voxel.groupBy(*TILE, "r_idx", *words).agg(F.count("*").alias("n"))
 
 
+def counts_of(histogram: DataFrame, channels: DataFrame) -> DataFrame:
+    """tile_x, tile_y, r_idx, channel, pos, voxel_count, from the histogram of signatures() instead of the voxels. channels: channel, pos."""
+    words = [c for c in histogram.columns if c.startswith("w")]
+    word = F.get(F.array(*words), F.floor(F.col("pos") / WORD_BITS).cast("int"))
+    bit = F.call_function("shiftright", word, (F.col("pos") % WORD_BITS).cast("int")).bitwiseAND(1)
+    every = histogram.crossJoin(F.broadcast(channels.select("channel", "pos"))).where(bit == 1)  # one row per channel
+    return every.groupBy(*TILE, "r_idx", "channel", "pos").agg(F.sum("n").alias("voxel_count"))
+
+
 def signatures_by_distance(prox: DataFrame, n_channels: int, cfg: EngineConfig) -> DataFrame:
     """The histogram of signatures() for every radius, from distances that carry `pos`.
 

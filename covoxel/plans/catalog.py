@@ -410,23 +410,27 @@ FROM i JOIN n x ON x.tile = i.tile AND x.channel = a JOIN n y ON y.tile = i.tile
 """
 
 
+def brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int").alias("channel"))
+
+
 def basket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
-    parts = table(spark, sf_dir, "part").select("p_partkey", F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int").alias("channel"))
+    """A row for each line of an order; brands repeat within an order."""
+    li, parts = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"), brands(spark, sf_dir)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").alias("tile_x"))
     both = li.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return both.select("tile_x", F.lit(0).alias("tile_y"), F.lit(0).alias("r_idx"), "channel", F.lit(0).alias("z"), F.lit(0).alias("y"), F.col("l_orderkey").alias("x")).distinct()
+    return both.select("tile_x", F.lit(0).alias("tile_y"), F.lit(0).alias("r_idx"), "channel", F.lit(0).alias("z"), F.lit(0).alias("y"), F.col("l_orderkey").alias("x"))
 
 
 @query(BASKET)
 def basket_pairs(spark, sf_dir):
-    """Co-occurring brands from the histogram of brand combinations per year, instead of a self-join of lines."""
-    rows = Engine.hold(Engine(spark.createDataFrame([], "channel int, z int, y int, x int, value double"), Shape(1, 1, 1), CFG), basket(spark, sf_dir))
-    found = sorted(r[0] for r in rows.select("channel").distinct().collect())
-    pos = F.broadcast(spark.createDataFrame([(c, i) for i, c in enumerate(found)], "channel int, pos int"))
-    histogram = mining.signatures(rows.join(pos, "channel"), len(found))
-    counts = rows.groupBy("tile_x", "tile_y", "r_idx", "channel").agg(F.count("*").alias("voxel_count")).join(pos, "channel")
-    out = mining.count_overlaps(mining.active_pairs(counts), histogram).where("inter_vox > 0")
+    """Co-occurring brands from the histogram of brand combinations per year, instead of a self-join of lines. An order's lines become its combination where
+    they meet the order, and all else is read from the histogram, so no task holds lines by their brand."""
+    rows = basket(spark, sf_dir)
+    found = sorted(r[0] for r in brands(spark, sf_dir).select("channel").distinct().collect())  # a handful; those never sold count nothing
+    channels = spark.createDataFrame([(c, i) for i, c in enumerate(found)], "channel int, pos int")
+    histogram = Engine.hold(Engine(spark.createDataFrame([], "channel int, z int, y int, x int, value double"), Shape(1, 1, 1), CFG), mining.signatures(rows.join(F.broadcast(channels), "channel"), len(found)))
+    out = mining.count_overlaps(mining.active_pairs(mining.counts_of(histogram, channels)), histogram).where("inter_vox > 0")
     return out.select(F.col("tile_x").alias("tile"), "a", "b", "a_vox", "b_vox", "inter_vox", "union_vox", nine(F.col("inter_vox") / F.col("union_vox")).alias("iou"))
 
 

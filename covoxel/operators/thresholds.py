@@ -108,7 +108,11 @@ def tile_thresholds(voxels: DataFrame, t_global: DataFrame, shape: Shape, cfg: E
     return out.select(*keys, "t_global", "q_tile", F.greatest("t_global", "q_tile").alias("t_final"), "alpha_eff")
 
 
-def foreground(voxels: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """Voxels strictly above their tile's threshold (voxels carry tile_x and tile_y)."""
+def foreground(voxels: DataFrame, thresholds: DataFrame, t_global: DataFrame | None = None) -> DataFrame:
+    """Voxels strictly above their tile's threshold (voxels carry tile_x and tile_y). t_global: global_thresholds(), if they are there. No tile's threshold is
+    below its channel's, so what isn't above that goes where it is read, and isn't shuffled."""
     keys = ["channel", "tile_x", "tile_y"]
+    if t_global is not None:
+        least = F.broadcast(t_global.select("channel", F.col("t_global").alias("__least")))  # one row per channel
+        voxels = voxels.join(least, "channel").where("value > __least").drop("__least")
     return voxels.join(thresholds.select(*keys, "t_final"), keys).where("value > t_final").drop("t_final")

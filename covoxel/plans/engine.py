@@ -75,7 +75,7 @@ class Engine:
     def only(self, tiles: DataFrame) -> Engine:
         """The same analysis of some tiles (a bounded batch): their voxels alone are read, and the rest is as in the whole.
 
-        Global thresholds, channels and names are shared. The bounds of the batch are filters on y and x that reach the scan,
+        Global thresholds, channels and names are shared, and the tiles' thresholds, if the global ones come from the volume itself. The bounds of the batch are filters on y and x that reach the scan,
         and on tile_x and tile_y, which prune folders where the volume is stored by tile.
         """
         part = tiles.select("tile_x", "tile_y")
@@ -86,6 +86,9 @@ class Engine:
             voxels = voxels.where(F.col("x").between(x[0] * self.cfg.tile_x, (x[1] + 1) * self.cfg.tile_x - 1) & F.col("y").between(y[0] * self.cfg.tile_y, (y[1] + 1) * self.cfg.tile_y - 1))
             voxels = voxels.where(F.col("tile_x").between(*x) & F.col("tile_y").between(*y))
         made = {"global": self.global_thresholds(), "channels": self.channels()}
+        if "projections" in self._made:  # those of the whole are known, and so are its tiles' thresholds
+            known = self.tile_thresholds()
+            made["tile_t"] = known.join(F.broadcast(part), ["tile_x", "tile_y"], "left_semi").select(*known.columns)  # a batch of tiles
         out = replace(self, voxels=voxels.join(F.broadcast(part), ["tile_x", "tile_y"], "left_semi"), subset=part, _made=made, _held=[])  # a batch of tiles
         if self.block:
             out.voxels = out.hold(out.voxels)
@@ -157,7 +160,7 @@ class Engine:
     def foreground(self) -> DataFrame:
         if self.segment is not None:
             return self.voxels.transform(self.segment)
-        return thresholds.foreground(self.voxels, self.tile_thresholds())
+        return thresholds.foreground(self.voxels, self.tile_thresholds(), self.global_thresholds())
 
     def _regions(self) -> DataFrame:
         """Labels and distances come from one pass over each channel of a tile."""

@@ -22,6 +22,8 @@ from covoxel.sources import checkpoints, objects
 from covoxel.sources.checkpoints import DocumentStore, Progress, ResultStore, remaining
 
 Report = Callable[[Progress], None]
+#: Tiles of a batch at least, and voxels, stored or not: small tiles come by more, since every batch reads the volume's columns of place.
+BATCH_TILES, BATCH_VOXELS = 1024, 1 << 30
 
 
 def batches(tiles: DataFrame, size: int, unit: tuple[int, int] = (1, 1)) -> Iterator[DataFrame]:
@@ -62,10 +64,17 @@ def batches(tiles: DataFrame, size: int, unit: tuple[int, int] = (1, 1)) -> Iter
         yield frame(rows)
 
 
-def run_tiles(engine: Engine, store: ResultStore | DocumentStore, resume: bool = True, batch: int = 1024, report: Report | None = None) -> Mined:
+def batch_size(engine: Engine) -> int:
+    """Tiles mined and written at a time, unless a run says otherwise."""
+    voxels = engine.shape.z * engine.cfg.tile_y * engine.cfg.tile_x * max(1, engine.channels().count())
+    return max(BATCH_TILES, BATCH_VOXELS // voxels)
+
+
+def run_tiles(engine: Engine, store: ResultStore | DocumentStore, resume: bool = True, batch: int | None = None, report: Report | None = None) -> Mined:
     """Mine the tiles that the store lacks (all, without resume), batch by batch, and return all results. Nothing is computed of
     other tiles; a run that ends early keeps the batches it has written, and what a batch held is dropped after it. Progress is counted while a
-    batch is written, so reports need no job of their own."""
+    batch is written, so reports need no job of their own. batch: tiles of one; by default by their size."""
+    batch = batch or batch_size(engine)
     todo = engine.hold(remaining(engine.tiles(), store.done()) if resume else engine.tiles())
     of, start = engine.n_tiles(), time.monotonic()
     before = of - todo.count() if resume else 0

@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,13 +111,16 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def flat(docs: DataFrame) -> Mined:
-    """channel_stats, pairs, sets and summary of documents. Members' voxel counts come from marker_vox, whose keys are
-    strings in the files."""
+    """channel_stats, pairs, sets and summary of documents. Members' voxel counts come from their document's marker_vox, whose keys
+    are strings in the files."""
     rows = lambda c: docs.select(F.explode(c).alias("r")).select("r.*")
     stats = rows("channel_stats")
-    marks = docs.select("tile_x", "tile_y", F.explode("marker_vox").alias("r", "by")).select("tile_x", "tile_y", F.col("r").cast("double").alias("r_um"), "by")
-    sets = rows("sets").join(marks, ["tile_x", "tile_y", "r_um"], "left")
-    sets = sets.withColumn("member_vox", F.transform("members", lambda m: F.coalesce(F.try_element_at("by", m.cast("string")), F.lit(0)))).drop("by")
+
+    def with_members(s: Column) -> Column:
+        here = F.get(F.filter(F.map_entries("marker_vox"), lambda e: e["key"].cast("double") == s["r_um"]), F.lit(0))["value"]
+        return s.withField("member_vox", F.transform(s["members"], lambda m: F.coalesce(F.try_element_at(here, m.cast("string")), F.lit(0))))
+
+    sets = docs.select(F.explode(F.transform("sets", with_members)).alias("r")).select("r.*")
     return Mined(stats, rows("pairs"), sets, docs.select("tile_x", "tile_y", "n_active_channels", "n_frequent_pairs"))
 
 

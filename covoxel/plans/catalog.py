@@ -18,7 +18,7 @@ from covoxel.functions import names as fn
 from covoxel.operators import components, filtering, mining, rollup, thresholds, tiling
 from covoxel.operators.tiling import Shape
 from covoxel.plans import sql, tables
-from covoxel.plans.engine import Engine
+from covoxel.plans.engine import Engine, hold
 
 LINES, WIDTH = 60_000, 56
 CFG = EngineConfig(tile_xy=(16, 16), voxel_size=VoxelSize(1, 1, 2), min_obj_vol_um3=8, dilate_um=(0, 1, 2), min_marker_vox=20, min_support_pair=20, min_support_set=10)
@@ -271,7 +271,8 @@ def sets_out(df: DataFrame) -> DataFrame:
 def frequent_pairs(spark, sf_dir):
     e = engine(spark, sf_dir)
     near = e.proximity().join(F.broadcast(e.channels()), "channel")
-    active = mining.active_markers(e.mine().channel_stats, e.radii()).join(F.broadcast(e.channels()), "channel")
+    stats = e.hold(mining.channel_stats(e.proximity(), e.innermost(), e.tiles(), e.channels(), e.radii(), CFG))
+    active = mining.active_markers(stats, e.radii()).join(F.broadcast(e.channels()), "channel")
     return mining.frequent_pairs(active, mining.signatures_by_distance(near, 6, CFG), e.radii(), 2).select("tile_x", "tile_y", "a", "b")
 
 
@@ -282,9 +283,8 @@ def pair_overlaps(spark, sf_dir):
 
 @query(last("SELECT tile_x, tile_y, k, array_to_string(members, ',') AS members FROM cands"))
 def set_candidates(spark, sf_dir):
-    e = engine(spark, sf_dir)
-    top = frequent_pairs(spark, sf_dir).withColumn("members", F.array("a", "b"))
-    return mining.set_candidates(top, e.cfg.max_set_size).select("tile_x", "tile_y", "k", F.array_join("members", ",").alias("members"))
+    top = hold(frequent_pairs(spark, sf_dir).withColumn("members", F.array("a", "b")))  # each of the joins reads them
+    return mining.set_candidates(top, CFG.max_set_size).select("tile_x", "tile_y", "k", F.array_join("members", ",").alias("members"))
 
 
 @query(last(f"SELECT {SETS} FROM sets"))
@@ -485,12 +485,14 @@ def filter_topk(spark, sf_dir):
 
 @query(CHAIN + VALID_P + f"SELECT {PAIRS} FROM kept_p")
 def filter_apply_pairs(spark, sf_dir):
-    return pairs_out(filtering.apply(engine(spark, sf_dir).mine().pairs, ["a", "b"], 2.0, FILTER))
+    e = engine(spark, sf_dir)
+    return pairs_out(filtering.apply(e.hold(e.mine().pairs), ["a", "b"], 2.0, FILTER))  # read for validity, for ranks and for the rows
 
 
 @query(CHAIN + VALID_P + f"SELECT {SETS} FROM kept_s")
 def filter_apply_sets(spark, sf_dir):
-    return sets_out(filtering.apply(engine(spark, sf_dir).mine().sets, ["members"], 2.0, FILTER))
+    e = engine(spark, sf_dir)
+    return sets_out(filtering.apply(e.hold(e.mine().sets), ["members"], 2.0, FILTER))
 
 
 @query(CHAIN + VALID_P + "SELECT *, round(CAST(100 AS DOUBLE) * (pairs_before + sets_before - pairs_after - sets_after) / (pairs_before + sets_before), 9) AS removed_percent FROM (SELECT (SELECT count(*) FROM tiles0) AS tiles_processed, (SELECT count(*) FROM pairs) AS pairs_before, (SELECT count(*) FROM kept_p) AS pairs_after, (SELECT count(*) FROM sets) AS sets_before, (SELECT count(*) FROM kept_s) AS sets_after)")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from covoxel.plans import tables
 from covoxel.plans.engine import hold
+from covoxel.sinks.store import in_region, open_tables, write_parquet
 
 N = 20_000
 JOINED = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.shuffle.partitions": "50"}
@@ -34,3 +35,11 @@ def linked(made):
 def test_each_combination_has_its_tile(made):
     both = linked(made)
     assert both.agg(F.count("*"), F.countDistinct("inter_count"), F.count_if(F.col("inter_count") != F.col("total_count"))).first() == (N, N, 0)
+
+
+def test_a_region_of_the_stored_tables_is_whole(made, spark, tmp_path):
+    write_parquet(made, f"{tmp_path}/t")
+    kept = open_tables(spark, f"{tmp_path}/t")
+    there = in_region(kept["tiles"], (1, 3), (0, 2)).join(kept["combinations"], F.col("combination_id") == F.col("id"))
+    want = sum(i % 97 in (1, 2) and i % 31 in (0, 1) for i in range(N))
+    assert there.agg(F.count("*"), F.countDistinct("inter_count"), F.count_if(F.col("inter_count") != F.col("total_count"))).first() == (want, want, 0)

@@ -43,3 +43,10 @@ def test_a_region_of_the_stored_tables_is_whole(made, spark, tmp_path):
     there = in_region(kept["tiles"], (1, 3), (0, 2)).join(kept["combinations"], F.col("combination_id") == F.col("id"))
     want = sum(i % 97 in (1, 2) and i % 31 in (0, 1) for i in range(N))
     assert there.agg(F.count("*"), F.countDistinct("inter_count"), F.count_if(F.col("inter_count") != F.col("total_count"))).first() == (want, want, 0)
+
+
+def test_heat_maps_of_the_stored_tables_are_whole(made, spark, tmp_path):
+    write_parquet(made, f"{tmp_path}/t", bucket_rows=N // 4)
+    kept = open_tables(spark, f"{tmp_path}/t")
+    maps = kept["combinations"].where("hierarchy_level = 0 AND dilation = 1.0D").join(kept["tiles"], F.col("id") == F.col("combination_id"))
+    assert maps.agg(F.count("*"), F.countDistinct("inter_count"), F.count_if(F.col("inter_count") != F.col("total_count"))).first() == (N, N, 0)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from covoxel.plans import tables
 from covoxel.plans.engine import hold
-from covoxel.sinks.store import in_region, open_tables, write_parquet
+from covoxel.sinks.store import export_sqlite, import_sqlite, in_region, open_tables, write_parquet
 
 N = 20_000
 JOINED = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.shuffle.partitions": "50"}
@@ -50,3 +50,9 @@ def test_heat_maps_of_the_stored_tables_are_whole(made, spark, tmp_path):
     kept = open_tables(spark, f"{tmp_path}/t")
     maps = kept["combinations"].where("hierarchy_level = 0 AND dilation = 1.0D").join(kept["tiles"], F.col("id") == F.col("combination_id"))
     assert maps.agg(F.count("*"), F.countDistinct("inter_count"), F.count_if(F.col("inter_count") != F.col("total_count"))).first() == (N, N, 0)
+
+
+def test_the_exchanged_file_has_all_rows(made, spark, tmp_path):
+    export_sqlite(made, f"{tmp_path}/t.db.gz")
+    back = import_sqlite(spark, f"{tmp_path}/t.db.gz")
+    assert {name: df.count() for name, df in back.items()} == {"metadata": 1, "combinations": N, "tiles": N, "channel_stats": 1}

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from covoxel.config import EngineConfig
 from covoxel.operators.mining import Mined
 from covoxel.operators.tiling import Shape, tile_grid
-from covoxel.sinks.named_files import FILES, write_files
+from covoxel.sinks.named_files import write_files
 from covoxel.sources import files
 from covoxel.sources.snapshots import Snapshots
 
@@ -62,18 +62,12 @@ def write_json(docs: DataFrame, path: str) -> None:
     docs.write.mode("overwrite").option("compression", "gzip").json(path)
 
 
-def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        packed = [gzip.compress(line.as_py().encode(), mtime=0) for line in b.column("line")]
-        yield pa.RecordBatch.from_arrays([b.column("name"), pa.array(packed, pa.binary())], names=["name", "content"])
-
-
 def write_tiles(docs: DataFrame, path: str, overwrite: bool = False) -> None:
     """Each document as a file of its own, tile_XXXX_YYYY.json.gz: what completed() knows. Files appear when all are written, each
     whole; an earlier document of the same tile is replaced, and with overwrite those of all other tiles go."""
     name = F.format_string("tile_%04d_%04d.json.gz", "tile_x", "tile_y")
-    rows = docs.select(name.alias("name"), F.to_json(F.struct(*docs.columns)).alias("line"))
-    write_files(rows.mapInArrow(_zipped, FILES), path, overwrite)
+    rows = docs.select(name.alias("name"), F.to_json(F.struct(*docs.columns)).cast("binary").alias("content"))
+    write_files(rows, path, overwrite, zipped=True)
 
 
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,6 +9,7 @@ from covoxel.config import EngineConfig
 from covoxel.operators.mining import Mined
 from covoxel.operators.tiling import Shape
 from covoxel.plans import tables
+from covoxel.sinks.store import in_region, open_tables, write_parquet
 
 N = 20_000
 SETTINGS = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.shuffle.partitions": "50"}
@@ -43,3 +44,10 @@ def whole(linked, n):
 
 def test_tiles(made):
     assert whole(made["combinations"].join(made["tiles"], F.col("id") == F.col("combination_id")), N)
+
+
+def test_stored_region(made, spark, tmp_path):
+    write_parquet(made, f"{tmp_path}/t", bucket_rows=N // 4)
+    kept = open_tables(spark, f"{tmp_path}/t")
+    there = in_region(kept["tiles"], (90, 92), (0, 2)).join(kept["combinations"], F.col("combination_id") == F.col("id"))
+    assert whole(there, sum(i % 97 in (90, 91) and i % 31 in (0, 1) for i in range(N)))

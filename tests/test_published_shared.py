@@ -51,3 +51,10 @@ def test_stored_region(made, spark, tmp_path):
     kept = open_tables(spark, f"{tmp_path}/t")
     there = in_region(kept["tiles"], (90, 92), (0, 2)).join(kept["combinations"], F.col("combination_id") == F.col("id"))
     assert whole(there, sum(i % 97 in (90, 91) and i % 31 in (0, 1) for i in range(N)))
+
+
+def test_stored_heat_maps(made, spark, tmp_path):
+    write_parquet(made, f"{tmp_path}/t", bucket_rows=N // 4)
+    kept = open_tables(spark, f"{tmp_path}/t")
+    some = kept["combinations"].where("hierarchy_level = 0 AND dilation = 1.0D AND startswith(channels, 'ch1')")
+    assert whole(some.join(kept["tiles"], F.col("id") == F.col("combination_id")), sum(str(i).startswith("1") for i in range(N)))

@@ -9,7 +9,7 @@ from covoxel.config import EngineConfig
 from covoxel.operators.mining import Mined
 from covoxel.operators.tiling import Shape
 from covoxel.plans import tables
-from covoxel.sinks.store import in_region, open_tables, write_parquet
+from covoxel.sinks.store import export_sqlite, import_sqlite, in_region, open_tables, write_parquet
 
 N = 20_000
 SETTINGS = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.shuffle.partitions": "50"}
@@ -58,3 +58,9 @@ def test_stored_heat_maps(made, spark, tmp_path):
     kept = open_tables(spark, f"{tmp_path}/t")
     some = kept["combinations"].where("hierarchy_level = 0 AND dilation = 1.0D AND startswith(channels, 'ch1')")
     assert whole(some.join(kept["tiles"], F.col("id") == F.col("combination_id")), sum(str(i).startswith("1") for i in range(N)))
+
+
+def test_exchanged_file_of_several_reads(made, spark, tmp_path):
+    export_sqlite(made, f"{tmp_path}/t.db.gz")
+    back = import_sqlite(spark, f"{tmp_path}/t.db.gz", rows=N // 3)
+    assert {name: df.count() for name, df in back.items()} == {"metadata": 4, "combinations": N, "tiles": N, "channel_stats": 5}

@@ -18,7 +18,8 @@ SLACK = 1e-6
 
 
 def nearest(place: list[np.ndarray], low: list[int], high: list[int], cfg: EngineConfig) -> tuple[list[np.ndarray], np.ndarray]:
-    """The voxels (z, y, x) of a box within the largest radius of the given ones, and their squared distances.
+    """The voxels (z, y, x) of a box within the largest radius of the given ones, and their squared distances. A number before z tells
+    boxes apart that lie side by side: nothing is near across them.
 
     The squared Euclidean distance separates: least over x, then y, then z of what came before plus the offset's square, each
     as shifts of the dense box around the given voxels, which lies within the tile.
@@ -26,12 +27,12 @@ def nearest(place: list[np.ndarray], low: list[int], high: list[int], cfg: Engin
     r = max(cfg.dilate_um)
     limit = r * r * (1 + SLACK)
     steps = [float(s) for s in (cfg.voxel_size.z, cfg.voxel_size.y, cfg.voxel_size.x)]
-    reach = [math.floor(r / s * (1 + SLACK)) for s in steps]
+    reach = [0] * (len(place) - 3) + [math.floor(r / s * (1 + SLACK)) for s in steps]
     first = [max(lo, int(p.min()) - k) for p, lo, k in zip(place, low, reach, strict=True)]
     ends = [min(hi, int(p.max()) + k) for p, hi, k in zip(place, high, reach, strict=True)]
     now = np.full([e - f + 1 for f, e in zip(first, ends, strict=True)], np.inf)
     now[tuple(p - f for p, f in zip(place, first, strict=True))] = 0.0
-    for axis in (2, 1, 0):
+    for axis in (-1, -2, -3):
         before, now = now, now.copy()
         b, n = np.moveaxis(before, axis, 0), np.moveaxis(now, axis, 0)
         for k in range(1, min(reach[axis], len(b) - 1) + 1):

@@ -712,7 +712,7 @@ def streamed_pairs(spark, sf_dir):
     for frames in ((stamped(voxels.where(~late), 1), stamped(ends, 1)), (stamped(voxels.where(late), 2), stamped(clock, 60))):
         for df in frames:
             put(df)
-        mine_completed(stream_rows(spark, f"{at}/in"), e.shape, e.cfg, e.voxels, store, f"{at}/state", known).awaitTermination()
+        mine_completed(stream_rows(spark, f"{at}/in"), e.shape, e.cfg, e.voxels, store, f"{at}/state", known, t_global=e.global_thresholds()).awaitTermination()
     return pairs_out(store.read().pairs)
 
 

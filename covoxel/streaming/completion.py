@@ -8,6 +8,7 @@ the files that the stream reads.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -21,12 +22,14 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 from covoxel.config import EngineConfig
 from covoxel.operators.tiling import Shape
 from covoxel.plans.engine import Engine
-from covoxel.plans.runs import batches
+from covoxel.plans.runs import batch_size, batches
 from covoxel.sources.checkpoints import ResultStore
 
 ARRIVALS = "channel int, z int, y int, x int, value double, ts timestamp"
 SEEN = "tile_x int, tile_y int, ts timestamp, closed array<int>"
 TOLD = "tile_x int, tile_y int, complete boolean, time int"
+#: Rows that a task puts together at a time.
+TOGETHER = 1 << 19
 #: The state store that timers and several states of a key need.
 PROVIDER, ROCKS = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -79,18 +82,31 @@ class Completion(StatefulProcessor):
 
 
 def arrivals(rows: DataFrame, shape: Shape, cfg: EngineConfig) -> DataFrame:
-    """What comes of each tile: its newest ts and the numbers of the planes that are closed. Rows are put together before the
-    shuffle, batch by batch of a task, so that a row for each tile and batch is shuffled and not one for each voxel."""
+    """What comes of each tile: its newest ts and the numbers of the planes that are closed. A task puts its rows together before the
+    shuffle, so that it sends a row for each tile and not one for each voxel; more only if more than TOGETHER / 2 tiles and planes are apart."""
     pos = F.array_position(F.array(*map(F.lit, sorted(cfg.channels))), F.col("channel")).cast("int") - 1
     inside = (pos >= 0) & F.col("z").between(0, shape.z - 1)
     plane = F.when(F.col("value").isNull() & inside, pos * shape.z + F.col("z"))
     tile = lambda axis, n: F.coalesce(F.when(F.col("channel").isNotNull(), F.expr(f"{axis} div {n}")), F.lit(-1)).cast("int")
     placed = rows.select(tile("x", cfg.tile_x).alias("tile_x"), tile("y", cfg.tile_y).alias("tile_y"), "ts", plane.alias("plane"))
 
+    def one_of(rows: list[pa.Table]) -> pa.Table:
+        keys = ["tile_x", "tile_y", "plane"]
+        return pa.concat_tables(rows).group_by(keys, use_threads=False).aggregate([("ts", "max")]).select([*keys, "ts_max"]).rename_columns([*keys, "ts"])
+
+    def by_tile(rows: pa.Table) -> list[pa.RecordBatch]:
+        seen = rows.group_by(["tile_x", "tile_y"], use_threads=False).aggregate([("ts", "max"), ("plane", "distinct", pc.CountOptions(mode="only_valid"))])
+        return seen.select(["tile_x", "tile_y", "ts_max", "plane_distinct"]).rename_columns(["tile_x", "tile_y", "ts", "closed"]).to_batches()
+
     def together(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts:
-            seen = pa.Table.from_batches([b]).group_by(["tile_x", "tile_y"]).aggregate([("ts", "max"), ("plane", "distinct", pc.CountOptions(mode="only_valid"))])
-            yield from seen.select(["tile_x", "tile_y", "ts_max", "plane_distinct"]).rename_columns(["tile_x", "tile_y", "ts", "closed"]).to_batches()
+        rows: list[pa.Table] = []
+        for b in chain(parts, [None]):
+            if b is not None:
+                rows.append(pa.Table.from_batches([b]).select(["tile_x", "tile_y", "plane", "ts"]))
+            if rows and (b is None or sum(r.num_rows for r in rows) >= TOGETHER):
+                rows = [one_of(rows)]
+                if b is None or rows[0].num_rows > TOGETHER // 2:
+                    yield from by_tile(rows.pop())
 
     return placed.mapInArrow(together, SEEN)
 
@@ -110,22 +126,29 @@ def completed_tiles(rows: DataFrame, shape: Shape, cfg: EngineConfig, patience:
 
 def newest(rows: DataFrame) -> DataFrame:
     """The voxels among rows of a stream: of those at one place the one with the newest ts, then with the largest value."""
-    last = F.max(F.struct("ts", "value"))["value"].alias("value")
-    return rows.where("channel is not null and value is not null").groupBy("channel", "z", "y", "x").agg(last)
+    place = ["channel", "z", "y", "x"]
+    stored = rows.where("channel is not null and value is not null").repartition("channel", "y", "x")  # one exchange for both aggregations; a column stays together
+    largest = stored.groupBy(*place, "ts").agg(F.max("value").alias("value"))
+    return largest.groupBy(*place).agg(F.max_by("value", F.coalesce(F.unix_micros("ts"), F.lit(-(1 << 63)))).alias("value"))
 
 
-def mine_completed(rows: DataFrame, shape: Shape, cfg: EngineConfig, lowres: DataFrame, store: ResultStore, state: str, all_rows: Callable[[], DataFrame], batch: int = 1024, **waits: str) -> StreamingQuery:
+def mine_completed(rows: DataFrame, shape: Shape, cfg: EngineConfig, lowres: DataFrame, store: ResultStore, state: str, all_rows: Callable[[], DataFrame], batch: int | None = None, t_global: DataFrame | None = None, **waits: str) -> StreamingQuery:
     """Mine tiles as completed_tiles() tells them, from all rows known of them, and replace their results.
 
-    Of all_rows() only the told tiles are read. A batch that runs again after a failure writes its tiles again; the newest of a tile counts.
-    Thresholds come from a fixed low-resolution volume, so that a tile's result depends on its own voxels only.
+    Of all_rows() only the told tiles are read, in batches of `batch` tiles, by default by their size as in a run, since each batch reads
+    the files that may have some of its tiles; a batch's voxels are held, so that they are found once. A batch that runs again after a failure writes its
+    tiles again; the newest of a tile counts. Thresholds come from a fixed low-resolution volume, so that a tile's result depends on its own voxels only; they are taken once, unless
+    t_global has them (global_thresholds() of that volume).
     """
+    fixed = {} if t_global is None else {"global": t_global}  # what all batches share
 
     def mine(told: DataFrame, _: int) -> None:
-        tiles = told.select("tile_x", "tile_y").distinct()
-        engine = Engine(newest(all_rows()), shape, cfg, lowres=lowres)
-        for part in batches(tiles, batch):
-            store.write(engine.only(part).mine())
+        tiles = told.select("tile_x", "tile_y").distinct().coalesce(1)  # they come to the driver, by one job
+        engine = Engine(newest(all_rows()), shape, cfg, lowres=lowres, block=(1, 1), _made=fixed)
+        for part in batches(tiles, batch or batch_size(engine)):
+            now = engine.only(part)
+            store.write(now.mine())
+            now.release()
 
     with_state(rows.sparkSession)
     found = completed_tiles(rows, shape, cfg, **waits)

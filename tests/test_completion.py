@@ -10,6 +10,7 @@ from covoxel.config import EngineConfig
 from covoxel.operators.tiling import Shape
 from covoxel.plans.engine import Engine
 from covoxel.sources.checkpoints import ResultStore
+from covoxel.streaming import completion
 from covoxel.streaming.completion import ARRIVALS, arrivals, completed_tiles, mine_completed, newest, stream_rows, with_state
 from tests import test_operators
 from tests.test_operators import random_volume
@@ -97,6 +98,30 @@ def test_voxels_are_put_together_before_the_shuffle(spark):
     assert got == [(-1, -1, []), (0, 0, [1 * SHAPE.z + 2])]
 
 
+def test_a_task_puts_all_its_batches_together(spark):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    seen = arrivals(rows_of(spark, [(0, 0, 0, x % 2, 1.0) for x in range(50)] + [(c, 2, 0, 0, None) for c in (0, 1, 2, 0)], 0).coalesce(1), SHAPE, CFG)
+    assert sorted((r.tile_x, r.tile_y, sorted(r.closed)) for r in seen.collect()) == [(0, 0, [2, 5, 8])]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_tiles_told_at_once_are_mined_by_their_size_and_their_voxels_found_once(spark, tmp_path, monkeypatch):
+    cells = [(0, 0, i // 40, i % 40, 1.0 + i % 7) for i in range(1100)]
+    rows_of(spark, cells, 0).coalesce(1).write.parquet(str(tmp_path / "in"))
+    monkeypatch.setattr(completion, "completed_tiles", lambda rows, *_, **__: rows.selectExpr("x AS tile_x", "y AS tile_y"))
+    monkeypatch.setattr(Engine, "mine", lambda self: self)
+    mined = []
+
+    class Store:
+        def write(self, e):
+            mined.append((e.subset.count(), e.voxels.count(), len(e._held)))
+
+    known = lambda: spark.read.schema(ARRIVALS).parquet(str(tmp_path / "in"))
+    mine_completed(stream_rows(spark, str(tmp_path / "in")), Shape(1, 40, 40), replace(CFG, tile_xy=(1, 1)), newest(known()), Store(), str(tmp_path / "state"), known).awaitTermination()
+    assert mined == [(1100, 1100, 1)]
+
+
 def test_the_newest_of_repeated_voxels_counts_and_filters_reach_the_scan(spark, tmp_path):
     rows = rows_of(spark, [(0, 0, 0, 0, 5.0), (0, 0, 0, 1, 2.0), (0, 0, 0, 1, 3.0)], 0).unionAll(rows_of(spark, [(0, 0, 0, 0, 4.0), (0, 0, 0, 0, None)], 1))
     assert sorted((r.x, r.value) for r in newest(rows).collect()) == [(0, 4.0), (1, 3.0)]

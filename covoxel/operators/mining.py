@@ -16,6 +16,8 @@ from covoxel.operators.proximity import within
 TILE = ["tile_x", "tile_y"]
 #: Signatures that are a matrix of bits at a time; signatures of a tile that one task counts, about.
 STEP, SHARE = 1 << 13, 1 << 17
+#: A tile of at most SMALL signatures at a radius is counted together with its neighbours in a square of 2 ** SIDE, at all radii.
+SMALL, SIDE = 1 << 11, 2
 
 
 @dataclass(frozen=True)
@@ -97,12 +99,32 @@ def count_overlaps(candidates: DataFrame, histogram: DataFrame) -> DataFrame:
     the voxels that have all members, and, of the complements, those that have none. Doubles hold these counts exactly.
 
     A tile's signatures are dealt into shares of about SHARE, each counted against all its candidates by a task of its own, and the shares' counts
-    are added up: so a tile of any size spreads over the cluster. Both sides of a task are bounded, by SHARE and the candidate limits.
+    are added up: so a tile of any size spreads over the cluster. Small tiles come many at a time, and are counted one after the other. Both sides of a task are
+    bounded, by SHARE, or SMALL for each tile and radius of a square, and the candidate limits.
     """
     words = [c for c in histogram.columns if c.startswith("w")]
     kept = [(c, t) for c, t in candidates.dtypes if c != "positions"]
+    keys = [*TILE, "r_idx"]
+
+    def sorted_parts(rows: pa.Table, names: list[str]) -> tuple[pa.Table, dict[tuple, tuple[int, int]]]:
+        """rows by tile and radius, and where those of each stand."""
+        of = [rows.column(c).to_numpy() for c in names]
+        order = np.lexsort(of[::-1])
+        of = [k[order] for k in of]
+        starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(order)), bool), np.any([k[1:] != k[:-1] for k in of], axis=0)]))
+        ends = np.append(starts, len(order))[1:]
+        return rows.take(pa.array(order)), {tuple(int(k[s]) for k in of): (int(s), int(e)) for s, e in zip(starts, ends, strict=True)}
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        left, wanted = sorted_parts(left, keys)
+        right, found = sorted_parts(right, [f"of_{k}" for k in keys])
+        counts = [count(left.slice(s, e - s), right.slice(at[0], at[1] - at[0])) for key, (s, e) in wanted.items() for at in [found.get(key, (0, 0))]]
+        out = left.select([c for c, _ in kept])
+        for i, name in enumerate(("inter_vox", "union_vox")):
+            out = out.append_column(name, pa.array(np.concatenate([np.zeros(0), *[c[i] for c in counts]]).astype(np.int64)))
+        return out
+
+    def count(left: pa.Table, right: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         by_prefix: dict[tuple[int, ...], list[tuple[int, int]]] = {}
         for row, at in enumerate(left.column("positions").to_pylist()):
             by_prefix.setdefault(tuple(at[:-1]), []).append((row, at[-1]))
@@ -119,20 +141,24 @@ def count_overlaps(candidates: DataFrame, histogram: DataFrame) -> DataFrame:
                     none *= 1 - bits[:, p]
                 inter[rows] += every @ bits[:, last]
                 union[rows] += n.sum() - none @ (1 - bits[:, last])
-        out = left.select([c for c, _ in kept])
-        for name, x in (("inter_vox", inter), ("union_vox", union)):
-            out = out.append_column(name, pa.array(x.astype(np.int64)))
-        return out
+        return inter, union
 
     schema = ", ".join(f"{c} {t}" for c, t in kept) + ", inter_vox long, union_vox long"
-    keys = [*TILE, "r_idx"]
     named = histogram.withColumnsRenamed({k: f"of_{k}" for k in keys})  # both sides may come from the same rows
-    shares = histogram.groupBy(*keys).agg(F.ceil(F.count("*") / SHARE).cast("int").alias("shares"))
+    shares = histogram.groupBy(*keys).agg(F.ceil(F.count("*") / SHARE).cast("int").alias("shares"), (F.count("*") <= SMALL).alias("small"))
     dealt = shares.withColumnsRenamed({k: f"in_{k}" for k in keys})
     same = [F.col(f"of_{k}") == F.col(f"in_{k}") for k in keys]
-    right = named.join(dealt, same).drop(*[f"in_{k}" for k in keys]).withColumn("share", F.pmod(F.xxhash64(*words), F.col("shares")).cast("int"))
-    left = candidates.join(shares, keys, "left").withColumn("of_share", F.explode(F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1))).drop("shares")
-    partial = left.groupBy(*keys, "of_share").cogroup(right.groupBy(*[f"of_{k}" for k in keys], "share")).applyInArrow(run, schema)
+
+    def unit(tile_x: str, tile_y: str, r_idx: str, share: Column) -> list[Column]:
+        """What is counted by one task: a share, or the small tiles of a square."""
+        square = [F.call_function("shiftright", F.col(c), F.lit(SIDE)) for c in (tile_x, tile_y)] + [F.lit(-1), F.lit(-1)]
+        return [F.when(F.col("small"), a).otherwise(b).alias(f"unit_{i}") for i, (a, b) in enumerate(zip(square, [F.col(tile_x), F.col(tile_y), F.col(r_idx), share], strict=True))]
+
+    units = [f"unit_{i}" for i in range(4)]
+    right = named.join(dealt, same).select(*named.columns, *unit(*[f"of_{k}" for k in keys], F.pmod(F.xxhash64(*words), F.col("shares")).cast("int")))
+    left = candidates.join(shares, keys, "left").withColumn("small", F.coalesce("small", F.lit(True)))
+    left = left.withColumn("share", F.explode(F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1))).select(*candidates.columns, *unit(*keys, F.col("share")))
+    partial = left.groupBy(*units).cogroup(right.groupBy(*units)).applyInArrow(run, schema)
     return partial.groupBy(*[c for c, _ in kept]).agg(F.sum("inter_vox").alias("inter_vox"), F.sum("union_vox").alias("union_vox"))
 
 

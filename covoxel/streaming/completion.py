@@ -46,9 +46,10 @@ class Completion(StatefulProcessor):
         self.tile = handle.getValueState("tile", "closed binary, newest long, timer long, time int")
 
     def _get(self) -> tuple[np.ndarray, int, int, int]:
-        if not self.tile.exists():
+        found = self.tile.get()  # one call of the worker's state server, as each method here
+        if found is None:
             return np.zeros(self.planes, np.uint8), 0, -1, 0
-        closed, *rest = self.tile.get()
+        closed, *rest = found
         return np.unpackbits(np.frombuffer(closed, np.uint8), count=self.planes), *map(int, rest)
 
     def _put(self, closed: np.ndarray, newest: int, timer: int, time: int) -> None:
